@@ -70,8 +70,8 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
         # the first bucket that reaches the budget; its source has one bucket at most for which this holds
         edge = hist.withColumn("upto", upto).where("upto >= left and upto - words < left")
         edge = edge.select(F.col("source").alias("s"), F.col("bucket").alias("b"), (F.col("left") - F.col("upto") + F.col("words")).alias("l"), "rows", "each", "lo", "hi")
-        keep = [c for c in ("source", "source_size", "target", "passes")]
-        state = materialize(state.join(edge, F.col("source").eqNullSafe(F.col("s")), "left").select(*keep, F.coalesce("b", F.lit(-1)).cast("long").alias("prefix"), F.coalesce("l", F.lit(0.0)).alias("left"), "rows", "each", "lo", "hi"))
+        keep = ["source", "source_size", "target", "passes"]
+        state = materialize(state.select(*keep).join(edge, F.col("source").eqNullSafe(F.col("s")), "left").select(*keep, F.coalesce("b", F.lit(-1)).cast("long").alias("prefix"), F.coalesce("l", F.lit(0.0)).alias("left"), "rows", "each", "lo", "hi"))
         if not state.where("lo < hi").limit(1).count():
             break
     # equal rows at the cut share one hash and so one size; take as many as come nearest to the budget

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from levyframe.llm import bpe, mixing, quality
+from levyframe.llm import bpe, mixing, quality, simhash
 
-MODULES = (mixing, quality, bpe)
+MODULES = (mixing, quality, bpe, simhash)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}

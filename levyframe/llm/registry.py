@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from levyframe.llm import bpe, linededup, mixing, quality, simhash
+from levyframe.llm import bpe, chat, linededup, mixing, quality, simhash
 
-MODULES = (mixing, quality, linededup, bpe, simhash)
+MODULES = (mixing, quality, linededup, bpe, simhash, chat)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}

@@ -25,8 +25,8 @@ from levyframe.llm.common import drop_columns, read
 
 #: How the tokenizer splits normalized text (as its file says, checked when it is read).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Words whose encodings a Python worker remembers, and pairs of tokens; both are cleared when full.
-WORDS_KEPT, PAIRS_KEPT = 200_000, 500_000
+#: Words of a generation whose encodings a Python worker remembers, and pairs of tokens.
+WORDS_KEPT, PAIRS_KEPT = 300_000, 500_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -65,6 +65,7 @@ class WordBPE:
         self.longest = max(map(len, self.tokens))
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words: dict[str, tuple[int, str, str]] = {}
+        self.old: dict[str, tuple[int, str, str]] = {}
         self.pieces = regex.compile(PIECES)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
 
@@ -101,26 +102,36 @@ class WordBPE:
             for b in raw[:-1]:
                 node = node.setdefault(chr(b), {})
             node[chr(raw[-1] + 256)] = word
-        tokens, spelling, stands, longest = self.tokens, self.spelling, self.stands, self.longest
+        tokens, spelling, stands, longest, known = self.tokens.get, self.spelling, self.stands, self.longest, self.pairs.get
         last = [-1]  # by depth, of the path to the node at hand
-        todo = [(child, 1, symbol) for symbol, child in root.items()]
+        todo = [(root, 0, "")] if root else []
         while todo:
             node, depth, tail = todo.pop()  # tail: the end of the path, as long as the longest token
-            del last[depth:]
-            for k in range(min(depth, len(tail)), 0, -1):
-                token = tokens.get(tail[-k:])
-                if token is not None and stands(last[depth - k], token):
-                    last.append(token)
+            del last[max(depth, 1) :]
+            while True:
+                if depth == len(last):
+                    for k in range(len(tail)):
+                        token = tokens(tail[k:])
+                        if token is not None:
+                            before = last[k - len(tail)]
+                            fits = known((before, token))
+                            if stands(before, token) if fits is None else fits:
+                                last.append(token)
+                                break
+                if node.__class__ is str:
+                    out, at = [], depth
+                    while at:
+                        token = last[at]
+                        out.append(token)
+                        at -= len(spelling[token])
+                    yield node, out[::-1]
                     break
-            if isinstance(node, str):
-                out, at = [], depth
-                while at:
-                    out.append(last[at])
-                    at -= len(spelling[last[at]])
-                yield node, out[::-1]
-            else:
-                keep = tail[1 - longest :]
-                todo.extend((child, depth + 1, keep + symbol) for symbol, child in node.items())
+                # on along one child, the others wait
+                children = iter(node.items())
+                symbol, child = next(children)
+                if len(node) > 1:
+                    todo.extend([(c, depth + 1, (tail + s)[-longest:]) for s, c in children])
+                node, depth, tail = child, depth + 1, (tail + symbol)[-longest:]
 
     def split(self, text: str) -> Iterator[str | int]:
         """Words and ids of special tokens, in order."""
@@ -135,12 +146,18 @@ class WordBPE:
                 yield from self.pieces.findall(part.lower())
 
     def prepare(self, texts: list[list[str | int]]) -> None:
-        """Encode what these texts have of words that aren't known yet."""
-        new = {w for words in texts for w in words if w.__class__ is str} - self.words.keys()
-        if len(self.words) + len(new) > WORDS_KEPT:
-            self.words.clear()
-            new = {w for words in texts for w in words if w.__class__ is str}
-        for word, ids in self.encode_words(new):
+        """Encode what these texts have of words that aren't known yet.
+
+        Words live in two generations: when the young one is full it becomes the old one, from which words in use come back.
+        """
+        here = {w for words in texts for w in words if w.__class__ is str}
+        if len(self.words) + len(here) > WORDS_KEPT:
+            self.old, self.words = self.words, {}
+        new = here - self.words.keys()
+        again = new & self.old.keys()
+        for word in again:
+            self.words[word] = self.old[word]
+        for word, ids in self.encode_words(new - again):
             self.words[word] = (len(ids), " ".join(map(str, ids)), self.decode(ids))
 
     def decode(self, ids: Iterable[int]) -> str:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from levyframe.llm import bpe, chat, linededup, mixing, quality, simhash, suffixdedup
+from levyframe.llm import bpe, chat, lcparse, linededup, mixing, quality, simhash, suffixdedup
 
-MODULES = (mixing, quality, linededup, bpe, suffixdedup, simhash, chat)
+MODULES = (mixing, quality, linededup, bpe, suffixdedup, simhash, lcparse, chat)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}

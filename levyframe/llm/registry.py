@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from levyframe.llm import bpe, chat, lcparse, linededup, mixing, quality, simhash, suffixdedup, urlfilter
+from levyframe.llm import bpe, brown, chat, lcparse, linededup, mixing, quality, simhash, suffixdedup, urlfilter
 
-MODULES = (mixing, quality, linededup, bpe, suffixdedup, simhash, lcparse, chat, urlfilter)
+MODULES = (mixing, quality, linededup, bpe, suffixdedup, simhash, lcparse, brown, chat, urlfilter)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}

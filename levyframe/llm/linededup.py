@@ -35,7 +35,7 @@ FILTER_BITS = 1 << 24
 #: Line hashes that a task remembers so as not to send a line twice.
 REMEMBERED = 500_000
 #: Lines of a group that are compared with each other in one block.
-BLOCK = 256
+BLOCK = 512
 
 
 def line_hash(line: bytes) -> int:
@@ -181,28 +181,67 @@ def _verify(similarity: float):
     return run
 
 
-def _compare_block(similarity: float):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        """Links between lines of different components, as few as join them."""
-        top = {c: c for c in rows["component"]}
-
-        def find(c):
-            while top[c] != c:
-                c = top[c]
-            return c
-
-        sets = [shingles(t) for t in rows["text"]]
-        lines, comps, out = rows["line"].tolist(), rows["component"].tolist(), []
-        order = sorted(range(len(rows)), key=lambda i: len(sets[i]))
-        for n, i in enumerate(order):
-            for j in order[n + 1 :]:
-                if len(sets[i]) < similarity * len(sets[j]):
-                    break
-                a, b = find(comps[i]), find(comps[j])
-                if a != b and jaccard(sets[i], sets[j]) >= similarity:
-                    top[a] = b
-                    out.append((lines[i], lines[j]))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+def alike_pairs(lines: list[str], similarity: float) -> np.ndarray:
+    """(lines, lines) booleans: which pairs' Jaccard similarity reaches the threshold.
+
+    Only shingles that two lines or more have make columns, so lines that differ in many places cost little.
+    """
+    sets = [shingles(x) for x in lines]
+    number: dict[str, int] = {}
+    for some in sets:
+        for x in some:
+            number[x] = number.get(x, -1) + 1
+    number = {x: k for k, x in enumerate(x for x, again in number.items() if again)}
+    both = np.zeros((len(lines), len(lines)), np.float32)
+    has = [np.array([number[x] for x in some if x in number], np.int64) for some in sets]
+    for lo in range(0, len(number), 4096):
+        table = np.zeros((len(lines), 4096), np.float32)
+        for i, columns in enumerate(has):
+            table[i, columns[(columns >= lo) & (columns < lo + 4096)] - lo] = 1
+        both += table @ table.T
+    sizes = np.array([len(x) for x in sets], np.float64)
+    shared = both.astype(np.float64)
+    return shared / (sizes[:, None] + sizes[None, :] - shared) >= similarity
+
+
+def block_links(lines: np.ndarray, components: list[int], texts: list[str], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links between lines of different components, as few as join those that some pair of alike lines joins."""
+    n = len(lines)
+    start = pd.Series(np.arange(n)).groupby(np.array(components)).transform("min").to_numpy()
+    near = alike_pairs(texts, similarity) | (start[:, None] == start[None, :])
+    label = start
+    while True:
+        new = np.where(near, label[None, :], n).min(axis=1)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    moved = np.unique(start[label != start])
+    return lines[moved], lines[label[moved]]
+
+
+def _compare_blocks(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(band, i, j, line, component, text) sorted by band and block."""
+        current, rows = None, []
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def close() -> None:
+            if len({c for _, c, _ in rows}) > 1:
+                lines, components, texts = zip(*rows, strict=True)
+                found.append(block_links(np.array(lines, np.int64), list(components), list(texts), similarity))
+
+        for batch in batches:
+            band, i, j, line, component, text = (c.to_pylist() for c in batch.columns)
+            for k in range(len(band)):
+                key = (band[k], i[k], j[k])
+                if key != current:
+                    close()
+                    current, rows = key, []
+                rows.append((line[k], component[k], text[k]))
+        close()
+        a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
@@ -243,13 +282,16 @@ def line_links(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
         members = groups.join(open_bands, "band", "left_semi")
         members = members.select("band", "line").unionByName(members.select("band", F.col("leader").alias("line"))).distinct()
         members = members.join(components.withColumnRenamed("node", "line"), "line", "left").withColumn("component", F.coalesce("component", "line"))
-        apart = members.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+        # of two lines both have been compared; bands with the same lines are one
+        apart = members.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.bit_xor(F.xxhash64("line")).alias("lines")).where("lo < hi and n > 2")
+        apart = apart.groupBy("n", "lines").agg(F.min("band").alias("band"))
         members = members.join(apart.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "band")
         # each pair of blocks once: a member goes to all pairs that its block is in
         own = F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int")
         members = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         members = members.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "line", "component").join(bodies, "line")
-        more = materialize(members.groupBy("band", "i", "j").applyInPandas(_compare_block(similarity), "a long, b long"))
+        blocks = members.select("band", "i", "j", "line", "component", "text").repartition(partitions(spark), "band", "i", "j").sortWithinPartitions("band", "i", "j")
+        more = materialize(blocks.mapInArrow(_compare_blocks(similarity), "a long, b long"))
         if more.limit(1).count():
             components = connected_components(links.unionByName(more))
     return components.select(F.col("node").alias("line"), "component")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from levyframe.functions.similarity import can_reach, ratio
 from levyframe.functions.text import ROLL_TYPE_RULES, SHEET_TYPE_RULES, norm_county, norm_entity, norm_label, numbered_key, type_hint
+from levyframe.sources.tables import materialize
 
 LEVYING = "rate_per_100 > 0"
 # fixed values: thresholds of the ratio stage, and scores of the label match
@@ -69,11 +70,11 @@ def _entity_stages(asked: DataFrame, units: DataFrame, adjacency: DataFrame, wit
     group = Window.partitionBy(*keys)
     # the same text for a county and its city: a hint that no candidate meets rules the pool out
     trap = F.col("hint").isin("00", "03") & ~F.max(typed).over(group) & F.max(F.col("unit_type").isin("00", "03")).over(group)
-    exact = _best(same.withColumn("trap", F.coalesce(trap, F.lit(False))), keys, [F.desc(typed), F.col("uc"), F.col("unit_id")])
+    exact = materialize(_best(same.withColumn("trap", F.coalesce(trap, F.lit(False))), keys, [F.desc(typed), F.col("uc"), F.col("unit_id")]))
     stage1 = exact.where("not trap").select(*keys, F.lit(1).alias("stage"), *rest)
     free = pools.join(exact.select(*keys), keys, "left_anti")
     number = free.where("num is not null").join(have.withColumnRenamed("unum", "num"), ["uc", "num"])
-    stage2 = _best(number, keys, [F.col("uc"), F.col("unit_id")]).select(*keys, F.lit(2).alias("stage"), *rest)
+    stage2 = materialize(_best(number, keys, [F.col("uc"), F.col("unit_id")]).select(*keys, F.lit(2).alias("stage"), *rest))
     out = stage1.unionByName(stage2)
     if with_ratio:
         left = free.join(stage2.select(*keys), keys, "left_anti")
@@ -94,11 +95,13 @@ def match_entities(names: DataFrame, units: DataFrame, adjacency: DataFrame, cou
     is tried once more with its county's name before it, if it lacks that.
     with_ratio=False leaves stage 3 out.
     """
-    first = _entity_stages(names.withColumn("label", F.col("name")), units, adjacency, with_ratio).withColumn("retried", F.lit(False))
+    # small tables that every stage reads
+    names, units, adjacency = (materialize(x) for x in (names, units, adjacency))
+    first = materialize(_entity_stages(names.withColumn("label", F.col("name")), units, adjacency, with_ratio).withColumn("retried", F.lit(False)))
     missing = names.join(first.select("county_code", "name"), ["county_code", "name"], "left_anti").join(F.broadcast(counties.select("county_code", "county")), "county_code")
     has_county = F.concat(F.lit(" "), F.regexp_replace(F.lower("name"), "[^a-z0-9_]+", " "), F.lit(" ")).contains(F.concat(F.lit(" "), F.regexp_replace(F.lower("county"), "[^a-z0-9_]+", " "), F.lit(" ")))
     again = missing.where(~has_county).withColumn("label", F.concat("county", F.lit(" County "), "name"))
-    second = _entity_stages(again.select("county_code", "name", "label"), units, adjacency, with_ratio).withColumn("retried", F.lit(True))
+    second = _entity_stages(materialize(again.select("county_code", "name", "label")), units, adjacency, with_ratio).withColumn("retried", F.lit(True))
     return names.join(first.unionByName(second), ["county_code", "name"], "left")
 
 

@@ -181,27 +181,36 @@ def _verify(similarity: float):
     return run
 
 
+def shingle_hashes(line: str, size: int = SHINGLE) -> np.ndarray:
+    """Distinct 64-bit hashes of a line's shingles."""
+    points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = max(1, len(points) - size + 1)
+    h = np.zeros(n, np.uint64)
+    for j in range(min(size, len(points))):
+        h = (h + points[j : j + n] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return np.unique(_mix(h))
+
+
 def alike_pairs(lines: list[str], similarity: float) -> np.ndarray:
     """(lines, lines) booleans: which pairs' Jaccard similarity reaches the threshold.
 
     Only shingles that two lines or more have make columns, so lines that differ in many places cost little.
     """
-    sets = [shingles(x) for x in lines]
-    number: dict[str, int] = {}
-    for some in sets:
-        for x in some:
-            number[x] = number.get(x, -1) + 1
-    number = {x: k for k, x in enumerate(x for x, again in number.items() if again)}
-    both = np.zeros((len(lines), len(lines)), np.float32)
-    has = [np.array([number[x] for x in some if x in number], np.int64) for some in sets]
-    for lo in range(0, len(number), 4096):
+    sets = [shingle_hashes(x) for x in lines]
+    sizes = np.array([len(x) for x in sets])
+    _, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    of, often = np.repeat(np.arange(len(lines)), sizes), times[number] > 1
+    column = (np.cumsum(times > 1) - 1)[number[often]]
+    row = of[often]
+    shared = np.zeros((len(lines), len(lines)), np.float32)
+    for lo in range(0, int((times > 1).sum()), 4096):
         table = np.zeros((len(lines), 4096), np.float32)
-        for i, columns in enumerate(has):
-            table[i, columns[(columns >= lo) & (columns < lo + 4096)] - lo] = 1
-        both += table @ table.T
-    sizes = np.array([len(x) for x in sets], np.float64)
-    shared = both.astype(np.float64)
-    return shared / (sizes[:, None] + sizes[None, :] - shared) >= similarity
+        some = (column >= lo) & (column < lo + 4096)
+        table[row[some], column[some] - lo] = 1
+        shared += table @ table.T
+    both = shared.astype(np.float64)
+    np.fill_diagonal(both, sizes)
+    return both / (sizes[:, None] + sizes[None, :] - both) >= similarity
 
 
 def block_links(lines: np.ndarray, components: list[int], texts: list[str], similarity: float) -> tuple[np.ndarray, np.ndarray]:

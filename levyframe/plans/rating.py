@@ -59,7 +59,7 @@ def h7(t):
     return roll(t).select("county_code", "prop_id", "roll_rate", "roll_isd_rate", F.size("stack").alias("n_units"))
 
 
-NOMINAL = f"""select n.uid, n.county, n.prop_id, n.mkt, coalesce(r.roll_rate, b.base + coalesce(n.city_rate, 0) + coalesce(n.isd_rate, 0) + coalesce(s.special_rate, 0) + coalesce(e.extra_rate, 0)) as nominal_rate,
+NOMINAL = f"""select n.uid, n.county, n.prop_id, n.mkt, coalesce(cast(r.roll_rate as decimal(18,6)), b.base + coalesce(n.city_rate, 0) + coalesce(n.isd_rate, 0) + cast(coalesce(s.special_rate, 0) as decimal(18,6)) + coalesce(e.extra_rate, 0)) as nominal_rate,
   coalesce(r.roll_isd_rate, n.isd_rate, 0) as isd_rate, r.roll_rate is not null as roll_verified, coalesce(s.special_rate, 0) + coalesce(e.extra_rate, 0) as sd
 from fx_named n join fx_base b on b.county_code = n.county_code left join ({SPECIAL}) s on s.uid = n.uid
 left join ({EXTRA}) e on e.county = n.county and e.city_name is not distinct from n.city_name and e.isd_name is not distinct from n.isd_name
@@ -129,9 +129,9 @@ def h14(t):
     return r.join(m, "county").select("uid", R.against_median(F.col("nominal_rate"), F.col("middle")).alias("place"))
 
 
-@query("h15_rate_band", "select uid, round((least(greatest(cast(nominal_rate as double), 1.0), 2.6) - 1.0) / 1.6 * 6, 6) as band from fx_rated")
+@query("h15_rate_band", "select uid, round((least(greatest(cast(nominal_rate as double), 1.0), 2.6) - 1.0) / 1.6 * 6, 9) as band from fx_rated")
 def h15(t):
-    return t("fx_rated").select("uid", F.round(R.rate_band(F.col("nominal_rate")), 6).alias("band"))
+    return t("fx_rated").select("uid", F.round(R.rate_band(F.col("nominal_rate")), 9).alias("band"))
 
 
 @query("h16_anchor_stats", "with a as (select stddev_samp(cast(nominal_rate as double)) as s from fx_rated) select county, round(median(cast(nominal_rate as double)), 4) as middle, round(case when coalesce(stddev_samp(cast(nominal_rate as double)) < 0.02, true) then any_value(a.s) else stddev_samp(cast(nominal_rate as double)) end, 4) as sd, count(*) as n from fx_rated, a group by county")

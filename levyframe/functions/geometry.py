@@ -56,16 +56,22 @@ def crossings(rings: Column, y: Column) -> Column:
 
 
 def interior_point(rings: Column) -> Column:
-    """A point inside: the middle of the widest stretch inside, on a line at half height.
+    """A point inside: the middle of the widest stretch inside, of those on a line through each ring.
 
-    The line is moved off the middle a little, so that it misses the corners of regular shapes.
+    The lines are moved off the rings' middles a little, so that they miss the corners of regular shapes.
     """
-    ys = F.transform(F.flatten(rings), lambda p: p["y"])
-    low, high = F.array_min(ys), F.array_max(ys)
-    y = low + (high - low) * 0.5000123
-    xs = crossings(rings, y)
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), (F.size(xs) / 2).cast("int"))), lambda k: F.struct((F.get(xs, 2 * k - 1) - F.get(xs, 2 * k - 2)).alias("width"), ((F.get(xs, 2 * k - 1) + F.get(xs, 2 * k - 2)) / 2).alias("x")))
-    return F.struct(F.array_max(pairs)["x"].alias("x"), y.alias("y"))
+
+    def height(ring: Column) -> Column:
+        ys = F.transform(ring, lambda p: p["y"])
+        return F.array_min(ys) + (F.array_max(ys) - F.array_min(ys)) * 0.5000123
+
+    def stretches(y: Column) -> Column:
+        xs = crossings(rings, y)
+        pairs = F.sequence(F.lit(1), F.greatest(F.lit(1), (F.size(xs) / 2).cast("int")))
+        return F.transform(pairs, lambda k: F.struct((F.get(xs, 2 * k - 1) - F.get(xs, 2 * k - 2)).alias("width"), ((F.get(xs, 2 * k - 1) + F.get(xs, 2 * k - 2)) / 2).alias("x"), y.alias("y")))
+
+    widest = F.array_max(F.flatten(F.transform(F.transform(rings, height), stretches)))
+    return F.struct(widest["x"].alias("x"), widest["y"].alias("y"))
 
 
 def contains(rings: Column, x: Column, y: Column) -> Column:

@@ -82,10 +82,10 @@ def h8(t):
     return rated(t).select("uid", "nominal_rate", "isd_rate", "roll_verified")
 
 
-@query("h9_parcel_export", f"select uid, county, round(cast(nominal_rate as double), 4) as r, round(cast(isd_rate as double), 4) as isdr, case when roll_verified then 0e0 else round(cast(sd as double), 4) end as sd, case when roll_verified then 1 else 0 end as rv from ({NOMINAL}) x")
+@query("h9_parcel_export", f"select uid, county, cast(round(cast(nominal_rate as decimal(18,6)), 4) as double) as r, cast(round(cast(isd_rate as decimal(18,6)), 4) as double) as isdr, case when roll_verified then 0e0 else cast(round(cast(sd as decimal(18,6)), 4) as double) end as sd, case when roll_verified then 1 else 0 end as rv from ({NOMINAL}) x")
 def h9(t):
-    sd = F.when(F.col("roll_verified"), 0.0).otherwise(F.round((F.col("special_rate") + F.col("extra_rate")).cast("double"), 4))
-    four = lambda c: F.round(F.col(c).cast("double"), 4)
+    sd = F.when(F.col("roll_verified"), 0.0).otherwise(F.round(F.col("special_rate") + F.col("extra_rate"), 4).cast("double"))
+    four = lambda c: F.round(F.col(c), 4)
     return rated(t).select("uid", "county", four("nominal_rate").alias("r"), four("isd_rate").alias("isdr"), sd.alias("sd"), F.col("roll_verified").cast("int").alias("rv"))
 
 

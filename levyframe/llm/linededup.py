@@ -18,7 +18,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -202,9 +201,9 @@ def alike_pairs(lines: list[str], similarity: float) -> np.ndarray:
     of, often = np.repeat(np.arange(len(lines)), sizes), times[number] > 1
     column = (np.cumsum(times > 1) - 1)[number[often]]
     row = of[often]
-    shared = np.zeros((len(lines), len(lines)), np.float32)
-    for lo in range(0, int((times > 1).sum()), 4096):
-        table = np.zeros((len(lines), 4096), np.float32)
+    shared, columns = np.zeros((len(lines), len(lines)), np.float32), int((times > 1).sum())
+    for lo in range(0, columns, 4096):
+        table = np.zeros((len(lines), min(4096, columns - lo)), np.float32)
         some = (column >= lo) & (column < lo + 4096)
         table[row[some], column[some] - lo] = 1
         shared += table @ table.T
@@ -216,7 +215,8 @@ def alike_pairs(lines: list[str], similarity: float) -> np.ndarray:
 def block_links(lines: np.ndarray, components: list[int], texts: list[str], similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Links between lines of different components, as few as join those that some pair of alike lines joins."""
     n = len(lines)
-    start = pd.Series(np.arange(n)).groupby(np.array(components)).transform("min").to_numpy()
+    first: dict[int, int] = {}
+    start = np.array([first.setdefault(c, i) for i, c in enumerate(components)])
     near = alike_pairs(texts, similarity) | (start[:, None] == start[None, :])
     label = start
     while True:

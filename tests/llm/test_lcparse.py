@@ -71,6 +71,17 @@ def test_batches_do_not_change_fingerprints():
         assert (fingerprint_texts([t])[0] == row).all()
 
 
+def test_unrelated_long_texts_are_unlike():
+    def long_text(seed, n):
+        return np.random.default_rng(seed).integers(97, 123, size=n, dtype=np.uint8).tobytes()
+
+    for n in (150_000, 1_200_000, 3_000_000):
+        a, b = fingerprint_texts([long_text(1, n), long_text(2, n)])
+        assert (a == b).mean() < 0.05
+        c = fingerprint_texts([long_text(1, n)[: n // 2] + long_text(2, n)[: n // 2]])[0]
+        assert 0.1 < (a == c).mean() < 0.6
+
+
 def test_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     extra = [(None, "no id"), (None, None), (5000, "é" * 30001), (5000, "é" * 30001), (4999, ""), (4998, "x")]

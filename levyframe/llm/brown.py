@@ -2,14 +2,17 @@
 
 Words are counted over all training texts.  The most frequent words, and the
 forms (first and last bytes) of all others, are the units that exchange
-clustering assigns to classes, so that the classes' transitions predict the
-training texts best.  A token's probability is that of its class after the
-class before it, times that of its unit in the class, times that of the word
-in its unit, mixed with its smoothed frequency.
-
-The model that goes to all tasks is bounded by WORDS, UNITS and CLASSES.  What
-it knows of other words is their form; their counts are joined to the texts
-that have them, so every word's count in the corpus counts.
+clustering assigns to classes first, so that the classes' transitions predict
+the training texts best.  Then every other word of the training texts, however
+rare, goes to the class that its own neighbours' classes speak for, and the
+transitions are counted anew from all words' classes.  A token's probability is
+that of its class after the class before it, times that of the word in the
+class, mixed with its smoothed frequency.  Words that were never seen have the
+class of their form.
+
+The model that goes to all tasks is bounded by WORDS, UNITS and CLASSES.  The
+classes and counts of words beyond WORDS are joined to the pairs of tokens that
+have them, so every word's class and count in the corpus counts.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 
 from levyframe.llm.common import materialize, read
 
-#: At most so many frequent words are known to all tasks, so many words and as many forms are units, and so many classes.
+#: At most so many frequent words are known to all tasks, so many words and as many forms are clustered by exchange, and so many classes.
 WORDS, UNITS, CLASSES = 150_000, 480, 40
 #: Weight of the class model in the mix; smoothing of class transitions.
 WEIGHT, ALPHA = 0.95, 0.1
@@ -35,6 +38,12 @@ WEIGHT, ALPHA = 0.95, 0.1
 COUNTED = 300_000
 #: Rounds of exchanges, and units' gain that ends them.
 ROUNDS = 8
+#: Occurrences of its form that a word's own contexts are smoothed with.
+SMOOTH = 0.5
+#: Tokens whose neighbours are counted at once, and rows handed on at once.
+TOGETHER, HANDED = 200_000, 500_000
+#: How often a class is beside a word: before it, or (the number of classes added) after it.
+NEAR = np.dtype([("code", "<u2"), ("n", "<u4")])
 
 
 def held_out(doc_id: Column, of: int = 7, fold: int = 2) -> Column:
@@ -219,56 +228,192 @@ def unit_pairs(texts: DataFrame, units: Units) -> np.ndarray:
     return out
 
 
+def _chains(batches: Iterator[pa.RecordBatch], units: Units) -> Iterator[tuple[list[bytes | None], np.ndarray, np.ndarray]]:
+    """Words, numbers (-1: other words, -2: the end) and units of many texts in a row, an end before each and after the last."""
+    words, numbers, unit = [None], [[-2]], [[units.end]]
+    for batch in batches:
+        for text in batch.column(0).cast(pa.binary()):
+            made = tokens(text.as_py())
+            number, own = units.of(made)
+            words += [*made, None]
+            numbers += [number, [-2]]
+            unit += [own, [units.end]]
+            if len(words) > TOGETHER:
+                yield words, np.concatenate(numbers), np.concatenate(unit)
+                words, numbers, unit = [None], [[-2]], [[units.end]]
+    yield words, np.concatenate(numbers), np.concatenate(unit)
+
+
+def _scores(after: np.ndarray, before: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """How often classes come after and before something -> log-likelihood of these for each class but the last, the end's."""
+    to = np.log(table / table.sum(axis=1, keepdims=True))
+    back = np.log(table / table.sum(axis=0))
+    return (after @ to.T + before @ back)[:, :-1]
+
+
+def word_classes(texts: DataFrame, units: Units, classes: np.ndarray, pairs: np.ndarray) -> DataFrame:
+    """(text) -> (word, n, number, cls) of every word: the class its neighbours speak for, smoothed by its form's; words that are units keep theirs."""
+    k = int(classes.max()) + 1
+    member = np.zeros((len(pairs), k))
+    member[np.arange(len(pairs)), classes] = 1
+    table = member.T @ pairs @ member + ALPHA
+    size = np.maximum(pairs.sum(axis=1, keepdims=True), 1)
+    prior = SMOOTH * _scores(pairs @ member / size, pairs.T @ member / size, table)
+    weights = _scores(np.eye(2 * k)[:, k:], np.eye(2 * k)[:, :k], table)
+    tops = len(units.names) - 2 - len(units.forms)
+    shared = texts.sparkSession.sparkContext.broadcast((units, classes))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, cls = shared.value
+        seen = np.zeros(len(known.words) * 2 * k, np.int32)
+
+        def rows(words: pa.Array, starts: np.ndarray, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            packed = np.empty(len(code), NEAR)
+            packed["code"], packed["n"] = code, n
+            offsets = (np.append(starts, len(code)) * NEAR.itemsize).astype(np.int32)
+            return pa.RecordBatch.from_arrays([words, pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])], names=["word", "near"])
+
+        for words, number, unit in _chains(batches, known):
+            c = cls[unit]
+            at = np.flatnonzero(number >= 0)
+            codes, n = np.unique(np.concatenate((number[at] * 2 * k + c[at - 1], number[at] * 2 * k + k + c[at + 1])), return_counts=True)
+            seen[codes] += n.astype(np.int32)
+            at = np.flatnonzero(number == -1)
+            if len(at):
+                own = pa.array([words[i] for i in at.tolist()], pa.binary())
+                yield rows(own, 2 * np.arange(len(at)), np.column_stack((c[at - 1], k + c[at + 1])).ravel(), np.ones(2 * len(at)))
+        frequent, found = pa.array(list(known.words), pa.binary()), np.flatnonzero(seen)
+        for i in range(0, len(found), HANDED):
+            codes = found[i : i + HANDED]
+            number, starts = np.unique(codes // (2 * k), return_index=True)
+            yield rows(frequent.take(pa.array(number)), starts, codes % (2 * k), seen[codes])
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, cls = shared.value
+        for batch in batches:
+            words, near = batch.column(0).to_pylist(), batch.column(1)
+            made = [b"".join(x) for x in near.to_pylist()]
+            row = np.repeat(np.arange(len(words)), [len(x) // NEAR.itemsize for x in made])
+            flat = np.frombuffer(b"".join(made), NEAR)
+            seen = np.bincount(row * 2 * k + flat["code"], weights=flat["n"], minlength=len(words) * 2 * k).reshape(-1, 2 * k)
+            of_form = np.array([known.forms.get(form(w), known.other) for w in words], np.int64)
+            number = np.array([known.words.get(w, -1) for w in words], np.int64)
+            best = np.argmax(seen @ weights + prior[of_form], axis=1)
+            fixed = (number >= 0) & (number < tops)
+            best[fixed] = cls[number[fixed]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(seen[:, :k].sum(axis=1).astype(np.int64)), pa.array(number.astype(np.int32)), pa.array(best.astype(np.int32))], names=["word", "n", "number", "cls"])
+
+    near = texts.mapInArrow(count, "word binary, near binary").repartition("word")  # so that nothing is gathered before the shuffle
+    return materialize(near.groupBy("word").agg(F.collect_list("near").alias("near")).mapInArrow(assign, "word binary, n long, number int, cls int"))
+
+
+def with_classes(pairs: DataFrame, rare: DataFrame) -> DataFrame:
+    """pairs (last_word, last_cls, word, cls, more; read more than once) with the classes of rare (word, n, cls) for the words that are named, without these; found is the count of the second, named says that it was."""
+    known = rare.select(F.col("word").alias("k_word"), F.col("n").alias("k_n"), F.col("cls").alias("k_cls"))
+    rest = [c for c in pairs.columns if c not in ("last_word", "last_cls", "word", "cls")]
+    first, second, none = F.col("last_word").isNotNull(), F.col("word").isNotNull(), F.lit(None).cast("long")
+    neither = pairs.where(~first & ~second).select("last_cls", "cls", second.alias("named"), none.alias("found"), *rest)
+    # most pairs have one such word, and are dealt once
+    one = pairs.where(first != second).select(F.coalesce("last_word", "word").alias("of"), "last_cls", "cls", second.alias("named"), *rest).join(known, F.col("of") == F.col("k_word"), "left")
+    one = one.select(F.when(F.col("named"), F.col("last_cls")).otherwise(F.coalesce("k_cls", "last_cls")).alias("last_cls"), F.when(F.col("named"), F.coalesce("k_cls", "cls")).otherwise(F.col("cls")).alias("cls"), "named", F.when(F.col("named"), F.col("k_n")).alias("found"), *rest)
+    both = pairs.where(first & second).join(known, F.col("last_word") == F.col("k_word"), "left").select(F.coalesce("k_cls", "last_cls").alias("last_cls"), "word", "cls", *rest)
+    both = both.join(known, F.col("word") == F.col("k_word"), "left").select("last_cls", F.coalesce("k_cls", "cls").alias("cls"), F.lit(True).alias("named"), F.col("k_n").alias("found"), *rest)
+    return neither.unionByName(one).unionByName(both)
+
+
+def class_pairs(texts: DataFrame, units: Units, classes: np.ndarray, rare: DataFrame) -> np.ndarray:
+    """How often each class follows each other in texts, by the words' own classes."""
+    k = int(classes.max()) + 1
+    shared = texts.sparkSession.sparkContext.broadcast((units, classes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, cls = shared.value
+        table = np.zeros(k * k, np.int64)
+
+        def rows(last, last_cls, word, c, n) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(last, pa.binary()), pa.array(last_cls, pa.int32()), pa.array(word, pa.binary()), pa.array(c, pa.int32()), pa.array(n, pa.int64())], names=["last_word", "last_cls", "word", "cls", "n"])
+
+        for words, number, unit in _chains(batches, known):
+            c, other = cls[unit], number == -1
+            some = other[1:] | other[:-1]
+            table += np.bincount((c[:-1] * k + c[1:])[~some], minlength=k * k)
+            at = np.flatnonzero(some)
+            if len(at):
+                named = lambda where: [words[i] if number[i] == -1 else None for i in where.tolist()]
+                yield rows(named(at), c[at], named(at + 1), c[at + 1], np.ones(len(at), np.int64))
+        at = np.flatnonzero(table)
+        yield rows([None] * len(at), at // k, [None] * len(at), at % k, table[at])
+
+    pairs = materialize(texts.mapInArrow(run, "last_word binary, last_cls int, word binary, cls int, n long"))
+    out = np.zeros((k, k))
+    for r in with_classes(pairs, rare).groupBy("last_cls", "cls").agg(F.sum("n").alias("n")).collect():  # at most k * k rows
+        out[r.last_cls, r.cls] = r.n
+    return out
+
+
 @dataclass
 class BrownModel:
-    units: Units
+    units: Units  # here each frequent word is one
     classes: np.ndarray  # of each unit
     move: np.ndarray  # log-free probability of a class after a class
     share: np.ndarray  # of a unit in its class
-    inside: np.ndarray  # divisor of a word's count + 1 in its unit; 0: the unit is the word
+    inside: np.ndarray  # 1: a form, which stands for words that were never seen; 0: the unit is the word
+    sizes: np.ndarray  # of each class, the divisor of a word's share
     train_tokens: int
     train_words: int
     train_texts: int
 
-    def parts(self, text: bytes | None) -> tuple[int, int, float, float, Counter]:
-        """n_tokens, known tokens, base score and score of all but the factors (count + 1) of words that aren't in the table, and these words."""
+    def parts(self, text: bytes | None) -> tuple[int, int, float, float, tuple]:
+        """n_tokens, known tokens, base score and score without words that aren't in the table, and the pairs with these: words, classes, share and count of the second."""
         words = tokens(text)
         number, unit = self.units.of(words)
         unit = np.append(unit, self.units.end)
         cls = self.classes[unit]
-        chance = self.move[np.concatenate(([len(self.move) - 1], cls[:-1])), cls] * self.share[unit]
+        last = np.concatenate(([len(self.move) - 1], cls[:-1]))
         count = np.append(self.units.count_of[number] if len(self.units.count_of) else np.zeros(len(words)), self.train_texts) + 1.0
         rare = np.append(number < 0, False)
         count[rare] = 1.0
         base = count / (self.train_tokens + self.train_words + 1)
-        inside = self.inside[unit]
-        word = np.where(inside > 0, count / np.maximum(inside, 1), 1.0)
-        score = np.log10(WEIGHT * chance * word + (1 - WEIGHT) * base).sum()
+        pair = rare.copy()
+        pair[1:] |= rare[:-1]
+        score = np.log10(WEIGHT * self.move[last, cls] * self.share[unit] + (1 - WEIGHT) * base)
         n_known = int(len(words) - rare.sum()) + (self.train_texts > 0)
-        return len(words) + 1, n_known, float(np.log10(base).sum()), float(score), Counter([words[i] for i in np.flatnonzero(rare[:-1]).tolist()])
+        at = np.flatnonzero(pair)
+        named = [words[i] if rare[i] else None for i in at.tolist()]
+        before = [words[i - 1] if i and rare[i - 1] else None for i in at.tolist()]
+        return len(words) + 1, n_known, float(np.log10(base[~rare]).sum()), float(score[~pair].sum()), (before, last[at], named, cls[at], self.share[unit[at]], count[at])
 
 
 def fit_brown(train: DataFrame) -> tuple[BrownModel, DataFrame]:
-    """(text) rows -> the model, and the counts of all words."""
+    """(text) rows -> the model, and the counts, numbers and classes of all words."""
     counts = materialize(word_counts(train))
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     texts = train.count()
-    units, seen, kinds = choose_units(counts)
+    units, _, _ = choose_units(counts)
     pairs = unit_pairs(train, units)
     classes = exchange_classes(pairs, min(CLASSES, max(1, len(pairs) - 1)), units.end)
     classes = np.unique(classes, return_inverse=True)[1]  # classes that no unit is in have no number
     k = int(classes.max()) + 1
-    member = np.zeros((len(pairs), k))
-    member[np.arange(len(pairs)), classes] = 1
-    table = member.T @ pairs @ member + ALPHA
-    seen[units.end] = texts
-    inside = seen + kinds + 1
-    inside[: len(units.names) - 2 - len(units.forms)] = 0
-    inside[units.end] = 0
-    size = seen + 0.5  # so that no unit is impossible
-    share = size / (member.T @ size)[classes]
-    model = BrownModel(units, classes, table / table.sum(axis=1, keepdims=True), share, inside, int(totals.n or 0) + texts, int(totals.v) + (texts > 0), texts)
-    return model, counts
+    words = word_classes(train, units, classes, pairs)
+    own = words.where("number >= 0").select("number", "cls").toPandas()  # at most WORDS rows
+    of_words = np.zeros(len(units.words), np.int64)
+    of_words[own["number"]] = own["cls"]
+    # now each frequent word is a unit
+    tops = len(units.names) - 2 - len(units.forms)
+    moved = len(of_words) - tops
+    units = Units(units.words, np.arange(len(of_words)), units.count_of, {f: u + moved for f, u in units.forms.items()}, [*units.words, *units.names[tops:]])
+    classes = np.concatenate((of_words, classes[tops:]))
+    rare = words.where("number < 0").select("word", "n", "cls")
+    table = class_pairs(train, units, classes, rare) + ALPHA
+    inside = np.zeros(len(classes))
+    inside[len(of_words) : units.end] = 1
+    size = np.concatenate((units.count_of, np.zeros(len(classes) - len(of_words)))) + 0.5  # so that no unit is impossible
+    size[units.end] += texts
+    sizes = np.bincount(classes, weights=size, minlength=k)
+    for r in rare.groupBy("cls").agg(F.sum(F.col("n") + 0.5).alias("size")).collect():  # at most k rows
+        sizes[r.cls] += float(r.size)
+    model = BrownModel(units, classes, table / table.sum(axis=1, keepdims=True), size / sizes[classes], inside, sizes, int(totals.n or 0) + texts, int(totals.v) + (texts > 0), texts)
+    return model, words
 
 
 def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -287,22 +432,34 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, key = shared.value, TaskContext.get().partitionId() << 33
-        pairs = pa.map_(pa.binary(), pa.int64())
         for batch in batches:
             made = [known.parts(t.as_py()) for t in batch.column(2).cast(pa.binary())]
-            n, yes, base, score, rare = zip(*made, strict=True) if made else ((),) * 5
+            n, yes, base, score, near = zip(*made, strict=True) if made else ((),) * 5
             keys = pa.array(range(key, key + len(made)), pa.int64())
             key += len(made)
-            yield pa.RecordBatch.from_arrays([keys, batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(yes, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()), pa.array([list(r.items()) for r in rare], pairs)], names=["key", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
+            flat = []
+            for i, t in enumerate((pa.binary(), pa.int32(), pa.binary(), pa.int32(), pa.float64(), pa.float64())):
+                columns = [x[i] for x in near]
+                flat.append(pa.array([w for c in columns for w in c], t) if t == pa.binary() else pa.array(np.concatenate(columns) if columns else [], t))
+            offsets = pa.array(np.cumsum([0, *(len(x[0]) for x in near)]), pa.int32())
+            lists = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(flat, names=["last_word", "last_cls", "word", "cls", "share", "count"]))
+            yield pa.RecordBatch.from_arrays([keys, batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(yes, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()), lists], names=["key", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "near"])
 
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    rows = materialize(rows.mapInArrow(run, f"key long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, rare map<binary, bigint>"))
-    # the words that aren't in the model's table: their counts are joined; what isn't found has count 0 and adds nothing
-    rare = rows.select("key", F.explode("rare").alias("word", "times")).join(counts, "word")
-    added = rare.groupBy("key").agg(F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more"), F.sum("times").alias("found"))
-    more = F.coalesce("more", F.lit(0.0))
-    return rows.drop("rare").join(added, "key", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"), F.lit(model.train_tokens).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("score") + more).alias("score")
+    near = "array<struct<last_word: binary, last_cls: int, word: binary, cls: int, share: double, count: double>>"
+    rows = materialize(rows.mapInArrow(run, f"key long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, near {near}"))
+    # pairs with words that aren't in the model's table: these words' classes and counts are joined; what isn't found has its form's class
+    pairs = with_classes(rows.select("key", F.inline("near")), counts.where("number < 0").select("word", "n", "cls"))
+    k = len(model.move)
+    at = lambda values, i: F.element_at(F.array(*[F.lit(float(v)) for v in values]), i + 1)
+    count = F.coalesce(F.col("found") + F.lit(1.0), F.col("count"))
+    share = F.coalesce((F.col("found") + F.lit(0.5)) / at(model.sizes, F.col("cls")), F.col("share"))
+    base = count / F.lit(float(model.train_tokens + model.train_words + 1))
+    chance = F.lit(WEIGHT) * at(model.move.ravel(), F.col("last_cls") * k + F.col("cls")) * share + F.lit(1 - WEIGHT) * base
+    more = pairs.groupBy("key").agg(F.sum(F.when(F.col("named"), F.log10(base))).alias("more_base"), F.sum(F.log10(chance)).alias("more"), F.count("found").alias("found"))
+    zero = F.lit(0.0)
+    return rows.drop("near").join(more, "key", "left").select(
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"), F.lit(model.train_tokens).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more_base", zero)).alias("base_score"), (F.col("score") + F.coalesce("more", zero)).alias("score")
     )
 
 

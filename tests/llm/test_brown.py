@@ -88,6 +88,30 @@ def test_exchange_finds_planted_classes():
     assert len({(got[u], u % 3) for u in range(1, 16)}) == 3
 
 
+def test_every_word_gets_the_class_of_its_contexts(spark, monkeypatch):
+    # rare words of one form come in two contexts, those of cat and of run; neither the units nor the table of frequent words have them
+    monkeypatch.setattr(brown, "WORDS", 40)
+    monkeypatch.setattr(brown, "UNITS", 6)
+    monkeypatch.setattr(brown, "CLASSES", 7)
+    rng = random.Random(7)
+    a, b = [f"xa{i:03d}zz" for i in range(150)], [f"xb{i:03d}zz" for i in range(150)]
+    one = lambda words, frequent: frequent if rng.random() < 0.4 else rng.choice(words)
+    texts = [" ".join(f"the {one(a, 'cat')} sees" if rng.random() < 0.5 else f"to {one(b, 'run')} now" for _ in range(4)) for _ in range(1500)]
+    model, words = fit_brown(spark.createDataFrame([(t,) for t in texts], "text string"))
+    of = {bytes(r.word).decode(): r for r in words.collect()}
+    counts = Counter(w for t in texts for w in t.split())
+    assert {w: r.n for w, r in of.items()} == counts
+    assert sum(r.number < 0 for r in of.values()) > 200
+    x, y = of["cat"].cls, of["run"].cls
+    assert x != y
+    # a word of very few occurrences may stay with its form
+    assert all(of[w].cls == x for w in a if w in of and of[w].n > 5)
+    assert all(of[w].cls == y for w in b if w in of and of[w].n > 5)
+    # transitions and sizes are of these classes
+    assert model.move[of["the"].cls, x] > 0.5 > 0.1 > model.move[of["the"].cls, y]
+    assert math.isclose(model.sizes.sum(), sum(counts.values()) + 0.5 * len(counts) + len(texts) + 0.5 + 0.5 * (len(model.units.forms) + 1))
+
+
 def test_most_frequent_is_bounded(spark):
     counts = spark.createDataFrame([(i, 1 + i // 10) for i in range(1000)], "word long, n long")
     for most in (0, 5, 100, 1000):

@@ -74,14 +74,19 @@ def interior_point(rings: Column) -> Column:
     return F.struct(widest["x"].alias("x"), widest["y"].alias("y"))
 
 
-def contains(rings: Column, x: Column, y: Column) -> Column:
-    """Whether a point is inside: parity of the edges that a ray to the right crosses.  On an edge it is undefined."""
+def crosses_oddly(sides: Column, x: Column, y: Column) -> Column:
+    """Whether a ray from a point to the right crosses an odd number of edges."""
 
     def crossed(n: Column, e: Column) -> Column:
         across = ((e["y1"] > y) != (e["y2"] > y)) & (x < e["x1"] + (y - e["y1"]) / (e["y2"] - e["y1"]) * (e["x2"] - e["x1"]))
         return n + across.cast("int")
 
-    return F.aggregate(all_edges(rings), F.lit(0), crossed) % 2 == 1
+    return F.aggregate(sides, F.lit(0), crossed) % 2 == 1
+
+
+def contains(rings: Column, x: Column, y: Column) -> Column:
+    """Whether a point is inside: parity of the edges that a ray to the right crosses.  On an edge it is undefined."""
+    return crosses_oddly(all_edges(rings), x, y)
 
 
 def envelope(rings: Column) -> dict[str, Column]:

@@ -12,10 +12,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from levyframe.functions.geometry import all_edges, contains, edges, envelope
+from levyframe.functions.geometry import all_edges, contains, crosses_oddly, edges, envelope, overlap
+from levyframe.sources.tables import materialize
 
-#: A polygon layer is broadcast if it was counted and has at most so many polygons.
-BROADCAST_POLYGONS = 5000
+#: What is broadcast was counted first: so many rows of boxes by cell, and so many points of rings in all (some MB each).
+BROADCAST_BOXES, BROADCAST_POINTS = 100_000, 1_000_000
+#: The largest polygon touches at most about the square of so many cells.
+CELLS_ACROSS = 64
 
 
 def cells(x0: Column, y0: Column, x1: Column, y1: Column, size: float) -> Column:
@@ -24,21 +27,34 @@ def cells(x0: Column, y0: Column, x1: Column, y1: Column, size: float) -> Column
     return F.flatten(F.transform(F.sequence(down(x0), down(x1)), lambda i: F.transform(F.sequence(down(y0), down(y1)), lambda j: F.struct(i.alias("i"), j.alias("j")))))
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, key: str, name: str, size: float = 0.5) -> DataFrame:
+def _boxes(polygons: DataFrame, name: str, size: float | None) -> tuple[DataFrame, float, bool, bool]:
+    """(name, x0, y0, x1, y1, i, j) a polygon and cell that its envelope touches, the cells' size, and whether these boxes and the rings are few enough to be broadcast.
+
+    Cells are as wide as the mean envelope unless `size` says otherwise.
+    """
+    box = polygons.select(name, F.size(F.flatten("rings")).cast("long").alias("points"), *[v.alias(k) for k, v in envelope(F.col("rings")).items()])
+    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    layer = box.agg(F.avg(side).alias("mean"), F.max(side).alias("most"), F.sum("points").alias("points")).first()
+    size = size or max(layer.mean or 0.0, (layer.most or 0.0) / CELLS_ACROSS) or 1.0
+    placed = box.select(name, "x0", "y0", "x1", "y1", F.explode(cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), size)).alias("cell")).select(name, "x0", "y0", "x1", "y1", "cell.i", "cell.j")
+    return placed, size, placed.limit(BROADCAST_BOXES + 1).count() <= BROADCAST_BOXES, (layer.points or 0) <= BROADCAST_POINTS
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, key: str, name: str, size: float | None = None) -> DataFrame:
     """(key, name) for each polygon that a point is in.
 
-    points: key, x, y, one row a key, computed beforehand.  polygons: name, rings.
+    points: key, x, y, one row a key, computed beforehand.  polygons: name,
+    rings, one row a name.  Points meet envelopes by cell; the rings follow, by
+    name, only where a point is inside the envelope.
     """
-    box = envelope(F.col("rings"))
-    placed = polygons.select(name, "rings", F.explode(cells(box["x0"], box["y0"], box["x1"], box["y1"], size)).alias("cell"))
-    placed = placed.select(name, "rings", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"))
-    if polygons.limit(BROADCAST_POLYGONS + 1).count() <= BROADCAST_POLYGONS:
-        placed = F.broadcast(placed)
-    here = points.select(key, "x", "y", F.floor(F.col("x") / size).alias("i"), F.floor(F.col("y") / size).alias("j"))
-    return here.join(placed, ["i", "j"]).where(contains(F.col("rings"), F.col("x"), F.col("y"))).select(key, name)
+    placed, step, few_boxes, few_points = _boxes(polygons, name, size)
+    here = points.select(key, "x", "y", F.floor(F.col("x") / step).alias("i"), F.floor(F.col("y") / step).alias("j"))
+    near = here.join(F.broadcast(placed) if few_boxes else placed, ["i", "j"]).where("x between x0 and x1 and y between y0 and y1").select(key, name, "x", "y")
+    rings = polygons.select(name, all_edges(F.col("rings")).alias("edges"))
+    return near.join(F.broadcast(rings) if few_points else rings, name).where(crosses_oddly(F.col("edges"), F.col("x"), F.col("y"))).select(key, name)
 
 
-def locate(points: DataFrame, polygons: DataFrame, key: str, name: str, size: float = 0.5) -> DataFrame:
+def locate(points: DataFrame, polygons: DataFrame, key: str, name: str, size: float | None = None) -> DataFrame:
     """points with the polygon that each is in, the least name of several, null outside all."""
     found = points_in_polygons(points, polygons, key, name, size).groupBy(key).agg(F.min(name).alias(name))
     return points.join(found, key, "left")
@@ -47,13 +63,19 @@ def locate(points: DataFrame, polygons: DataFrame, key: str, name: str, size: fl
 def touching(polygons: DataFrame, name: str) -> DataFrame:
     """Unordered pairs a < b of polygons that share a point, corners included.
 
-    Meant for layers whose shared borders have the same corners, or cross: a
-    corner of one on an edge of the other, or two edges that cross, is a touch.
+    Polygons meet by cell, each pair in the first cell that both touch.  Meant
+    for layers whose shared borders have the same corners, or cross: a corner
+    of one on an edge of the other, or two edges that cross, is a touch.
     """
-    box = envelope(F.col("rings"))
-    sides = polygons.select(F.col(name).alias("n"), "rings", *[v.alias(k) for k, v in box.items()])
-    a, b = sides.alias("a"), sides.alias("b")
-    near = (F.col("a.n") < F.col("b.n")) & (F.col("a.x0") <= F.col("b.x1")) & (F.col("a.x1") >= F.col("b.x0")) & (F.col("a.y0") <= F.col("b.y1")) & (F.col("a.y1") >= F.col("b.y0"))
+    placed, step, _, few_points = _boxes(polygons, name, None)
+    sides = placed.withColumnRenamed(name, "n").withColumn("i0", F.floor(F.col("x0") / step)).withColumn("j0", F.floor(F.col("y0") / step))
+    p, q = sides.alias("p"), sides.alias("q")
+    one = (F.col("p.i") == F.greatest("p.i0", "q.i0")) & (F.col("p.j") == F.greatest("p.j0", "q.j0"))
+    near = (F.col("p.i") == F.col("q.i")) & (F.col("p.j") == F.col("q.j")) & (F.col("p.n") < F.col("q.n")) & overlap("p", "q") & one
+    pairs = p.join(q, near).select(F.col("p.n").alias("a"), F.col("q.n").alias("b"))
+    rings = lambda n: polygons.select(F.col(name).alias(n), F.col("rings").alias(f"{n}_rings"))
+    small = F.broadcast if few_points else (lambda df: df)
+    both = pairs.join(small(rings("a")), "a").join(small(rings("b")), "b")
 
     def cross(p: Column, q: Column) -> Column:
         side = lambda ax, ay, bx, by, px, py: F.signum((bx - ax) * (py - ay) - (by - ay) * (px - ax))
@@ -64,9 +86,9 @@ def touching(polygons: DataFrame, name: str) -> DataFrame:
         boxes = (F.least(p["x1"], p["x2"]) <= F.greatest(q["x1"], q["x2"])) & (F.greatest(p["x1"], p["x2"]) >= F.least(q["x1"], q["x2"])) & (F.least(p["y1"], p["y2"]) <= F.greatest(q["y1"], q["y2"])) & (F.greatest(p["y1"], p["y2"]) >= F.least(q["y1"], q["y2"]))
         return boxes & (d1 * d2 <= 0) & (d3 * d4 <= 0)
 
-    hit = F.exists(all_edges(F.col("a.rings")), lambda p: F.exists(all_edges(F.col("b.rings")), lambda q: cross(p, q)))
-    inside = F.exists(F.flatten("b.rings"), lambda p: contains(F.col("a.rings"), p["x"], p["y"])) | F.exists(F.flatten("a.rings"), lambda p: contains(F.col("b.rings"), p["x"], p["y"]))
-    return a.join(b, near).where(hit | inside).select(F.col("a.n").alias("a"), F.col("b.n").alias("b"))
+    hit = F.exists(all_edges(F.col("a_rings")), lambda p: F.exists(all_edges(F.col("b_rings")), lambda q: cross(p, q)))
+    inside = F.exists(F.flatten("b_rings"), lambda p: contains(F.col("a_rings"), p["x"], p["y"])) | F.exists(F.flatten("a_rings"), lambda p: contains(F.col("b_rings"), p["x"], p["y"]))
+    return both.where(hit | inside).select("a", "b")
 
 
 def both_ways(pairs: DataFrame) -> DataFrame:
@@ -77,11 +99,12 @@ def both_ways(pairs: DataFrame) -> DataFrame:
 def adjacency_rings(edges_both: DataFrame, seed: str, depth: int = 4) -> DataFrame:
     """(name, ring): how many borders lie between the seed and each name, up to `depth`."""
     spark = edges_both.sparkSession
+    edges_both = materialize(edges_both)
     known = spark.createDataFrame([(seed, 0)], "name string, ring int")
     for ring in range(1, depth + 1):
         last = known.where(F.col("ring") == ring - 1).select(F.col("name").alias("a"))
         new = edges_both.join(last, "a").select(F.col("b").alias("name")).distinct().join(known, "name", "left_anti")
-        known = known.unionByName(new.withColumn("ring", F.lit(ring)))
+        known = materialize(known.unionByName(new.withColumn("ring", F.lit(ring))))
     return known
 
 

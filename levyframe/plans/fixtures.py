@@ -6,8 +6,12 @@ around (cx, cy); half steps keep points off the edges.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
+from levyframe.sources.tables import written
+
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels", "benchmark", "conversations")
 
 FIXTURES = {
@@ -53,7 +57,7 @@ select 'NATION_' || cast(o_custkey % 25 as varchar(10)) as county, cast(l_orderk
        cast(floor(l_extendedprice) as bigint) as assessed, cast(floor(l_extendedprice*l_discount) as bigint) as exemptions
 from lineitem join orders on l_orderkey = o_orderkey
      join fx_units u on u.county_code = lpad(cast(o_custkey % 25 as varchar(10)),3,'0')
-                    and u.unit_id like '%-' || lpad(cast(l_linenumber - 1 as varchar(10)),3,'0') || '-%'""",
+                    and split_part(u.unit_id, '-', 2) = lpad(cast(l_linenumber - 1 as varchar(10)),3,'0')""",
     # jurisdictions that parcels lie in: city and school district names by parcel, some outside cities
     "fx_located": """
 select p.*, cast(floor(o_totalprice) as bigint) as mkt,
@@ -97,6 +101,16 @@ def oracle(body: str) -> str:
     return f"with {ctes()},\n{body[5:]}" if body.lower().startswith("with ") else f"with {ctes()}\n{body}"
 
 
+#: Fixtures that many queries read, some of them several times: written once for each session and folder.
+STORED = ("fx_units", "fx_parcels", "fx_named", "fx_roll_entities")
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def mentioned(body: str, names) -> list[str]:
+    words = set(re.findall(r"\w+", body))
+    return [n for n in names if n in words]
+
+
 class Tables:
     """The given tables and the fixtures of one folder, as DataFrames."""
 
@@ -108,11 +122,27 @@ class Tables:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self.sql(f"select * from {name}")
 
+    def stored(self, name: str) -> str:
+        """The folder of a fixture that is written once."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _written:
+            _written[key] = written(self.sql(FIXTURES[name]))
+        return _written[key]
+
     def sql(self, body: str) -> DataFrame:
         """Any SQL over the given tables and the fixtures."""
-        base = ",\n".join(f"{b} as (select * from parquet.`{self.sf_dir}/{b}.parquet`)" for b in BASE)
-        body = body.strip()
-        head = f"with {base},\n{ctes()}"
+        need, todo = [], [body]
+        while todo:  # fixtures that the text names, and those that these are made of
+            for n in mentioned(todo.pop(), FIXTURES):
+                need = [n, *(x for x in need if x != n)]
+                if n not in STORED:
+                    todo.append(FIXTURES[n])
+        body, given = body.strip(), mentioned(" ".join([body, *(FIXTURES[n] for n in need if n not in STORED)]), BASE)
+        parts = [f"{b} as (select * from parquet.`{self.sf_dir}/{b}.parquet`)" for b in given]
+        parts += [f"{n} as (select * from parquet.`{self.stored(n)}`)" if n in STORED else f"{n} as ({FIXTURES[n].strip()})" for n in FIXTURES if n in need]
+        if not parts:
+            return self.spark.sql(body)
+        head = "with " + ",\n".join(parts)
         return self.spark.sql(f"{head},\n{body[5:]}" if body.lower().startswith("with ") else f"{head}\n{body}")
 
 

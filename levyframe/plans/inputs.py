@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from levyframe.functions import text as T
@@ -11,15 +9,7 @@ from levyframe.operators.tables import recipe_gates
 from levyframe.plans.fixtures import query
 from levyframe.sources import readers as R
 from levyframe.sources import writers as Wr
-
-
-def scratch(spark) -> str:
-    """A new folder where driver and executors both can write."""
-    import tempfile
-
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-shared-"))
-    return f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/levyframe-{uuid.uuid4().hex}"
+from levyframe.sources.tables import new_path
 
 
 WORKBOOK = "select case when unit_type = '40' then ' ' || name || ' **' else name end as name, unit_id, case when rate_per_100 = 0 then null else cast(rate_per_100 as varchar(20)) end as rate from fx_units"
@@ -105,7 +95,7 @@ def a15(t):
 def a8(t):
     rows = t.sql("select county_code, 1 + row_number() over (partition by county_code order by unit_id) % 3 as table_id, name, cast(rate_per_100 as varchar(20)) as rate from fx_units")
     nested = rows.groupBy("county_code", "table_id").agg(F.collect_list(F.array("name", "rate")).alias("pairs")).groupBy("county_code").agg(F.collect_list(F.struct("table_id", "pairs")).alias("tables"))
-    path = scratch(t.spark)
+    path = new_path(t.spark)
     nested.write.json(path)
     back = t.spark.read.schema("county_code string, tables array<struct<table_id: bigint, pairs: array<array<string>>>>").json(path)
     flat = back.select("county_code", F.explode("tables").alias("x")).select("county_code", "x.table_id", F.explode("x.pairs").alias("p"))
@@ -115,7 +105,7 @@ def a8(t):
 @query("a9_features", "select c.region, count(*) as n from fx_parcels p join fx_counties c on c.county_code = p.county_code group by c.region")
 def a9(t):
     rows = t.sql("select c.region, p.uid, p.county, array(array(named_struct('x', x, 'y', y), named_struct('x', x + 0.001D, 'y', y), named_struct('x', x, 'y', y + 0.001D))) as rings from fx_parcels p join fx_counties c on c.county_code = p.county_code")
-    path = scratch(t.spark)
+    path = new_path(t.spark)
     Wr.write_features(rows, path, "region", "rings", ["uid", "county"])
     back = t.spark.read.schema("value string, region string").text(path)
     return back.where(F.get_json_object("value", "$.geometry.type") == "Polygon").groupBy("region").agg(F.count("*").alias("n"))
@@ -124,7 +114,7 @@ def a9(t):
 @query("a10_sharded_tsv", "select substr(c_name, 10, 6) as shard, count(*) as n, min(c_name) as least from customer group by 1")
 def a10(t):
     rows = t.sql("select substr(c_name, 10, 6) as shard, c_name as k, concat_ws('\\t', c_name, c_mktsegment) as line from customer")
-    path = scratch(t.spark)
+    path = new_path(t.spark)
     Wr.write_sharded_tsv(rows, path, "shard", "k", "line")
     back = t.spark.read.schema("value string, shard string").text(path)
     return back.groupBy("shard").agg(F.count("*").alias("n"), F.min(F.split("value", "\t")[0]).alias("least"))
@@ -132,7 +122,7 @@ def a10(t):
 
 @query("a11_upsert", "select county, count(*) as n, max(assessed) as largest from (select county, case when county < 'NATION_2' then assessed + 1 else assessed end as assessed from fx_roll_entities) group by county")
 def a11(t):
-    path = scratch(t.spark)
+    path = new_path(t.spark)
     rows = t("fx_roll_entities").select("county", "prop_id", "assessed")
     Wr.upsert_by_partition(rows, path, "county")
     Wr.upsert_by_partition(rows.where("county < 'NATION_2'").withColumn("assessed", F.col("assessed") + 1), path, "county")
@@ -141,7 +131,7 @@ def a11(t):
 
 @query("a12_reuse", "select county_code, count(*) as n from fx_units group by county_code")
 def a12(t):
-    path = scratch(t.spark)
+    path = new_path(t.spark)
     first = Wr.reuse_or_build(t.spark, path, lambda: t("fx_units"))
     again = Wr.reuse_or_build(t.spark, path, lambda: first.limit(0))
     return again.groupBy("county_code").agg(F.count("*").alias("n"))

@@ -28,11 +28,17 @@ def k3(t):
     return t.sql(NAMED).select("page_id", D.score_link(F.col("u"), F.col("x")).alias("score"))
 
 
-# a sheet a county: a line for each unit, every fifth with its number on the next line, some noise between
-SHEET = """select county_code as doc, n * 3 as line_no, case when n % 5 = 0 then name else name || chr(9) || '$' || cast(rate_per_100 as varchar(20)) || chr(9) || '0.01' end as line from (select *, row_number() over (partition by county_code order by unit_id) as n from fx_units where rate_per_100 > 0.02) u
-union all select county_code, n * 3 + 1, ' ' || cast(rate_per_100 as varchar(20)) from (select *, row_number() over (partition by county_code order by unit_id) as n from fx_units where rate_per_100 > 0.02) u where n % 5 = 0
-union all select county_code, 2, 'Total combined 9.99 0.55' from fx_counties union all select county_code, 1, '' from fx_counties"""
-ROWS = "select county_code as doc, n * 3 as line_no, name, cast(rate_per_100 as double) as rate from (select *, row_number() over (partition by county_code order by unit_id) as n from fx_units where rate_per_100 > 0.02) u"
+# a sheet a county: a line for each unit, every fifth in cells of its own (maintenance, all, debt), some noise between
+SHEET_UNITS = "(select *, row_number() over (partition by county_code order by unit_id) as n from fx_units where rate_per_100 > 0.02) u"
+SHEET = f"""select county_code as doc, n * 5 as line_no,
+  case when n % 5 = 0 then name else name || chr(9) || '$' || cast(rate_per_100 as varchar(20)) || chr(9) || '0.01' end as line
+from {SHEET_UNITS}
+union all select county_code, n * 5 + k,
+  case k when 1 then '0.0150' when 2 then ' ' || cast(rate_per_100 as varchar(20)) else '$.0125' end
+from {SHEET_UNITS} cross join (select 1 as k union all select 2 union all select 3) cells where n % 5 = 0
+union all select county_code, 2, 'Total combined 9.99 0.55' from fx_counties
+union all select county_code, 1, '' from fx_counties"""
+ROWS = "select county_code as doc, n * 5 as line_no, name, cast(rate_per_100 as double) as rate from (select *, row_number() over (partition by county_code order by unit_id) as n from fx_units where rate_per_100 > 0.02) u"
 
 
 @query("k5_rate_rows", ROWS)

@@ -5,14 +5,29 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """df as Parquet in the folder that driver and executors share: its lineage ends there, and no lost executor takes a part of it along."""
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, named by spark.checkpoint.dir; where none is set, a temporary one if all run on this machine, else an error."""
     if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-shared-"))
-    path = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/levyframe-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def new_path(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/levyframe-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> str:
+    """df as Parquet in a new folder of the shared one, and where."""
+    path = new_path(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(path)
+    return path
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """df written and read again: its lineage ends there, and no lost executor takes a part of it along."""
+    return df.sparkSession.read.schema(df.schema).parquet(written(df))

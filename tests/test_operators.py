@@ -49,9 +49,19 @@ def test_gates_stop_a_build(spark):
 
 
 def test_split_cells_are_rejoined_and_forms_skipped(spark):
-    lines = [("a", 1, "Carson County"), ("a", 2, "0.47229400"), ("a", 3, "0.1"), ("a", 4, "12. Some ISD  0.5 0.3 0.8"), ("a", 5, "Total 1.5"), ("b", 1, "Form 50-856"), ("b", 2, "X County 0.5")]
-    got = documents.parse_rate_lines(spark.createDataFrame(lines, "doc string, line_no int, line string")).collect()
-    assert {(r.doc, r.name, float(r.rate)) for r in got} == {("a", "Carson County", 0.472294)}
+    long = "x" * 50
+    lines = [
+        *(("a", i, x) for i, x in enumerate(["0.91", "0.81", "Carson County", "0.41", "  0.062294 ", "0.472294", "", "0.31", "0.32", "12. Some ISD  0.5 0.3 0.8", "Total 1.5", "Panhandle Water", "0.0091"])),
+        ("b", 1, "Form 50-856"), ("b", 2, "X County 0.50"),
+        *(("c", i, long) for i in range(117)), ("c", 117, "y" * 25 + " Form 50-856"), ("c", 118, "Y County 0.50"),
+        *(("d", i, long) for i in range(300)), ("d", 301, "Form 50-856"), ("d", 302, "Z County\t0.50\t0.25"),
+    ]
+    df = spark.createDataFrame(lines, "doc string, line_no int, line string")
+    joined = {r.line_no: r.line for r in documents.rejoin_split_rows(df.where("doc = 'a'")).collect()}
+    assert joined == {0: "0.91", 1: "0.81", 2: "Carson County\t0.41\t0.062294\t0.472294", 6: "\t0.31", 8: "0.32", 9: "12. Some ISD  0.5 0.3 0.8", 10: "Total 1.5", 11: "Panhandle Water\t0.0091"}
+    got = {(r.doc, r.name, float(r.rate)) for r in documents.parse_rate_lines(df).collect()}
+    # the form of document c begins within its first 6000 characters but ends behind them
+    assert got == {("a", "Carson County", 0.472294), ("a", "Panhandle Water", 0.0091), ("c", "Y County", 0.5), ("d", "Z County", 0.5)}
 
 
 def test_year_of_the_label_wins(spark):

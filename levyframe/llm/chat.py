@@ -1,7 +1,7 @@
 r"""Chat formatting in budgeted windows, with DataFrame functions only.
 
-A conversation's turns are cut into windows at turn boundaries: prefix sums of
-turn tokens say in which window a turn is new.  A window begins with the
+A conversation's turns are cut into windows at turn boundaries: a running sum of
+turn tokens, which begins anew with each window, says in which one a turn is new.  A window begins with the
 conversation's system turn, repeats some of the window before as history, then
 has its new turns.  Only assistant turns that are new are under the loss mask,
 so every target is learned once.
@@ -25,6 +25,8 @@ START, END = "### ", "</turn>\n"
 #: What is escaped, in the order of escaping.
 ESCAPES = (("\\", "\\b"), ("###", "\\h"), ("</turn>", "\\t"))
 ROLE_ESCAPES = (*ESCAPES, (":", "\\c"))
+#: Turns that one fold goes over, whatever the conversation's length; no window spans two such blocks.
+BLOCK = 1024
 
 
 def escape(text: Column, marks=ESCAPES) -> Column:
@@ -35,6 +37,21 @@ def unescape(text: Column, marks=ESCAPES) -> Column:
     return reduce(lambda c, m: F.replace(c, F.lit(m[1]), F.lit(m[0])), reversed(marks), text)
 
 
+def _window_starts(rows: DataFrame) -> DataFrame:
+    """(conv_id, n, own, cap) -> conv_id, n, window: turns are put together, in order of n, as long as their own tokens fit cap; window is the number of turns before its first."""
+    blocks = rows.groupBy("conv_id", F.floor((F.col("n") - 1) / BLOCK).alias("block")).agg(F.array_sort(F.collect_list(F.struct("n", "own"))).alias("list"), F.max("cap").alias("cap"))
+    none = F.array().cast("array<struct<n: bigint, window: bigint>>")
+
+    def add(so_far: Column, turn: Column) -> Column:
+        full = (so_far["used"] > 0) & (so_far["used"] + turn["own"] > F.col("cap"))
+        window = F.when(full, turn["n"] - 1).otherwise(so_far["window"])
+        used = F.when(full, turn["own"]).otherwise(so_far["used"] + turn["own"])
+        return F.struct(used.alias("used"), window.alias("window"), F.concat(so_far["all"], F.array(F.struct(turn["n"].alias("n"), window.alias("window")))).alias("all"))
+
+    start = F.struct(F.lit(0).cast("long").alias("used"), (F.col("block") * BLOCK).cast("long").alias("window"), none.alias("all"))
+    return blocks.select("conv_id", F.inline(F.aggregate("list", start, add)["all"]))
+
+
 def format_windows(turns: DataFrame, budget: int = 512, history: int = 128) -> DataFrame:
     """(conv_id, turn, role, text) -> conv_id, window, formatted, turns, one row a window.
 
@@ -42,36 +59,42 @@ def format_windows(turns: DataFrame, budget: int = 512, history: int = 128) -> D
     order of the text: kind is system, history or new; start and length tell
     where the turn stands in formatted, loss_start and loss_length which part
     of it is under the loss mask (0, 0 for none).  Counts are of characters.
+    window is the number of turns before the window's first new one.
 
-    A window's new turns begin within budget - history - system tokens (at
-    least one) of each other; a turn is never cut, so one that is longer than
-    the budget makes a longer window.  History is what of the window before
-    begins at most `history` tokens before the new turns.  A conversation's
-    first turn, if its role is system, is its system turn.
+    A turn's tokens are its words and one for its marks.  A window takes new
+    turns as long as they fit in budget - history - system tokens, then as many
+    of the last turns of the window before as fit in `history` and in what is
+    left of the budget.  So no window has more than `budget` tokens, but for
+    those whose one new turn and system turn alone have more: turns are never
+    cut.  A conversation's first turn, if its role is system, is its system turn.
 
     Null texts and roles count as empty.  Turns are ordered by turn (null
     last), then role, then text, so repeated rows stay, side by side.  Rows
     without a conv_id are one conversation.  An empty table gives no window.
+    Other columns are left out.
     """
     turns = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     order = [F.col("turn").asc_nulls_last(), "role", "text"]
     conv = Window.partitionBy("conv_id").orderBy(*order)
     tokens = n_words(F.col("text")) + 1  # and its marks
-    rows = turns.withColumn("tokens", tokens).withColumn("n", F.row_number().over(conv)).withColumn("upto", F.sum("tokens").over(conv.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = turns.withColumn("tokens", tokens).withColumn("n", F.row_number().over(conv).cast("long")).withColumn("upto", F.sum("tokens").over(conv.rowsBetween(Window.unboundedPreceding, 0)))
     is_system = (F.col("n") == 1) & (F.col("role") == "system")
     rows = rows.withColumn("system", F.first(F.when(is_system, F.col("tokens")).otherwise(0)).over(conv.rowsBetween(Window.unboundedPreceding, 0)))
-    # tokens of turns between the system turn and this one
-    rows = rows.withColumn("before", F.greatest(F.col("upto") - F.col("tokens") - F.col("system"), F.lit(0)))
-    stride = F.greatest(F.lit(1), F.lit(budget - history) - F.col("system"))
-    rows = rows.withColumn("window", F.floor(F.col("before") / stride)).withColumn("piece", F.concat(F.lit(START), escape(F.col("role"), ROLE_ESCAPES), F.lit(": "), escape(F.col("text")), F.lit(END)))
+    # tokens of turns between the system turn and this one; a turn's own, of which the system turn has none
+    rows = rows.withColumn("before", F.greatest(F.col("upto") - F.col("tokens") - F.col("system"), F.lit(0))).withColumn("own", F.when(is_system, 0).otherwise(F.col("tokens")))
+    starts = _window_starts(rows.select("conv_id", "n", "own", F.greatest(F.lit(1), F.lit(budget - history) - F.col("system")).alias("cap")))
+    starts = starts.select(F.col("conv_id").alias("c"), F.col("n").alias("k"), "window")
+    rows = rows.join(starts, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("n") == F.col("k"))).drop("c", "k")
+    rows = rows.withColumn("piece", F.concat(F.lit(START), escape(F.col("role"), ROLE_ESCAPES), F.lit(": "), escape(F.col("text")), F.lit(END)))
     # in descending order the rows so far are those of later windows
     later = Window.partitionBy("conv_id").orderBy(F.col("window").desc()).rangeBetween(Window.unboundedPreceding, -1)
     begin = Window.partitionBy("conv_id", "window")
-    rows = rows.withColumn("begin", F.min("before").over(begin)).withColumn("next", F.min(F.struct("window", "begin")).over(later))
+    room = F.least(F.lit(history), F.lit(budget) - F.col("system") - F.sum("own").over(begin))
+    rows = rows.withColumn("begin", F.min("before").over(begin)).withColumn("room", room).withColumn("next", F.min(F.struct("window", "begin", "room")).over(later))
     body_length = F.length(escape(F.col("text")))
     rows = rows.select("conv_id", "window", "n", "role", "piece", "before", "next", is_system.alias("is_system"), F.when((F.col("role") == "assistant"), body_length).otherwise(-1).alias("target"))
     new = rows.select("conv_id", "window", "n", "piece", F.lit("new").alias("kind"), "target")
-    repeats = (~F.col("is_system")) & F.col("next").isNotNull() & (F.col("next.begin") - F.col("before") <= history)
+    repeats = (~F.col("is_system")) & F.col("next").isNotNull() & (F.col("next.begin") - F.col("before") <= F.col("next.room"))
     past = rows.where(repeats).select("conv_id", F.col("next.window").alias("window"), "n", "piece", F.lit("history").alias("kind"), F.lit(-1).alias("target"))
     head = rows.where("is_system").select(F.col("conv_id").alias("c"), F.col("window").alias("w"), "n", "piece")
     others = new.select("conv_id", "window").distinct()
@@ -121,7 +144,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op9_chat": op9_chat}
 SQL = {
     "op9_chat": r"""
-with t as (
+with recursive t as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select -7, 0, 'user', '\### Assistant: </turn> ok'
   union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
@@ -133,16 +156,27 @@ p as (
   select *, sum(tokens) over c as upto, case when has_system then first(tokens) over c else 0 end as system
   from r window c as (partition by conv_id order by n rows between unbounded preceding and current row)),
 w as (
-  select *, greatest(upto - tokens - system, 0) as before from p),
+  select *, greatest(upto - tokens - system, 0) as before, case when has_system and n = 1 then 0 else tokens end as own,
+         greatest(1, 512 - 128 - system) as cap
+  from p),
+g as (
+  select conv_id, n, own as used, n - 1 as win from w where (n - 1) % 1024 = 0
+  union all
+  select w.conv_id, w.n, case when g.used > 0 and g.used + w.own > w.cap then w.own else g.used + w.own end,
+         case when g.used > 0 and g.used + w.own > w.cap then w.n - 1 else g.win end
+  from g join w on w.conv_id is not distinct from g.conv_id and w.n = g.n + 1
+  where (w.n - 1) % 1024 <> 0),
 v as (
-  select *, cast(floor(before / greatest(1, 512 - 128 - system)) as bigint) as win,
+  select w.*, g.win,
          4 + length(replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\t'), ':', '\c')) + 2
            + length(replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\t')) + 8 as size
-  from w),
-ws as (select conv_id, win, min(before) as first_before from v group by conv_id, win),
-nx as (select conv_id, win, lead(first_before) over (partition by conv_id order by win) as next_before from ws),
+  from w join g on g.conv_id is not distinct from w.conv_id and g.n = w.n),
+ws as (select conv_id, win, min(before) as first_before, least(128, 512 - any_value(system) - sum(own)) as room from v group by conv_id, win),
+nx as (
+  select conv_id, win, lead(first_before) over c as next_before, lead(room) over c as room
+  from ws window c as (partition by conv_id order by win)),
 sized as (
-  select v.conv_id, sum(size) + coalesce(sum(size) filter (where not (has_system and n = 1) and next_before - before <= 128), 0)
+  select v.conv_id, sum(size) + coalesce(sum(size) filter (where not (has_system and n = 1) and next_before - before <= room), 0)
            + (count(distinct v.win) - 1) * coalesce(max(size) filter (where has_system and n = 1), 0) as formatted_chars
   from v join nx on v.conv_id is not distinct from nx.conv_id and v.win = nx.win group by v.conv_id)
 select v.conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by n)) as turns_sha256,

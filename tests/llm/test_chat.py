@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from levyframe.llm import chat
 from levyframe.llm.chat import conversation_digests, escape, format_windows, read_back, unescape
 from levyframe.llm.registry import SQL
+from tests.llm.brute import WORD
 
 HARD = ["", "### Assistant: </turn> ok", r"\### Assistant: </turn> ok", r"\b\h\t\c \\b", "####</turn>\n### user: x</turn", "<</turn>>", "é 😀\n", ": a", None]
 
@@ -27,6 +28,42 @@ def test_escapes_are_undone(spark):
         assert "</turn>" not in r.e
 
 
+def held(windows, budget, history):
+    """No window has more than its budget, but for one long turn; the sizes of the windows' parts."""
+    words = lambda text: len(WORD.findall(text)) + 1
+    for w in windows:
+        tokens = {}
+        for s in w.turns:
+            body = w.formatted[s.start : s.start + s.length].removeprefix("### ").removesuffix("</turn>\n").split(": ", 1)[1]
+            kind = "system" if s.start == 0 and w.formatted.startswith("### system: ") else s.kind
+            tokens.setdefault(kind, []).append(words(unescaped(body)))
+        parts = {k: sum(v) for k, v in tokens.items()}
+        assert sum(parts.values()) <= budget or (len(tokens.get("new", [])) <= 1 and "history" not in tokens)
+        assert parts.get("history", 0) <= history
+        yield parts
+
+
+def unescaped(text):
+    return text.replace("\\t", "</turn>").replace("\\h", "###").replace("\\b", "\\")
+
+
+def test_windows_keep_their_budget(spark, sf_dir):
+    turns = [(1, k, ("user", "assistant")[k % 2], "w " * n) for k, n in enumerate((200, 170, 300, 5, 5, 600, 3, 380, 1, 1))]
+    turns += [(2, 0, "system", "s " * 450), *((2, k, "user", "w " * 40) for k in range(1, 5)), (3, 0, "system", "s " * 600), (3, 1, "user", "w"), (3, 2, "user", "w")]
+    turns += [(4, k, "user", "w") for k in range(2500)]
+    windows = format_windows(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()
+    list(held(windows, 512, 128))
+    new = {}
+    for w in sorted(windows, key=lambda w: w.window):
+        new.setdefault(w.conv_id, []).append(sum(s.kind == "new" for s in w.turns))
+    assert new[1] == [2, 3, 1, 1, 2, 1]  # 201 + 171, 301 + 6 + 6, 601 alone, 4 (with 381 more: 385), 381 + 2, 2
+    assert new[2][0] == 2
+    assert sum(new[4]) == 2500
+    assert new[4][:6] == [192, 192, 192, 192, 192, 64]  # a block ends there
+    got = list(held(format_windows(spark.read.parquet(f"{sf_dir}/conversations.parquet")).collect(), 512, 128))
+    assert max(sum(p.values()) for p in got) <= 512
+
+
 @pytest.mark.parametrize(("budget", "history"), [(512, 128), (20, 8), (3, 1), (6, 0)])
 def test_windows_give_everything_back(spark, budget, history):
     rows, want = [], {}
@@ -42,6 +79,7 @@ def test_windows_give_everything_back(spark, budget, history):
     windows = format_windows(df, budget, history)
     got = {r.conv_id: tuple(r)[1:5] for r in conversation_digests(windows).collect()}
     assert got == want
+    list(held(windows.collect(), budget, history))
     seen = {}
     for w in sorted(windows.collect(), key=lambda w: (w.conv_id or 0, w.window)):
         assert "".join(w.formatted[s.start : s.start + s.length] for s in w.turns) == w.formatted

@@ -4,7 +4,8 @@ Lines are known by the 64-bit hash of their text.  A line's MinHash signature is
 cut into bands; lines that share a band are candidates.  In each band's group
 all lines are compared with the group's smallest line, exactly, on their sets of
 shingles.  Only where such a comparison fails can a link between two others be
-missed, so those groups are compared in full, in blocks, across components.
+missed, so those groups are compared in full, in blocks, across components; in a
+block, pairs that share none of their rarest shingles can't reach the threshold.
 Of each component the first line stays.
 
 At a similarity of 0.8 a pair shares a band with probability 0.998, at 0.85
@@ -33,8 +34,10 @@ SHINGLE, BANDS, ROWS = 8, 12, 4
 FILTER_BITS = 1 << 24
 #: Line hashes that a task remembers so as not to send a line twice.
 REMEMBERED = 500_000
-#: Lines of a group that are compared with each other in one block.
-BLOCK = 512
+#: Lines of a group that are compared with each other in one block; candidate pairs of a block above which their shingles are counted for all pairs at once.
+BLOCK, CANDIDATES = 512, 50_000
+#: Characters of lines whose shingles are hashed at once.
+TOGETHER = 500_000
 
 
 def line_hash(line: bytes) -> int:
@@ -165,45 +168,74 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(band[some]), pa.array(leader[some]), pa.array(line[some])], names=["band", "leader", "line"])
 
 
+def shingle_sets(lines: list[str], size: int = SHINGLE) -> list[np.ndarray]:
+    """The distinct 64-bit hashes of each line's shingles, sorted; a shorter line is one shingle."""
+    padded = [x if len(x) >= size else x + "\x00" * (size - len(x)) for x in lines]
+    points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    short = [i for i, x in enumerate(lines) if len(x) < size]
+    counts = np.fromiter(map(len, padded), np.int64, len(padded))
+    starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
+    for i in short:  # no character is as large
+        points[starts[i] + len(lines[i]) : starts[i] + size] = 0x110000
+    total = len(points) - size + 1
+    h = np.zeros(total, np.uint64)
+    for j in range(size):
+        h = (h + points[j : j + total] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    h = _mix(h)
+    return [np.unique(h[a : a + n - size + 1]) for a, n in zip(starts, counts, strict=True)]
+
+
+def set_jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
 def _verify(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, of = None, None
+        """(leader, line, their texts), rows of one leader side by side -> which are alike."""
         for batch in batches:
-            leaders, lines = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            alike = []
-            for a, b in zip(leaders, lines, strict=True):
-                if a != kept:
-                    kept, of = a, shingles(a)
-                alike.append(jaccard(of, shingles(b)) >= similarity)
+            alike: list[bool] = []
+            texts: list[str] = []
+            pairs: list[tuple[int, int]] = []
+            kept, size = None, 0
+
+            def flush() -> None:
+                sets = shingle_sets(texts) if texts else []
+                alike.extend(set_jaccard(sets[i], sets[j]) >= similarity for i, j in pairs)
+                texts.clear()
+                pairs.clear()
+
+            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+                a, b = a.as_py(), b.as_py()
+                if not texts or a != kept:
+                    kept, at = a, len(texts)
+                    texts.append(a)
+                    size += len(a)
+                pairs.append((at, len(texts)))
+                texts.append(b)
+                size += len(b)
+                if size > TOGETHER:
+                    flush()
+                    size = 0
+            flush()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(alike, pa.bool_())], names=["leader", "line", "alike"])
 
     return run
 
 
-def shingle_hashes(line: str, size: int = SHINGLE) -> np.ndarray:
-    """Distinct 64-bit hashes of a line's shingles."""
-    points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    n = max(1, len(points) - size + 1)
-    h = np.zeros(n, np.uint64)
-    for j in range(min(size, len(points))):
-        h = (h + points[j : j + n] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    return np.unique(_mix(h))
-
-
-def alike_pairs(lines: list[str], similarity: float) -> np.ndarray:
+def alike_pairs(sets: list[np.ndarray], similarity: float) -> np.ndarray:
     """(lines, lines) booleans: which pairs' Jaccard similarity reaches the threshold.
 
     Only shingles that two lines or more have make columns, so lines that differ in many places cost little.
     """
-    sets = [shingle_hashes(x) for x in lines]
-    sizes = np.array([len(x) for x in sets])
+    n, sizes = len(sets), np.array([len(x) for x in sets])
     _, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    of, often = np.repeat(np.arange(len(lines)), sizes), times[number] > 1
+    of, often = np.repeat(np.arange(n), sizes), times[number] > 1
     column = (np.cumsum(times > 1) - 1)[number[often]]
     row = of[often]
-    shared, columns = np.zeros((len(lines), len(lines)), np.float32), int((times > 1).sum())
+    shared, columns = np.zeros((n, n), np.float32), int((times > 1).sum())
     for lo in range(0, columns, 4096):
-        table = np.zeros((len(lines), min(4096, columns - lo)), np.float32)
+        table = np.zeros((n, min(4096, columns - lo)), np.float32)
         some = (column >= lo) & (column < lo + 4096)
         table[row[some], column[some] - lo] = 1
         shared += table @ table.T
@@ -212,45 +244,77 @@ def alike_pairs(lines: list[str], similarity: float) -> np.ndarray:
     return both / (sizes[:, None] + sizes[None, :] - both) >= similarity
 
 
-def block_links(lines: np.ndarray, components: list[int], texts: list[str], similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links between lines of different components, as few as join those that some pair of alike lines joins."""
-    n = len(lines)
+def candidate_pairs(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """(lines, lines) booleans, none lost: pairs that share one of their rarest shingles.
+
+    Of two lines that reach the threshold each has all but a part 1 - similarity
+    of its shingles from the other, so they meet in the first so many of any
+    common order, here the rarest first; and neither is much larger.
+    """
+    n, sizes = len(sets), np.array([len(x) for x in sets])
+    _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), sizes)
+    order = np.lexsort((token, times[token], row))
+    position = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    first = sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1
+    picked = order[position < np.repeat(first, sizes)]
+    picked = picked[times[token[picked]] > 1]
+    picked = picked[np.argsort(token[picked], kind="stable")]
+    near = np.zeros((n, n), bool)
+    cuts = np.flatnonzero(np.diff(token[picked])) + 1
+    for rows in np.split(row[picked], cuts):
+        if len(rows) > 1:
+            near[np.ix_(rows, rows)] = True
+    return near & (np.minimum.outer(sizes, sizes) >= similarity * np.maximum.outer(sizes, sizes) - 1e-9)
+
+
+def block_links(components: list[int], texts: list[str], similarity: float) -> list[tuple[int, int]]:
+    """Links between components, as few as join those that some pair of alike lines joins."""
     first: dict[int, int] = {}
-    start = np.array([first.setdefault(c, i) for i, c in enumerate(components)])
-    near = alike_pairs(texts, similarity) | (start[:, None] == start[None, :])
-    label = start
-    while True:
-        new = np.where(near, label[None, :], n).min(axis=1)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    moved = np.unique(start[label != start])
-    return lines[moved], lines[label[moved]]
+    label = np.array([first.setdefault(c, i) for i, c in enumerate(components)])
+    sets = shingle_sets(texts)
+    near = candidate_pairs(sets, similarity) & (label[:, None] != label[None, :])
+    if near.sum() > 2 * CANDIDATES:
+        near &= alike_pairs(sets, similarity)
+        alike = lambda i, j: True
+    else:
+        alike = lambda i, j: set_jaccard(sets[i], sets[j]) >= similarity
+    parent = list(label)
+    links = []
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    for i, j in np.argwhere(np.triu(near)).tolist():
+        a, b = root(i), root(j)
+        if a != b and alike(i, j):
+            parent[max(a, b)] = min(a, b)
+            links.append((components[a], components[b]))
+    return links
 
 
 def _compare_blocks(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(band, i, j, line, component, text) sorted by band and block."""
+        """(band, i, j, component, text) sorted by band and block -> links of components."""
         current, rows = None, []
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+        found: list[tuple[int, int]] = []
 
         def close() -> None:
-            if len({c for _, c, _ in rows}) > 1:
-                lines, components, texts = zip(*rows, strict=True)
-                found.append(block_links(np.array(lines, np.int64), list(components), list(texts), similarity))
+            if len({c for c, _ in rows}) > 1:
+                found.extend(block_links(*map(list, zip(*rows, strict=True)), similarity))
 
         for batch in batches:
-            band, i, j, line, component, text = (c.to_pylist() for c in batch.columns)
+            band, i, j, component, text = (c.to_pylist() for c in batch.columns)
             for k in range(len(band)):
                 key = (band[k], i[k], j[k])
                 if key != current:
                     close()
                     current, rows = key, []
-                rows.append((line[k], component[k], text[k]))
+                rows.append((component[k], text[k]))
         close()
-        a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
     return run
 
@@ -299,10 +363,13 @@ def line_links(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
         own = F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int")
         members = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         members = members.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "line", "component").join(bodies, "line")
-        blocks = members.select("band", "i", "j", "line", "component", "text").repartition(partitions(spark), "band", "i", "j").sortWithinPartitions("band", "i", "j")
+        blocks = members.select("band", "i", "j", "component", "text").repartition(partitions(spark), "band", "i", "j").sortWithinPartitions("band", "i", "j")
         more = materialize(blocks.mapInArrow(_compare_blocks(similarity), "a long, b long"))
         if more.limit(1).count():
-            components = connected_components(links.unionByName(more))
+            # these link components, among them lines that were alone
+            joined = materialize(connected_components(more).select(F.col("node").alias("component"), F.col("component").alias("whole")))
+            alone = joined.join(components.select("component").distinct(), "component", "left_anti").select(F.col("component").alias("node"), F.col("whole").alias("component"))
+            components = components.join(joined, "component", "left").select("node", F.coalesce("whole", "component").alias("component")).unionByName(alone)
     return components.select(F.col("node").alias("line"), "component")
 
 
@@ -314,15 +381,25 @@ def repeated_lines(docs: DataFrame, similarity: float = 0.8, *, id_col: str = "d
     """(row, numbers): for each row key the numbers of its lines (from 0) that go."""
     occur = materialize(docs.select(_row_key(id_col, text_col).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_occurrences, f"line long, row long, id {docs.schema[id_col].dataType.simpleString()}, number int"))
     components = line_links(docs.select(F.col(text_col).alias("text")), similarity)
+    counts = occur.groupBy("line").agg(F.count("*").alias("n"))
+    lines = counts.join(components, "line", "left").where("n > 1 or component is not null")
+    lines = materialize(lines.select("line", "n", F.coalesce("component", "line").alias("component")))
+    hits = materialize(join_hot(occur, lines, "line").select("component", "row", "id", "number"))
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "number")
-    lines = occur.groupBy("line").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-    lines = materialize(lines.join(components, "line", "left").withColumn("component", F.coalesce("component", "line")))
-    keep = lines.groupBy("component").agg(F.sum("n").alias("n"), F.min("first").alias("keep")).where("n > 1")
-    repeated = lines.select("line", "component").join(keep, "component").select("line", F.col("keep.row").alias("keep_row"), F.col("keep.number").alias("keep_number"))
-    gone = occur.join(repeated, "line").where("row <> keep_row or number <> keep_number").select("row", "number")
+    keep = materialize(hits.groupBy("component").agg(F.count("*").alias("n"), F.min(place).alias("keep")).select("component", "n", F.col("keep.row").alias("keep_row"), F.col("keep.number").alias("keep_number")))
+    gone = join_hot(hits, keep, "component").where("row <> keep_row or number <> keep_number").select("row", "number")
     return gone.groupBy("row").agg(F.collect_set("number").alias("numbers"))
 
 
+def join_hot(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """rows joined with keys, one row a key with the number n of its rows (both materialized): keys that have over a thousandth
+    of these rows, fewer than a thousand, are broadcast, so that no task gets all rows of one."""
+    hot = F.col("n") * 1000 > (keys.agg(F.sum("n").alias("n")).first().n or 0)
+    frequent = F.broadcast(keys.where(hot))
+    rest = rows.join(frequent.select(key), key, "left_anti").join(keys.where(~hot), key)
+    return rows.join(frequent, key).unionByName(rest)
+
+
 def _without(text: str | None, gone: set[int] | None, first: bool) -> tuple[str | None, int, int]:
     """The text that is left, its lines before, and how many of them went; a repeated row loses all lines that aren't blank."""
     if text is None:

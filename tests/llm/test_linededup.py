@@ -109,3 +109,21 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert dedup_lines(docs).collect() == []
     assert line_digests(docs.withColumn("k", F.lit(1))).collect() == []
+
+
+def test_candidates_lose_no_pair():
+    rng = random.Random(12)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(5, 120))) for _ in range(6)]
+    lines = list({edited(rng, edited(rng, rng.choice(base))) for _ in range(120)} | {"abc", "abd", "x" * 40, "x" * 50})
+    sets = linededup.shingle_sets(lines)
+    assert [len(x) for x in sets] == [len(shingles(x)) for x in lines]
+    for similarity in (0.8, 0.5):
+        near, alike = linededup.candidate_pairs(sets, similarity), linededup.alike_pairs(sets, similarity)
+        n = 0
+        for i, a in enumerate(lines):
+            for j, b in enumerate(lines[:i]):
+                want = jaccard(shingles(a), shingles(b)) >= similarity
+                assert alike[i, j] == want == (linededup.set_jaccard(sets[i], sets[j]) >= similarity)
+                assert near[i, j] or not want
+                n += want
+        assert n > 20

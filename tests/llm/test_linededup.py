@@ -113,7 +113,7 @@ def test_empty_table(spark):
 
 def test_candidates_lose_no_pair():
     rng = random.Random(12)
-    base = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(5, 120))) for _ in range(6)]
+    base = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(100, 250))) for _ in range(6)]
     lines = list({edited(rng, edited(rng, rng.choice(base))) for _ in range(120)} | {"abc", "abd", "x" * 40, "x" * 50})
     sets = linededup.shingle_sets(lines)
     assert [len(x) for x in sets] == [len(shingles(x)) for x in lines]

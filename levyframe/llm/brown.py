@@ -3,16 +3,19 @@
 Words are counted over all training texts.  The most frequent words, and the
 forms (first and last bytes) of all others, are the units that exchange
 clustering assigns to classes first, so that the classes' transitions predict
-the training texts best.  Then every other word of the training texts, however
-rare, goes to the class that its own neighbours' classes speak for, and the
-transitions are counted anew from all words' classes.  A token's probability is
-that of its class after the class before it, times that of the word in the
-class, mixed with its smoothed frequency.  Words that were never seen have the
-class of their form.
-
-The model that goes to all tasks is bounded by WORDS, UNITS and CLASSES.  The
-classes and counts of words beyond WORDS are joined to the pairs of tokens that
-have them, so every word's class and count in the corpus counts.
+the training texts best.  Then every word of the training texts, however rare,
+is exchanged: it goes to the class that its own neighbours' classes speak for,
+all words at once, as in distributed exchange clustering.  The transitions are
+counted anew from all words' classes.  A token's probability is that of its
+class after the class before it, times that of the word in the class, mixed
+with its smoothed frequency.  Words that were never seen have the class of
+their form.
+
+Texts are tokenised by Arrow, a slice at a time, and words are known by the
+64-bit hash of their lower-cased bytes.  What goes to all tasks is bounded:
+WORDS hashes with their counts and classes, UNITS forms and CLASSES^2 numbers.
+The counts and classes of words beyond WORDS are joined to the pairs of tokens
+that have them, so every word's class and count in the corpus counts.
 """
 
 from __future__ import annotations
@@ -22,28 +25,30 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from levyframe.llm.common import materialize, read
+from levyframe.llm.common import materialize, partitions, read
 
-#: At most so many frequent words are known to all tasks, so many words and as many forms are clustered by exchange, and so many classes.
-WORDS, UNITS, CLASSES = 150_000, 480, 40
+#: At most so many frequent words are known to all tasks (14 bytes each), so many words and as many forms are clustered first, and so many classes (127 at most).
+WORDS, UNITS, CLASSES = 2_000_000, 480, 40
+#: Frequent words whose neighbours a task sums up in one table; those of others are handed on slice by slice.
+DENSE = 100_000
 #: Weight of the class model in the mix; smoothing of class transitions.
 WEIGHT, ALPHA = 0.95, 0.1
-#: Words that a task counts before it hands on what it has.
-COUNTED = 300_000
-#: Rounds of exchanges, and units' gain that ends them.
+#: Words that a task counts before it hands on what it has; bytes of texts that are tokenised at once (a longer text alone).
+COUNTED, SLICE = 500_000, 4 << 20
+#: Rounds of exchanges of the first units at most.
 ROUNDS = 8
 #: Occurrences of its form that a word's own contexts are smoothed with.
 SMOOTH = 0.5
-#: Tokens whose neighbours are counted at once, and rows handed on at once.
-TOGETHER, HANDED = 200_000, 500_000
-#: How often a class is beside a word: before it, or (the number of classes added) after it.
-NEAR = np.dtype([("code", "<u2"), ("n", "<u4")])
+#: Rows handed on at once.
+HANDED = 20_000
 
 
 def held_out(doc_id: Column, of: int = 7, fold: int = 2) -> Column:
@@ -51,14 +56,51 @@ def held_out(doc_id: Column, of: int = 7, fold: int = 2) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(of)) == fold, F.lit(False))
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    return (text or b"").lower().split()
-
-
 def form(word: bytes) -> bytes:
     return word[:1] + b"~" + word[-2:]
 
 
+@dataclass
+class Slice:
+    """Tokens of some texts: distinct words, the words' numbers in order of the texts, and how many each text has."""
+
+    words: list[bytes]
+    tokens: np.ndarray
+    lengths: np.ndarray
+
+    def hashes(self) -> np.ndarray:
+        digest = xxhash.xxh64_intdigest
+        return np.array([digest(w, 42) for w in self.words], np.uint64).view(np.int64)
+
+    def chain(self) -> np.ndarray:
+        """Words' numbers, with -1 for the end before the first text and after each."""
+        out = np.full(len(self.tokens) + len(self.lengths) + 1, -1, np.int64)
+        out[np.arange(len(self.tokens)) + np.repeat(np.arange(len(self.lengths)), self.lengths) + 1] = self.tokens
+        return out
+
+
+def slices(texts: pa.Array) -> Iterator[Slice]:
+    """Lower-cased (A-Z) runs of anything but ASCII white space; a null text has none."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + SLICE, side="right")))
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.slice(lo, hi - lo), "")))
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        number = coded.indices.to_numpy()
+        row = np.repeat(np.arange(hi - lo), pc.list_value_length(lists).to_numpy())
+        if b"" in words:  # what white space at the ends leaves
+            some = number != words.index(b"")
+            number, row = number[some], row[some]
+        yield Slice(words, number, np.bincount(row, minlength=hi - lo))
+        lo = hi
+
+
+def _strings(column: pa.Array) -> pa.Array:
+    return column if pa.types.is_string(column.type) else column.cast(pa.string())
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter = Counter()
 
@@ -68,8 +110,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out
 
     for batch in batches:
-        for text in batch.column(0).cast(pa.binary()):
-            seen.update(tokens(text.as_py()))
+        for s in slices(_strings(batch.column(0))):
+            n = np.bincount(s.tokens, minlength=len(s.words)).tolist()
+            seen.update({w: k for w, k in zip(s.words, n, strict=True) if k})
             if len(seen) > COUNTED:
                 yield flush()
     yield flush()
@@ -80,8 +123,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The rows of the largest n, at most so many, whole classes of nearly equal n: found from a histogram, without a sort."""
+def most_frequent(counts: DataFrame, most: int) -> Column:
+    """Which rows of counts have the largest n, at most so many, whole classes of nearly equal n: found from a histogram, without a sort."""
     step = F.floor(F.log2("n") * 16)
     total, least = 0, None
     for r in sorted(counts.groupBy(step.alias("s")).count().collect(), key=lambda r: -r.s):  # some 16 rows for each doubling of n
@@ -89,7 +132,7 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
         if total > most:
             break
         least = r.s
-    return counts.where(F.lit(False) if least is None else step >= least)
+    return F.lit(False) if least is None else step >= least
 
 
 def _gain(x: np.ndarray) -> np.ndarray:
@@ -149,271 +192,302 @@ def exchange_classes(pairs: np.ndarray, classes: int, fixed: int) -> np.ndarray:
 
 @dataclass
 class Units:
-    """How a token becomes a unit."""
+    """What a word is before it has a class of its own: one of the most frequent, else its form, else other."""
 
-    words: dict[bytes, int]  # frequent words, numbered
-    unit_of: np.ndarray  # of each of these
-    count_of: np.ndarray
-    forms: dict[bytes, int]  # units of forms
-    names: list[bytes]  # of the units: words, forms, other, end
+    top: dict[bytes, int]
+    forms: dict[bytes, int]
 
     @property
     def other(self) -> int:
-        return len(self.names) - 2
+        return len(self.top) + len(self.forms)
 
     @property
     def end(self) -> int:
-        return len(self.names) - 1
-
-    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Number (-1 for other words) and unit of each word."""
-        get, forms, other = self.words.get, self.forms.get, self.other
-        number = np.fromiter([get(w, -1) for w in words], np.int64, len(words))
-        unit = self.unit_of[number] if len(self.unit_of) else np.zeros(len(words), np.int64)
-        for i in np.flatnonzero(number < 0).tolist():
-            unit[i] = forms(form(words[i]), other)
-        return number, unit
-
-
-def choose_units(counts: DataFrame) -> tuple[Units, np.ndarray, np.ndarray]:
-    """Units, and how many tokens and how many words each stands for; counts should be materialized."""
-    frequent = most_frequent(counts, WORDS).toPandas().sort_values(["n", "word"], ascending=[False, True], ignore_index=True)  # at most WORDS rows
-    words = [bytes(w) for w in frequent["word"]]
-    n = frequent["n"].to_numpy(np.int64)
-    top = words[: min(UNITS, len(words))]
+        return self.other + 1
+
+    def form_of(self, words: list[bytes]) -> np.ndarray:
+        get, other = self.forms.get, self.other
+        return np.array([get(form(w), other) for w in words], np.int64)
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        get, forms, other = self.top.get, self.forms.get, self.other
+        return np.array([u if (u := get(w, -1)) >= 0 else forms(form(w), other) for w in words], np.int64)
+
+
+def choose_units(counts: DataFrame) -> Units:
+    """The most frequent words, and the most frequent forms of all others; counts should be materialized."""
+    top = [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(UNITS).collect()]
     shape = F.expr("concat(substring(word, 1, 1), X'7E', substring(word, -2, 2))")
     rest = counts.where(~F.col("word").isin([bytearray(w) for w in top])) if top else counts
-    forms = materialize(rest.groupBy(shape.alias("word")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")))
-    common = most_frequent(forms, UNITS).toPandas().sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
-    both = forms.agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).first()
-    names = [*top, *(bytes(w) for w in common["word"]), b"", b""]
-    form_unit = {bytes(w): len(top) + i for i, w in enumerate(common["word"])}
-    number_of = {w: i for i, w in enumerate(words)}
-    unit_of = np.array([i if i < len(top) else form_unit.get(form(w), len(names) - 2) for i, w in enumerate(words)], np.int64)
-    seen = np.array([*n[: len(top)], *common["n"], (both.n or 0) - int(common["n"].sum()), 0], np.float64)
-    kinds = np.array([*np.ones(len(top)), *common["kinds"], (both.kinds or 0) - int(common["kinds"].sum()), 1], np.float64)
-    return Units(number_of, unit_of, n, form_unit, names), seen, kinds
+    forms = rest.groupBy(shape.alias("form")).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "form").limit(UNITS).collect()
+    return Units({w: i for i, w in enumerate(top)}, {bytes(r.form): len(top) + i for i, r in enumerate(forms)})
+
+
+def _cells(table: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    at = np.flatnonzero(table)
+    yield pa.RecordBatch.from_arrays([pa.array((at // k).astype(np.int32)), pa.array((at % k).astype(np.int32)), pa.array(table[at])], names=["u", "v", "n"])
+
+
+def _table(rows: DataFrame, k: int) -> np.ndarray:
+    """(u, v, n) rows summed up by Spark; at most k * k of them come here."""
+    out = np.zeros((k, k))
+    summed = rows.groupBy("u", "v").agg(F.sum("n").alias("n")).toPandas()
+    for u, v, n in summed.itertuples(index=False):
+        out[u, v] = n
+    return out
 
 
 def unit_pairs(texts: DataFrame, units: Units) -> np.ndarray:
     """How often each unit follows each other in texts; a text begins after an end and ends with one."""
-    n = len(units.names)
+    n = units.end + 1
     shared = texts.sparkSession.sparkContext.broadcast(units)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, table = shared.value, np.zeros(n * n, np.int64)
         for batch in batches:
-            waiting, size = [], 0
-            for text in batch.column(0).cast(pa.binary()):
-                _, unit = known.of(tokens(text.as_py()))
-                waiting += [[known.end], unit]
-                size += len(unit)
-                if size > 200_000:
-                    chain = np.concatenate([*waiting, [known.end]])
-                    table += np.bincount(chain[:-1] * n + chain[1:], minlength=n * n)
-                    waiting, size = [], 0
-            if waiting:
-                chain = np.concatenate([*waiting, [known.end]])
-                table += np.bincount(chain[:-1] * n + chain[1:], minlength=n * n)
-        for u, row in enumerate(table.reshape(n, n)):
-            if row.any():
-                yield pa.RecordBatch.from_arrays([pa.array([u], pa.int32()), pa.array([row.tobytes()], pa.binary())], names=["u", "row"])
-
-    def total(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"u": rows["u"].iloc[:1], "row": [np.sum([np.frombuffer(r, np.int64) for r in rows["row"]], axis=0).tobytes()]})
-
-    out = np.zeros((n, n))
-    for r in texts.mapInArrow(run, "u int, row binary").groupBy("u").applyInPandas(total, "u int, row binary").collect():  # at most n rows
-        out[r.u] = np.frombuffer(r.row, np.int64)
-    return out
+            for s in slices(_strings(batch.column(0))):
+                unit = np.append(known.of(s.words), known.end)[s.chain()]
+                np.add.at(table, unit[:-1] * n + unit[1:], 1)
+        yield from _cells(table, n)
 
+    return _table(texts.mapInArrow(run, "u int, v int, n long"), n)
 
-def _chains(batches: Iterator[pa.RecordBatch], units: Units) -> Iterator[tuple[list[bytes | None], np.ndarray, np.ndarray]]:
-    """Words, numbers (-1: other words, -2: the end) and units of many texts in a row, an end before each and after the last."""
-    words, numbers, unit = [None], [[-2]], [[units.end]]
-    for batch in batches:
-        for text in batch.column(0).cast(pa.binary()):
-            made = tokens(text.as_py())
-            number, own = units.of(made)
-            words += [*made, None]
-            numbers += [number, [-2]]
-            unit += [own, [units.end]]
-            if len(words) > TOGETHER:
-                yield words, np.concatenate(numbers), np.concatenate(unit)
-                words, numbers, unit = [None], [[-2]], [[units.end]]
-    yield words, np.concatenate(numbers), np.concatenate(unit)
-
-
-def _scores(after: np.ndarray, before: np.ndarray, table: np.ndarray) -> np.ndarray:
+
+def _log_likelihoods(after: np.ndarray, before: np.ndarray, table: np.ndarray) -> np.ndarray:
     """How often classes come after and before something -> log-likelihood of these for each class but the last, the end's."""
     to = np.log(table / table.sum(axis=1, keepdims=True))
     back = np.log(table / table.sum(axis=0))
     return (after @ to.T + before @ back)[:, :-1]
 
 
-def word_classes(texts: DataFrame, units: Units, classes: np.ndarray, pairs: np.ndarray) -> DataFrame:
-    """(text) -> (word, n, number, cls) of every word: the class its neighbours speak for, smoothed by its form's; words that are units keep theirs."""
+def find(sorted_hashes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where each hash is among the sorted ones; -1 where it isn't."""
+    if not len(sorted_hashes):
+        return np.full(len(hashes), -1, np.int64)
+    at = np.minimum(np.searchsorted(sorted_hashes, hashes), len(sorted_hashes) - 1)
+    return np.where(sorted_hashes[at] == hashes, at, -1)
+
+
+NEAR = "h long, form int, codes binary, counts binary"
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch], units: Units, classes: np.ndarray, dense: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Texts -> for each word its form and which classes are beside it: codes are classes before it, or after it (the number of
+    classes added); counts say how often, where they are not all one."""
+    k = int(classes.max()) + 1
+    of_dense, forms = dense
+    table = np.zeros(len(of_dense) * 2 * k, np.int32)
+
+    def rows(h: np.ndarray, form: np.ndarray, starts: np.ndarray, codes: np.ndarray, counts: np.ndarray | None) -> pa.RecordBatch:
+        offsets = np.append(starts, len(codes)).astype(np.int32)
+        packed = lambda x, size: pa.Array.from_buffers(pa.binary(), len(h), [None, pa.py_buffer(offsets * np.int32(size)), pa.py_buffer(np.ascontiguousarray(x))])
+        many = pa.nulls(len(h), pa.binary()) if counts is None else packed(counts.astype(np.uint32), 4)
+        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(form.astype(np.int32)), packed(codes.astype(np.uint8), 1), many], names=["h", "form", "codes", "counts"])
+
+    for batch in batches:
+        for s in slices(_strings(batch.column(0))):
+            h, chain = s.hashes(), s.chain()
+            c = np.append(classes[units.of(s.words)], classes[units.end])[chain]
+            at = np.flatnonzero(chain >= 0)
+            word, left, right = chain[at], c[at - 1], k + c[at + 1]
+            number = find(of_dense, h)[word]
+            some = number >= 0
+            np.add.at(table, number[some] * 2 * k + left[some], 1)
+            np.add.at(table, number[some] * 2 * k + right[some], 1)
+            word, left, right = word[~some], left[~some], right[~some]
+            order = np.argsort(word, kind="stable")
+            word = word[order]
+            starts = np.flatnonzero(np.diff(word, prepend=-1))
+            if len(starts):
+                own = word[starts]
+                form = units.form_of([s.words[i] for i in own.tolist()])
+                yield rows(h[own], form, 2 * starts, np.column_stack((left[order], right[order])).ravel(), None)
+    found = np.flatnonzero(table)
+    for i in range(0, len(found), 10 * HANDED):
+        codes = found[i : i + 10 * HANDED]
+        number, starts = np.unique(codes // (2 * k), return_index=True)
+        yield rows(of_dense[number], forms[number], starts, codes % (2 * k), table[codes])
+
+
+def word_classes(texts: DataFrame, units: Units, classes: np.ndarray, pairs: np.ndarray, counts: DataFrame) -> DataFrame:
+    """(text) -> (h, n, cls) of every word: the class its neighbours speak for, smoothed by its form's; words that are units keep theirs."""
     k = int(classes.max()) + 1
     member = np.zeros((len(pairs), k))
     member[np.arange(len(pairs)), classes] = 1
     table = member.T @ pairs @ member + ALPHA
     size = np.maximum(pairs.sum(axis=1, keepdims=True), 1)
-    prior = SMOOTH * _scores(pairs @ member / size, pairs.T @ member / size, table)
-    weights = _scores(np.eye(2 * k)[:, k:], np.eye(2 * k)[:, :k], table)
-    tops = len(units.names) - 2 - len(units.forms)
-    shared = texts.sparkSession.sparkContext.broadcast((units, classes))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, cls = shared.value
-        seen = np.zeros(len(known.words) * 2 * k, np.int32)
-
-        def rows(words: pa.Array, starts: np.ndarray, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            packed = np.empty(len(code), NEAR)
-            packed["code"], packed["n"] = code, n
-            offsets = (np.append(starts, len(code)) * NEAR.itemsize).astype(np.int32)
-            return pa.RecordBatch.from_arrays([words, pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])], names=["word", "near"])
-
-        for words, number, unit in _chains(batches, known):
-            c = cls[unit]
-            at = np.flatnonzero(number >= 0)
-            codes, n = np.unique(np.concatenate((number[at] * 2 * k + c[at - 1], number[at] * 2 * k + k + c[at + 1])), return_counts=True)
-            seen[codes] += n.astype(np.int32)
-            at = np.flatnonzero(number == -1)
-            if len(at):
-                own = pa.array([words[i] for i in at.tolist()], pa.binary())
-                yield rows(own, 2 * np.arange(len(at)), np.column_stack((c[at - 1], k + c[at + 1])).ravel(), np.ones(2 * len(at)))
-        frequent, found = pa.array(list(known.words), pa.binary()), np.flatnonzero(seen)
-        for i in range(0, len(found), HANDED):
-            codes = found[i : i + HANDED]
-            number, starts = np.unique(codes // (2 * k), return_index=True)
-            yield rows(frequent.take(pa.array(number)), starts, codes % (2 * k), seen[codes])
+    prior = SMOOTH * _log_likelihoods(pairs @ member / size, pairs.T @ member / size, table)
+    weights = _log_likelihoods(np.eye(2 * k)[:, k:], np.eye(2 * k)[:, :k], table)
+    frequent = counts.where(most_frequent(counts, DENSE)).select(F.xxhash64("word").alias("h"), "word").toPandas().sort_values("h")  # at most DENSE rows
+    dense = frequent["h"].to_numpy(np.int64), units.form_of([bytes(w) for w in frequent["word"]])
+    own = Slice(list(units.top), np.zeros(0), np.zeros(0)).hashes()
+    order = np.argsort(own)
+    fixed, fixed_cls = own[order], classes[np.fromiter(units.top.values(), np.int64, len(own))[order]]
+    shared = texts.sparkSession.sparkContext.broadcast((units, classes, dense))
+
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _neighbours(batches, *shared.value)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, cls = shared.value
+        """Rows sorted by word; the last word of a batch may go on in the next."""
+        last: tuple[int, int, np.ndarray] | None = None
+
+        def judged(h: np.ndarray, form: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+            best = np.argmax(seen @ weights + prior[form], axis=1)
+            at = find(fixed, h)
+            best[at >= 0] = fixed_cls[at[at >= 0]]
+            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(seen[:, :k].sum(axis=1).astype(np.int64)), pa.array(best.astype(np.int32))], names=["h", "n", "cls"])
+
         for batch in batches:
-            words, near = batch.column(0).to_pylist(), batch.column(1)
-            made = [b"".join(x) for x in near.to_pylist()]
-            row = np.repeat(np.arange(len(words)), [len(x) // NEAR.itemsize for x in made])
-            flat = np.frombuffer(b"".join(made), NEAR)
-            seen = np.bincount(row * 2 * k + flat["code"], weights=flat["n"], minlength=len(words) * 2 * k).reshape(-1, 2 * k)
-            of_form = np.array([known.forms.get(form(w), known.other) for w in words], np.int64)
-            number = np.array([known.words.get(w, -1) for w in words], np.int64)
-            best = np.argmax(seen @ weights + prior[of_form], axis=1)
-            fixed = (number >= 0) & (number < tops)
-            best[fixed] = cls[number[fixed]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(seen[:, :k].sum(axis=1).astype(np.int64)), pa.array(number.astype(np.int32)), pa.array(best.astype(np.int32))], names=["word", "n", "number", "cls"])
-
-    near = texts.mapInArrow(count, "word binary, near binary").repartition("word")  # so that nothing is gathered before the shuffle
-    return materialize(near.groupBy("word").agg(F.collect_list("near").alias("near")).mapInArrow(assign, "word binary, n long, number int, cls int"))
+            h, form = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if not len(h):
+                continue
+            codes, counts = batch.column(2), batch.column(3)
+            length = pc.binary_length(codes).to_numpy()
+            times = np.ones(int(length.sum()))
+            times[np.repeat(counts.is_valid().to_numpy(zero_copy_only=False), length)] = np.frombuffer(b"".join(counts.drop_null().to_pylist()), np.uint32)
+            new = np.append(True, h[1:] != h[:-1])
+            group = np.cumsum(new) - 1
+            seen = np.bincount(np.repeat(group, length) * 2 * k + np.frombuffer(b"".join(codes.to_pylist()), np.uint8), weights=times, minlength=(group[-1] + 1) * 2 * k).reshape(-1, 2 * k)
+            h, form = h[new], form[new]
+            if last and last[0] == h[0]:
+                seen[0] += last[2]
+            elif last:
+                yield judged(np.array([last[0]]), np.array([last[1]]), last[2][None, :])
+            last = (h[-1], form[-1], seen[-1])
+            if len(h) > 1:
+                yield judged(h[:-1], form[:-1], seen[:-1])
+        if last:
+            yield judged(np.array([last[0]]), np.array([last[1]]), last[2][None, :])
+
+    near = texts.mapInArrow(neighbours, NEAR).repartition(partitions(texts.sparkSession), "h").sortWithinPartitions("h")
+    return materialize(near.mapInArrow(assign, "h long, n long, cls int"))
 
 
 def with_classes(pairs: DataFrame, rare: DataFrame) -> DataFrame:
-    """pairs (last_word, last_cls, word, cls, more; read more than once) with the classes of rare (word, n, cls) for the words that are named, without these; found is the count of the second, named says that it was."""
-    known = rare.select(F.col("word").alias("k_word"), F.col("n").alias("k_n"), F.col("cls").alias("k_cls"))
-    rest = [c for c in pairs.columns if c not in ("last_word", "last_cls", "word", "cls")]
-    first, second, none = F.col("last_word").isNotNull(), F.col("word").isNotNull(), F.lit(None).cast("long")
+    """pairs (last_h, last_cls, h, cls, more; read more than once) with the classes of rare (h, n, cls) for the words that are named, without these; found is the count of the second, named says that it was."""
+    known = rare.select(F.col("h").alias("k_h"), F.col("n").alias("k_n"), F.col("cls").alias("k_cls"))
+    rest = [c for c in pairs.columns if c not in ("last_h", "last_cls", "h", "cls")]
+    first, second, none = F.col("last_h").isNotNull(), F.col("h").isNotNull(), F.lit(None).cast("long")
     neither = pairs.where(~first & ~second).select("last_cls", "cls", second.alias("named"), none.alias("found"), *rest)
     # most pairs have one such word, and are dealt once
-    one = pairs.where(first != second).select(F.coalesce("last_word", "word").alias("of"), "last_cls", "cls", second.alias("named"), *rest).join(known, F.col("of") == F.col("k_word"), "left")
+    one = pairs.where(first != second).select(F.coalesce("last_h", "h").alias("of"), "last_cls", "cls", second.alias("named"), *rest).join(known, F.col("of") == F.col("k_h"), "left")
     one = one.select(F.when(F.col("named"), F.col("last_cls")).otherwise(F.coalesce("k_cls", "last_cls")).alias("last_cls"), F.when(F.col("named"), F.coalesce("k_cls", "cls")).otherwise(F.col("cls")).alias("cls"), "named", F.when(F.col("named"), F.col("k_n")).alias("found"), *rest)
-    both = pairs.where(first & second).join(known, F.col("last_word") == F.col("k_word"), "left").select(F.coalesce("k_cls", "last_cls").alias("last_cls"), "word", "cls", *rest)
-    both = both.join(known, F.col("word") == F.col("k_word"), "left").select("last_cls", F.coalesce("k_cls", "cls").alias("cls"), F.lit(True).alias("named"), F.col("k_n").alias("found"), *rest)
+    both = pairs.where(first & second).join(known, F.col("last_h") == F.col("k_h"), "left").select(F.coalesce("k_cls", "last_cls").alias("last_cls"), "h", "cls", *rest)
+    both = both.join(known, F.col("h") == F.col("k_h"), "left").select("last_cls", F.coalesce("k_cls", "cls").alias("cls"), F.lit(True).alias("named"), F.col("k_n").alias("found"), *rest)
     return neither.unionByName(one).unionByName(both)
 
 
-def class_pairs(texts: DataFrame, units: Units, classes: np.ndarray, rare: DataFrame) -> np.ndarray:
+@dataclass
+class Lexicon:
+    """Frequent words with their classes and counts, and the classes of forms for all others."""
+
+    hashes: np.ndarray  # sorted
+    count: np.ndarray
+    cls: np.ndarray
+    units: Units
+    form_cls: np.ndarray  # of each unit; only those of forms, other and end are used
+
+    def of(self, s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, number (-1 for other words) and class of a slice's words."""
+        h = s.hashes()
+        number = find(self.hashes, h)
+        cls = self.cls[number].astype(np.int64) if len(self.cls) else np.zeros(len(h), np.int64)
+        others = np.flatnonzero(number < 0)
+        cls[others] = self.form_cls[self.units.form_of([s.words[i] for i in others.tolist()])]
+        return h, number, cls
+
+    @property
+    def end_cls(self) -> int:
+        return int(self.form_cls[self.units.end])
+
+
+def _named(h: np.ndarray, word: np.ndarray, rare: np.ndarray) -> pa.Array:
+    """The hashes of rare words, null for others."""
+    return pa.array(h[np.where(rare, word, 0)] if len(h) else np.zeros(len(word), np.int64), mask=~rare)
+
+
+def class_pairs(texts: DataFrame, lexicon: Lexicon, k: int, rare: DataFrame) -> np.ndarray:
     """How often each class follows each other in texts, by the words' own classes."""
-    k = int(classes.max()) + 1
-    shared = texts.sparkSession.sparkContext.broadcast((units, classes))
+    shared = texts.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, cls = shared.value
-        table = np.zeros(k * k, np.int64)
-
-        def rows(last, last_cls, word, c, n) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(last, pa.binary()), pa.array(last_cls, pa.int32()), pa.array(word, pa.binary()), pa.array(c, pa.int32()), pa.array(n, pa.int64())], names=["last_word", "last_cls", "word", "cls", "n"])
-
-        for words, number, unit in _chains(batches, known):
-            c, other = cls[unit], number == -1
-            some = other[1:] | other[:-1]
-            table += np.bincount((c[:-1] * k + c[1:])[~some], minlength=k * k)
-            at = np.flatnonzero(some)
-            if len(at):
-                named = lambda where: [words[i] if number[i] == -1 else None for i in where.tolist()]
-                yield rows(named(at), c[at], named(at + 1), c[at + 1], np.ones(len(at), np.int64))
+        known, table = shared.value, np.zeros(k * k, np.int64)
+
+        def rows(last, last_cls, word, cls, n) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([last, pa.array(last_cls.astype(np.int32)), word, pa.array(cls.astype(np.int32)), pa.array(n)], names=["last_h", "last_cls", "h", "cls", "n"])
+
+        for batch in batches:
+            for s in slices(_strings(batch.column(0))):
+                h, number, cls = known.of(s)
+                chain = s.chain()
+                c = np.append(cls, known.end_cls)[chain]
+                other = np.append(number < 0, False)[chain]
+                some = other[1:] | other[:-1]
+                np.add.at(table, (c[:-1] * k + c[1:])[~some], 1)
+                for at in np.array_split(np.flatnonzero(some), 1 + int(some.sum()) // HANDED):
+                    if len(at):
+                        yield rows(_named(h, chain[at], other[at]), c[at], _named(h, chain[at + 1], other[at + 1]), c[at + 1], np.ones(len(at), np.int64))
         at = np.flatnonzero(table)
-        yield rows([None] * len(at), at // k, [None] * len(at), at % k, table[at])
+        none = pa.nulls(len(at), pa.int64())
+        yield rows(none, at // k, none, at % k, table[at])
 
-    pairs = materialize(texts.mapInArrow(run, "last_word binary, last_cls int, word binary, cls int, n long"))
-    out = np.zeros((k, k))
-    for r in with_classes(pairs, rare).groupBy("last_cls", "cls").agg(F.sum("n").alias("n")).collect():  # at most k * k rows
-        out[r.last_cls, r.cls] = r.n
-    return out
+    pairs = materialize(texts.mapInArrow(run, "last_h long, last_cls int, h long, cls int, n long"))
+    return _table(with_classes(pairs, rare).select(F.col("last_cls").alias("u"), F.col("cls").alias("v"), "n"), k)
 
 
 @dataclass
 class BrownModel:
-    units: Units  # here each frequent word is one
-    classes: np.ndarray  # of each unit
-    move: np.ndarray  # log-free probability of a class after a class
-    share: np.ndarray  # of a unit in its class
-    inside: np.ndarray  # 1: a form, which stands for words that were never seen; 0: the unit is the word
-    sizes: np.ndarray  # of each class, the divisor of a word's share
+    lexicon: Lexicon
+    move: np.ndarray  # probability of a class after a class
+    sizes: np.ndarray  # of each class: occurrences, half of one more for each word, form, other and the end
     train_tokens: int
     train_words: int
     train_texts: int
 
-    def parts(self, text: bytes | None) -> tuple[int, int, float, float, tuple]:
-        """n_tokens, known tokens, base score and score without words that aren't in the table, and the pairs with these: words, classes, share and count of the second."""
-        words = tokens(text)
-        number, unit = self.units.of(words)
-        unit = np.append(unit, self.units.end)
-        cls = self.classes[unit]
-        last = np.concatenate(([len(self.move) - 1], cls[:-1]))
-        count = np.append(self.units.count_of[number] if len(self.units.count_of) else np.zeros(len(words)), self.train_texts) + 1.0
-        rare = np.append(number < 0, False)
-        count[rare] = 1.0
-        base = count / (self.train_tokens + self.train_words + 1)
-        pair = rare.copy()
-        pair[1:] |= rare[:-1]
-        score = np.log10(WEIGHT * self.move[last, cls] * self.share[unit] + (1 - WEIGHT) * base)
-        n_known = int(len(words) - rare.sum()) + (self.train_texts > 0)
+    def parts(self, s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+        """For each text of a slice: n_tokens, known tokens, base score and score without words that aren't in the lexicon, and the
+        pairs with these: words, classes, share and count of the second."""
+        h, number, cls = self.lexicon.of(s)
+        chain, end = s.chain(), self.lexicon.end_cls
+        rows = np.repeat(np.arange(len(s.lengths)), s.lengths + 1)
+        n = np.append(self.lexicon.count[number].astype(np.float64) if len(self.lexicon.count) else np.zeros(len(h)), self.train_texts)
+        n[:-1][number < 0] = 0
+        every = np.append(cls, end)
+        share, base = (n + 0.5) / self.sizes[every], (n + 1) / (self.train_tokens + self.train_words + 1)
+        other = np.append(number < 0, False)[chain]
+        word, c, rare = chain[1:], every[chain], other[1:]
+        pair = rare | other[:-1]
+        score = np.log10(WEIGHT * self.move[c[:-1], c[1:]] * share[word] + (1 - WEIGHT) * base[word])
+        total = lambda values: np.bincount(rows, weights=values, minlength=len(s.lengths))
+        n_known = s.lengths - total(rare).astype(np.int64) + (self.train_texts > 0)
         at = np.flatnonzero(pair)
-        named = [words[i] if rare[i] else None for i in at.tolist()]
-        before = [words[i - 1] if i and rare[i - 1] else None for i in at.tolist()]
-        return len(words) + 1, n_known, float(np.log10(base[~rare]).sum()), float(score[~pair].sum()), (before, last[at], named, cls[at], self.share[unit[at]], count[at])
+        flat = [_named(h, chain[at], other[at]), pa.array(c[at].astype(np.int32)), _named(h, word[at], rare[at]), pa.array(c[at + 1].astype(np.int32)), pa.array(share[word[at]]), pa.array(n[word[at]] + 1)]
+        offsets = np.append(0, np.cumsum(np.bincount(rows[at], minlength=len(s.lengths))))
+        near = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(flat, names=["last_h", "last_cls", "h", "cls", "share", "count"]))
+        return s.lengths + 1, n_known, total(np.where(rare, 0.0, np.log10(base)[word])), total(np.where(pair, 0.0, score)), near
 
 
 def fit_brown(train: DataFrame) -> tuple[BrownModel, DataFrame]:
-    """(text) rows -> the model, and the counts, numbers and classes of all words."""
+    """(text) rows -> the model, and the hash, count and class of all words (h, n, cls; rare for those beyond the lexicon)."""
     counts = materialize(word_counts(train))
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     texts = train.count()
-    units, _, _ = choose_units(counts)
+    units = choose_units(counts)
     pairs = unit_pairs(train, units)
     classes = exchange_classes(pairs, min(CLASSES, max(1, len(pairs) - 1)), units.end)
     classes = np.unique(classes, return_inverse=True)[1]  # classes that no unit is in have no number
     k = int(classes.max()) + 1
-    words = word_classes(train, units, classes, pairs)
-    own = words.where("number >= 0").select("number", "cls").toPandas()  # at most WORDS rows
-    of_words = np.zeros(len(units.words), np.int64)
-    of_words[own["number"]] = own["cls"]
-    # now each frequent word is a unit
-    tops = len(units.names) - 2 - len(units.forms)
-    moved = len(of_words) - tops
-    units = Units(units.words, np.arange(len(of_words)), units.count_of, {f: u + moved for f, u in units.forms.items()}, [*units.words, *units.names[tops:]])
-    classes = np.concatenate((of_words, classes[tops:]))
-    rare = words.where("number < 0").select("word", "n", "cls")
-    table = class_pairs(train, units, classes, rare) + ALPHA
-    inside = np.zeros(len(classes))
-    inside[len(of_words) : units.end] = 1
-    size = np.concatenate((units.count_of, np.zeros(len(classes) - len(of_words)))) + 0.5  # so that no unit is impossible
-    size[units.end] += texts
-    sizes = np.bincount(classes, weights=size, minlength=k)
-    for r in rare.groupBy("cls").agg(F.sum(F.col("n") + 0.5).alias("size")).collect():  # at most k rows
+    words = word_classes(train, units, classes, pairs, counts)
+    words = words.withColumn("rare", ~most_frequent(words, WORDS))
+    frequent = words.where("not rare").select("h", "n", "cls").toPandas().sort_values("h")  # at most WORDS rows
+    lexicon = Lexicon(frequent["h"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64).astype(np.uint32 if (totals.n or 0) < 1 << 32 else np.int64), frequent["cls"].to_numpy(np.int16), units, classes)
+    table = class_pairs(train, lexicon, k, words.where("rare")) + ALPHA
+    sizes = np.bincount(classes[len(units.top) :], minlength=k) * 0.5  # so that no form is impossible
+    sizes[classes[units.end]] += texts
+    for r in words.groupBy("cls").agg(F.sum(F.col("n") + 0.5).alias("size")).collect():  # at most k rows
         sizes[r.cls] += float(r.size)
-    model = BrownModel(units, classes, table / table.sum(axis=1, keepdims=True), size / sizes[classes], inside, sizes, int(totals.n or 0) + texts, int(totals.v) + (texts > 0), texts)
-    return model, words
+    return BrownModel(lexicon, table / table.sum(axis=1, keepdims=True), sizes, int(totals.n or 0) + texts, int(totals.v) + (texts > 0), texts), words
 
 
 def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -423,33 +497,29 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     empty: one token, the end.  Without training documents all words are
     unknown and the scores still finite.  Rows with a null id are learned from;
     repeated rows count as often as they come and are scored alike; an empty
-    table gives an empty result.
+    table gives an empty result.  Other columns are left out.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    model, counts = fit_brown(docs.where(~held_out(F.col("doc_id"))).select("text"))
+    model, words = fit_brown(docs.where(~held_out(F.col("doc_id"))).select("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by WORDS, UNITS and CLASSES
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, key = shared.value, TaskContext.get().partitionId() << 33
         for batch in batches:
-            made = [known.parts(t.as_py()) for t in batch.column(2).cast(pa.binary())]
-            n, yes, base, score, near = zip(*made, strict=True) if made else ((),) * 5
-            keys = pa.array(range(key, key + len(made)), pa.int64())
-            key += len(made)
-            flat = []
-            for i, t in enumerate((pa.binary(), pa.int32(), pa.binary(), pa.int32(), pa.float64(), pa.float64())):
-                columns = [x[i] for x in near]
-                flat.append(pa.array([w for c in columns for w in c], t) if t == pa.binary() else pa.array(np.concatenate(columns) if columns else [], t))
-            offsets = pa.array(np.cumsum([0, *(len(x[0]) for x in near)]), pa.int32())
-            lists = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(flat, names=["last_word", "last_cls", "word", "cls", "share", "count"]))
-            yield pa.RecordBatch.from_arrays([keys, batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(yes, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()), lists], names=["key", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "near"])
+            lo = 0
+            for s in slices(_strings(batch.column(2))):
+                n = len(s.lengths)
+                tokens, yes, base, score, near = known.parts(s)
+                keys = pa.array(np.arange(key, key + n))
+                yield pa.RecordBatch.from_arrays([keys, batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), *(pa.array(x) for x in (tokens, yes, base, score)), near], names=["key", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "near"])
+                key, lo = key + n, lo + n
 
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    near = "array<struct<last_word: binary, last_cls: int, word: binary, cls: int, share: double, count: double>>"
-    rows = materialize(rows.mapInArrow(run, f"key long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, near {near}"))
-    # pairs with words that aren't in the model's table: these words' classes and counts are joined; what isn't found has its form's class
-    pairs = with_classes(rows.select("key", F.inline("near")), counts.where("number < 0").select("word", "n", "cls"))
+    near = StructType.fromDDL("near array<struct<last_h: long, last_cls: int, h: long, cls: int, share: double, count: double>>")
+    made = StructType([StructField("key", LongType()), docs.schema["doc_id"], StructField("held_out", BooleanType()), *(StructField(c, LongType()) for c in ("n_tokens", "n_known")), *(StructField(c, DoubleType()) for c in ("base", "score")), *near])
+    rows = materialize(rows.mapInArrow(run, made))
+    # pairs with words that aren't in the lexicon: these words' classes and counts are joined; what isn't found has its form's class
+    pairs = with_classes(rows.select("key", F.inline("near")), words.where("rare").select("h", "n", "cls"))
     k = len(model.move)
     at = lambda values, i: F.element_at(F.array(*[F.lit(float(v)) for v in values]), i + 1)
     count = F.coalesce(F.col("found") + F.lit(1.0), F.col("count"))

@@ -20,8 +20,9 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from levyframe.llm.common import drop_columns, read
+from levyframe.llm.common import drop_columns, packed, quoted, read, result_schema, unpacked
 
 #: How the tokenizer splits normalized text (as its file says, checked when it is read).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -218,7 +219,7 @@ def _together(column: pa.Array) -> Iterator[list[str]]:
 def _map_texts(docs: DataFrame, text_col: str, path: str, each, results: dict[str, tuple[str, pa.DataType]]) -> DataFrame:
     """docs with the text column replaced by the results; columns of docs with the results' names go."""
     docs = drop_columns(docs, list(results))
-    kept = [f for f in docs.schema.fields if f.name != text_col]
+    rows = packed(docs, [text_col], text=F.col(quoted(text_col)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
@@ -228,8 +229,8 @@ def _map_texts(docs: DataFrame, text_col: str, path: str, each, results: dict[st
             made = [pa.array(list(c), kind) for c, (_, kind) in zip(columns, results.values(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*batch.schema.names[:-1], *results])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{name} {kind}" for name, (kind, _) in results.items()])
-    return docs.select(*[f"`{f.name}`" for f in kept], text_col).mapInArrow(run, schema)
+    out = rows.mapInArrow(run, result_schema([rows.schema["rest"]], ", ".join(f"{name} {kind}" for name, (kind, _) in results.items())))
+    return out.select(*unpacked(out, [c for c in docs.columns if c != text_col]), *results)
 
 
 def encode_documents(docs: DataFrame, path: str, *, text_col: str = "text") -> DataFrame:

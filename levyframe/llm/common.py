@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from levyframe.sources.tables import materialize
+
+__all__ = ["BROADCAST_ROWS", "WORD", "broadcast_if_small", "drop_columns", "materialize", "n_words", "packed", "partitions", "quoted", "read", "result_schema", "row_hash", "unpacked"]
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,21 +23,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one where none is set, as in tests."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-shared-"))
-    return spark.conf.get("spark.checkpoint.dir").rstrip("/")
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """df written once as Parquet in the shared folder and read again: the lineage ends there, and lost executors lose none of it."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/levyframe-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has at most so many rows, else df as it is; df should be cheap to count (materialized)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
@@ -49,7 +37,32 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def quoted(name: str) -> str:
+    """A column's name as expressions take it, whatever it is made of."""
+    return f"`{name.replace('`', '``')}`"
+
+
 def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """df without columns of these names, whatever their case (Spark resolves names without case)."""
     low = {n.lower() for n in names}
-    return df.select([df[f"`{c}`"] for c in df.columns if c.lower() not in low])
+    return df.select([quoted(c) for c in df.columns if c.lower() not in low])
+
+
+def result_schema(kept: Iterable[StructField], results: str) -> StructType:
+    """The schema of rows that keep some fields and have results (as DDL) after them."""
+    return StructType([*kept, *StructType.fromDDL(results)])
+
+
+def packed(df: DataFrame, leave: Sequence[str] = (), **more: Column) -> DataFrame:
+    """df's columns, but for those to leave, in one struct `rest`, so that they clash with no other name; and more columns beside it."""
+    return df.select(F.struct(*[F.col(quoted(c)) for c in df.columns if c not in leave], F.lit(0).alias("__none")).alias("rest"), *[v.alias(k) for k, v in more.items()])
+
+
+def unpacked(df: DataFrame, names: Sequence[str], **new: Column) -> list[Column]:
+    """The columns of these names, out of `rest` or new."""
+    return [new[c].alias(c) if c in new else F.col("rest").getField(c).alias(c) for c in names]
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns; maps, which can't be hashed, go in as JSON, entry by entry."""
+    return F.xxhash64(*[F.to_json(F.struct(quoted(f.name))) if "map<" in f.dataType.simpleString() else F.col(quoted(f.name)) for f in df.schema.fields])

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from levyframe.llm.common import partitions, read
+from levyframe.llm.common import drop_columns, packed, partitions, quoted, read, result_schema, unpacked
 
 #: Values of a sketch, 16 bits each.
 SKETCH = 64
@@ -144,7 +144,8 @@ def fingerprint_documents(docs: DataFrame, *, text_col: str = "text") -> DataFra
     Texts are parsed whole.  Repeated rows and other columns pass unchanged; a
     column named fingerprint is replaced; an empty table gives an empty result.
     """
-    kept = [f for f in docs.schema.fields if f.name != text_col and f.name.lower() != "fingerprint"]
+    docs = drop_columns(docs, ["fingerprint"])
+    rows = packed(docs, [text_col], text=F.col(quoted(text_col)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,8 +153,8 @@ def fingerprint_documents(docs: DataFrame, *, text_col: str = "text") -> DataFra
             made = [r.tobytes().hex() for r in fingerprint_texts(texts).astype(">u2")]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, pa.string())], names=[*batch.schema.names[:-1], "fingerprint"])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["fingerprint string"])
-    return docs.select(*[f"`{f.name}`" for f in kept], text_col).mapInArrow(run, schema)
+    out = rows.mapInArrow(run, result_schema([rows.schema["rest"]], "fingerprint string"))
+    return out.select(*unpacked(out, [c for c in docs.columns if c != text_col]), "fingerprint")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -218,7 +219,7 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     first, and a single document by itself.  Null texts count as empty.
     Repeated rows follow each other.  An empty table gives an empty result.
     """
-    rows = with_next(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
+    rows = with_next(docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[int | None, str, str]] = []

@@ -24,8 +24,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from levyframe.llm.common import materialize, partitions, read
+from levyframe.llm.common import materialize, packed, partitions, quoted, read, result_schema, unpacked
 from levyframe.llm.components import connected_components
 
 #: Characters of a shingle; signature = BANDS * ROWS minima.
@@ -374,13 +375,13 @@ def line_links(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
 
 
 def _row_key(id_col: str, text_col: str):
-    return F.xxhash64(F.col(id_col), F.col(text_col))
+    return F.xxhash64(quoted(id_col), quoted(text_col))
 
 
 def repeated_lines(docs: DataFrame, similarity: float = 0.8, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, numbers): for each row key the numbers of its lines (from 0) that go."""
-    occur = materialize(docs.select(_row_key(id_col, text_col).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_occurrences, f"line long, row long, id {docs.schema[id_col].dataType.simpleString()}, number int"))
-    components = line_links(docs.select(F.col(text_col).alias("text")), similarity)
+    occur = materialize(docs.select(_row_key(id_col, text_col).alias("row"), F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text")).mapInArrow(_occurrences, StructType.fromDDL("line long, row long").add("id", docs.schema[id_col].dataType).add("number", "integer")))
+    components = line_links(docs.select(F.col(quoted(text_col)).alias("text")), similarity)
     counts = occur.groupBy("line").agg(F.count("*").alias("n"))
     lines = counts.join(components, "line", "left").where("n > 1 or component is not null")
     lines = materialize(lines.select("line", "n", F.coalesce("component", "line").alias("component")))
@@ -412,10 +413,10 @@ def _without(text: str | None, gone: set[int] | None, first: bool) -> tuple[str
 
 
 def _deduped(docs: DataFrame, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """docs with __text, __gone (numbers of lines) and __first (False for what repeats a row)."""
+    """rest (docs' other columns), numbers (of the lines that go), first (False for what repeats a row) and text."""
     gone = repeated_lines(docs, similarity, id_col=id_col, text_col=text_col)
-    rows = docs.withColumn("__row", _row_key(id_col, text_col)).join(gone.select(F.col("row").alias("__row"), F.col("numbers").alias("__gone")), "__row", "left")
-    return rows.withColumn("__first", F.row_number().over(W.partitionBy("__row").orderBy("__row")) == 1)
+    rows = packed(docs, [text_col], row=_row_key(id_col, text_col), text=F.col(quoted(text_col))).join(gone, "row", "left")
+    return rows.select("rest", "numbers", (F.row_number().over(W.partitionBy("row").orderBy("row")) == 1).alias("first"), "text")
 
 
 def dedup_lines(docs: DataFrame, similarity: float = 0.8, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -428,22 +429,21 @@ def dedup_lines(docs: DataFrame, similarity: float = 0.8, *, id_col: str = "doc_
     eight characters are only like themselves.  An empty table gives an empty
     result, and other columns pass unchanged.
     """
-    names = docs.columns
     rows = _deduped(docs, similarity, id_col, text_col)
-    carried = rows.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col], F.lit(0).alias("__none")).alias("__rest"), "__gone", "__first", F.col(text_col).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [_without(t.as_py(), g.as_py() and set(g.as_py()), f.as_py())[0] for g, f, t in zip(batch.column(1), batch.column(2), batch.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], names=["__rest", "__text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], names=["rest", "text"])
 
-    out = carried.mapInArrow(run, f"__rest {carried.schema['__rest'].dataType.simpleString()}, __text string")
-    return out.select([F.col("__text").alias(c) if c == text_col else F.col("__rest").getField(c).alias(c) for c in names])
+    out = rows.mapInArrow(run, result_schema([rows.schema["rest"]], "text string"))
+    return out.select(unpacked(out, docs.columns, **{text_col: F.col("text")}))
 
 
 def line_digests(docs: DataFrame, similarity: float = 0.8, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines, n_removed, kept_sha256 (of the text that is left; null counts as empty) a document; edge cases as in dedup_lines."""
-    rows = _deduped(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), similarity, "doc_id", "text")
+    docs = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text"))
+    rows = _deduped(docs, similarity, "doc_id", "text").select("rest.doc_id", "numbers", "first", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -451,8 +451,7 @@ def line_digests(docs: DataFrame, similarity: float = 0.8, *, id_col: str = "doc
             sha = [hashlib.sha256((t or "").encode()).hexdigest() for t, _, _ in made]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for _, n, _ in made], pa.int64()), pa.array([n for _, _, n in made], pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_lines", "n_removed", "kept_sha256"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return rows.select("doc_id", "__gone", "__first", "text").mapInArrow(run, f"doc_id {kind}, n_lines long, n_removed long, kept_sha256 string")
+    return rows.mapInArrow(run, result_schema([rows.schema["doc_id"]], "n_lines long, n_removed long, kept_sha256 string"))
 
 
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

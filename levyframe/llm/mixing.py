@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from levyframe.llm.common import broadcast_if_small, drop_columns, materialize, n_words, read
+from levyframe.llm.common import broadcast_if_small, drop_columns, materialize, n_words, packed, quoted, read, row_hash, unpacked
 
 #: Bits of each histogram level; together the 60 bits of a hash.
 LEVELS = (12, 12, 12, 12, 12)
@@ -79,43 +79,59 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return state.select("source", "source_size", "target", "passes", F.coalesce("lo", F.lit(0)).cast("long").alias("cut"), F.coalesce("rows", F.lit(0)).cast("long").alias("ties"), F.coalesce(taken, F.lit(0)).cast("long").alias("ties_taken"))
 
 
-def mix_sources(
-    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
-) -> DataFrame:
+def _taken(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """rest (docs' columns) with size, source_size, target and taken."""
+    text = F.col(quoted(text_col))
+    mine = {"of": F.col(quoted(source_col)), "size": n_words(text), "hash": document_hash(F.col(quoted(id_col)), text)}
+    sized = materialize(docs.select([v.alias(k) for k, v in mine.items()]).withColumnRenamed("of", "source"))
+    by_source = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
+    cuts = materialize(thresholds(sized, source_targets(by_source, weights, share, most)))
+    tied = cuts.where("ties > 1 and ties_taken > 0 and ties_taken < ties").limit(1).count() > 0
+    rows = packed(docs, **mine, **({"row": row_hash(docs)} if tied else {})).join(broadcast_if_small(cuts), F.col("of").eqNullSafe(F.col("source")))
+    at_cut = (F.col("hash") == F.col("cut")) & (F.col("size") > 0) & (F.col("ties") > 0)
+    if tied:
+        rows = rows.where(~at_cut).withColumn("n", F.lit(0).cast("long")).unionByName(numbered(materialize(rows.where(at_cut).withColumn("part", F.spark_partition_id()))))
+        more = F.when(at_cut, F.col("n") <= F.col("ties_taken")).otherwise(F.col("hash") < F.col("cut"))
+    else:
+        more = F.when(at_cut, F.col("ties_taken") > 0).otherwise(F.col("hash") < F.col("cut"))
+    taken = F.col("size") * (F.col("passes") + more.cast("long"))
+    return rows.select("rest", "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
+def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, **columns: str) -> DataFrame:
     """docs with size, source_size, target and taken (words the mix takes of the document, repeats counted).
 
     Sources in code point order, null last, weigh `weights` in turn.  Null and
     empty texts have size 0 and are never taken.  Null ids, repeated rows and
-    ties are fine: equal rows at a threshold are numbered, and as many of them
-    are taken as the budget asks for.  An empty table gives an empty result.
-    Columns of docs with the names of the four results are replaced.
+    ties are fine: rows of one hash at a threshold are numbered, in the order of
+    a hash of all their columns, and as many are taken as the budget asks for.
+    An empty table gives an empty result.  Columns of docs with the names of the
+    four results are replaced.  columns: id_col, text_col, source_col.
     """
     docs = drop_columns(docs, ["size", "source_size", "target", "taken"])
-    mine = {"__size": n_words(F.col(text_col)), "__hash": document_hash(F.col(id_col), F.col(text_col))}
-    sized = materialize(docs.select(F.col(source_col).alias("source"), mine["__size"].alias("size"), mine["__hash"].alias("hash")))
-    by_source = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
-    cuts = materialize(thresholds(sized, source_targets(by_source, weights, share, most)))
-    tied = cuts.where("ties > 1 and ties_taken > 0 and ties_taken < ties").limit(1).count() > 0
-    names = {"source": "__source", "source_size": "__source_size", "target": "__target", "passes": "__passes", "cut": "__cut", "ties": "__ties", "ties_taken": "__ties_taken"}
-    cuts = broadcast_if_small(cuts.select([F.col(a).alias(b) for a, b in names.items()]))
-    rows = docs.withColumns(mine).join(cuts, F.col(source_col).eqNullSafe(F.col("__source")))
-    at_cut = (F.col("__hash") == F.col("__cut")) & (F.col("__size") > 0) & (F.col("__ties") > 0)
-    if tied:
-        # equal rows are alike, so any numbering of them gives the same result
-        number = F.row_number().over(Window.partitionBy("__source").orderBy("__hash"))
-        rows = rows.where(~at_cut).withColumn("__n", F.lit(0)).unionByName(rows.where(at_cut).withColumn("__n", number))
-        more = F.when(at_cut, F.col("__n") <= F.col("__ties_taken")).otherwise(F.col("__hash") < F.col("__cut"))
-    else:
-        more = F.when(at_cut, F.col("__ties_taken") > 0).otherwise(F.col("__hash") < F.col("__cut"))
-    taken = F.col("__size") * (F.col("__passes") + more.cast("long"))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), taken.cast("long").alias("taken"))
+    rows = _taken(docs, weights, share, most, **columns)
+    return rows.select(*unpacked(rows, docs.columns), "size", "source_size", "target", "taken")
+
+
+def numbered(ties: DataFrame) -> DataFrame:
+    """Rows with of, row (a hash) and part (where they were written) -> n from 1 for each `of`, by row, then part; without part.
+
+    Rows of one hash are alike, so any order of them gives the same result;
+    they are numbered part by part, so no task gets all of a source.
+    """
+    counts = ties.groupBy("of", "row", "part").agg(F.count("*").alias("k"))
+    before = F.sum("k").over(Window.partitionBy("of").orderBy("row", "part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select(F.col("of").alias("o"), F.col("row").alias("r"), F.col("part").alias("p"), F.coalesce(before, F.lit(0)).alias("start"))
+    own = F.row_number().over(Window.partitionBy("of", "row", "part").orderBy("hash"))
+    rows = ties.withColumn("own", own).join(starts, F.col("of").eqNullSafe(F.col("o")) & (F.col("row") == F.col("r")) & (F.col("part") == F.col("p")))
+    return rows.withColumn("n", F.col("own") + F.col("start")).drop("own", "start", "o", "r", "p", "part")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as often as it is taken, in the columns of docs."""
-    mix = mix_sources(docs, **options)
+    """The mix itself: each document as often as it is taken, in the columns of docs; edge cases and options as in mix_sources."""
     times = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int")
-    return mix.where("taken > 0").withColumn("__time", F.explode(F.sequence(F.lit(1), times))).select(docs.columns)
+    taken = _taken(docs, **options).where("taken > 0").select("rest", F.explode(F.sequence(F.lit(1), times)))
+    return taken.select(unpacked(taken, docs.columns))
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

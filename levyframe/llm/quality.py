@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from levyframe.llm.common import broadcast_if_small, drop_columns, materialize, read
+from levyframe.llm.common import broadcast_if_small, drop_columns, materialize, packed, quoted, read, result_schema, unpacked
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
@@ -57,10 +57,10 @@ def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def measured(keys: DataFrame, text_col: str) -> DataFrame:
-    """keys with the text column, which comes last, replaced by the MEASURES."""
+    """keys with the text column replaced by the MEASURES, which come last."""
     kept = [f for f in keys.schema.fields if f.name != text_col]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{m} long" for m in MEASURES])
-    return keys.select(*[f"`{f.name}`" for f in kept], text_col).mapInArrow(_measure_batches, schema)
+    schema = result_schema(kept, ", ".join(f"{m} long" for m in MEASURES))
+    return keys.select(*[quoted(f.name) for f in kept], quoted(text_col)).mapInArrow(_measure_batches, schema)
 
 
 def base_failed(min_words: int = 10, most_repeated: int = 20):
@@ -72,7 +72,7 @@ def host_verdicts(judged: DataFrame, most_failing: float = 0.5) -> DataFrame:
     """(host, base_failed) rows -> host, n, failed, rate, host_kept; one row a host, null hosts left out.
 
     The beta prior has the mean and the strength that the hosts' own rates
-    suggest (method of moments over hosts).  With one host, or with rates that
+    suggest (method of moments over hosts), a strength of 1 at least.  With one host, or with rates that
     spread no more than chance does, the prior is as strong as the largest host
     allows: then every rate is the mean.
     """
@@ -97,24 +97,24 @@ def quality_verdicts(docs: DataFrame, most_failing: float = 0.5, *, text_col: st
     gives an empty result.  Columns of docs with the results' names are replaced.
     """
     docs = drop_columns(docs, [*MEASURES, "base_failed", "kept"])
-    rows = materialize(measured(docs.select([c for c in docs.columns if c != text_col] + [text_col]), text_col).withColumn("base_failed", base_failed()))
-    bad = materialize(host_verdicts(rows.select(F.col(host_col).alias("host"), "base_failed"), most_failing).where("not host_kept").select(F.col("host").alias("__host")))
-    rows = rows.join(broadcast_if_small(bad), F.col(host_col) == F.col("__host"), "left")
-    return rows.withColumn("kept", ~F.col("base_failed") & F.col("__host").isNull()).drop("__host")
+    rows = materialize(measured(packed(docs, [text_col], host=F.col(quoted(host_col)), text=F.col(quoted(text_col))), "text").withColumn("base_failed", base_failed()))
+    bad = materialize(host_verdicts(rows.select("host", "base_failed"), most_failing).where("not host_kept").select(F.col("host").alias("bad")))
+    rows = rows.join(broadcast_if_small(bad), F.col("host") == F.col("bad"), "left")
+    kept = ~F.col("base_failed") & F.col("bad").isNull()
+    return rows.select(*unpacked(rows, [c for c in docs.columns if c != text_col]), *MEASURES, "base_failed", kept.alias("kept"))
 
 
 def quality_documents(docs: DataFrame, most_failing: float = 0.5, *, text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """The documents that are kept, in the columns of docs.
+    """The documents that are kept, in the columns of docs; edge cases as in quality_verdicts.
 
     The hosts are judged in a first pass over host and text alone; the second
     pass measures again instead of moving texts through a join.
     """
-    first = materialize(measured(docs.select(F.col(host_col).alias("host"), text_col), text_col).select("host", base_failed().alias("base_failed")))
-    bad = materialize(host_verdicts(first, most_failing).where("not host_kept").select(F.col("host").alias("__host")))
-    names = docs.columns
-    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), F.col(host_col).alias("__source"), F.col(text_col).alias("__text"))
-    rows = measured(carried, "__text").where(~base_failed()).join(broadcast_if_small(bad), F.col("__source") == F.col("__host"), "left_anti")
-    return rows.select([F.col("__row").getField(c).alias(c) for c in names])
+    text, host = F.col(quoted(text_col)), F.col(quoted(host_col))
+    first = materialize(measured(docs.select(host.alias("host"), text.alias("text")), "text").select("host", base_failed().alias("base_failed")))
+    bad = materialize(host_verdicts(first, most_failing).where("not host_kept").select(F.col("host").alias("bad")))
+    rows = measured(packed(docs, host=host, text=text), "text").where(~base_failed()).join(broadcast_if_small(bad), F.col("host") == F.col("bad"), "left_anti")
+    return rows.select(unpacked(rows, docs.columns))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from levyframe.llm.common import drop_columns, materialize, partitions, read
+from levyframe.llm.common import materialize, packed, partitions, quoted, read, result_schema, row_hash, unpacked
 from levyframe.llm.components import connected_components
 
 #: Fingerprints at home at one anchor that are compared in one group; more are split.
@@ -227,8 +227,7 @@ def fingerprints(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
             made = np.fromiter((fingerprint(t.as_py()) for t in texts), np.uint64, len(texts)).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made)], names=[*batch.schema.names[:-1], "fp"])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["fp long"])
-    return docs.select(*[f"`{f.name}`" for f in kept], text_col).mapInArrow(run, schema)
+    return docs.select(*[quoted(f.name) for f in kept], quoted(text_col)).mapInArrow(run, result_schema(kept, "fp long"))
 
 
 def near_groups(printed: DataFrame, threshold: int = 4, *, id_col: str = "doc_id") -> DataFrame:
@@ -252,24 +251,27 @@ def simhash_components(docs: DataFrame, threshold: int = 4, *, id_col: str = "do
     Null ids are ignored for component_id, unless a group has no others.
     Repeated rows stay repeated; an empty table gives an empty result.
     """
-    printed = materialize(fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))))
+    printed = materialize(fingerprints(docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text"))))
     groups = near_groups(printed, threshold)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return printed.join(groups, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
 def simhash_documents(docs: DataFrame, threshold: int = 4, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each group: that with the smallest id (null last), then the smallest hash of the row."""
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    keyed = docs.select(F.col(id_col).alias("__id"), row_hash.alias("__row"), F.col(text_col).alias("text"))
-    printed = materialize(fingerprints(keyed))
-    groups = near_groups(printed, threshold, id_col="__id")
-    first = F.min(F.struct(F.col("__id").isNull().alias("n"), "__id", "__row")).alias("first")
-    chosen = printed.join(groups.select("fp", "label"), "fp").groupBy("label").agg(first).select(F.col("first.__id").alias("__k"), F.col("first.__row").alias("__r"))
-    rows = docs.withColumns({"__id": F.col(id_col), "__row": row_hash})
+    """docs with one document of each group: that with the smallest id (null last), then the smallest hash of the row.
+
+    Null and wordless texts are a group; of repeated rows one stays; columns
+    of any name and type pass unchanged; an empty table gives an empty result.
+    """
+    keys = {"id": F.col(quoted(id_col)), "row": row_hash(docs)}
+    printed = materialize(fingerprints(docs.select(*[v.alias(k) for k, v in keys.items()], F.col(quoted(text_col)).alias("text"))))
+    groups = near_groups(printed, threshold, id_col="id")
+    first = F.min(F.struct(F.col("id").isNull().alias("n"), "id", "row")).alias("first")
+    chosen = printed.join(groups.select("fp", "label"), "fp").groupBy("label").agg(first).select(F.col("first.id").alias("k"), F.col("first.row").alias("r"))
+    rows = packed(docs, **keys)
     # equal rows are one group; the join has put them together already
-    kept = rows.join(chosen, rows["__id"].eqNullSafe(chosen["__k"]) & (rows["__row"] == chosen["__r"]), "left_semi")
-    return kept.dropDuplicates(["__row", "__id"]).select(docs.columns)
+    kept = rows.join(chosen, F.col("id").eqNullSafe(F.col("k")) & (F.col("row") == F.col("r")), "left_semi").dropDuplicates(["row", "id"])
+    return kept.select(unpacked(kept, docs.columns))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

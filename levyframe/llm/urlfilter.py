@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from levyframe.llm.common import drop_columns, read
+from levyframe.llm.common import drop_columns, packed, quoted, read, result_schema, unpacked
 
 ORDER = 5
 #: Labelled URLs of each kind that the models are fitted to and calibrated with, by hash; this bounds the model, which goes to all tasks.
@@ -61,7 +61,7 @@ def rule_for(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     """The longest rule that fits, else null; of equally long ones the first."""
     found = F.lit(None).cast("string")
     for r in sorted(rules, key=lambda r: len(r.rule)):  # longer ones go outermost
-        fits = ((host == r.host) | host.endswith("." + r.host)) & F.when(F.lit(r.path == "/"), F.lit(True)).otherwise(path.startswith(r.path))
+        fits = ((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path)
         found = F.when(fits, F.lit(r.rule)).otherwise(found)
     return found
 
@@ -160,8 +160,7 @@ def with_scores(rows: DataFrame, ratio: Ratio, text_col: str) -> DataFrame:
             scores = [model.score(t or "") for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], "score"])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["score double"])
-    return rows.select(*[f"`{f.name}`" for f in kept], text_col).mapInArrow(run, schema)
+    return rows.select(*[quoted(f.name) for f in kept], quoted(text_col)).mapInArrow(run, result_schema(kept, "score double"))
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, *, url_col: str = "url") -> DataFrame:
@@ -174,16 +173,16 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, *, url_col: str
     kinds all that no rule fits is allowed; an empty table gives an empty
     result.  Columns of pages with the results' names are replaced.
     """
-    host, path = url_parts(F.col(url_col))
+    host, path = url_parts(F.col(quoted(url_col)))
     kept = drop_columns(pages, ["host", "path", "rule", "verdict", "score"])
-    parts = kept.withColumns({"host": host, "path": path}).drop(url_col)
-    ruled = parts.withColumn("rule", rule_for(F.col("host"), F.col("path"), rules)).withColumn("__text", F.concat("host", "path"))
+    parts = packed(kept, [url_col], host=host, path=path)
+    ruled = parts.withColumn("rule", rule_for(F.col("host"), F.col("path"), rules)).withColumn("text", F.concat("host", "path"))
     allowed = F.col("rule").isin([r.rule for r in rules if r.verdict == "allow"])
-    ratio = fit_ratio(ruled.where("rule is not null").select(F.col("__text").alias("text"), allowed.alias("accepted")))
-    scored = with_scores(ruled, ratio, "__text")
+    ratio = fit_ratio(ruled.where("rule is not null").select("text", allowed.alias("accepted")))
+    scored = with_scores(ruled, ratio, "text")
     by_rule = F.when(allowed, "allow").when(F.col("rule").isNotNull(), "block")
     verdict = F.coalesce(by_rule, F.when(F.col("score") >= 0, "allow").otherwise("block"))
-    return scored.select(*[f"`{c}`" for c in kept.columns if c != url_col], "host", "path", "rule", verdict.alias("verdict"), "score")
+    return scored.select(*unpacked(scored, [c for c in kept.columns if c != url_col]), "host", "path", "rule", verdict.alias("verdict"), "score")
 
 
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ def parts(url):
 
 
 def rule_of(host, path):
-    fits = [r for r in RULES if (host == r.host or host.endswith("." + r.host)) and (r.path == "/" or path.startswith(r.path))]
+    fits = [r for r in RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
     return max(fits, key=lambda r: len(r.rule), default=None)
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from levyframe.llm.common import materialize, partitions, read
+from levyframe.llm.common import columns_of, materialize, partitions, read
 
 #: At most so many frequent words are known to all tasks (14 bytes each), so many words and as many forms are clustered first, and so many classes (127 at most).
 WORDS, UNITS, CLASSES = 2_000_000, 480, 40
@@ -231,9 +231,8 @@ def _cells(table: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
 def _table(rows: DataFrame, k: int) -> np.ndarray:
     """(u, v, n) rows summed up by Spark; at most k * k of them come here."""
     out = np.zeros((k, k))
-    summed = rows.groupBy("u", "v").agg(F.sum("n").alias("n")).toPandas()
-    for u, v, n in summed.itertuples(index=False):
-        out[u, v] = n
+    u, v, n = columns_of(rows.groupBy("u", "v").agg(F.sum("n").alias("n")))
+    out[u, v] = n
     return out
 
 
@@ -318,8 +317,8 @@ def word_classes(texts: DataFrame, units: Units, classes: np.ndarray, pairs: np.
     size = np.maximum(pairs.sum(axis=1, keepdims=True), 1)
     prior = SMOOTH * _log_likelihoods(pairs @ member / size, pairs.T @ member / size, table)
     weights = _log_likelihoods(np.eye(2 * k)[:, k:], np.eye(2 * k)[:, :k], table)
-    frequent = counts.where(most_frequent(counts, DENSE)).select(F.xxhash64("word").alias("h"), "word").toPandas().sort_values("h")  # at most DENSE rows
-    dense = frequent["h"].to_numpy(np.int64), units.form_of([bytes(w) for w in frequent["word"]])
+    frequent = counts.where(most_frequent(counts, DENSE)).select(F.xxhash64("word").alias("h"), "word").toArrow().sort_by("h")  # at most DENSE rows
+    dense = frequent["h"].to_numpy(), units.form_of(frequent["word"].to_pylist())
     own = Slice(list(units.top), np.zeros(0), np.zeros(0)).hashes()
     order = np.argsort(own)
     fixed, fixed_cls = own[order], classes[np.fromiter(units.top.values(), np.int64, len(own))[order]]
@@ -480,8 +479,10 @@ def fit_brown(train: DataFrame) -> tuple[BrownModel, DataFrame]:
     k = int(classes.max()) + 1
     words = word_classes(train, units, classes, pairs, counts)
     words = words.withColumn("rare", ~most_frequent(words, WORDS))
-    frequent = words.where("not rare").select("h", "n", "cls").toPandas().sort_values("h")  # at most WORDS rows
-    lexicon = Lexicon(frequent["h"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64).astype(np.uint32 if (totals.n or 0) < 1 << 32 else np.int64), frequent["cls"].to_numpy(np.int16), units, classes)
+    known = [F.col("n").cast("int") if (totals.n or 0) < 1 << 31 else F.col("n"), F.col("cls").cast("short")]
+    h, n, cls = columns_of(words.where("not rare").select("h", *known))  # at most WORDS rows
+    order = np.argsort(h)
+    lexicon = Lexicon(h[order], n[order], cls[order], units, classes)
     table = class_pairs(train, lexicon, k, words.where("rare")) + ALPHA
     sizes = np.bincount(classes[len(units.top) :], minlength=k) * 0.5  # so that no form is impossible
     sizes[classes[units.end]] += texts

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from levyframe.sources.tables import materialize
 
-__all__ = ["BROADCAST_ROWS", "WORD", "broadcast_if_small", "drop_columns", "materialize", "n_words", "packed", "partitions", "quoted", "read", "result_schema", "row_hash", "unpacked"]
+__all__ = ["BROADCAST_ROWS", "WORD", "broadcast_if_small", "columns_of", "drop_columns", "materialize", "n_words", "packed", "partitions", "quoted", "read", "result_schema", "row_hash", "unpacked"]
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,6 +43,11 @@ def quoted(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
 
 
+def columns_of(df: DataFrame) -> list[np.ndarray]:
+    """The columns of a few narrow rows without nulls, brought to the driver as arrays."""
+    return [c.to_numpy() for c in df.toArrow().columns]
+
+
 def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """df without columns of these names, whatever their case (Spark resolves names without case)."""
     low = {n.lower() for n in names}

@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from levyframe.llm.common import materialize, packed, partitions, quoted, read, result_schema, unpacked
+from levyframe.llm.common import columns_of, materialize, packed, partitions, quoted, read, result_schema, unpacked
 from levyframe.llm.components import connected_components
 
 #: Characters of a shingle; signature = BANDS * ROWS minima.
@@ -37,6 +37,8 @@ FILTER_BITS = 1 << 24
 REMEMBERED = 500_000
 #: Lines of a group that are compared with each other in one block; candidate pairs of a block above which their shingles are counted for all pairs at once.
 BLOCK, CANDIDATES = 512, 50_000
+#: Lines whose pairs are all compared without a look at their rarest shingles; pairs of lines that are marked at once.
+FEW, PAIRS = 24, 2_000_000
 #: Characters of lines whose shingles are hashed at once.
 TOGETHER = 500_000
 
@@ -183,11 +185,17 @@ def shingle_sets(lines: list[str], size: int = SHINGLE) -> list[np.ndarray]:
     for j in range(size):
         h = (h + points[j : j + total] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     h = _mix(h)
-    return [np.unique(h[a : a + n - size + 1]) for a, n in zip(starts, counts, strict=True)]
+    sets = []
+    for a, n in zip(starts, counts, strict=True):
+        x = np.sort(h[a : a + n - size + 1])
+        sets.append(x[np.append(True, x[1:] != x[:-1])])
+    return sets
 
 
 def set_jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    every = np.concatenate((a, b))
+    every.sort()
+    both = int(np.count_nonzero(every[1:] == every[:-1]))  # neither has a hash twice
     return both / (len(a) + len(b) - both)
 
 
@@ -261,11 +269,15 @@ def candidate_pairs(sets: list[np.ndarray], similarity: float) -> np.ndarray:
     picked = order[position < np.repeat(first, sizes)]
     picked = picked[times[token[picked]] > 1]
     picked = picked[np.argsort(token[picked], kind="stable")]
-    near = np.zeros((n, n), bool)
-    cuts = np.flatnonzero(np.diff(token[picked])) + 1
-    for rows in np.split(row[picked], cuts):
-        if len(rows) > 1:
-            near[np.ix_(rows, rows)] = True
+    rows, size = row[picked], np.unique(token[picked], return_counts=True)[1]
+    begin, near = np.cumsum(size) - size, np.zeros((n, n), bool)
+    # all pairs of each shingle's lines, some shingles at a time
+    for some in np.split(np.arange(len(size)), np.flatnonzero(np.diff(np.cumsum(size**2) // PAIRS)) + 1):
+        if len(some):
+            each = np.repeat(size[some], size[some])  # an element's partners
+            left = np.arange(begin[some[0]], begin[some[-1]] + size[some[-1]])
+            place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+            near[np.repeat(rows[left], each), rows[np.repeat(np.repeat(begin[some], size[some]), each) + place]] = True
     return near & (np.minimum.outer(sizes, sizes) >= similarity * np.maximum.outer(sizes, sizes) - 1e-9)
 
 
@@ -274,12 +286,15 @@ def block_links(components: list[int], texts: list[str], similarity: float) -> l
     first: dict[int, int] = {}
     label = np.array([first.setdefault(c, i) for i, c in enumerate(components)])
     sets = shingle_sets(texts)
-    near = candidate_pairs(sets, similarity) & (label[:, None] != label[None, :])
+    sizes = [len(x) for x in sets]
+    near = label[:, None] != label[None, :]
+    if len(sets) > FEW:
+        near &= candidate_pairs(sets, similarity)
     if near.sum() > 2 * CANDIDATES:
         near &= alike_pairs(sets, similarity)
         alike = lambda i, j: True
     else:
-        alike = lambda i, j: set_jaccard(sets[i], sets[j]) >= similarity
+        alike = lambda i, j: min(sizes[i], sizes[j]) >= similarity * max(sizes[i], sizes[j]) - 1e-9 and set_jaccard(sets[i], sets[j]) >= similarity
     parent = list(label)
     links = []
 
@@ -329,9 +344,9 @@ def line_links(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
     pairs = groups.select("leader", "line").distinct()
     ends = groups.select("leader").unionByName(groups.select(F.col("line").alias("leader")))
     bit = F.col("leader").bitwiseAND(FILTER_BITS - 1)
-    words = ends.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast((leader & {FILTER_BITS - 1}) & 63 as int))")).alias("bits")).toPandas()
+    at, bits = columns_of(ends.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast((leader & {FILTER_BITS - 1}) & 63 as int))")).alias("bits")))
     filled = np.zeros(FILTER_BITS // 64, np.int64)
-    filled[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    filled[at] = bits
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = filled.view(np.uint8)

@@ -25,8 +25,8 @@ START, END = "### ", "</turn>\n"
 #: What is escaped, in the order of escaping.
 ESCAPES = (("\\", "\\b"), ("###", "\\h"), ("</turn>", "\\t"))
 ROLE_ESCAPES = (*ESCAPES, (":", "\\c"))
-#: Turns that one fold goes over, whatever the conversation's length; no window spans two such blocks.
-BLOCK = 1024
+#: Turns, and tokens but for those of one turn, that one fold goes over, whatever the conversation's length; no window spans two such blocks.
+BLOCK, BLOCK_TOKENS = 1024, 1 << 20
 
 
 def escape(text: Column, marks=ESCAPES) -> Column:
@@ -37,19 +37,24 @@ def unescape(text: Column, marks=ESCAPES) -> Column:
     return reduce(lambda c, m: F.replace(c, F.lit(m[1]), F.lit(m[0])), reversed(marks), text)
 
 
-def _window_starts(rows: DataFrame) -> DataFrame:
-    """(conv_id, n, own, cap) -> conv_id, n, window: turns are put together, in order of n, as long as their own tokens fit cap; window is the number of turns before its first."""
-    blocks = rows.groupBy("conv_id", F.floor((F.col("n") - 1) / BLOCK).alias("block")).agg(F.array_sort(F.collect_list(F.struct("n", "own"))).alias("list"), F.max("cap").alias("cap"))
-    none = F.array().cast("array<struct<n: bigint, window: bigint>>")
+def _in_windows(rows: DataFrame) -> DataFrame:
+    """Rows with conv_id, n, before, own and cap, and more -> also window: turns are put together, in order of n, as long as
+    their own tokens fit cap; window is the number of turns before its first."""
+    names = [c for c in rows.columns if c != "conv_id"]
+    turn = F.struct("n", *[c for c in names if c != "n"])
+    keys = [F.floor((F.col("n") - 1) / BLOCK).alias("block"), F.floor(F.col("before") / BLOCK_TOKENS).alias("tokens_block")]
+    blocks = rows.groupBy("conv_id", *keys).agg(F.array_sort(F.collect_list(turn)).alias("list"))
 
     def add(so_far: Column, turn: Column) -> Column:
-        full = (so_far["used"] > 0) & (so_far["used"] + turn["own"] > F.col("cap"))
+        full = (so_far["used"] > 0) & (so_far["used"] + turn["own"] > turn["cap"])
         window = F.when(full, turn["n"] - 1).otherwise(so_far["window"])
         used = F.when(full, turn["own"]).otherwise(so_far["used"] + turn["own"])
-        return F.struct(used.alias("used"), window.alias("window"), F.concat(so_far["all"], F.array(F.struct(turn["n"].alias("n"), window.alias("window")))).alias("all"))
+        return F.struct(used.alias("used"), window.alias("window"), F.concat(so_far["all"], F.array(window)).alias("all"))
 
-    start = F.struct(F.lit(0).cast("long").alias("used"), (F.col("block") * BLOCK).cast("long").alias("window"), none.alias("all"))
-    return blocks.select("conv_id", F.inline(F.aggregate("list", start, add)["all"]))
+    start = F.struct(F.lit(0).cast("long").alias("used"), (F.col("list")[0]["n"] - 1).alias("window"), F.array().cast("array<bigint>").alias("all"))
+    windows = F.aggregate("list", start, add)["all"]
+    made = blocks.select("conv_id", F.inline(F.arrays_zip(F.col("list").alias("turn"), windows.alias("window"))))
+    return made.select("conv_id", "window", *[F.col(f"turn.{c}").alias(c) for c in names])
 
 
 def format_windows(turns: DataFrame, budget: int = 512, history: int = 128) -> DataFrame:
@@ -82,9 +87,8 @@ def format_windows(turns: DataFrame, budget: int = 512, history: int = 128) -> D
     rows = rows.withColumn("system", F.first(F.when(is_system, F.col("tokens")).otherwise(0)).over(conv.rowsBetween(Window.unboundedPreceding, 0)))
     # tokens of turns between the system turn and this one; a turn's own, of which the system turn has none
     rows = rows.withColumn("before", F.greatest(F.col("upto") - F.col("tokens") - F.col("system"), F.lit(0))).withColumn("own", F.when(is_system, 0).otherwise(F.col("tokens")))
-    starts = _window_starts(rows.select("conv_id", "n", "own", F.greatest(F.lit(1), F.lit(budget - history) - F.col("system")).alias("cap")))
-    starts = starts.select(F.col("conv_id").alias("c"), F.col("n").alias("k"), "window")
-    rows = rows.join(starts, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("n") == F.col("k"))).drop("c", "k")
+    rows = _in_windows(rows.drop("tokens", "upto", "turn").withColumn("cap", F.greatest(F.lit(1), F.lit(budget - history) - F.col("system"))))
+    is_system = (F.col("n") == 1) & (F.col("role") == "system")
     rows = rows.withColumn("piece", F.concat(F.lit(START), escape(F.col("role"), ROLE_ESCAPES), F.lit(": "), escape(F.col("text")), F.lit(END)))
     # in descending order the rows so far are those of later windows
     later = Window.partitionBy("conv_id").orderBy(F.col("window").desc()).rangeBetween(Window.unboundedPreceding, -1)
@@ -157,15 +161,18 @@ p as (
   from r window c as (partition by conv_id order by n rows between unbounded preceding and current row)),
 w as (
   select *, greatest(upto - tokens - system, 0) as before, case when has_system and n = 1 then 0 else tokens end as own,
-         greatest(1, 512 - 128 - system) as cap
+         greatest(1, 512 - 128 - system) as cap, (n - 1) // 1024 as block, greatest(upto - tokens - system, 0) // 1048576 as tokens_block
   from p),
+f as (
+  select *, n = 1 or block <> lag(block) over c or tokens_block <> lag(tokens_block) over c as opens
+  from w window c as (partition by conv_id order by n)),
 g as (
-  select conv_id, n, own as used, n - 1 as win from w where (n - 1) % 1024 = 0
+  select conv_id, n, own as used, n - 1 as win from f where opens
   union all
   select w.conv_id, w.n, case when g.used > 0 and g.used + w.own > w.cap then w.own else g.used + w.own end,
          case when g.used > 0 and g.used + w.own > w.cap then w.n - 1 else g.win end
-  from g join w on w.conv_id is not distinct from g.conv_id and w.n = g.n + 1
-  where (w.n - 1) % 1024 <> 0),
+  from g join f w on w.conv_id is not distinct from g.conv_id and w.n = g.n + 1
+  where not w.opens),
 v as (
   select w.*, g.win,
          4 + length(replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\t'), ':', '\c')) + 2

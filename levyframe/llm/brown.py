@@ -36,13 +36,13 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, St
 from levyframe.llm.common import columns_of, materialize, partitions, read
 
 #: At most so many frequent words are known to all tasks (14 bytes each), so many words and as many forms are clustered first, and so many classes (127 at most).
-WORDS, UNITS, CLASSES = 2_000_000, 480, 40
+WORDS, UNITS, CLASSES = 200_000, 480, 40
 #: Frequent words whose neighbours a task sums up in one table; those of others are handed on slice by slice.
 DENSE = 100_000
 #: Weight of the class model in the mix; smoothing of class transitions.
 WEIGHT, ALPHA = 0.95, 0.1
 #: Words that a task counts before it hands on what it has; bytes of texts that are tokenised at once (a longer text alone).
-COUNTED, SLICE = 500_000, 4 << 20
+COUNTED, SLICE = 300_000, 2 << 20
 #: Rounds of exchanges of the first units at most.
 ROUNDS = 8
 #: Occurrences of its form that a word's own contexts are smoothed with.

@@ -51,18 +51,18 @@ def roll_rates(roll: DataFrame, matches: DataFrame, approved: DataFrame | None =
 
 
 def nominal_rates(parcels: DataFrame, base: DataFrame, cities: DataFrame, isds: DataFrame, special: DataFrame, extra: DataFrame, roll: DataFrame) -> DataFrame:
-    """parcels with base, city_rate, isd_rate, special_rate, extra_rate, roll_rate and nominal_rate: the roll's, else the sum of the parts.
+    """parcels with base, city_rate, isd_rate, special_rate, extra_rate, roll_rate and nominal_rate: the roll's, else the sum of the parts; with special_stack, extra_units and roll_stack, of what they are made.
 
     base, cities (county_code, city_name), isds (county_code, isd_name) and
     extra are a few rows a county; Spark broadcasts them by their size.
     """
     zero = F.lit(0).cast(RATE)
     out = parcels.join(base.select("county_code", "base"), "county_code", "left").join(cities.select("county_code", "city_name", F.col("rate_per_100").alias("city_rate")), ["county_code", "city_name"], "left")
-    out = out.join(isds.select("county_code", "isd_name", F.col("rate_per_100").alias("own_isd_rate")), ["county_code", "isd_name"], "left").join(special.select("uid", "special_rate"), "uid", "left")
-    e = extra.select(F.col("county").alias("e_county"), F.col("city_name").alias("e_city"), F.col("isd_name").alias("e_isd"), "extra_rate")
+    out = out.join(isds.select("county_code", "isd_name", F.col("rate_per_100").alias("own_isd_rate")), ["county_code", "isd_name"], "left").join(special.select("uid", "special_rate", F.col("stack").alias("special_stack")), "uid", "left")
+    e = extra.select(F.col("county").alias("e_county"), F.col("city_name").alias("e_city"), F.col("isd_name").alias("e_isd"), "extra_rate", "extra_units")
     out = out.join(e, (out["county"] == e["e_county"]) & out["city_name"].eqNullSafe(e["e_city"]) & out["isd_name"].eqNullSafe(e["e_isd"]), "left").drop("e_county", "e_city", "e_isd")
     # rows without an id have no roll; they'd all share one key
-    r = roll.select("county_code", "prop_id", "roll_rate", "roll_isd_rate")
+    r = roll.select("county_code", "prop_id", "roll_rate", "roll_isd_rate", F.col("stack").alias("roll_stack"))
     key = F.when(has_real_id(F.col("prop_id")), F.col("prop_id")).otherwise(F.concat(F.lit("#"), F.xxhash64("uid").cast("string")))
     out = out.withColumn("__key", key).join(r.withColumnRenamed("prop_id", "__key"), ["county_code", "__key"], "left").drop("__key")
     parts = ["base", "city_rate", "own_isd_rate", "special_rate", "extra_rate"]

@@ -94,20 +94,22 @@ def subset_sums(extras: DataFrame) -> DataFrame:
     return rows.select("county_code", "mask", F.round(total, 4).cast("decimal(12,4)").alias("need"), F.array_sort(F.transform("chosen", lambda x: x["rate"])).alias("rates"), F.transform("chosen", lambda x: x["unit_id"]).alias("units"))
 
 
-def solve_totals(totals: DataFrame, county_rates: DataFrame, schools: DataFrame, cities: DataFrame, subsets: DataFrame) -> DataFrame:
+def solve_totals(totals: DataFrame, county_rates: DataFrame, schools: DataFrame, cities: DataFrame, subsets: DataFrame, area: tuple[str, ...] = ("county_code",)) -> DataFrame:
     """(county_code, total) -> the ways in which the county, one school district, at most one city and some special units add up to it.
 
-    Ways that differ only in units of equal rates are one; n_ways tells how many are left.
+    Ways that differ only in units of equal rates are one; n_ways tells how
+    many are left.  area: columns that totals, schools and cities share, where
+    a county publishes its totals in parts.
     """
-    none = totals.select("county_code").distinct().select("county_code", F.lit(None).cast("string").alias("city_unit"), F.lit(0).cast("decimal(12,6)").alias("city_rate"))
-    city = cities.select("county_code", F.col("unit_id").alias("city_unit"), F.col("rate_per_100").alias("city_rate")).unionByName(none)
-    school = schools.select("county_code", F.col("unit_id").alias("isd_unit"), F.col("rate_per_100").alias("isd_rate"))
-    base = totals.join(county_rates.select("county_code", F.col("base").alias("county_rate")), "county_code").join(school, "county_code").join(city, "county_code")
+    keys = list(area)
+    none = totals.select(*keys).distinct().select(*keys, F.lit(None).cast("string").alias("city_unit"), F.lit(0).cast("decimal(12,6)").alias("city_rate"))
+    city = cities.select(*keys, F.col("unit_id").alias("city_unit"), F.col("rate_per_100").alias("city_rate")).unionByName(none)
+    school = schools.select(*keys, F.col("unit_id").alias("isd_unit"), F.col("rate_per_100").alias("isd_rate"))
+    base = totals.join(county_rates.select("county_code", F.col("base").alias("county_rate")), "county_code").join(school, keys).join(city, keys)
     need = F.round(F.col("total") - F.col("county_rate") - F.col("isd_rate") - F.col("city_rate"), 4).cast("decimal(12,4)")
     ways = base.withColumn("need", need).where("need >= 0").join(subsets, ["county_code", "need"])
-    keys = ["county_code", "total", "isd_unit", "city_unit", "rates"]
-    one = ways.groupBy(*keys).agg(F.min_by("units", "mask").alias("units"))
-    return one.withColumn("n_ways", F.count("*").over(Window.partitionBy("county_code", "total")))
+    one = ways.groupBy(*keys, "total", "isd_unit", "city_unit", "rates").agg(F.min_by("units", "mask").alias("units"))
+    return one.withColumn("n_ways", F.count("*").over(Window.partitionBy(*keys, "total")))
 
 
 def reconcile(solved: DataFrame, area_modes: DataFrame) -> DataFrame:
@@ -119,22 +121,43 @@ def reconcile(solved: DataFrame, area_modes: DataFrame) -> DataFrame:
     return both.withColumn("gap", gap).withColumn("ok", F.coalesce(F.abs("gap") <= TOTAL_TOLERANCE, F.lit(False)))
 
 
-def area_corrections(reconciled: DataFrame, missing: DataFrame, trust: DataFrame) -> DataFrame:
-    """Extra rates to apply: unique ways of trusted counties, one total an area, whose missing units make up the gap."""
+def _off(reconciled: DataFrame, trust: DataFrame) -> DataFrame:
+    """Unique ways of trusted counties that miss their area's rate; n_totals tells how many unique totals the area has."""
     area = Window.partitionBy("county_code", "isd_unit", "city_unit")
-    single = reconciled.join(trust.where(F.col("trust") >= MIN_TRUST).select("county_code"), "county_code", "left_semi").withColumn("n_totals", F.count("*").over(area)).where("n_totals = 1 and not ok and gap > 0")
-    unit = single.withColumn("unit_id", F.explode("units")).join(missing.select("county_code", "unit_id", F.col("rate_per_100").alias("unit_rate")), ["county_code", "unit_id"])
-    out = unit.groupBy("county_code", "isd_unit", "city_unit", "total", "gap").agg(F.sum("unit_rate").cast("decimal(12,6)").alias("extra_rate"), F.array_sort(F.collect_set("unit_id")).alias("extra_units"))
-    return out.where(F.abs(F.col("extra_rate") - F.col("gap")) <= GAP_TOLERANCE)
+    trusted = trust.where(F.col("trust") >= MIN_TRUST).select("county_code")
+    return reconciled.join(trusted, "county_code", "left_semi").withColumn("n_totals", F.count("*").over(area)).where("not ok and gap is not null")
+
+
+def area_corrections(reconciled: DataFrame, missing: DataFrame, trust: DataFrame) -> DataFrame:
+    """Extra rates to apply: unique ways of trusted counties, one total an area, whose missing units make up the gap.
+
+    alternatives: other missing units of the county with the rate and type of
+    one of these, which would explain the total as well.
+    """
+    single = _off(reconciled, trust).where("n_totals = 1 and gap > 0")
+    names = ["county_code", "isd_unit", "city_unit", "total", "gap"]
+    unit = single.withColumn("unit_id", F.explode("units")).join(missing.select("county_code", "unit_id", "unit_type", F.col("rate_per_100").alias("unit_rate")), ["county_code", "unit_id"])
+    out = unit.groupBy(*names).agg(F.sum("unit_rate").cast("decimal(12,6)").alias("extra_rate"), F.array_sort(F.collect_set("unit_id")).alias("extra_units"), F.collect_set(F.struct("unit_rate", "unit_type")).alias("kinds"))
+    fits = out.where(F.abs(F.col("extra_rate") - F.col("gap")) <= GAP_TOLERANCE)
+    kind = fits.select(*names, F.inline("kinds"), "extra_units")
+    same = kind.join(missing.select("county_code", F.col("rate_per_100").alias("unit_rate"), "unit_type", F.col("unit_id").alias("other")), ["county_code", "unit_rate", "unit_type"]).where(~F.array_contains("extra_units", F.col("other")))
+    others = same.groupBy("county_code", "total", "isd_unit", F.coalesce("city_unit", F.lit("")).alias("at")).agg(F.array_sort(F.collect_set("other")).alias("alternatives"))
+    out = fits.drop("kinds").withColumn("at", F.coalesce("city_unit", F.lit(""))).join(others, ["county_code", "total", "isd_unit", "at"], "left").drop("at")
+    return out.withColumn("alternatives", F.coalesce("alternatives", F.array().cast("array<string>")))
+
+
+def ambiguous_areas(reconciled: DataFrame, trust: DataFrame) -> DataFrame:
+    """(county_code, n_ambiguous): totals that are off in areas with several of them, which are not applied."""
+    return _off(reconciled, trust).where("n_totals > 1").groupBy("county_code").agg(F.count("*").alias("n_ambiguous"))
 
 
 def emergency_coverage(solved: DataFrame, units: DataFrame, trust: DataFrame, n_totals: DataFrame) -> DataFrame:
     """(county_code, coverage): none, unknown, countywide, partial or not in the published areas."""
-    esd = units.where((F.col("unit_type") == EMERGENCY) & (F.col("rate_per_100") > 0)).select("county_code", "unit_id")
-    unique = solved.where("n_ways = 1")
-    has = unique.select("county_code", "total", F.explode("units").alias("unit_id")).join(esd, ["county_code", "unit_id"], "left_semi").select("county_code", "total").distinct().withColumn("has", F.lit(True))
-    seen = unique.join(has, ["county_code", "total"], "left").groupBy("county_code").agg(F.count("*").alias("n_solved"), F.bool_and(F.coalesce("has", F.lit(False))).alias("every"), F.bool_or(F.coalesce("has", F.lit(False))).alias("some"))
-    counties = units.select("county_code").distinct().join(esd.groupBy("county_code").agg(F.count("*").alias("n_esd")), "county_code", "left").join(trust.select("county_code", "trust"), "county_code", "left").join(seen, "county_code", "left").join(n_totals, "county_code", "left")
+    esd = units.where((F.col("unit_type") == EMERGENCY) & (F.col("rate_per_100") > 0)).groupBy("county_code").agg(F.count("*").alias("n_esd"), F.collect_set("unit_id").alias("esd"))
+    has = F.coalesce(F.arrays_overlap("units", "esd"), F.lit(False))
+    unique = solved.where("n_ways = 1").join(esd, "county_code", "left")
+    seen = unique.groupBy("county_code").agg(F.count("*").alias("n_solved"), F.bool_and(has).alias("every"), F.bool_or(has).alias("some"))
+    counties = units.select("county_code").distinct().join(esd.drop("esd"), "county_code", "left").join(trust.select("county_code", "trust"), "county_code", "left").join(seen, "county_code", "left").join(n_totals, "county_code", "left")
     sure = (F.coalesce("trust", F.lit(0.0)) >= MIN_TRUST) & (F.coalesce(F.col("n_solved") / F.col("n_totals"), F.lit(0.0)) >= MIN_SOLVED)
     kind = F.when(F.col("n_esd").isNull(), "none").when(~sure, "unknown").when(F.col("every"), "countywide").when(F.col("some"), "partial").otherwise("not in published areas")
     return counties.select("county_code", kind.alias("coverage"))
@@ -167,8 +190,8 @@ def validate_rolls(parcels: DataFrame, roll_ids: DataFrame, complete: DataFrame,
 
 
 def run_summary(audit: DataFrame, mismatches: DataFrame, solved: DataFrame) -> DataFrame:
-    """One row of headline counts."""
+    """One row of headline counts; totals count once a county (and part, if there are parts)."""
     a = audit.agg(F.count("*").alias("n_counties"), F.sum("n_missing").alias("n_missing"), F.sum("n_emergency").alias("n_emergency"))
     m = mismatches.agg(F.count("*").alias("n_mismatches"))
-    s = solved.groupBy("county_code", "total").agg(F.max("n_ways").alias("w")).agg(F.count("*").alias("n_solved"), F.count_if(F.col("w") == 1).alias("n_unique"))
+    s = solved.groupBy(*[c for c in solved.columns if c in ("county_code", "part", "total")]).agg(F.max("n_ways").alias("w")).agg(F.count("*").alias("n_solved"), F.count_if(F.col("w") == 1).alias("n_unique"))
     return a.join(F.broadcast(m)).join(F.broadcast(s))

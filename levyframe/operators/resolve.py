@@ -105,6 +105,14 @@ def match_entities(names: DataFrame, units: DataFrame, adjacency: DataFrame, cou
     return names.join(first.unionByName(second), ["county_code", "name"], "left")
 
 
+def _parts(c: Column) -> Column:
+    """All parts of a text that are long enough for a prefix of a unit of the hinted type to be accepted."""
+    n = F.length(c)
+    least = F.greatest(F.lit(1), F.ceil(n * ((ACCEPT - HINT) / PREFIX) - 1e-9).cast("int"))
+    of_size = lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(c, i, k))
+    return F.array_distinct(F.flatten(F.transform(F.sequence(least, n), of_size)))
+
+
 def match_labels(labels: DataFrame, units: DataFrame) -> DataFrame:
     """Distinct (county_code, label) of published sheets -> score, unit_id, unit_name, unit_type, rate_per_100 of the best unit of the county; null below ACCEPT.
 
@@ -114,7 +122,11 @@ def match_labels(labels: DataFrame, units: DataFrame) -> DataFrame:
     """
     have = units.select("county_code", "unit_id", F.col("name").alias("unit_name"), "unit_type", "rate_per_100", norm_label(F.col("name")).alias("pn")).where("pn <> ''")
     asked = labels.withColumn("cn", norm_label(F.col("label"))).withColumn("hint", type_hint(F.col("label"), SHEET_TYPE_RULES)).where("cn <> ''")
-    both = asked.join(have, "county_code")
+    # one contains the other: the shorter is one of the longer's parts of at least the length that can reach ACCEPT
+    pair = ["county_code", "label", "unit_id"]
+    longer = asked.select("county_code", "label", F.explode(_parts(F.col("cn"))).alias("pn")).join(have.select("county_code", "unit_id", "pn"), ["county_code", "pn"]).select(*pair)
+    shorter = have.select("county_code", "unit_id", F.explode(_parts(F.col("pn"))).alias("cn")).join(asked.select("county_code", "label", "cn"), ["county_code", "cn"]).select(*pair)
+    both = longer.unionByName(shorter).distinct().join(asked, ["county_code", "label"]).join(have, ["county_code", "unit_id"])
     share = F.least(F.length("cn"), F.length("pn")) / F.greatest(F.length("cn"), F.length("pn"))
     begins = F.col("cn").startswith(F.col("pn")) | F.col("pn").startswith(F.col("cn"))
     inside = F.col("cn").contains(F.col("pn")) | F.col("pn").contains(F.col("cn"))

@@ -10,11 +10,11 @@ from levyframe.plans.fixtures import query
 from levyframe.plans.rating import ROLL, roll
 from levyframe.sources.tables import materialize
 
-COVERED = "select county_code, unit_id from fx_recipes union select county_code, unit_id from fx_units where unit_type in ('02', '03') union select county_code, unit_id from fx_units where unit_type = '40' and substr(unit_id, 5, 3) > '040'"
+COVERED = "select county_code, unit_id from fx_recipes union select county_code, unit_id from fx_units where unit_type in ('02', '03') union select county_code, unit_id from fx_units where unit_type = '40' and length(name) % 2 = 0"
 MISSING = f"select * from fx_units where rate_per_100 > 0 and unit_id not in (select unit_id from ({COVERED}) c)"
 # published sheets: each county's units in two tables, the second with old rates and units twice
-SHEETS = """select county_code, 1 as table_id, case when unit_type = '03' and unit_id < '004' then name || ' in city limits' else name end as label, case when substr(unit_id, 5, 3) = '012' then rate_per_100 + 0.01 else rate_per_100 end as rate, unit_id, rate_per_100 from fx_units where substr(unit_id, 5, 3) < '060'
-union all select county_code, 2, name, rate_per_100 + 0.002, unit_id, rate_per_100 from fx_units where substr(unit_id, 5, 3) < '070' union all select county_code, 2, name, rate_per_100, unit_id, rate_per_100 from fx_units where substr(unit_id, 5, 3) < '070'"""
+SHEETS = """select county_code, 1 as table_id, case when unit_type = '03' and length(name) % 4 = 0 then name || ' in city limits' else name end as label, case when rate_per_100 between 0.1 and 0.11 then rate_per_100 + 0.01 else rate_per_100 end as rate, unit_id, rate_per_100 from fx_units
+union all select county_code, 2, name, rate_per_100 + 0.002, unit_id, rate_per_100 from fx_units union all select county_code, 2, name, rate_per_100, unit_id, rate_per_100 from fx_units"""
 
 
 def missing(t):
@@ -66,7 +66,10 @@ def i4(t):
     return sheets(t).where("table_id = 1").select("county_code", "unit_id", R.is_combo(F.col("label"), F.col("rate"), F.lit(True)).alias("combo"))
 
 
-@query("i5_rate_mismatches", f"select s.county_code, unit_id, label, cast(rate as double) as rate, cast(rate_per_100 as double) as rate_per_100, cast(cast(rate - rate_per_100 as decimal(12,6)) as double) as delta from ({SHEETS}) s join ({BEST}) b on b.county_code = s.county_code and b.table_id = s.table_id where trust >= 0.6 and not {COMBO} and abs(rate - rate_per_100) > 0.0005")
+MISMATCHES = f"select s.county_code, unit_id, label, cast(rate as double) as rate, cast(rate_per_100 as double) as rate_per_100, cast(cast(rate - rate_per_100 as decimal(12,6)) as double) as delta from ({SHEETS}) s join ({BEST}) b on b.county_code = s.county_code and b.table_id = s.table_id where trust >= 0.6 and not {COMBO} and abs(rate - rate_per_100) > 0.0005"
+
+
+@query("i5_rate_mismatches", MISMATCHES)
 def i5(t):
     s = sheets(t)
     return R.rate_mismatches(s, R.best_tables(s))
@@ -77,17 +80,27 @@ def i6(t):
     return R.confirmed_missing(missing(t), sheets(t)).select("county_code", "unit_id", "n_rows", F.coalesce(F.col("published").cast("double"), F.lit(-1.0)).alias("published"))
 
 
-# eight special units of largest rate a county; totals made of the county, a school, perhaps a city, and some of these
-EXTRAS = "select county_code, unit_id, rate_per_100, row_number() over (partition by county_code order by rate_per_100 desc, unit_id) as rank from fx_units where unit_type in ('40', '04') and rate_per_100 > 0 qualify rank <= 8"
-SCHOOLS = "select county_code, unit_id, rate_per_100 from fx_units where unit_type = '02' and rate_per_100 > 0 and substr(unit_id, 5, 3) < '030'"
-CITIES = "select county_code, unit_id, rate_per_100 from fx_units where unit_type = '03' and rate_per_100 > 0 and substr(unit_id, 5, 3) < '030'"
-TOTALS = f"select distinct s.county_code, cast(round(b.base + s.rate_per_100 + coalesce(c.rate_per_100, 0) + coalesce(x.rate_per_100, 0) + coalesce(y.rate_per_100, 0), 4) as decimal(12,4)) as total from (select *, row_number() over (partition by county_code order by unit_id) as k from ({SCHOOLS}) a) s join fx_base b on b.county_code = s.county_code left join (select *, row_number() over (partition by county_code order by unit_id) as k from ({CITIES}) e) c on c.county_code = s.county_code and c.k = s.k and s.k % 2 = 0 left join ({EXTRAS}) x on x.county_code = s.county_code and x.rank = s.k left join ({EXTRAS}) y on y.county_code = s.county_code and y.rank = s.k + 2 and s.k % 3 = 0"
-SUBSETS = f"with e as ({EXTRAS}), m as (select county_code, count(*) as n from e group by 1), k as (select county_code, unnest(range(0, cast(pow(2, n) as bigint))) as mask from m) select k.county_code, k.mask, cast(round(coalesce(sum(e.rate_per_100), 0), 4) as decimal(12,4)) as need, coalesce(string_agg(cast(e.rate_per_100 as varchar), ',' order by e.rate_per_100), '') as rates, count(e.unit_id) as n_units from k left join e on e.county_code = k.county_code and (k.mask & cast(pow(2, e.rank - 1) as bigint)) <> 0 group by 1, 2"
+# fifteen special units of largest rate a county; its totals are published in parts of 28 units each, and made of the county,
+# a school, perhaps a city, and some of these
+EXTRAS = "select county_code, unit_id, unit_type, rate_per_100, row_number() over (partition by county_code order by rate_per_100 desc, unit_id) as rank from fx_units where unit_type in ('40', '04') and rate_per_100 > 0 qualify rank <= 15"
+PART = "cast(floor(cast(split_part(unit_id, '-', 2) as int) / 28) as int) as part"
+SCHOOLS = f"select county_code, {PART}, unit_id, rate_per_100 from fx_units where unit_type = '02' and rate_per_100 > 0"
+CITIES = f"select county_code, {PART}, unit_id, rate_per_100 from fx_units where unit_type = '03' and rate_per_100 > 0"
+NUMBERED = "select *, row_number() over (partition by county_code, part order by unit_id) as k from"
+TOTALS = f"""select distinct s.county_code, s.part, cast(round(b.base + s.rate_per_100 + coalesce(c.rate_per_100, 0) + coalesce(x.rate_per_100, 0) + coalesce(y.rate_per_100, 0), 4) as decimal(12,4)) as total
+ from ({NUMBERED} ({SCHOOLS}) a) s join fx_base b on b.county_code = s.county_code
+ left join ({NUMBERED} ({CITIES}) e) c on c.county_code = s.county_code and c.part = s.part and c.k = s.k and s.k % 2 = 0
+ left join ({EXTRAS}) x on x.county_code = s.county_code and x.rank = s.k
+ left join ({EXTRAS}) y on y.county_code = s.county_code and y.rank = s.k + 2 and s.k % 3 = 0"""
+SUBSETS = f"""with e as ({EXTRAS}), m as (select county_code, count(*) as n from e group by 1),
+ k as (select county_code, unnest(range(0, cast(pow(2, n) as bigint))) as mask from m)
+ select k.county_code, k.mask, cast(round(coalesce(sum(e.rate_per_100), 0), 4) as decimal(12,4)) as need,
+  coalesce(string_agg(cast(e.rate_per_100 as varchar), ',' order by e.rate_per_100), '') as rates, count(e.unit_id) as n_units
+ from k left join e on e.county_code = k.county_code and (k.mask & cast(pow(2, e.rank - 1) as bigint)) <> 0 group by 1, 2"""
 
 
 def subsets(t):
-    rows = t("fx_units").where("unit_type in ('40', '04') and rate_per_100 > 0")
-    return R.subset_sums(R.top_extras(rows, 8))
+    return R.subset_sums(R.top_extras(t("fx_units").where("unit_type in ('40', '04') and rate_per_100 > 0")))
 
 
 @query("i7_subset_sums", f"select county_code, cast(mask as bigint) as mask, cast(need as double) as need, n_units from ({SUBSETS}) s")
@@ -95,52 +108,110 @@ def i7(t):
     return subsets(t).select("county_code", F.col("mask").cast("long").alias("mask"), "need", F.size("units").cast("long").alias("n_units"))
 
 
-SOLVED = f"""select county_code, total, isd_unit, city_unit, rates, count(*) over (partition by county_code, total) as n_ways, any_value(mask) as mask from (
- select distinct t.county_code, t.total, s.unit_id as isd_unit, c.unit_id as city_unit, x.rates, min(x.mask) over (partition by t.county_code, t.total, s.unit_id, c.unit_id, x.rates) as mask from ({TOTALS}) t join fx_base b on b.county_code = t.county_code join ({SCHOOLS}) s on s.county_code = t.county_code
- join (select county_code, unit_id, rate_per_100 from ({CITIES}) q union all select county_code, null, 0 from fx_counties) c on c.county_code = t.county_code join ({SUBSETS}) x on x.county_code = t.county_code and x.need = round(t.total - b.base - s.rate_per_100 - c.rate_per_100, 4)) z group by 1, 2, 3, 4, 5"""
+SOLVED = f"""select county_code, part, total, isd_unit, city_unit, rates, count(*) over (partition by county_code, part, total) as n_ways, any_value(mask) as mask from (
+ select distinct t.county_code, t.part, t.total, s.unit_id as isd_unit, c.unit_id as city_unit, x.rates,
+  min(x.mask) over (partition by t.county_code, t.part, t.total, s.unit_id, c.unit_id, x.rates) as mask
+ from ({TOTALS}) t join fx_base b on b.county_code = t.county_code join ({SCHOOLS}) s on s.county_code = t.county_code and s.part = t.part
+ join (select county_code, part, unit_id, rate_per_100 from ({CITIES}) q union all select distinct county_code, part, null, 0 from ({SCHOOLS}) v) c on c.county_code = t.county_code and c.part = t.part
+ join ({SUBSETS}) x on x.county_code = t.county_code and x.need = round(t.total - b.base - s.rate_per_100 - c.rate_per_100, 4)) z group by 1, 2, 3, 4, 5, 6"""
 
 
 def totals(t):
-    return t.sql(TOTALS.replace(EXTRAS, f"select * from ({EXTRAS.replace(' qualify rank <= 8', '')}) w where rank <= 8"))
+    return t.sql(TOTALS.replace(EXTRAS, f"select * from ({EXTRAS.replace(' qualify rank <= 15', '')}) w where rank <= 15"))
 
 
 def solved(t):
-    ways = R.solve_totals(totals(t), t("fx_base").select("county_code", "base"), t.sql(SCHOOLS), t.sql(CITIES), materialize(subsets(t)))
+    ways = R.solve_totals(totals(t), t("fx_base").select("county_code", "base"), t.sql(SCHOOLS), t.sql(CITIES), materialize(subsets(t)), area=("county_code", "part"))
     return materialize(ways)
 
 
-@query("i8_solve_totals", f"select county_code, cast(total as double) as total, count(*) as n_ways, min(isd_unit) as isd_unit, max(n_ways) as n from ({SOLVED}) s group by 1, 2")
+@query("i8_solve_totals", f"select county_code, part, cast(total as double) as total, count(*) as n_ways, min(isd_unit) as isd_unit, max(n_ways) as n from ({SOLVED}) s group by 1, 2, 3")
 def i8(t):
-    return solved(t).groupBy("county_code", "total").agg(F.count("*").alias("n_ways"), F.min("isd_unit").alias("isd_unit"), F.max("n_ways").alias("n"))
+    return solved(t).groupBy("county_code", "part", "total").agg(F.count("*").alias("n_ways"), F.min("isd_unit").alias("isd_unit"), F.max("n_ways").alias("n"))
 
 
 MODES = "select n.county_code, n.city_unit, n.isd_unit, cast(round(b.base + coalesce(n.city_rate, 0) + n.isd_rate, 6) as decimal(12,6)) as rate, count(*) as n from fx_named n join fx_base b on b.county_code = n.county_code where n.isd_unit is not null group by 1, 2, 3, 4"
 
 
-@query("i9_reconcile", f"select s.county_code, cast(s.total as double) as total, s.isd_unit, s.city_unit, coalesce(cast(m.rate as double), -1) as map_rate, coalesce(abs(s.total - m.rate) <= 0.0002, false) as ok from (select * from ({SOLVED}) q where n_ways = 1) s left join ({MODES}) m on m.county_code = s.county_code and m.city_unit is not distinct from s.city_unit and m.isd_unit = s.isd_unit")
+RECONCILED = f"""select s.*, m.rate as map_rate, cast(s.total - m.rate as decimal(12,6)) as gap, coalesce(abs(s.total - m.rate) <= 0.0002, false) as ok
+ from (select * from ({SOLVED}) q where n_ways = 1) s
+ left join ({MODES}) m on m.county_code = s.county_code and m.city_unit is not distinct from s.city_unit and m.isd_unit = s.isd_unit"""
+
+
+@query("i9_reconcile", f"select county_code, cast(total as double) as total, isd_unit, city_unit, coalesce(cast(map_rate as double), -1) as map_rate, ok from ({RECONCILED}) r")
 def i9(t):
     r = R.reconcile(solved(t), t.sql(MODES))
     return r.select("county_code", "total", "isd_unit", "city_unit", F.coalesce(F.col("map_rate").cast("double"), F.lit(-1.0)).alias("map_rate"), "ok")
 
 
-@query("i10_emergency_coverage")
+HAS_UNIT = f"from ({EXTRAS}) e where e.county_code = s.county_code and (s.mask & cast(pow(2, e.rank - 1) as bigint)) <> 0"
+
+
+@query(
+    "i10_emergency_coverage",
+    f"""with s as (select * from ({SOLVED}) q where n_ways = 1), h as (select s.county_code, exists (select 1 {HAS_UNIT} and e.unit_type = '40') as has from s),
+seen as (select county_code, count(*) as n_solved, bool_and(has) as every, bool_or(has) as part from h group by 1),
+n as (select county_code, count(*) as n_totals from ({TOTALS}) t group by 1),
+esd as (select county_code, count(*) as n_esd from fx_units where unit_type = '40' and rate_per_100 > 0 group by 1)
+select u.county_code, case when n_esd is null then 'none' when coalesce(trust, 0) < 0.6 or coalesce(n_solved / n_totals, 0) < 0.6 then 'unknown'
+  when every then 'countywide' when part then 'partial' else 'not in published areas' end as coverage
+from (select distinct county_code from fx_units) u left join esd on esd.county_code = u.county_code left join ({BEST}) b on b.county_code = u.county_code
+left join seen on seen.county_code = u.county_code left join n on n.county_code = u.county_code""",
+)
 def i10(t):
     n = totals(t).groupBy("county_code").agg(F.count("*").alias("n_totals"))
     return R.emergency_coverage(solved(t), t("fx_units"), R.best_tables(sheets(t)), n)
 
 
-@query("i11_area_corrections")
+OFF = f"""select * from (select r.*, count(*) over (partition by county_code, isd_unit, city_unit) as n_totals from ({RECONCILED}) r
+  where county_code in (select county_code from ({BEST}) b where trust >= 0.6)) o where not ok and gap is not null"""
+
+
+@query(
+    "i11_area_corrections",
+    f"""with s as (select * from ({OFF}) o where n_totals = 1 and gap > 0),
+u as (select s.*, g.unit_id, g.unit_type, g.rate_per_100 as unit_rate from s join ({EXTRAS}) e on e.county_code = s.county_code and (s.mask & cast(pow(2, e.rank - 1) as bigint)) <> 0
+      join ({MISSING}) g on g.unit_id = e.unit_id),
+f as (select county_code, isd_unit, city_unit, total, gap, sum(unit_rate) as extra_rate, string_agg(unit_id, ',' order by unit_id) as extra_units from u
+      group by 1, 2, 3, 4, 5 having abs(sum(unit_rate) - gap) <= 0.0006)
+select f.county_code, f.isd_unit, f.city_unit, cast(total as double) as total, cast(gap as double) as gap, cast(extra_rate as double) as extra_rate, extra_units,
+  coalesce((select string_agg(distinct a.unit_id, ',' order by a.unit_id) from ({MISSING}) a join u on u.county_code = a.county_code and u.unit_rate = a.rate_per_100 and u.unit_type = a.unit_type
+    where u.county_code = f.county_code and u.isd_unit = f.isd_unit and u.city_unit is not distinct from f.city_unit and u.total = f.total and not contains(f.extra_units, a.unit_id)), '') as alternatives
+from f""",
+)
 def i11(t):
-    return R.area_corrections(R.reconcile(solved(t), t.sql(MODES)), missing(t), R.best_tables(sheets(t))).withColumn("extra_units", F.array_join("extra_units", ","))
+    out = R.area_corrections(R.reconcile(solved(t), t.sql(MODES)), missing(t), R.best_tables(sheets(t)))
+    return out.withColumn("extra_units", F.array_join("extra_units", ",")).withColumn("alternatives", F.array_join("alternatives", ","))
 
 
-@query("i12_fix_routes", f"select county_code, case when county_code < '005' then 'area' when county_code in (select county_code from ({ROLL}) r) then 'roll' when county_code > '020' then 'layer' else 'none' end as route from ({MISSING}) m group by 1")
-def i12(t):
-    c = t("fx_counties").select("county_code")
-    return R.fix_routes(missing(t), c.where("county_code < '005'"), roll(t), c.where("county_code > '020'"))
+@query("i11_ambiguous", f"select county_code, count(*) as n_ambiguous from ({OFF}) o where n_totals > 1 group by 1")
+def i11_ambiguous(t):
+    return R.ambiguous_areas(R.reconcile(solved(t), t.sql(MODES)), R.best_tables(sheets(t)))
 
 
-@query("i13_validate_rolls")
+@query("i12_fix_routes", f"select county_code, case when county_code in (select county_code from fx_counties where gx = 0) then 'area' when county_code in (select county_code from ({ROLL}) r) then 'roll' when county_code in (select county_code from fx_counties where gx = 4) then 'layer' else 'none' end as route from ({MISSING}) m group by 1")
+def i12(t):
+    c = t("fx_counties")
+    return R.fix_routes(missing(t), c.where("gx = 0"), roll(t), c.where("gx = 4"))
+
+
+REAL = "prop_id <> '0'"
+ROLL_IDS = f"select distinct c.county_code, e.prop_id from fx_roll_entities e join fx_counties c on c.county = e.county where e.{REAL}"
+
+
+@query(
+    "i13_validate_rolls",
+    f"""with p as (select distinct county_code, prop_id from fx_rated where {REAL}), i as ({ROLL_IDS}), w as ({ROLL}),
+j as (select p.county_code, count(*) as n, round(avg(case when i.prop_id is null then 0e0 else 1e0 end), 6) as join_rate from p left join i on i.county_code = p.county_code and i.prop_id = p.prop_id group by 1),
+c as (select i.county_code, round(avg(case when w.prop_id is null then 0e0 else 1e0 end), 6) as complete_share from i left join w on w.county_code = i.county_code and w.prop_id = i.prop_id group by 1),
+d as (select w.county_code, cast(w.roll_rate - r.nominal_rate as decimal(12,6)) as d from w join fx_rated r on r.county_code = w.county_code and r.prop_id = w.prop_id and r.{REAL}),
+k as (select *, row_number() over (partition by county_code order by d) as k, count(*) over (partition by county_code) as m from d),
+x as (select county_code, cast(max(d) filter (where k = m // 2 + 1) as double) as middle_delta, round(avg(case when d < -0.0005 then 1e0 else 0e0 end), 6) as share_lower from k group by 1),
+o as (select j.county_code, n, join_rate, coalesce(complete_share, 0) as complete_share, middle_delta, share_lower,
+  concat_ws('; ', case when join_rate < 0.8 then 'few parcels join' end, case when coalesce(complete_share, 0) < 0.85 then 'few complete stacks' end, case when share_lower >= 0.05 then 'many lower' end) as reasons
+  from j left join c on c.county_code = j.county_code left join x on x.county_code = j.county_code)
+select *, reasons = '' as passes from o""",
+)
 def i13(t):
     p = t("fx_rated").where(has_real_id(F.col("prop_id")))
     ids = t("fx_roll_entities").join(F.broadcast(t("fx_counties").select("county", "county_code")), "county").select("county_code", "prop_id").where(has_real_id(F.col("prop_id")))
@@ -148,7 +219,12 @@ def i13(t):
     return R.validate_rolls(p.select("county_code", "prop_id"), ids, roll(t), place)
 
 
-@query("i15_run_summary")
+@query(
+    "i15_run_summary",
+    f"""select (select count(distinct county_code) from fx_units where rate_per_100 > 0) as n_counties, (select count(*) from ({MISSING}) m) as n_missing, (select count(*) from ({MISSING}) m where unit_type = '40') as n_emergency,
+  (select count(*) from ({MISMATCHES}) m) as n_mismatches, (select count(*) from (select distinct county_code, part, total from ({SOLVED}) s) d) as n_solved,
+  (select count(*) from (select distinct county_code, part, total from ({SOLVED}) s where n_ways = 1) d) as n_unique""",
+)
 def i15(t):
     s = sheets(t)
     return R.run_summary(R.coverage_audit(t("fx_units"), R.covered_units(t("fx_recipes"), t.sql(COVERED))), R.rate_mismatches(s, R.best_tables(s)), solved(t))

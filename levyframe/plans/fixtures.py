@@ -45,11 +45,16 @@ select o_orderkey as uid,
        cast((o_custkey % 25) % 5 as double) + (((o_orderkey*37) % 1000) + 0.5e0)/1000 as x,
        cast(floor((o_custkey % 25)/5) as double) + (((o_orderkey*61) % 1000) + 0.3e0)/1000 as y
 from orders""",
+    # each district bears the name of a utility district of the county that its middle is in
     "fx_polys": """
-select s_suppkey as poly_id, 'Brand#' || cast(s_suppkey % 7 as varchar(10)) || ' MUD' as poly_name,
-       cast((s_suppkey*37) % 50 as double)/10 as cx, cast((s_suppkey*61) % 50 as double)/10 as cy,
-       0.2e0 + cast(s_suppkey % 5 as double)/10 as r
-from supplier""",
+select s_suppkey as poly_id, coalesce(m.name, 'Brand#' || cast(s_suppkey % 7 as varchar(10)) || ' MUD') as poly_name, cx, cy, r
+from (select s_suppkey, cast((s_suppkey*37) % 50 as double)/10 as cx, cast((s_suppkey*61) % 50 as double)/10 as cy,
+             0.2e0 + cast(s_suppkey % 5 as double)/10 as r,
+             lpad(cast(cast(floor(((s_suppkey*61) % 50)/10) * 5 + floor(((s_suppkey*37) % 50)/10) as int) as varchar(10)),3,'0') as county_code
+      from supplier) s
+     left join (select county_code, name, row_number() over (partition by county_code order by unit_id) - 1 as k,
+                       count(*) over (partition by county_code) as n
+                from fx_units where unit_type = '04') m on m.county_code = s.county_code and m.k = s.s_suppkey % m.n""",
     "fx_roll_entities": """
 select 'NATION_' || cast(o_custkey % 25 as varchar(10)) as county, cast(l_orderkey as varchar(20)) as prop_id,
        case when l_linenumber = 7 then 'CAD' else 'E' || cast(l_partkey % 80 as varchar(10)) end as entity_code,
@@ -58,11 +63,11 @@ select 'NATION_' || cast(o_custkey % 25 as varchar(10)) as county, cast(l_orderk
 from lineitem join orders on l_orderkey = o_orderkey
      join fx_units u on u.county_code = lpad(cast(o_custkey % 25 as varchar(10)),3,'0')
                     and split_part(u.unit_id, '-', 2) = lpad(cast(l_linenumber - 1 as varchar(10)),3,'0')""",
-    # jurisdictions that parcels lie in: city and school district names by parcel, some outside cities
+    # jurisdictions that parcels lie in: of each county's west, twelve cities from south to north; nine school districts from west to east
     "fx_located": """
 select p.*, cast(floor(o_totalprice) as bigint) as mkt,
-       case when o_orderkey % 4 = 0 then null else 'C' || cast(o_orderkey % 12 as varchar(10)) end as city_key,
-       'S' || cast(o_orderkey % 9 as varchar(10)) as isd_key
+       case when (o_orderkey*37) % 1000 < 750 then 'C' || cast(cast(floor((12*((o_orderkey*61) % 1000) + 3)/1000) as int) as varchar(10)) end as city_key,
+       'S' || cast(cast(floor((9*((o_orderkey*37) % 1000) + 4)/1000) as int) as varchar(10)) as isd_key
 from fx_parcels p join orders on o_orderkey = uid""",
     # each county's cities and school districts, numbered: what a parcel's keys stand for
     "fx_city_units": """

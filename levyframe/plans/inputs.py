@@ -33,6 +33,24 @@ def districts(t):
     return t.sql(f"select poly_id, poly_name, cx, cy, r, {RINGS} as rings from fx_polys")
 
 
+def city_strips(t):
+    """(poly, name, rings): the part of its county that each city covers, which is where fx_located puts its parcels."""
+    at = "c.gy + cast(substr(u.city_key, 2) as int)/12.0D"
+    return _boxes(t, "fx_city_units", "cast(substr(u.city_key, 2) as int) < 12", "c.gx + 0.0D", "c.gx + 0.75D", at, f"{at} + 1/12.0D")
+
+
+def school_strips(t):
+    """(poly, name, rings) of school districts."""
+    at = "c.gx + cast(substr(u.isd_key, 2) as int)/9.0D"
+    return _boxes(t, "fx_isd_units", "cast(substr(u.isd_key, 2) as int) < 9", at, f"{at} + 1/9.0D", "c.gy + 0.0D", "c.gy + 1.0D")
+
+
+def _boxes(t, units, where, x0, x1, y0, y1):
+    corner = lambda x, y: f"named_struct('x', {x}, 'y', {y})"
+    ring = ", ".join([corner(x0, y0), corner(x1, y0), corner(x1, y1), corner(x0, y1)])
+    return t.sql(f"select u.unit_id as poly, u.name, array(array({ring})) as rings from {units} u join fx_counties c on c.county_code = u.county_code where {where}")
+
+
 def county_squares(t):
     return t.sql(f"select county_code, county, region, gx, gy, {SQUARES} as rings from fx_counties")
 
@@ -237,9 +255,9 @@ def b13(t):
     return t("fx_parcels").select("uid", T.canonical_account(F.concat(F.lit("  00"), "prop_id", F.lit(" "))).alias("k"), T.has_real_id(F.col("prop_id")).alias("has_id"))
 
 
-@query("b17_links", "select uid, case when county_code < '020' and prop_id <> '0' then 'https://x.example/' || prop_id || '?a' else 'https://fallback.example/' end as link from fx_parcels")
+@query("b17_links", "select uid, case when county_code in (select county_code from fx_counties where gx <> 3) and prop_id <> '0' then 'https://x.example/' || prop_id || '?a' else 'https://fallback.example/' end as link from fx_parcels")
 def b17(t):
-    links = t.sql("select county_code, 'https://x.example/{id}?a' as template from fx_counties where county_code < '020'")
+    links = t.sql("select county_code, 'https://x.example/{id}?a' as template from fx_counties where gx <> 3")
     rows = t("fx_parcels").join(F.broadcast(links), "county_code", "left")
     return rows.select("uid", T.fill_link_template(F.col("template"), F.col("prop_id"), F.lit("https://fallback.example/")).alias("link"))
 

@@ -33,7 +33,7 @@ def d5(t):
     return rows.join(attrs, ["county", "k"], "left").select("uid", "owner")
 
 
-AREAS = "select county, city_name, isd_name, cast(count(*) % 7 as decimal(12,6)) / 100 as extra_rate from fx_named where county_code < '010' group by county, city_name, isd_name"
+AREAS = "select county, city_name, isd_name, cast(count(*) % 7 as decimal(12,6)) / 100 as extra_rate from fx_named group by county, city_name, isd_name having count(*) % 3 <> 0"
 
 
 @query("d6_null_safe", f"select n.uid, cast(coalesce(e.extra_rate, 0) as double) as extra_rate from fx_named n left join ({AREAS}) e on e.county = n.county and e.city_name is not distinct from n.city_name and e.isd_name is not distinct from n.isd_name")
@@ -46,11 +46,13 @@ def d6(t):
 STATS = "round(median(cast(nominal_rate as double)), 4) as rate, count(*) as parcels, cast(round(median(mkt)) as bigint) as value"
 
 
-@query("d7_county_layer", f"select b.county, coalesce(s.rate, round(cast(b.base as double), 4)) as rate, coalesce(s.parcels, 0) as parcels, coalesce(s.value, -1) as value from fx_base b left join (select county, {STATS} from fx_rated where county_code <> '003' group by county) s on s.county = b.county")
+LAYER = "select county, base from fx_base union all select 'No parcels', cast(0.5 as decimal(12,6))"
+
+
+@query("d7_county_layer", f"select b.county, coalesce(s.rate, round(cast(b.base as double), 4)) as rate, coalesce(s.parcels, 0) as parcels, coalesce(s.value, -1) as value from ({LAYER}) b left join (select county, {STATS} from fx_rated group by county) s on s.county = b.county")
 def d7(t):
-    """County 003 has no parcels here and shows its base."""
-    layer = t("fx_base").select("county", "base")
-    return rates.layer_stats(t("fx_rated").where("county_code <> '003'"), ["county"], layer, "base").na.fill(-1, ["value"])
+    """A county without parcels shows its base."""
+    return rates.layer_stats(t("fx_rated"), ["county"], t.sql(LAYER), "base").na.fill(-1, ["value"])
 
 
 @query("d8_not_loaded", "select uid, county, addr from fx_parcels where uid % 3 = 0 and not exists (select 1 from fx_parcels q where q.uid % 3 = 1 and q.county = fx_parcels.county and q.addr is not distinct from fx_parcels.addr)")
@@ -59,7 +61,7 @@ def d8(t):
     return O.not_loaded(rows.where("uid % 3 = 0"), rows.where("uid % 3 = 1"), ["county", "addr"])
 
 
-CITY_PAIRS = "select distinct p.county_code, u.name from fx_counties p join fx_units u on u.unit_type = '03' and (u.county_code = p.county_code or cast(u.county_code as int) % 5 = cast(p.county_code as int) % 7) where p.county_code < '018'"
+CITY_PAIRS = "select distinct p.county_code, u.name from fx_counties p join fx_units u on u.unit_type = '03' and (u.county_code = p.county_code or cast(u.county_code as int) % 5 = cast(p.county_code as int) % 7)"
 NORM_CITY = "regexp_replace(replace(regexp_replace(lower(trim(NAME)), '^(city|town|village) of ', ''), '-', ' '), '\\s+', ' ', 'g')"
 
 
@@ -83,7 +85,7 @@ def a13(t):
     return got.where("unit_id is null").select("county_code", "name").orderBy("county_code", "name")
 
 
-DISTRICT_PAIRS = "select distinct county_code, case when unit_id < '012' then replace(name, 'MUD', 'Municipal Utility District No 7') else name || ' of X' end as name from fx_units where unit_type in ('04', '40')"
+DISTRICT_PAIRS = "select distinct county_code, case when length(name) % 2 = 0 then replace(name, 'MUD', 'Municipal Utility District No 7') else name || ' of X' end as name from fx_units where unit_type in ('04', '40')"
 NORM_WD = "regexp_replace(regexp_replace(regexp_replace(replace(lower(NAME), 'municipal utility district', 'mud'), '\\bof\\b.*$', ''), '\\bnumber\\b|\\bno\\b', '', 'g'), '[^a-z0-9]', '', 'g')"
 
 
@@ -93,19 +95,17 @@ NORM_WD = "regexp_replace(regexp_replace(regexp_replace(replace(lower(NAME), 'mu
 e as (select county_code, k, max(unit_id) as unit_id from u group by 1, 2), b as (select county_code, regexp_replace(k, '[0-9]+', '', 'g') as bare, min(unit_id) as unit_id from u group by 1, 2 having count(*) = 1 and regexp_replace(k, '[0-9]+', '', 'g') <> ''),
 p as (select county_code, name, {NORM_WD.replace('NAME', 'name')} as k from ({DISTRICT_PAIRS}) x),
 r as (select p.county_code, p.name, coalesce(e.unit_id, b.unit_id) as unit_id from p left join e on e.county_code = p.county_code and e.k = p.k left join b on b.county_code = p.county_code and b.bare = regexp_replace(p.k, '[0-9]+', '', 'g'))
-select r.county_code, r.name, r.unit_id, cast(u.rate_per_100 as double) as rate_per_100 from r join u on u.unit_id = r.unit_id where r.unit_id not in (select unit_id from fx_units where unit_type = '40' and unit_id > '015')""",
+select r.county_code, r.name, r.unit_id, cast(u.rate_per_100 as double) as rate_per_100 from r join u on u.unit_id = r.unit_id where r.unit_id not in (select unit_id from fx_units where unit_type = '40' and length(name) % 3 = 0)""",
 )
 def d10(t):
-    base = t.sql("select county_code, unit_id from fx_units where unit_type = '40' and unit_id > '015'")
+    base = t.sql("select county_code, unit_id from fx_units where unit_type = '40' and length(name) % 3 = 0")
     return resolve.resolve_districts(t.sql(DISTRICT_PAIRS), t("fx_units"), base, norm_district)
 
 
 ENTITIES = "select distinct r.county, c.county_code, r.entity_name as name from fx_roll_entities r join fx_counties c on c.county = r.county where r.entity_code <> 'CAD'"
 
 
-@query(
-    "d11_match_entities",
-    f"""with u as (select county_code as uc, unit_id, name as unit_name, unit_type, rate_per_100, {NORM_ENTITY.replace('NAME', 'name')} as un, case when regexp_matches(lower(name), 'esd\\s*#?\\s*\\d+') then regexp_extract(lower(name), 'esd\\s*#?\\s*(\\d+)', 1) end as unum from fx_units where rate_per_100 > 0),
+ENTITY_MATCH = f"""with u as (select county_code as uc, unit_id, name as unit_name, unit_type, rate_per_100, {NORM_ENTITY.replace('NAME', 'name')} as un, case when regexp_matches(lower(name), 'esd\\s*#?\\s*\\d+') then regexp_extract(lower(name), 'esd\\s*#?\\s*(\\d+)', 1) end as unum from fx_units where rate_per_100 > 0),
 a as (select county_code, name, {NORM_ENTITY.replace('NAME', 'name')} as n, {_hint_sql(ROLL_TYPE_RULES)} as hint, case when regexp_matches(lower(name), 'esd\\s*#?\\s*\\d+') then regexp_extract(lower(name), 'esd\\s*#?\\s*(\\d+)', 1) end as num from ({ENTITIES}) x),
 p as (select a.*, county_code as uc, 1 as pool from a union all select a.*, j.b as uc, 2 as pool from a join {ADJ} j on j.a = a.county_code),
 x as (select p.county_code, p.name, pool, u.uc, unit_id, unit_name, unit_type, rate_per_100, coalesce(unit_type = hint, false) as typed, hint from p join u on u.uc = p.uc and u.un = p.n),
@@ -113,8 +113,10 @@ y as (select *, row_number() over (partition by county_code, name, pool order by
 s1 as (select county_code, name, pool, 1 as stage, unit_id, unit_name, unit_type, rate_per_100 from y where k = 1 and not trap),
 z as (select p.county_code, p.name, p.pool, unit_id, unit_name, unit_type, rate_per_100, row_number() over (partition by p.county_code, p.name, p.pool order by u.uc, unit_id) as k from p join u on u.uc = p.uc and u.unum = p.num where not exists (select 1 from y where y.county_code = p.county_code and y.name = p.name and y.pool = p.pool)),
 s as (select *, row_number() over (partition by county_code, name order by pool, stage) as k from (select * from s1 union all select county_code, name, pool, 2, unit_id, unit_name, unit_type, rate_per_100 from z where k = 1))
-select county_code, name, pool, stage, unit_id, unit_name, unit_type, cast(rate_per_100 as double) as rate_per_100 from s where k = 1""",
-)
+select county_code, name, pool, stage, unit_id, unit_name, unit_type, rate_per_100 from s where k = 1"""
+
+
+@query("d11_match_entities", f"select * replace (cast(rate_per_100 as double) as rate_per_100) from ({ENTITY_MATCH}) m")
 def d11(t):
     """Stages 1 and 2; the ratio is beyond SQL and tested by hand."""
     names = t.sql(ENTITIES).select("county_code", "name").distinct()
@@ -128,7 +130,7 @@ def h6(t):
     return resolve.match_entities(names, t("fx_units"), adjacency(t), t("fx_counties"))
 
 
-LABELS = "select distinct county_code, case when unit_type = '02' then name || ' SBL' when unit_type = '40' then '2025 ' || name else upper(name) end as label from fx_units where unit_id < '020'"
+LABELS = "select distinct county_code, case when unit_type = '02' then name || ' SBL' when unit_type = '40' then '2025 ' || name else upper(name) end as label from fx_units"
 
 
 @query(

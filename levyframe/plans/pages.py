@@ -51,6 +51,17 @@ def k12(t):
     return D.classify_rate_pages(D.parse_rate_lines(t.sql(SHEET)), t("fx_counties").select(F.col("county_code").alias("doc")))
 
 
+# a page for each type of unit of a county
+TYPED = "select county_code || '-' || unit_type as doc, row_number() over (partition by county_code, unit_type order by unit_id) as line_no, name || ' $' || cast(rate_per_100 as varchar(20)) as line from fx_units where unit_type <> '03'"
+
+
+@query("i14_few_units", "select county_code || '-' || unit_type as doc, count(*) filter (where rate_per_100 between 0.0001 and 3.5) as n_pairs from fx_units where unit_type <> '03' group by 1 having count(*) filter (where rate_per_100 between 0.0001 and 3.5) < 3")
+def i14(t):
+    """Pages with fewer than three parsed units, which need a look."""
+    lines = t.sql(TYPED)
+    return D.classify_rate_pages(D.parse_rate_lines(lines), lines.select("doc")).where("not usable").select("doc", "n_pairs")
+
+
 FILES = "select s_nationkey % 7 as county, case s_suppkey % 5 when 0 then 'Certified Appraisal Roll 2024' when 1 then 'roll export' when 2 then 'GIS roll' when 3 then '2025 preliminary roll' else 'photo' end as label, 'https://x.example/uploads/20' || cast(10 + s_suppkey % 13 as varchar(10)) || '/f' || cast(s_suppkey as varchar(20)) || '.zip' as url, s_suppkey * 1000 as bytes, s_suppkey % 3 <> 0 as usable from supplier"
 RANKED = f"select *, case s when 0 then 12 when 1 then 9 when 3 then 4 else -1 end + 1 as score, case s when 0 then 2024 when 3 then 2025 else y end as year from (select f.*, case when label like 'Cert%' then 0 when label = 'roll export' then 1 when label like '2025%' then 3 else 2 end as s, cast(substr(url, 27, 4) as int) as y from ({FILES}) f) g where usable and s in (0, 1, 3)"
 
@@ -136,22 +147,43 @@ def l4(t):
     return i.select("shard", "k", S.hit_fields(F.col("line"))["county"].alias("county"))
 
 
-@query("l6_search_owner", f"select q, count(*) as n, min(prop_id) as least from (select 'customer#00000' || lpad(cast(c_custkey % 40 as varchar(10)), 4, '0') as q from customer group by 1) q join (select * from ({BASE}) b where owner is not null) b on contains(trim(regexp_replace(upper(owner), '[^A-Z0-9]+', ' ', 'g')), 'CUSTOMER') and contains(trim(regexp_replace(upper(owner), '[^A-Z0-9]+', ' ', 'g')), substr(upper(q), 10)) group by 1")
+# queries of the searches: the owner's name, address and id of every row whose id is divisible by 50, against all rows
+OWNERS = "select distinct lower(c_name) as q from customer where c_custkey % 50 = 0"
+ADDRESSES = "select distinct lower(addr) as q from fx_parcels where uid % 50 = 0 and addr is not null"
+IDS = "select distinct prop_id as q from fx_parcels where uid % 50 = 0 and prop_id <> '0'"
+NORM = "trim(regexp_replace(upper(X), '[^A-Z0-9]+', ' ', 'g'))"
+WORDS = "len(list_filter(LIST, lambda w: not contains(k, w))) = 0"
+
+
+@query(
+    "l6_search_owner",
+    f"""with q as (select q, {NORM.replace('X', 'q')} as n, string_split({NORM.replace('X', 'q')}, ' ') as words from ({OWNERS}) o),
+i as (select {NORM.replace('X', 'owner')} as k, county, prop_id, addr from ({BASE}) b where owner is not null)
+select q, count(*) as n, min(prop_id) as least from (select distinct q, county, prop_id, addr from q join i on {WORDS.replace('LIST', 'words')}) h group by 1""",
+)
 def l6(t):
-    q = t.sql("select distinct 'customer#00000' || lpad(cast(c_custkey % 40 as varchar(10)), 4, '0') as q from customer")
-    return S.search_owner(S.owner_index(base(t)), q).groupBy("q").agg(F.count("*").alias("n"), F.min("prop_id").alias("least"))
+    return S.search_owner(S.owner_index(base(t)), t.sql(OWNERS)).groupBy("q").agg(F.count("*").alias("n"), F.min("prop_id").alias("least"))
 
 
-@query("l7_search_addr", f"select q, county, prop_id, rank from (select q, county, prop_id, row_number() over (partition by q order by case when starts_with(k, n) then 0 else 1 end, length(k), k, county, prop_id) as rank from (select q, upper(q) as n, x.county, x.prop_id, x.addr, min(k) as k from (select cast(c_custkey as varchar(20)) || ' low' as q from customer where c_custkey between 100 and 130) z join ({ADDR}) x on x.shard = substr(q, 1, 3) and starts_with(k, split_part(q, ' ', 1)) and contains(k, 'LOW') group by 1, 2, 3, 4, 5) h) r where rank <= 300")
+@query(
+    "l7_search_addr",
+    f"""with q as (select q, {NORM.replace('X', 'q')} as n, string_split({NORM.replace('X', 'q')}, ' ') as words from ({ADDRESSES}) o),
+h as (select q, n, x.county, x.prop_id, x.addr, min(k) as k from q join ({ADDR}) x
+  on x.shard = case when regexp_matches(words[1], '^[0-9]+$') then substr(words[1], 1, 3) else 't_' || substr(n, 1, 3) end and starts_with(k, words[1]) and {WORDS.replace('LIST', 'words[2:]')}
+  where length(n) >= 3 group by 1, 2, 3, 4, 5)
+select q, county, prop_id, rank from (select *, row_number() over (partition by q order by case when starts_with(k, n) then 0 else 1 end, length(k), k, county, prop_id) as rank from h) r where rank <= 300""",
+)
 def l7(t):
-    q = t.sql("select cast(c_custkey as varchar(20)) || ' low' as q from customer where c_custkey between 100 and 130")
-    return S.search_addr(S.addr_index(base(t)), q).select("q", "county", "prop_id", "rank")
+    return S.search_addr(S.addr_index(base(t)), t.sql(ADDRESSES)).select("q", "county", "prop_id", "rank")
 
 
-@query("l8_search_id", f"select q, county, prop_id, rank from (select q, county, prop_id, row_number() over (partition by q order by prop_id, county, addr) as rank from (select cast(c_custkey as varchar(20)) as q from customer where c_custkey between 100 and 130) z join ({BASE}) b on prop_id <> '0' and starts_with(prop_id, q)) r where rank <= 50")
+@query(
+    "l8_search_id",
+    f"""select q, county, prop_id, rank from (select q, county, prop_id, row_number() over (partition by q order by prop_id, county, addr nulls first) as rank
+  from ({IDS}) z join (select * from ({BASE}) b where prop_id <> '0') b on substr(prop_id, 1, 3) = substr(q, 1, 3) and starts_with(prop_id, q) where length(q) >= 3) r where rank <= 50""",
+)
 def l8(t):
-    q = t.sql("select cast(c_custkey as varchar(20)) as q from customer where c_custkey between 100 and 130")
-    return S.search_id(S.id_index(base(t)), q).select("q", "county", "prop_id", "rank")
+    return S.search_id(S.id_index(base(t)), t.sql(IDS)).select("q", "county", "prop_id", "rank")
 
 
 @query("l9_render_hits", f"select county, prop_id, concat_ws(' · ', owner, case when addr is not null then addr else '(no situs address)' end, county, case when prop_id <> '0' then '#' || prop_id end) as label from ({BASE}) b")

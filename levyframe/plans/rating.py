@@ -63,11 +63,11 @@ ROLL = f"""select county_code, prop_id, round(sum(rate_per_100), 4) as roll_rate
  having count(*) filter (where unit_type = '02') = 1 and count(*) filter (where unit_type = '03') <= 1 and count(*) filter (where unit_type = '00') >= 1"""
 
 
-def roll(t):
-    """Roll lines by the units that their names stand for; names are matched once each."""
+def roll(t, with_ratio=False):
+    """Roll lines by the units that their names stand for; names are matched once each.  SQL has no ratio of two names, so only *_with_ratio asks for it."""
     rows = t("fx_roll_entities").join(F.broadcast(t("fx_counties").select("county", "county_code")), "county")
     names = rows.where(~F.col("entity_code").isin(*R.SKIPPED_CODES)).select("county_code", F.col("entity_name").alias("name")).distinct()
-    return R.roll_rates(rows, materialize(resolve.match_entities(names, t("fx_units"), adjacency(t), t("fx_counties"))))
+    return R.roll_rates(rows, materialize(resolve.match_entities(names, t("fx_units"), adjacency(t), t("fx_counties"), with_ratio)))
 
 
 @query("h7_roll_rates", f"select county_code, prop_id, cast(roll_rate as double) as roll_rate, cast(roll_isd_rate as double) as roll_isd_rate, n_units from ({ROLL}) r")
@@ -91,7 +91,7 @@ left join ({EXTRA}) e on e.county = n.county and e.city_name is not distinct fro
 left join ({ROLL}) r on r.county_code = n.county_code and r.prop_id = n.prop_id and n.prop_id <> '0'"""
 
 
-def rated(t):
+def rated(t, with_ratio=False):
     """The whole build: parcels placed in cities and school districts, these names resolved to units, special districts and corrections by place, and the roll, which wins."""
     parcels = t("fx_located").select("uid", "county", "county_code", "prop_id", "addr", "mkt", "x", "y")
     near = materialize(adjacency(t))
@@ -107,7 +107,7 @@ def rated(t):
     city_at, cities = placed(city_strips(t), "03", "city_name", norm_city)
     isd_at, isds = placed(school_strips(t), "02", "isd_name", norm_isd)
     rows = parcels.join(city_at, "uid", "left").join(isd_at, "uid", "left")
-    return R.nominal_rates(rows, t("fx_base"), cities, isds, special(t), extra(t), roll(t))
+    return R.nominal_rates(rows, t("fx_base"), cities, isds, special(t), extra(t), roll(t, with_ratio))
 
 
 @query("h8_nominal_rate", f"select uid, cast(nominal_rate as double) as nominal_rate, cast(isd_rate as double) as isd_rate, roll_verified from ({NOMINAL}) x")
@@ -115,6 +115,12 @@ def h8(t):
     return rated(t).select("uid", "nominal_rate", "isd_rate", "roll_verified")
 
 
+@query("h8_with_ratio")
+def h8_with_ratio(t):
+    """The same with the roll's names matched by ratio as well; tested against the stages by hand."""
+    return rated(t, with_ratio=True).select("uid", "nominal_rate", "isd_rate", "roll_verified")
+
+
 # owners and recorded areas by account; an area of 0 is not recorded
 ATTRS = "select distinct p.county, p.prop_id, c_name as owner, cast(case when uid % 3 = 0 then 0 else uid % 700 end as double) / 100 as gis_area from fx_parcels p join orders on o_orderkey = uid join customer on c_custkey = o_custkey where p.prop_id <> '0'"
 LOT = "radians(0.001e0) * 2 * abs(sin(radians(y + 0.002e0)) - sin(radians(y))) / 2 * 6371008.8 * 6371008.8 / 4046.8564"
@@ -124,7 +130,7 @@ LOT = "radians(0.001e0) * 2 * abs(sin(radians(y + 0.002e0)) - sin(radians(y))) /
     "h9_parcel_export",
     f"""select x.uid, x.county, cast(round(cast(nominal_rate as decimal(18,6)), 4) as double) as r, cast(round(cast(isd_rate as decimal(18,6)), 4) as double) as isdr,
   case when roll_verified then 0e0 else cast(round(cast(sd as decimal(18,6)), 4) as double) end as sd, stack as sdn, case when roll_verified then 1 else 0 end as rv,
-  a.owner as own, round(case when coalesce(a.gis_area, 0) > 0 then a.gis_area else {LOT} end, 2) as ac
+  a.owner as own, round(case when coalesce(a.gis_area, 0) > 0 then a.gis_area else {LOT} end, 3) as ac
 from ({NOMINAL}) x join fx_parcels p on p.uid = x.uid left join ({ATTRS}) a on a.county = x.county and a.prop_id = x.prop_id""",
 )
 def h9(t):
@@ -137,7 +143,7 @@ def h9(t):
     key = F.when(has_real_id(F.col("prop_id")), F.col("prop_id")).otherwise(F.concat(F.lit("#"), "uid"))
     attrs = t.sql(ATTRS.replace(" as double) / 100", " as double) / 100D")).withColumnRenamed("prop_id", "key")
     rows = rated(t).withColumn("key", key).join(attrs, ["county", "key"], "left")
-    return rows.select("uid", "county", four("nominal_rate").alias("r"), four("isd_rate").alias("isdr"), sd.alias("sd"), sdn.alias("sdn"), F.col("roll_verified").cast("int").alias("rv"), F.col("owner").alias("own"), F.round(acres(F.col("gis_area"), lot), 2).alias("ac"))
+    return rows.select("uid", "county", four("nominal_rate").alias("r"), four("isd_rate").alias("isdr"), sd.alias("sd"), sdn.alias("sdn"), F.col("roll_verified").cast("int").alias("rv"), F.col("owner").alias("own"), acres(F.col("gis_area"), lot).alias("ac"))
 
 
 @query("h10_breakdown", "select uid, 1 + (case when coalesce(city_rate, 0) > 0 then 1 else 0 end) as n_parts, coalesce(case when coalesce(isd_rate, 0) >= 0.005 then cast(isd_rate as double) end, -1) as gap from fx_named")

@@ -66,7 +66,7 @@ def a2(t):
 def a3(t):
     rows = districts(t).withColumn("NAME", F.concat_ws(" ", "poly_name", "poly_id")).withColumn("TYPE", F.lit("MUD"))
     line = Wr.feature_lines(rows, "rings", ["NAME", "TYPE"])
-    collections = rows.select(F.pmod("poly_id", F.lit(7)).alias("file"), line.alias("f")).groupBy("file").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.concat_ws(",", F.collect_list("f")), F.lit("]}")).alias("json"))
+    collections = rows.select(F.floor(F.col("poly_id") / 500).alias("file"), line.alias("f")).groupBy("file").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.concat_ws(",", F.collect_list("f")), F.lit("]}")).alias("json"))
     got = R.features(collections)
     return got.select("name", "type", F.size(F.col("rings")[0]).alias("n_points"), F.round(F.col("rings")[0][0]["x"], 6).alias("x0"))
 

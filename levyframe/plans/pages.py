@@ -9,12 +9,43 @@ from levyframe.operators import search as S
 from levyframe.plans.fixtures import query
 
 
-@query("k1_html_to_text")
+def nested(text, steps):
+    """SQL that replaces one pattern after the other."""
+    for pattern, to in steps:
+        text = f"regexp_replace({text}, '{pattern}', '{to}', 'g')"
+    return text
+
+
+# each tag by itself, for SQL has no references back
+NO_SCRIPTS = nested("html", [(f"(?is)<{tag}[^>]*>.*?</{tag}>", " ") for tag in ("script", "style", "noscript", "svg")])
+CHARACTERS = (("&nbsp;", " "), ("&amp;", "&"), ("&#8217;", "''"), ("&quot;", '"'), ("&#39;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&#187;", ">"))
+
+
+def page_text():
+    text = nested(NO_SCRIPTS, [("(?i)</t[dh]>", "\t"), (r"(?i)</(tr|p|div|li|h[1-6]|br)\s*/?>", "\n"), (r"(?i)<br\s*/?>", "\n"), ("<[^>]+>", " ")])
+    for entity, to in CHARACTERS:
+        text = f"replace({text}, '{entity}', '{to}')"
+    return nested(text, [("[ \t]*\n[ \t]*", "\n"), ("\n{3,}", "\n\n"), (r"^\s+|\s+$", "")])
+
+
+@query("k1_html_to_text", f"select page_id, {page_text()} as text from pages")
 def k1(t):
     return t("pages").select("page_id", D.html_to_text(F.col("html")).alias("text"))
 
 
-@query("k2_links")
+ANCHOR = "(?is)<a[^>]+href=[\"'']([^\"'']+)[\"''][^>]*>(.*?)</a>"
+LINKS = f"""select page_id, position, href, text from (
+ select page_id, position, trim(regexp_replace(regexp_replace(label, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) as text,
+  case when regexp_matches(h, '^[a-zA-Z][a-zA-Z0-9+.-]*:') then h when starts_with(h, '//') then regexp_extract(url, '^([a-zA-Z]+):', 1) || ':' || h
+   when starts_with(h, '/') then host || h when starts_with(h, '?') then bare || h
+   else case when length(bare) > length(host) then regexp_extract(bare, '^(.*/)', 1) else host || '/' end || h end as href
+ from (select page_id, url, regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1) as host, regexp_extract(url, '^([^?#]*)', 1) as bare, cast(i - 1 as int) as position, trim(hrefs[i]) as h, labels[i] as label
+  from (select page_id, url, hrefs, labels, unnest(range(1, len(hrefs) + 1)) as i
+   from (select page_id, url, regexp_extract_all(html, '{ANCHOR}', 1) as hrefs, regexp_extract_all(html, '{ANCHOR}', 2) as labels from pages) p) q) r) x
+where regexp_matches(href, '^https?://') and not regexp_matches(href, '{D.SKIPPED_LINKS}')"""
+
+
+@query("k2_links", LINKS)
 def k2(t):
     return D.extract_links(t("pages"))
 
@@ -88,7 +119,11 @@ def k9(t):
     return D.verify_pages(t("pages").select("page_id", "html"), ids, "(?i)<article")
 
 
-@query("k10_classified_links")
+@query(
+    "k10_classified_links",
+    f"""select page_id, kind, min_by(href, position) as href from (select *, case when regexp_matches(text, '(?i)^the') or regexp_matches(href, '(?i)^the') then 'the'
+  when regexp_matches(text, '(?i)and') or regexp_matches(href, '(?i)and') then 'about' end as kind from ({LINKS}) l) k where kind is not null group by 1, 2""",
+)
 def k10(t):
     return D.classify_links(D.extract_links(t("pages")), {"the": "(?i)^the", "about": "(?i)and"})
 

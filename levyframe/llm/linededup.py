@@ -37,7 +37,7 @@ FILTER_BITS = 1 << 24
 REMEMBERED = 500_000
 #: Lines of a group that are compared with each other in one block; candidate pairs of a block above which their shingles are counted for all pairs at once.
 BLOCK, CANDIDATES = 512, 50_000
-#: Lines whose pairs are all compared without a look at their rarest shingles; pairs of lines that are marked at once.
+#: Lines whose pairs are all taken, one by one; pairs of lines that are marked at once.
 FEW, PAIRS = 24, 2_000_000
 #: Characters of lines whose shingles are hashed at once.
 TOGETHER = 500_000
@@ -253,8 +253,8 @@ def alike_pairs(sets: list[np.ndarray], similarity: float) -> np.ndarray:
     return both / (sizes[:, None] + sizes[None, :] - both) >= similarity
 
 
-def candidate_pairs(sets: list[np.ndarray], similarity: float) -> np.ndarray:
-    """(lines, lines) booleans, none lost: pairs that share one of their rarest shingles.
+def candidate_pairs(sets: list[np.ndarray], similarity: float, label: np.ndarray | None = None) -> np.ndarray:
+    """(lines, lines) booleans, none lost of lines with unequal labels: pairs that share one of their rarest shingles.
 
     Of two lines that reach the threshold each has all but a part 1 - similarity
     of its shingles from the other, so they meet in the first so many of any
@@ -269,15 +269,22 @@ def candidate_pairs(sets: list[np.ndarray], similarity: float) -> np.ndarray:
     picked = order[position < np.repeat(first, sizes)]
     picked = picked[times[token[picked]] > 1]
     picked = picked[np.argsort(token[picked], kind="stable")]
-    rows, size = row[picked], np.unique(token[picked], return_counts=True)[1]
-    begin, near = np.cumsum(size) - size, np.zeros((n, n), bool)
-    # all pairs of each shingle's lines, some shingles at a time
-    for some in np.split(np.arange(len(size)), np.flatnonzero(np.diff(np.cumsum(size**2) // PAIRS)) + 1):
-        if len(some):
-            each = np.repeat(size[some], size[some])  # an element's partners
-            left = np.arange(begin[some[0]], begin[some[-1]] + size[some[-1]])
-            place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-            near[np.repeat(rows[left], each), rows[np.repeat(np.repeat(begin[some], size[some]), each) + place]] = True
+    near, picked_token, rows = np.zeros((n, n), bool), token[picked], row[picked]
+    begin = np.flatnonzero(np.diff(picked_token, prepend=-1))
+    size = np.diff(np.append(begin, len(rows)))
+    if label is not None and len(begin):  # a shingle of one component's lines joins nothing
+        apart = np.minimum.reduceat(label[rows], begin) < np.maximum.reduceat(label[rows], begin)
+        begin, size = begin[apart], size[apart]
+    for i in np.flatnonzero(size > FEW):
+        some = rows[begin[i] : begin[i] + size[i]]
+        near[np.ix_(some, some)] = True
+    begin, size = begin[size <= FEW], size[size <= FEW]
+    for some in np.array_split(np.arange(len(size)), 1 + int((size**2).sum()) // PAIRS):
+        each = np.repeat(size[some], size[some])  # an element's partners
+        first_of = np.repeat(begin[some], size[some])
+        own = first_of + np.arange(len(each)) - np.repeat(np.cumsum(size[some]) - size[some], size[some])
+        place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        near[np.repeat(rows[own], each), rows[np.repeat(first_of, each) + place]] = True
     return near & (np.minimum.outer(sizes, sizes) >= similarity * np.maximum.outer(sizes, sizes) - 1e-9)
 
 
@@ -289,7 +296,7 @@ def block_links(components: list[int], texts: list[str], similarity: float) -> l
     sizes = [len(x) for x in sets]
     near = label[:, None] != label[None, :]
     if len(sets) > FEW:
-        near &= candidate_pairs(sets, similarity)
+        near &= candidate_pairs(sets, similarity, label)
     if near.sum() > 2 * CANDIDATES:
         near &= alike_pairs(sets, similarity)
         alike = lambda i, j: True

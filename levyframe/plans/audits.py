@@ -10,7 +10,9 @@ from levyframe.plans.fixtures import query
 from levyframe.plans.rating import ROLL, roll
 from levyframe.sources.tables import materialize
 
-COVERED = "select county_code, unit_id from fx_recipes union select county_code, unit_id from fx_units where unit_type in ('02', '03') union select county_code, unit_id from fx_units where unit_type = '40' and length(name) % 2 = 0"
+COVERED = """select county_code, unit_id from fx_recipes union select county_code, unit_id
+  from fx_units where unit_type in ('02', '03') union select county_code, unit_id
+  from fx_units where unit_type = '40' and length(name) % 2 = 0"""
 MISSING = f"select * from fx_units where rate_per_100 > 0 and unit_id not in (select unit_id from ({COVERED}) c)"
 # published sheets: each county's units in two tables, the second with old rates and units twice
 SHEETS = """select county_code, 1 as table_id, case when unit_type = '03' and length(name) % 4 = 0 then name || ' in city limits' else name end as label, case when rate_per_100 between 0.1 and 0.11 then rate_per_100 + 0.01 else rate_per_100 end as rate, unit_id, rate_per_100 from fx_units
@@ -30,19 +32,28 @@ def i1(t):
     return missing(t).select("county_code", "unit_id", "rate_per_100")
 
 
-@query("i1_coverage_audit", f"select l.county_code, n_levying, coalesce(n_missing, 0) as n_missing, coalesce(n_emergency, 0) as n_emergency, coalesce(missing_rate, 0) as missing_rate, coalesce(u, -1) as emergency_rate, coalesce(lo, -1) as emergency_least, coalesce(hi, -1) as emergency_largest from (select county_code, count(*) as n_levying from fx_units where rate_per_100 > 0 group by 1) l left join (select county_code, count(*) as n_missing, cast(sum(rate_per_100) as double) as missing_rate, count(*) filter (where unit_type = '40') as n_emergency, case when count(distinct rate_per_100) filter (where unit_type = '40') = 1 then cast(min(rate_per_100) filter (where unit_type = '40') as double) end as u, coalesce(cast(min(rate_per_100) filter (where unit_type = '40') as double), 0) as lo, coalesce(cast(max(rate_per_100) filter (where unit_type = '40') as double), 0) as hi from ({MISSING}) m group by 1) x on x.county_code = l.county_code")
+@query("i1_coverage_audit", f"""select l.county_code, n_levying, coalesce(n_missing, 0) as n_missing, coalesce(n_emergency, 0) as n_emergency, coalesce(missing_rate,
+    0) as missing_rate, coalesce(u, -1) as emergency_rate, coalesce(lo, -1) as emergency_least, coalesce(hi, -1) as emergency_largest
+  from (select county_code, count(*) as n_levying from fx_units
+  where rate_per_100 > 0 group by 1) l left join (select county_code, count(*) as n_missing, cast(sum(rate_per_100) as double) as missing_rate,
+    count(*) filter (where unit_type = '40') as n_emergency, case when count(distinct rate_per_100) filter (where unit_type = '40') = 1 then cast(min(rate_per_100) filter (where unit_type = '40') as double) end as u,
+    coalesce(cast(min(rate_per_100) filter (where unit_type = '40') as double), 0) as lo, coalesce(cast(max(rate_per_100) filter (where unit_type = '40') as double),
+    0) as hi from ({MISSING}) m group by 1) x on x.county_code = l.county_code""")
 def i1_audit(t):
     a = R.coverage_audit(t("fx_units"), R.covered_units(t("fx_recipes"), t.sql(COVERED)))
     d = lambda c, v: F.coalesce(F.col(c).cast("double"), F.lit(v)).alias(c)
     return a.select("county_code", "n_levying", "n_missing", "n_emergency", d("missing_rate", 0.0), d("emergency_rate", -1.0), d("emergency_least", -1.0), d("emergency_largest", -1.0))
 
 
-@query("e12_totals_by_type", f"select unit_type, count(*) as n, cast(sum(rate_per_100) as double) as total, round(avg(cast(rate_per_100 as double)), 6) as mean from ({MISSING}) m group by 1")
+@query("e12_totals_by_type", f"""select unit_type, count(*) as n, cast(sum(rate_per_100) as double) as total, round(avg(cast(rate_per_100 as double)), 6) as mean
+  from ({MISSING}) m group by 1""")
 def e12(t):
     return R.totals_by_type(missing(t)).orderBy(F.desc("total"))
 
 
-SCORES = f"select county_code, table_id, count(distinct unit_id) as n_units, round(avg(case when abs(rate - rate_per_100) <= 0.0005 then 1e0 else 0e0 end), 6) as agreement, round(1 - count(distinct unit_id) / count(*), 6) as duplicates from ({SHEETS}) s group by 1, 2"
+SCORES = f"""select county_code, table_id, count(distinct unit_id) as n_units, round(avg(case when abs(rate - rate_per_100) <= 0.0005 then 1e0 else 0e0 end),
+    6) as agreement, round(1 - count(distinct unit_id) / count(*), 6) as duplicates
+  from ({SHEETS}) s group by 1, 2"""
 
 
 @query("i3_table_scores", f"select *, round(n_units * agreement * (1 - duplicates), 6) as score from ({SCORES}) x")
@@ -50,7 +61,8 @@ def i3(t):
     return R.score_tables(sheets(t))
 
 
-BEST = f"select county_code, table_id, agreement as trust, n_units from (select *, row_number() over (partition by county_code order by round(n_units * agreement * (1 - duplicates), 6) desc, table_id) as k from ({SCORES}) x) y where k = 1"
+BEST = f"""select county_code, table_id, agreement as trust, n_units from (select *, row_number() over (partition by county_code order by round(n_units * agreement * (1 - duplicates),
+    6) desc, table_id) as k from ({SCORES}) x) y where k = 1"""
 
 
 @query("i3_best_tables", BEST)
@@ -66,7 +78,9 @@ def i4(t):
     return sheets(t).where("table_id = 1").select("county_code", "unit_id", R.is_combo(F.col("label"), F.col("rate"), F.lit(True)).alias("combo"))
 
 
-MISMATCHES = f"select s.county_code, unit_id, label, cast(rate as double) as rate, cast(rate_per_100 as double) as rate_per_100, cast(cast(rate - rate_per_100 as decimal(12,6)) as double) as delta from ({SHEETS}) s join ({BEST}) b on b.county_code = s.county_code and b.table_id = s.table_id where trust >= 0.6 and not {COMBO} and abs(rate - rate_per_100) > 0.0005"
+MISMATCHES = f"""select s.county_code, unit_id, label, cast(rate as double) as rate, cast(rate_per_100 as double) as rate_per_100, cast(cast(rate - rate_per_100 as decimal(12,6)) as double) as delta
+  from ({SHEETS}) s join ({BEST}) b on b.county_code = s.county_code and b.table_id = s.table_id
+  where trust >= 0.6 and not {COMBO} and abs(rate - rate_per_100) > 0.0005"""
 
 
 @query("i5_rate_mismatches", MISMATCHES)
@@ -75,14 +89,17 @@ def i5(t):
     return R.rate_mismatches(s, R.best_tables(s))
 
 
-@query("i6_confirmed_missing", f"select m.county_code, m.unit_id, coalesce(p.n, 0) as n_rows, coalesce(p.rate, -1) as published from ({MISSING}) m left join (select county_code, unit_id, count(*) as n, cast(max(rate) as double) as rate from ({SHEETS}) s group by 1, 2) p on p.county_code = m.county_code and p.unit_id = m.unit_id")
+@query("i6_confirmed_missing", f"""select m.county_code, m.unit_id, coalesce(p.n, 0) as n_rows, coalesce(p.rate, -1) as published
+  from ({MISSING}) m left join (select county_code, unit_id, count(*) as n, cast(max(rate) as double) as rate
+  from ({SHEETS}) s group by 1, 2) p on p.county_code = m.county_code and p.unit_id = m.unit_id""")
 def i6(t):
     return R.confirmed_missing(missing(t), sheets(t)).select("county_code", "unit_id", "n_rows", F.coalesce(F.col("published").cast("double"), F.lit(-1.0)).alias("published"))
 
 
 # fifteen special units of largest rate a county; its totals are published in parts of 28 units each, and made of the county,
 # a school, perhaps a city, and some of these
-EXTRAS = "select county_code, unit_id, unit_type, rate_per_100, row_number() over (partition by county_code order by rate_per_100 desc, unit_id) as rank from fx_units where unit_type in ('40', '04') and rate_per_100 > 0 qualify rank <= 15"
+EXTRAS = """select county_code, unit_id, unit_type, rate_per_100, row_number() over (partition by county_code order by rate_per_100 desc, unit_id) as rank
+  from fx_units where unit_type in ('40', '04') and rate_per_100 > 0 qualify rank <= 15"""
 PART = "cast(floor(cast(split_part(unit_id, '-', 2) as int) / 28) as int) as part"
 SCHOOLS = f"select county_code, {PART}, unit_id, rate_per_100 from fx_units where unit_type = '02' and rate_per_100 > 0"
 CITIES = f"select county_code, {PART}, unit_id, rate_per_100 from fx_units where unit_type = '03' and rate_per_100 > 0"
@@ -125,12 +142,15 @@ def solved(t):
     return materialize(ways)
 
 
-@query("i8_solve_totals", f"select county_code, part, cast(total as double) as total, count(*) as n_ways, min(isd_unit) as isd_unit, max(n_ways) as n from ({SOLVED}) s group by 1, 2, 3")
+@query("i8_solve_totals", f"""select county_code, part, cast(total as double) as total, count(*) as n_ways, min(isd_unit) as isd_unit, max(n_ways) as n
+  from ({SOLVED}) s group by 1, 2, 3""")
 def i8(t):
     return solved(t).groupBy("county_code", "part", "total").agg(F.count("*").alias("n_ways"), F.min("isd_unit").alias("isd_unit"), F.max("n_ways").alias("n"))
 
 
-MODES = "select n.county_code, n.city_unit, n.isd_unit, cast(round(b.base + coalesce(n.city_rate, 0) + n.isd_rate, 6) as decimal(12,6)) as rate, count(*) as n from fx_named n join fx_base b on b.county_code = n.county_code where n.isd_unit is not null group by 1, 2, 3, 4"
+MODES = """select n.county_code, n.city_unit, n.isd_unit, cast(round(b.base + coalesce(n.city_rate, 0) + n.isd_rate, 6) as decimal(12,6)) as rate,
+    count(*) as n from fx_named n join fx_base b on b.county_code = n.county_code
+  where n.isd_unit is not null group by 1, 2, 3, 4"""
 
 
 RECONCILED = f"""select s.*, m.rate as map_rate, cast(s.total - m.rate as decimal(12,6)) as gap, coalesce(abs(s.total - m.rate) <= 0.0002, false) as ok
@@ -138,7 +158,8 @@ RECONCILED = f"""select s.*, m.rate as map_rate, cast(s.total - m.rate as decima
  left join ({MODES}) m on m.county_code = s.county_code and m.city_unit is not distinct from s.city_unit and m.isd_unit = s.isd_unit"""
 
 
-@query("i9_reconcile", f"select county_code, cast(total as double) as total, isd_unit, city_unit, coalesce(cast(map_rate as double), -1) as map_rate, ok from ({RECONCILED}) r")
+@query("i9_reconcile", f"""select county_code, cast(total as double) as total, isd_unit, city_unit, coalesce(cast(map_rate as double), -1) as map_rate, ok
+  from ({RECONCILED}) r""")
 def i9(t):
     r = R.reconcile(solved(t), t.sql(MODES))
     return r.select("county_code", "total", "isd_unit", "city_unit", F.coalesce(F.col("map_rate").cast("double"), F.lit(-1.0)).alias("map_rate"), "ok")
@@ -189,7 +210,11 @@ def i11_ambiguous(t):
     return R.ambiguous_areas(R.reconcile(solved(t), t.sql(MODES)), R.best_tables(sheets(t)))
 
 
-@query("i12_fix_routes", f"select county_code, case when county_code in (select county_code from fx_counties where gx = 0) then 'area' when county_code in (select county_code from ({ROLL}) r) then 'roll' when county_code in (select county_code from fx_counties where gx = 4) then 'layer' else 'none' end as route from ({MISSING}) m group by 1")
+@query("i12_fix_routes", f"""select county_code, case when county_code in (select county_code
+  from fx_counties where gx = 0) then 'area' when county_code in (select county_code
+  from ({ROLL}) r) then 'roll' when county_code in (select county_code
+  from fx_counties where gx = 4) then 'layer' else 'none' end as route
+  from ({MISSING}) m group by 1""")
 def i12(t):
     c = t("fx_counties")
     return R.fix_routes(missing(t), c.where("gx = 0"), roll(t), c.where("gx = 4"))

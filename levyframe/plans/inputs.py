@@ -12,10 +12,12 @@ from levyframe.sources import writers as Wr
 from levyframe.sources.tables import new_path
 
 
-WORKBOOK = "select case when unit_type = '40' then ' ' || name || ' **' else name end as name, unit_id, case when rate_per_100 = 0 then null else cast(rate_per_100 as varchar(20)) end as rate from fx_units"
+WORKBOOK = """select case when unit_type = '40' then ' ' || name || ' **' else name end as name, unit_id, case when rate_per_100 = 0 then null else cast(rate_per_100 as varchar(20)) end as rate
+  from fx_units"""
 
 
-@query("a1_taxing_units", "select tax_year, unit_id, name, county_code, substr(unit_id, 5, 3) as serial, unit_type, cast(rate_per_100 as double) as rate_per_100 from fx_units")
+@query("a1_taxing_units", """select tax_year, unit_id, name, county_code, substr(unit_id, 5, 3) as serial, unit_type, cast(rate_per_100 as double) as rate_per_100
+  from fx_units""")
 def a1(t):
     return R.taxing_units(t.sql(WORKBOOK), 2025)
 
@@ -25,8 +27,10 @@ def a1_names(t):
     return R.county_names(R.taxing_units(t.sql(WORKBOOK), 2025))
 
 
-RINGS = "array(array(named_struct('x', cx - r, 'y', cy), named_struct('x', cx, 'y', cy - r), named_struct('x', cx + r, 'y', cy), named_struct('x', cx, 'y', cy + r)))"
-SQUARES = "array(array(named_struct('x', cast(gx as double), 'y', cast(gy as double)), named_struct('x', gx + 1.0D, 'y', cast(gy as double)), named_struct('x', gx + 1.0D, 'y', gy + 1.0D), named_struct('x', cast(gx as double), 'y', gy + 1.0D)))"
+RINGS = """array(array(named_struct('x', cx - r, 'y', cy), named_struct('x', cx, 'y', cy - r), named_struct('x', cx + r, 'y', cy), named_struct('x',
+    cx, 'y', cy + r)))"""
+SQUARES = """array(array(named_struct('x', cast(gx as double), 'y', cast(gy as double)), named_struct('x', gx + 1.0D, 'y', cast(gy as double)), named_struct('x',
+    gx + 1.0D, 'y', gy + 1.0D), named_struct('x', cast(gx as double), 'y', gy + 1.0D)))"""
 
 
 def districts(t):
@@ -55,14 +59,16 @@ def county_squares(t):
     return t.sql(f"select county_code, county, region, gx, gy, {SQUARES} as rings from fx_counties")
 
 
-@query("a2_boundaries", "select poly_id, poly_name as name, round(cx - r, 6) as x0, round(cy - r, 6) as y0, round(cx + r, 6) as x1, round(cy + r, 6) as y1 from fx_polys")
+@query("a2_boundaries", """select poly_id, poly_name as name, round(cx - r, 6) as x0, round(cy - r, 6) as y0, round(cx + r, 6) as x1, round(cy + r, 6) as y1
+  from fx_polys""")
 def a2(t):
     from levyframe.functions.geometry import envelope
 
     return districts(t).select("poly_id", F.col("poly_name").alias("name"), *[F.round(v, 6).alias(k) for k, v in envelope(F.col("rings")).items()])
 
 
-@query("a3_feature_collection", "select poly_name || ' ' || cast(poly_id as varchar(20)) as name, 'MUD' as type, 4 as n_points, round(cx - r, 6) as x0 from fx_polys")
+@query("a3_feature_collection", """select poly_name || ' ' || cast(poly_id as varchar(20)) as name, 'MUD' as type, 4 as n_points, round(cx - r, 6) as x0
+  from fx_polys""")
 def a3(t):
     rows = districts(t).withColumn("NAME", F.concat_ws(" ", "poly_name", "poly_id")).withColumn("TYPE", F.lit("MUD"))
     line = Wr.feature_lines(rows, "rings", ["NAME", "TYPE"])
@@ -71,14 +77,17 @@ def a3(t):
     return got.select("name", "type", F.size(F.col("rings")[0]).alias("n_points"), F.round(F.col("rings")[0][0]["x"], 6).alias("x0"))
 
 
-@query("a4_scan_parcels", "select p.uid, b.county, cast(b.base as double) as base from fx_parcels p join fx_base b on b.county_code = p.county_code where b.county_code <> '007'")
+@query("a4_scan_parcels", """select p.uid, b.county, cast(b.base as double) as base from fx_parcels p
+  join fx_base b on b.county_code = p.county_code where b.county_code <> '007'""")
 def a4(t):
     parts = t.sql("select '48' || lpad(cast(2*cast(county_code as int)+1 as varchar(10)),3,'0') as fips, uid from fx_parcels")
     counties = t.sql("select c.fips, c.county, cast(b.base as decimal(12,6)) as base from fx_counties c join fx_base b on b.county_code = c.county_code where c.county_code <> '007'")
     return R.scan_parcels(parts, counties).select("uid", "county", "base")
 
 
-@query("a5_parcel_attrs", "select c.county, cast(o_orderkey as varchar(20)) as prop_id, c_name as owner from orders join customer on c_custkey = o_custkey join fx_counties c on c.county_code = lpad(cast(o_custkey % 25 as varchar(10)),3,'0') where o_orderkey % 29 <> 0")
+@query("a5_parcel_attrs", """select c.county, cast(o_orderkey as varchar(20)) as prop_id, c_name as owner
+  from orders join customer on c_custkey = o_custkey join fx_counties c on c.county_code = lpad(cast(o_custkey % 25 as varchar(10)),3,'0')
+  where o_orderkey % 29 <> 0""")
 def a5(t):
     rows = t.sql("select p.county, p.prop_id, c_name as owner, p.addr, p.x, p.y from fx_parcels p join orders on o_orderkey = uid join customer on c_custkey = o_custkey")
     return rows.where(T.has_real_id(F.col("prop_id"))).select("county", "prop_id", "owner")
@@ -109,7 +118,8 @@ def a15(t):
     return R.ingest_report(R.parse_fixed_width(t.sql(EXPORT)))
 
 
-@query("a8_json_report", "select county_code, table_id, name, rate from (select county_code, 1 + row_number() over (partition by county_code order by unit_id) % 3 as table_id, name, cast(rate_per_100 as varchar(20)) as rate from fx_units)")
+@query("a8_json_report", """select county_code, table_id, name, rate from (select county_code, 1 + row_number() over (partition by county_code order by unit_id) % 3 as table_id,
+    name, cast(rate_per_100 as varchar(20)) as rate from fx_units)""")
 def a8(t):
     rows = t.sql("select county_code, 1 + row_number() over (partition by county_code order by unit_id) % 3 as table_id, name, cast(rate_per_100 as varchar(20)) as rate from fx_units")
     nested = rows.groupBy("county_code", "table_id").agg(F.collect_list(F.array("name", "rate")).alias("pairs")).groupBy("county_code").agg(F.collect_list(F.struct("table_id", "pairs")).alias("tables"))
@@ -138,7 +148,8 @@ def a10(t):
     return back.groupBy("shard").agg(F.count("*").alias("n"), F.min(F.split("value", "\t")[0]).alias("least"))
 
 
-@query("a11_upsert", "select county, count(*) as n, max(assessed) as largest from (select county, case when county < 'NATION_2' then assessed + 1 else assessed end as assessed from fx_roll_entities) group by county")
+@query("a11_upsert", """select county, count(*) as n, max(assessed) as largest from (select county, case when county < 'NATION_2' then assessed + 1 else assessed end as assessed
+  from fx_roll_entities) group by county""")
 def a11(t):
     path = new_path(t.spark)
     rows = t("fx_roll_entities").select("county", "prop_id", "assessed")
@@ -167,7 +178,8 @@ def a16(t):
     return parts.agg(F.sum("n").alias("n"), F.count("*").cast("int").alias("n_parts"), (F.max("n") < 1.3 * F.min("n")).alias("even"))
 
 
-@query("a17_search_meta", "select 'owner' as index, cast(count(*) as bigint) as n_rows, count(distinct substr(c_name, 10, 6)) as n_shards, cast(sum(length(c_name)) as bigint) as n_bytes from customer")
+@query("a17_search_meta", """select 'owner' as index, cast(count(*) as bigint) as n_rows, count(distinct substr(c_name, 10, 6)) as n_shards, cast(sum(length(c_name)) as bigint) as n_bytes
+  from customer""")
 def a17(t):
     shards = t.sql("select 'owner' as index, substr(c_name, 10, 6) as shard, count(*) as n, sum(length(c_name)) as bytes from customer group by 2")
     return Wr.search_meta(shards)
@@ -177,17 +189,22 @@ def _names(t):
     return t("fx_units").select("unit_id", "name", "unit_type", "county_code")
 
 
-@query("b1_clean_number", "select uid, cast(regexp_replace(mkt_text, '[^0-9.]', '', 'g') as double) as mkt, try_cast(case when uid % 2 = 0 then '1.2.3' else '' end as double) as bad from fx_parcels")
+@query("b1_clean_number", """select uid, cast(regexp_replace(mkt_text, '[^0-9.]', '', 'g') as double) as mkt, try_cast(case when uid % 2 = 0 then '1.2.3' else '' end as double) as bad
+  from fx_parcels""")
 def b1(t):
     return t("fx_parcels").select("uid", T.clean_number(F.col("mkt_text")).alias("mkt"), T.clean_number(F.when(F.col("uid") % 2 == 0, "1.2.3").otherwise("-x")).alias("bad"))
 
 
-@query("b2_norm_city", "select unit_id, regexp_replace(replace(regexp_replace(lower(trim(name)), '^(city|town|village) of ', ''), '-', ' '), '\\s+', ' ', 'g') as k from fx_units")
+@query("b2_norm_city", """select unit_id, regexp_replace(replace(regexp_replace(lower(trim(name)), '^(city|town|village) of ', ''), '-', ' '), '\\s+', ' ', 'g') as k
+  from fx_units""")
 def b2(t):
     return _names(t).select("unit_id", T.norm_city(F.col("name")).alias("k"))
 
 
-@query("b3_norm_isd", "select unit_id, regexp_replace(regexp_replace(replace(replace(lower(n), 'independent school district', 'isd'), ' county isd', ' isd'), '\\bcisd\\b', 'isd', 'g'), '[^a-z0-9]', '', 'g') as k from (select unit_id, case when unit_type = '02' then replace(name, 'ISD', 'County Independent School District') else name || ' CISD' end as n from fx_units)")
+@query("b3_norm_isd", """select unit_id, regexp_replace(regexp_replace(replace(replace(lower(n), 'independent school district', 'isd'), ' county isd', ' isd'),
+    '\\bcisd\\b', 'isd', 'g'), '[^a-z0-9]', '', 'g') as k from (select unit_id, case when unit_type = '02' then replace(name, 'ISD',
+    'County Independent School District') else name || ' CISD' end as n
+  from fx_units)""")
 def b3(t):
     name = F.when(F.col("unit_type") == "02", F.replace("name", F.lit("ISD"), F.lit("County Independent School District"))).otherwise(F.concat("name", F.lit(" CISD")))
     return _names(t).select("unit_id", T.norm_isd(name).alias("k"))
@@ -198,13 +215,17 @@ def b4(t):
     return t("fx_counties").select("county_code", T.norm_county(F.col("county")).alias("k"))
 
 
-@query("b5_norm_district", "select unit_id, regexp_replace(regexp_replace(regexp_replace(replace(lower(n), 'municipal utility district', 'mud'), '\\bof\\b.*$', ''), '\\bnumber\\b|\\bno\\b', '', 'g'), '[^a-z0-9]', '', 'g') as k from (select unit_id, replace(name, 'MUD', 'Municipal Utility District No 3 of X County') as n from fx_units)")
+@query("b5_norm_district", """select unit_id, regexp_replace(regexp_replace(regexp_replace(replace(lower(n), 'municipal utility district', 'mud'), '\\bof\\b.*$',
+    ''), '\\bnumber\\b|\\bno\\b', '', 'g'), '[^a-z0-9]', '', 'g') as k
+  from (select unit_id, replace(name, 'MUD', 'Municipal Utility District No 3 of X County') as n
+  from fx_units)""")
 def b5(t):
     return _names(t).select("unit_id", T.norm_district(F.replace("name", F.lit("MUD"), F.lit("Municipal Utility District No 3 of X County"))).alias("k"))
 
 
 STOPS = "('city','of','the','county','area','number','no','district','underground','conservation','co','dist','ranch')"
-NORM_ENTITY = f"array_to_string(list_filter(string_split(regexp_replace(regexp_replace(regexp_replace(lower(NAME), '\\s+\\d{{4,}}\\s*$', ''), '\\((fp|rp|pp|mn|bpp)\\)', ' ', 'g'), '[^a-z0-9 ]', ' ', 'g'), ' '), lambda w: w <> '' and w not in {STOPS}), '')"
+NORM_ENTITY = f"""array_to_string(list_filter(string_split(regexp_replace(regexp_replace(regexp_replace(lower(NAME), '\\s+\\d{{4,}}\\s*$', ''), '\\((fp|rp|pp|mn|bpp)\\)',
+    ' ', 'g'), '[^a-z0-9 ]', ' ', 'g'), ' '), lambda w: w <> '' and w not in {STOPS}), '')"""
 
 
 @query("b6_norm_entity", f"select county, entity_name, count(*) as n, {NORM_ENTITY.replace('NAME', 'entity_name')} as k from fx_roll_entities group by county, entity_name")
@@ -212,7 +233,8 @@ def b6(t):
     return t("fx_roll_entities").groupBy("county", "entity_name").agg(F.count("*").alias("n")).withColumn("k", T.norm_entity(F.col("entity_name")))
 
 
-@query("b7_numbered_key", "select unit_id, case when regexp_matches(lower(name), 'esd\\s*#?\\s*\\d+') then 'esd' || regexp_extract(lower(name), 'esd\\s*#?\\s*(\\d+)', 1) end as k from fx_units")
+@query("b7_numbered_key", """select unit_id, case when regexp_matches(lower(name), 'esd\\s*#?\\s*\\d+') then 'esd' || regexp_extract(lower(name), 'esd\\s*#?\\s*(\\d+)',
+    1) end as k from fx_units""")
 def b7(t):
     return _names(t).select("unit_id", T.numbered_key(F.col("name")).alias("k"))
 
@@ -233,13 +255,16 @@ def norm_label_sql(name):
     return f"regexp_replace({out}, '[^a-z0-9]+', '', 'g')"
 
 
-@query("b9_norm_label", f"select unit_id, {norm_label_sql('n')} as k from (select unit_id, '2025 ' || replace(replace(name, 'ISD', 'Independent School District'), 'ESD #', 'Emergency Services District Number ') || ' Total Rate' as n from fx_units)")
+@query("b9_norm_label", f"""select unit_id, {norm_label_sql('n')} as k from (select unit_id, '2025 ' || replace(replace(name, 'ISD', 'Independent School District'),
+    'ESD #', 'Emergency Services District Number ') || ' Total Rate' as n
+  from fx_units)""")
 def b9(t):
     name = F.concat(F.lit("2025 "), F.replace(F.replace("name", F.lit("ISD"), F.lit("Independent School District")), F.lit("ESD #"), F.lit("Emergency Services District Number ")), F.lit(" Total Rate"))
     return _names(t).select("unit_id", T.norm_label(name).alias("k"))
 
 
-@query("b10_search_norm", "select uid, trim(regexp_replace(upper(addr), '[^A-Z0-9]+', ' ', 'g')) as k, regexp_replace('a' || chr(9) || addr || chr(10), '[\\t\\r\\n]+', ' ', 'g') as s from fx_parcels")
+@query("b10_search_norm", """select uid, trim(regexp_replace(upper(addr), '[^A-Z0-9]+', ' ', 'g')) as k, regexp_replace('a' || chr(9) || addr || chr(10), '[\\t\\r\\n]+',
+    ' ', 'g') as s from fx_parcels""")
 def b10(t):
     return t("fx_parcels").select("uid", T.search_norm(F.col("addr")).alias("k"), T.scrub_control(F.concat(F.lit("a\t"), "addr", F.lit("\n"))).alias("s"))
 
@@ -255,7 +280,9 @@ def b13(t):
     return t("fx_parcels").select("uid", T.canonical_account(F.concat(F.lit("  00"), "prop_id", F.lit(" "))).alias("k"), T.has_real_id(F.col("prop_id")).alias("has_id"))
 
 
-@query("b17_links", "select uid, case when county_code in (select county_code from fx_counties where gx <> 3) and prop_id <> '0' then 'https://x.example/' || prop_id || '?a' else 'https://fallback.example/' end as link from fx_parcels")
+@query("b17_links", """select uid, case when county_code in (select county_code from fx_counties
+  where gx <> 3) and prop_id <> '0' then 'https://x.example/' || prop_id || '?a' else 'https://fallback.example/' end as link
+  from fx_parcels""")
 def b17(t):
     links = t.sql("select county_code, 'https://x.example/{id}?a' as template from fx_counties where gx <> 3")
     rows = t("fx_parcels").join(F.broadcast(links), "county_code", "left")
@@ -269,7 +296,9 @@ def b18(t):
     return back.groupBy("county_code", F.col("s.name").alias("name"), F.col("s.rate").alias("rate")).agg(F.count("*").alias("n"))
 
 
-GATES = "select county_code, unit_id from fx_recipes union all select '003', '003-999-00' union all select '004', '005-000-00' union all select county_code, unit_id from fx_units where county_code = '006'"
+GATES = """select county_code, unit_id from fx_recipes union all select '003', '003-999-00'
+  union all select '004', '005-000-00' union all select county_code, unit_id
+  from fx_units where county_code = '006'"""
 
 
 @query(
@@ -299,6 +328,8 @@ def c_filters(t):
     return joined.agg(F.count_if(T.has_real_id(F.col("prop_id"))).alias("real_ids"), F.count_if(F.coalesce("member", F.lit(False))).alias("members"), F.count_if(inside).alias("in_envelope"), F.count_if(F.col("addr").isNotNull()).alias("with_addr"))
 
 
-@query("c10_buckets", "select county, cast(nominal_rate as double) as nominal_rate, count(*) as n from fx_rated where nominal_rate between 0.0001 and 3.5 group by 1, 2 having count(*) >= 5")
+@query("c10_buckets", """select county, cast(nominal_rate as double) as nominal_rate, count(*) as n
+  from fx_rated where nominal_rate between 0.0001 and 3.5 group by 1, 2
+  having count(*) >= 5""")
 def c10(t):
     return t("fx_rated").where(F.col("nominal_rate").between(0.0001, 3.5)).groupBy("county", "nominal_rate").agg(F.count("*").alias("n")).where("n >= 5")

@@ -25,7 +25,8 @@ def d4(t):
     return rows.join(t("fx_city_units").select("county_code", "city_key", "rate_per_100"), ["county_code", "city_key"], "left").select("uid", F.coalesce("rate_per_100", F.lit(0)).alias("city_rate"))
 
 
-@query("d5_owners", "select p.uid, case when p.prop_id <> '0' then c_name end as owner from fx_parcels p join orders on o_orderkey = uid join customer on c_custkey = o_custkey")
+@query("d5_owners", """select p.uid, case when p.prop_id <> '0' then c_name end as owner
+  from fx_parcels p join orders on o_orderkey = uid join customer on c_custkey = o_custkey""")
 def d5(t):
     """Rows without an id are kept out of the join's key."""
     attrs = t.sql("select p.county, p.prop_id as k, c_name as owner from fx_parcels p join orders on o_orderkey = uid join customer on c_custkey = o_custkey where p.prop_id <> '0'")
@@ -33,10 +34,12 @@ def d5(t):
     return rows.join(attrs, ["county", "k"], "left").select("uid", "owner")
 
 
-AREAS = "select county, city_name, isd_name, cast(count(*) % 7 as decimal(12,6)) / 100 as extra_rate from fx_named group by county, city_name, isd_name having count(*) % 3 <> 0"
+AREAS = """select county, city_name, isd_name, cast(count(*) % 7 as decimal(12,6)) / 100 as extra_rate
+  from fx_named group by county, city_name, isd_name having count(*) % 3 <> 0"""
 
 
-@query("d6_null_safe", f"select n.uid, cast(coalesce(e.extra_rate, 0) as double) as extra_rate from fx_named n left join ({AREAS}) e on e.county = n.county and e.city_name is not distinct from n.city_name and e.isd_name is not distinct from n.isd_name")
+@query("d6_null_safe", f"""select n.uid, cast(coalesce(e.extra_rate, 0) as double) as extra_rate
+  from fx_named n left join ({AREAS}) e on e.county = n.county and e.city_name is not distinct from n.city_name and e.isd_name is not distinct from n.isd_name""")
 def d6(t):
     n, e = t("fx_named").select("uid", "county", "city_name", "isd_name").alias("n"), t.sql(AREAS).alias("e")
     on = (F.col("n.county") == F.col("e.county")) & F.col("n.city_name").eqNullSafe(F.col("e.city_name")) & F.col("n.isd_name").eqNullSafe(F.col("e.isd_name"))
@@ -49,19 +52,22 @@ STATS = "round(median(cast(nominal_rate as double)), 4) as rate, count(*) as par
 LAYER = "select county, base from fx_base union all select 'No parcels', cast(0.5 as decimal(12,6))"
 
 
-@query("d7_county_layer", f"select b.county, coalesce(s.rate, round(cast(b.base as double), 4)) as rate, coalesce(s.parcels, 0) as parcels, coalesce(s.value, -1) as value from ({LAYER}) b left join (select county, {STATS} from fx_rated group by county) s on s.county = b.county")
+@query("d7_county_layer", f"""select b.county, coalesce(s.rate, round(cast(b.base as double), 4)) as rate, coalesce(s.parcels, 0) as parcels, coalesce(s.value, -1) as value
+  from ({LAYER}) b left join (select county, {STATS} from fx_rated
+  group by county) s on s.county = b.county""")
 def d7(t):
     """A county without parcels shows its base."""
     return rates.layer_stats(t("fx_rated"), ["county"], t.sql(LAYER), "base").na.fill(-1, ["value"])
 
 
-@query("d8_not_loaded", "select uid, county, addr from fx_parcels where uid % 3 = 0 and not exists (select 1 from fx_parcels q where q.uid % 3 = 1 and q.county = fx_parcels.county and q.addr is not distinct from fx_parcels.addr)")
+@query("d8_not_loaded", """select uid, county, addr from fx_parcels where uid % 3 = 0 and not exists (select 1
+  from fx_parcels q where q.uid % 3 = 1 and q.county = fx_parcels.county and q.addr is not distinct from fx_parcels.addr)""")
 def d8(t):
     rows = t("fx_parcels").select("uid", "county", "addr")
     return O.not_loaded(rows.where("uid % 3 = 0"), rows.where("uid % 3 = 1"), ["county", "addr"])
 
 
-CITY_PAIRS = "select distinct p.county_code, u.name from fx_counties p join fx_units u on u.unit_type = '03' and (u.county_code = p.county_code or cast(u.county_code as int) % 5 = cast(p.county_code as int) % 7)"
+CITY_PAIRS = """select distinct p.county_code, u.name from fx_counties p join fx_units u on u.unit_type = '03' and (u.county_code = p.county_code or cast(u.county_code as int) % 5 = cast(p.county_code as int) % 7)"""
 NORM_CITY = "regexp_replace(replace(regexp_replace(lower(trim(NAME)), '^(city|town|village) of ', ''), '-', ' '), '\\s+', ' ', 'g')"
 
 
@@ -85,8 +91,10 @@ def a13(t):
     return got.where("unit_id is null").select("county_code", "name").orderBy("county_code", "name")
 
 
-DISTRICT_PAIRS = "select distinct county_code, case when length(name) % 2 = 0 then replace(name, 'MUD', 'Municipal Utility District No 7') else name || ' of X' end as name from fx_units where unit_type in ('04', '40')"
-NORM_WD = "regexp_replace(regexp_replace(regexp_replace(replace(lower(NAME), 'municipal utility district', 'mud'), '\\bof\\b.*$', ''), '\\bnumber\\b|\\bno\\b', '', 'g'), '[^a-z0-9]', '', 'g')"
+DISTRICT_PAIRS = """select distinct county_code, case when length(name) % 2 = 0 then replace(name, 'MUD', 'Municipal Utility District No 7') else name || ' of X' end as name
+  from fx_units where unit_type in ('04', '40')"""
+NORM_WD = """regexp_replace(regexp_replace(regexp_replace(replace(lower(NAME), 'municipal utility district', 'mud'), '\\bof\\b.*$', ''), '\\bnumber\\b|\\bno\\b',
+    '', 'g'), '[^a-z0-9]', '', 'g')"""
 
 
 @query(
@@ -102,7 +110,9 @@ def d10(t):
     return resolve.resolve_districts(t.sql(DISTRICT_PAIRS), t("fx_units"), base, norm_district)
 
 
-ENTITIES = "select distinct r.county, c.county_code, r.entity_name as name from fx_roll_entities r join fx_counties c on c.county = r.county where r.entity_code <> 'CAD'"
+ENTITIES = """select distinct r.county, c.county_code, r.entity_name as name
+  from fx_roll_entities r join fx_counties c on c.county = r.county
+  where r.entity_code <> 'CAD'"""
 
 
 ENTITY_MATCH = f"""with u as (select county_code as uc, unit_id, name as unit_name, unit_type, rate_per_100, {NORM_ENTITY.replace('NAME', 'name')} as un, case when regexp_matches(lower(name), 'esd\\s*#?\\s*\\d+') then regexp_extract(lower(name), 'esd\\s*#?\\s*(\\d+)', 1) end as unum from fx_units where rate_per_100 > 0),
@@ -130,7 +140,8 @@ def h6(t):
     return resolve.match_entities(names, t("fx_units"), adjacency(t), t("fx_counties"))
 
 
-LABELS = "select distinct county_code, case when unit_type = '02' then name || ' SBL' when unit_type = '40' then '2025 ' || name else upper(name) end as label from fx_units"
+LABELS = """select distinct county_code, case when unit_type = '02' then name || ' SBL' when unit_type = '40' then '2025 ' || name else upper(name) end as label
+  from fx_units"""
 
 
 @query(
@@ -146,27 +157,35 @@ def d12(t):
     return got.select("county_code", "label", "unit_id", F.round(F.coalesce("score", F.lit(0.0)), 6).alias("score"))
 
 
-@query("d13_mentions_of_counties", "select page_id, county from pages join fx_counties on contains(lower(html), 'nation') or contains(html, right(county, 1) || '%%%')")
+@query("d13_mentions_of_counties", """select page_id, county from pages join fx_counties on contains(lower(html), 'nation') or contains(html, right(county, 1) || '%%%')""")
 def d13(t):
     keys = F.broadcast(t("fx_counties").select("county", F.concat(F.right("county", F.lit(1)), F.lit("%%%")).alias("k")))
     pages = t("pages").select("page_id", "html")
     return pages.join(keys, F.contains(F.lower("html"), F.lit("nation")) | F.contains(F.col("html"), F.col("k"))).select("page_id", "county")
 
 
-@query("d14_unit_bridge", "select county_code, unit_id, string_agg(name, '|' order by name) as names from (select distinct county_code, unit_id, n as name from (select county_code, unit_id, name as n from fx_units union all select county_code, unit_id, upper(name) from fx_units)) group by 1, 2")
+@query("d14_unit_bridge", """select county_code, unit_id, string_agg(name, '|' order by name) as names
+  from (select distinct county_code, unit_id, n as name from (select county_code, unit_id, name as n
+  from fx_units union all select county_code, unit_id, upper(name)
+  from fx_units)) group by 1, 2""")
 def d14(t):
     names = t("fx_units").select("county_code", "unit_id", F.explode(F.array("name", F.upper("name"))).alias("name"))
     return names.groupBy("county_code", "unit_id").agg(F.array_join(F.array_sort(F.collect_set("name")), "|").alias("names"))
 
 
-@query("d15_coverage", "select p.county_code, count(*) as n, count(*) filter (where r.prop_id is not null) as joined, round(avg(case when r.prop_id is not null then 1e0 else 0e0 end), 6) as join_rate from (select distinct county_code, prop_id from fx_parcels where prop_id <> '0') p left join (select distinct prop_id from fx_roll_entities where assessed % 2 = 0) r on r.prop_id = p.prop_id group by 1")
+@query("d15_coverage", """select p.county_code, count(*) as n, count(*) filter (where r.prop_id is not null) as joined, round(avg(case when r.prop_id is not null then 1e0 else 0e0 end),
+    6) as join_rate from (select distinct county_code, prop_id
+  from fx_parcels where prop_id <> '0') p left join (select distinct prop_id
+  from fx_roll_entities where assessed % 2 = 0) r on r.prop_id = p.prop_id
+  group by 1""")
 def d15(t):
     p = t("fx_parcels").where(has_real_id(F.col("prop_id"))).select("county_code", "prop_id").distinct()
     r = t("fx_roll_entities").where("assessed % 2 = 0").select("prop_id").distinct().withColumn("here", F.lit(True))
     return p.join(r, "prop_id", "left").groupBy("county_code").agg(F.count("*").alias("n"), F.count_if("here").alias("joined"), F.round(F.avg(F.col("here").isNotNull().cast("double")), 6).alias("join_rate"))
 
 
-@query("d16_curated_wins", "select county_code, 'curated' as kind from fx_counties where gx = 1 union all select county_code, 'derived' from fx_counties where gx <> 1 and gy > 0")
+@query("d16_curated_wins", """select county_code, 'curated' as kind from fx_counties where gx = 1
+  union all select county_code, 'derived' from fx_counties where gx <> 1 and gy > 0""")
 def d16(t):
     c = t("fx_counties").where("gx = 1").select("county_code", F.lit("curated").alias("kind"))
     return O.curated_wins(c, t("fx_counties").where("gy > 0").select("county_code", F.lit("derived").alias("kind")), "county_code")
@@ -177,7 +196,9 @@ def e1(t):
     return rates.county_base(t("fx_recipes"), t("fx_units"))
 
 
-@query("e2_rate_summary", "select county, count(*) as n, cast(min(nominal_rate) as double) as least, round(median(cast(nominal_rate as double)), 6) as middle, cast(max(nominal_rate) as double) as largest from fx_rated group by county")
+@query("e2_rate_summary", """select county, count(*) as n, cast(min(nominal_rate) as double) as least, round(median(cast(nominal_rate as double)), 6) as middle,
+    cast(max(nominal_rate) as double) as largest from fx_rated
+  group by county""")
 def e2(t):
     return rates.rate_summary(t("fx_rated"), "county").orderBy(F.desc("n"))
 
@@ -188,17 +209,25 @@ def e3(t):
     return rates.layer_stats(rated, ["county", "isd_name"], rated.select("county", "isd_name").distinct())
 
 
-@query("e5_medians_of_medians", "with m as (select county, median(cast(nominal_rate as double)) as m from fx_rated group by county) select (select round(median(cast(nominal_rate as double)), 6) from fx_rated) as middle, (select round(stddev_samp(cast(nominal_rate as double)), 6) from fx_rated) as sd, round(median(m), 6) as group_middle, round(stddev_samp(m), 6) as group_sd from m")
+@query("e5_medians_of_medians", """with m as (select county, median(cast(nominal_rate as double)) as m
+  from fx_rated group by county) select (select round(median(cast(nominal_rate as double)), 6)
+  from fx_rated) as middle, (select round(stddev_samp(cast(nominal_rate as double)), 6)
+  from fx_rated) as sd, round(median(m), 6) as group_middle, round(stddev_samp(m), 6) as group_sd
+  from m""")
 def e5(t):
     return rates.spread_of_medians(t("fx_rated"), "county")
 
 
-@query("e7_conditional_counts", "select county, count(*) filter (where city_name is null) as outside, count(distinct isd_name) as n_isd, count(*) filter (where prop_id = '0') as no_id from fx_rated group by county")
+@query("e7_conditional_counts", """select county, count(*) filter (where city_name is null) as outside, count(distinct isd_name) as n_isd, count(*) filter (where prop_id = '0') as no_id
+  from fx_rated group by county""")
 def e7(t):
     return t("fx_rated").groupBy("county").agg(F.count_if(F.col("city_name").isNull()).alias("outside"), F.count_distinct("isd_name").alias("n_isd"), F.count_if(F.col("prop_id") == "0").alias("no_id"))
 
 
-@query("e8_representatives", "with p as (select county, entity_code, min(assessed % 4) as part from fx_roll_entities group by 1, 2) select r.county, r.entity_code, min(entity_name) as entity_name, min(assessed) as assessed from fx_roll_entities r join p on p.county = r.county and p.entity_code = r.entity_code and r.assessed % 4 = p.part group by 1, 2")
+@query("e8_representatives", """with p as (select county, entity_code, min(assessed % 4) as part
+  from fx_roll_entities group by 1, 2) select r.county, r.entity_code, min(entity_name) as entity_name, min(assessed) as assessed
+  from fx_roll_entities r join p on p.county = r.county and p.entity_code = r.entity_code and r.assessed % 4 = p.part
+  group by 1, 2""")
 def e8(t):
     return O.first_part_wins(t("fx_roll_entities").withColumn("part", F.col("assessed") % 4), ["county", "entity_code"], "part", ["entity_name", "assessed"]).select("county", "entity_code", "entity_name", "assessed")
 
@@ -208,18 +237,23 @@ def e9(t):
     return t("fx_rated").groupBy("county", "city_name", "isd_name", F.round("nominal_rate", 6).alias("rate")).agg(F.count("*").alias("n"))
 
 
-@query("e10_mode", "with h as (select county, cast(nominal_rate as double) as rate, count(*) as n from fx_rated group by 1, 2), r as (select *, row_number() over (partition by county order by n desc, rate) as k from h) select county, rate, n from r where k = 1")
+@query("e10_mode", """with h as (select county, cast(nominal_rate as double) as rate, count(*) as n
+  from fx_rated group by 1, 2), r as (select *, row_number() over (partition by county order by n desc, rate) as k
+  from h) select county, rate, n from r where k = 1""")
 def e10(t):
     h = t("fx_rated").groupBy("county", F.col("nominal_rate").alias("rate")).agg(F.count("*").alias("w"))
     return O.mode(h, ["county"], "rate", "w")
 
 
-@query("e11_uniform", "select county_code, unit_type, coalesce(case when count(distinct rate_per_100) = 1 then cast(min(rate_per_100) as double) end, -1) as uniform, cast(min(rate_per_100) as double) as least, cast(max(rate_per_100) as double) as largest from fx_units group by 1, 2")
+@query("e11_uniform", """select county_code, unit_type, coalesce(case when count(distinct rate_per_100) = 1 then cast(min(rate_per_100) as double) end, -1) as uniform,
+    cast(min(rate_per_100) as double) as least, cast(max(rate_per_100) as double) as largest
+  from fx_units group by 1, 2""")
 def e11(t):
     return O.uniform_value(t("fx_units"), ["county_code", "unit_type"], "rate_per_100").na.fill({"uniform": -1})
 
 
-@query("e13_entity_frequency", "select entity_code, entity_name, count(*) as n from fx_roll_entities group by 1, 2 order by n desc, entity_code, entity_name limit 15")
+@query("e13_entity_frequency", """select entity_code, entity_name, count(*) as n from fx_roll_entities
+  group by 1, 2 order by n desc, entity_code, entity_name limit 15""")
 def e13(t):
     """A report of the 15 most frequent."""
     return t("fx_roll_entities").groupBy("entity_code", "entity_name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "entity_code", "entity_name").limit(15)
@@ -230,13 +264,16 @@ def e16(t):
     return t("fx_units").groupBy("unit_type").agg(F.count("*").alias("n"), F.count_if(F.col("rate_per_100") > 0).alias("levying"))
 
 
-@query("f1_dedup", "with d as (select *, row_number() over (partition by county, prop_id, addr order by city_name nulls last, isd_name nulls last, uid) as k from (select uid, county, case when prop_id = '0' then '0' else substr(prop_id, 1, 3) end as prop_id, addr, city_name, isd_name from fx_named)) select uid, county, prop_id, addr from d where prop_id = '0' or k = 1")
+@query("f1_dedup", """with d as (select *, row_number() over (partition by county, prop_id, addr order by city_name nulls last, isd_name nulls last, uid) as k
+  from (select uid, county, case when prop_id = '0' then '0' else substr(prop_id, 1, 3) end as prop_id, addr, city_name, isd_name
+  from fx_named)) select uid, county, prop_id, addr from d where prop_id = '0' or k = 1""")
 def f1(t):
     rows = t("fx_named").withColumn("prop_id", F.when(F.col("prop_id") == "0", "0").otherwise(F.substring("prop_id", 1, 3)))
     return O.dedup_real_ids(rows, ["county", "prop_id", "addr"], [F.col("city_name").asc_nulls_last(), F.col("isd_name").asc_nulls_last(), F.col("uid")]).select("uid", "county", "prop_id", "addr")
 
 
-@query("f2_samples", "select county, uid, rank from (select county, uid, row_number() over (partition by county order by mkt desc nulls last, uid) as rank from fx_located where prop_id <> '0') where rank <= 5")
+@query("f2_samples", """select county, uid, rank from (select county, uid, row_number() over (partition by county order by mkt desc nulls last, uid) as rank
+  from fx_located where prop_id <> '0') where rank <= 5""")
 def f2(t):
     """Five samples a county, of largest value."""
     return O.top_per_group(t("fx_located").where(has_real_id(F.col("prop_id"))), "county", 5, "mkt", "uid").select("county", "uid", "rank")
@@ -247,7 +284,8 @@ def f3(t):
     return t("fx_located").where("mkt > 200000").groupBy("county").agg(F.min("uid").alias("uid"))
 
 
-@query("f7_gaps", "select county_code, unit_id, cast(rate_per_100 as double) as rate_per_100 from fx_units where unit_type = '40' order by rate_per_100 desc, unit_id limit 200")
+@query("f7_gaps", """select county_code, unit_id, cast(rate_per_100 as double) as rate_per_100
+  from fx_units where unit_type = '40' order by rate_per_100 desc, unit_id limit 200""")
 def f7(t):
     """A report of the 200 largest."""
     return t("fx_units").where("unit_type = '40'").select("county_code", "unit_id", "rate_per_100").orderBy(F.desc("rate_per_100"), "unit_id").limit(200)
@@ -274,7 +312,12 @@ def g4(t):
     return t("fx_named").select("county", "city_name", "isd_name").distinct()
 
 
-@query("g5_labels_of_two", "select a.county_code as a, b.county_code as b, count(*) as n from fx_counties a join fx_counties b on b.gx = a.gx + 1 and b.gy = a.gy join (select distinct county_code, name from fx_units) u on u.county_code = a.county_code or u.county_code = b.county_code group by 1, 2 having count(*) < 0 union all select a.county_code, b.county_code, (select count(distinct name) from fx_units u where u.county_code in (a.county_code, b.county_code)) from fx_counties a join fx_counties b on b.gx = a.gx + 1 and b.gy = a.gy")
+@query("g5_labels_of_two", """select a.county_code as a, b.county_code as b, count(*) as n from fx_counties a
+  join fx_counties b on b.gx = a.gx + 1 and b.gy = a.gy join (select distinct county_code, name
+  from fx_units) u on u.county_code = a.county_code or u.county_code = b.county_code
+  group by 1, 2 having count(*) < 0 union all select a.county_code, b.county_code, (select count(distinct name)
+  from fx_units u where u.county_code in (a.county_code, b.county_code))
+  from fx_counties a join fx_counties b on b.gx = a.gx + 1 and b.gy = a.gy""")
 def g5(t):
     c = t("fx_counties")
     pairs = c.alias("p").join(c.alias("q"), (F.col("q.gx") == F.col("p.gx") + 1) & (F.col("q.gy") == F.col("p.gy"))).select(F.col("p.county_code").alias("a"), F.col("q.county_code").alias("b"))

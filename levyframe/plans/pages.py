@@ -50,8 +50,14 @@ def k2(t):
     return D.extract_links(t("pages"))
 
 
-SCORE = "case when regexp_matches(b, '(?i)tax[\\s_-]*rate|rate[\\s_-]*(?:sheet|table|chart|info|history)|adopted|truth[\\s_-]*in[\\s_-]*tax|worksheet|jurisdiction|taxing[\\s_-]*(?:unit|entit)|entity[\\s_-]*(?:code|rate)|levy|levies') then 1 + case when regexp_matches(u, '(?i)\\.(pdf|xlsx?|csv)(?:$|\\?)') then 3 else 0 end + case when regexp_matches(b, '(?i)adopted') then 3 else 0 end + case when regexp_matches(b, '\\b(20)?25\\b|2025') then 3 else 0 end + case when regexp_matches(b, '(?i)tax[\\s_-]*rate') then 2 else 0 end + case when regexp_matches(b, '(?i)truth[\\s_-]*in[\\s_-]*tax') then 1 else 0 end - case when regexp_matches(b, '(?i)2024|2023|2022|2021|2020|history|archive') then 2 else 0 end - case when regexp_matches(b, '(?i)calculation[\\s_-]*worksheet|50-8[45]\\d') then 4 else 0 end else 0 end"
-NAMED = "select page_id, url || case page_id % 4 when 0 then '/tax-rates.pdf' when 1 then '/adopted_2025.xlsx?x' when 2 then '/history' else '' end as u, case page_id % 3 when 0 then 'Adopted Tax Rate 25' when 1 then 'rate history 2023' else 'hello' end as x from pages"
+SCORE = """case when regexp_matches(b, '(?i)tax[\\s_-]*rate|rate[\\s_-]*(?:sheet|table|chart|info|history)|adopted|truth[\\s_-]*in[\\s_-]*tax|worksheet|jurisdiction|taxing[\\s_-]*(?:unit|entit)|entity[\\s_-]*(?:code|rate)|levy|levies') then 1 + case when regexp_matches(u,
+    '(?i)\\.(pdf|xlsx?|csv)(?:$|\\?)') then 3 else 0 end + case when regexp_matches(b, '(?i)adopted') then 3 else 0 end + case when regexp_matches(b,
+    '\\b(20)?25\\b|2025') then 3 else 0 end + case when regexp_matches(b, '(?i)tax[\\s_-]*rate') then 2 else 0 end + case when regexp_matches(b,
+    '(?i)truth[\\s_-]*in[\\s_-]*tax') then 1 else 0 end - case when regexp_matches(b, '(?i)2024|2023|2022|2021|2020|history|archive') then 2 else 0 end - case when regexp_matches(b,
+    '(?i)calculation[\\s_-]*worksheet|50-8[45]\\d') then 4 else 0 end else 0 end"""
+NAMED = """select page_id, url || case page_id % 4 when 0 then '/tax-rates.pdf' when 1 then '/adopted_2025.xlsx?x' when 2 then '/history' else '' end as u,
+    case page_id % 3 when 0 then 'Adopted Tax Rate 25' when 1 then 'rate history 2023' else 'hello' end as x
+  from pages"""
 
 
 @query("k3_link_scores", f"select page_id, {SCORE} as score from (select page_id, u, u || ' ' || x as b from ({NAMED}) n) m")
@@ -69,7 +75,9 @@ union all select county_code, n * 5 + k,
 from {SHEET_UNITS} cross join (select 1 as k union all select 2 union all select 3) cells where n % 5 = 0
 union all select county_code, 2, 'Total combined 9.99 0.55' from fx_counties
 union all select county_code, 1, '' from fx_counties"""
-ROWS = "select county_code as doc, n * 5 as line_no, name, cast(rate_per_100 as double) as rate from (select *, row_number() over (partition by county_code order by unit_id) as n from fx_units where rate_per_100 > 0.02) u"
+ROWS = """select county_code as doc, n * 5 as line_no, name, cast(rate_per_100 as double) as rate
+  from (select *, row_number() over (partition by county_code order by unit_id) as n
+  from fx_units where rate_per_100 > 0.02) u"""
 
 
 @query("k5_rate_rows", ROWS)
@@ -77,32 +85,43 @@ def k5(t):
     return D.parse_rate_lines(t.sql(SHEET))
 
 
-@query("k12_rate_pages", f"select county_code as doc, count(r.doc) as n_pairs, count(r.doc) >= 3 as usable from fx_counties left join ({ROWS}) r on r.doc = county_code group by 1")
+@query("k12_rate_pages", f"""select county_code as doc, count(r.doc) as n_pairs, count(r.doc) >= 3 as usable
+  from fx_counties left join ({ROWS}) r on r.doc = county_code
+  group by 1""")
 def k12(t):
     return D.classify_rate_pages(D.parse_rate_lines(t.sql(SHEET)), t("fx_counties").select(F.col("county_code").alias("doc")))
 
 
 # a page for each type of unit of a county
-TYPED = "select county_code || '-' || unit_type as doc, row_number() over (partition by county_code, unit_type order by unit_id) as line_no, name || ' $' || cast(rate_per_100 as varchar(20)) as line from fx_units where unit_type <> '03'"
+TYPED = """select county_code || '-' || unit_type as doc, row_number() over (partition by county_code, unit_type order by unit_id) as line_no,
+    name || ' $' || cast(rate_per_100 as varchar(20)) as line
+  from fx_units where unit_type <> '03'"""
 
 
-@query("i14_few_units", "select county_code || '-' || unit_type as doc, count(*) filter (where rate_per_100 between 0.0001 and 3.5) as n_pairs from fx_units where unit_type <> '03' group by 1 having count(*) filter (where rate_per_100 between 0.0001 and 3.5) < 3")
+@query("i14_few_units", """select county_code || '-' || unit_type as doc, count(*) filter (where rate_per_100 between 0.0001 and 3.5) as n_pairs
+  from fx_units where unit_type <> '03' group by 1 having count(*) filter (where rate_per_100 between 0.0001 and 3.5) < 3""")
 def i14(t):
     """Pages with fewer than three parsed units, which need a look."""
     lines = t.sql(TYPED)
     return D.classify_rate_pages(D.parse_rate_lines(lines), lines.select("doc")).where("not usable").select("doc", "n_pairs")
 
 
-FILES = "select s_nationkey % 7 as county, case s_suppkey % 5 when 0 then 'Certified Appraisal Roll 2024' when 1 then 'roll export' when 2 then 'GIS roll' when 3 then '2025 preliminary roll' else 'photo' end as label, 'https://x.example/uploads/20' || cast(10 + s_suppkey % 13 as varchar(10)) || '/f' || cast(s_suppkey as varchar(20)) || '.zip' as url, s_suppkey * 1000 as bytes, s_suppkey % 3 <> 0 as usable from supplier"
-RANKED = f"select *, case s when 0 then 12 when 1 then 9 when 3 then 4 else -1 end + 1 as score, case s when 0 then 2024 when 3 then 2025 else y end as year from (select f.*, case when label like 'Cert%' then 0 when label = 'roll export' then 1 when label like '2025%' then 3 else 2 end as s, cast(substr(url, 27, 4) as int) as y from ({FILES}) f) g where usable and s in (0, 1, 3)"
+FILES = """select s_nationkey % 7 as county, case s_suppkey % 5 when 0 then 'Certified Appraisal Roll 2024' when 1 then 'roll export' when 2 then 'GIS roll' when 3 then '2025 preliminary roll' else 'photo' end as label,
+    'https://x.example/uploads/20' || cast(10 + s_suppkey % 13 as varchar(10)) || '/f' || cast(s_suppkey as varchar(20)) || '.zip' as url,
+    s_suppkey * 1000 as bytes, s_suppkey % 3 <> 0 as usable from supplier"""
+RANKED = f"""select *, case s when 0 then 12 when 1 then 9 when 3 then 4 else -1 end + 1 as score, case s when 0 then 2024 when 3 then 2025 else y end as year
+  from (select f.*, case when label like 'Cert%' then 0 when label = 'roll export' then 1 when label like '2025%' then 3 else 2 end as s,
+    cast(substr(url, 27, 4) as int) as y from ({FILES}) f) g where usable and s in (0, 1, 3)"""
 
 
-@query("k6_roll_files", f"select county, url, score, year from (select *, row_number() over (partition by county order by year desc, score desc, bytes desc, url) as k from ({RANKED}) r where bytes <= 80000) x where k = 1")
+@query("k6_roll_files", f"""select county, url, score, year from (select *, row_number() over (partition by county order by year desc, score desc, bytes desc, url) as k
+  from ({RANKED}) r where bytes <= 80000) x where k = 1""")
 def k6(t):
     return D.pick_roll_file(t.sql(FILES), 80000).select("county", "url", "score", "year")
 
 
-@query("k7_mentions", "select distinct page_id, unnest(list_transform(regexp_extract_all(html, '(?i)(the \\w+ing)', 1), lambda x: lower(x))) as phrase from pages")
+@query("k7_mentions", """select distinct page_id, unnest(list_transform(regexp_extract_all(html, '(?i)(the \\w+ing)', 1), lambda x: lower(x))) as phrase
+  from pages""")
 def k7(t):
     return D.mine_mentions(t("pages"), "page_id", "html", r"(?i)the \w+ing")
 
@@ -113,7 +132,8 @@ def k8(t):
     return D.layer_hits(layers, "(?i)esd|mud").select("county_code", F.size("hits").cast("long").alias("n_hits"))
 
 
-@query("k9_verified", "select page_id % 10 as link, bool_or(contains(html, cast(page_id as varchar(20))) and regexp_matches(html, '(?i)<article')) as verified from pages group by 1")
+@query("k9_verified", """select page_id % 10 as link, bool_or(contains(html, cast(page_id as varchar(20))) and regexp_matches(html, '(?i)<article')) as verified
+  from pages group by 1""")
 def k9(t):
     ids = t("pages").select((F.col("page_id") % 10).alias("link"), "page_id", F.col("page_id").cast("string").alias("prop_id"))
     return D.verify_pages(t("pages").select("page_id", "html"), ids, "(?i)<article")
@@ -137,17 +157,23 @@ union all select c.county, o_orderkey * 100 + 4, '   Entity Description Xref Id'
 union all select c.county, l_orderkey * 100 + 10 + l_linenumber, '       E' || cast(l_partkey % 80 as varchar(10)) || '  SOME UNIT ' || cast(l_linenumber as varchar(10)) || '     ' || cast(cast(floor(l_extendedprice) as bigint) as varchar(20)) || '  0  ' || cast(cast(floor(l_extendedprice) as bigint) as varchar(20)) from lineitem join orders on l_orderkey = o_orderkey join fx_counties c on c.county_code = lpad(cast(o_custkey % 25 as varchar(10)),3,'0')"""
 
 
-@query("k11_roll_properties", "select c.county, cast(o_orderkey as varchar(20)) as prop_id, 'G' || cast(o_orderkey as varchar(20)) as geo_id, 'OWNER ' || cast(o_custkey as varchar(20)) as owner, 'LOT ' || cast(o_orderkey % 9 as varchar(20)) as legal, cast(o_orderkey % 900 as varchar(20)) || ' MAIN ST' as situs, cast(floor(o_totalprice) as bigint) as market, cast(1234 as bigint) as assessed from orders join fx_counties c on c.county_code = lpad(cast(o_custkey % 25 as varchar(10)),3,'0')")
+@query("k11_roll_properties", """select c.county, cast(o_orderkey as varchar(20)) as prop_id, 'G' || cast(o_orderkey as varchar(20)) as geo_id, 'OWNER ' || cast(o_custkey as varchar(20)) as owner,
+    'LOT ' || cast(o_orderkey % 9 as varchar(20)) as legal, cast(o_orderkey % 900 as varchar(20)) || ' MAIN ST' as situs, cast(floor(o_totalprice) as bigint) as market,
+    cast(1234 as bigint) as assessed from orders join fx_counties c on c.county_code = lpad(cast(o_custkey % 25 as varchar(10)),3,'0')""")
 def k11(t):
     return D.parse_roll_report(t.sql(REPORT))[0].select("county", "prop_id", "geo_id", "owner", "legal", "situs", "market", "assessed")
 
 
-@query("a7_roll_entities", "select c.county, cast(l_orderkey as varchar(20)) as prop_id, 'E' || cast(l_partkey % 80 as varchar(10)) as entity_code, 'SOME UNIT ' || cast(l_linenumber as varchar(10)) as entity_name, cast(floor(l_extendedprice) as bigint) as assessed, cast(floor(l_extendedprice) as bigint) as taxable from lineitem join orders on l_orderkey = o_orderkey join fx_counties c on c.county_code = lpad(cast(o_custkey % 25 as varchar(10)),3,'0')")
+@query("a7_roll_entities", """select c.county, cast(l_orderkey as varchar(20)) as prop_id, 'E' || cast(l_partkey % 80 as varchar(10)) as entity_code, 'SOME UNIT ' || cast(l_linenumber as varchar(10)) as entity_name,
+    cast(floor(l_extendedprice) as bigint) as assessed, cast(floor(l_extendedprice) as bigint) as taxable
+  from lineitem join orders on l_orderkey = o_orderkey join fx_counties c on c.county_code = lpad(cast(o_custkey % 25 as varchar(10)),3,'0')""")
 def a7(t):
     return D.parse_roll_report(t.sql(REPORT))[1].select("county", "prop_id", "entity_code", "entity_name", "assessed", "taxable")
 
 
-BASE = "select p.county, p.prop_id, p.addr, min(case when p.prop_id <> '0' then c_name end) as owner, round(min(x), 5) as x, round(min(y), 5) as y from fx_parcels p join orders on o_orderkey = uid join customer on c_custkey = o_custkey group by 1, 2, 3"
+BASE = """select p.county, p.prop_id, p.addr, min(case when p.prop_id <> '0' then c_name end) as owner, round(min(x), 5) as x, round(min(y), 5) as y
+  from fx_parcels p join orders on o_orderkey = uid join customer on c_custkey = o_custkey
+  group by 1, 2, 3"""
 
 
 def base(t):
@@ -160,14 +186,17 @@ def l1(t):
     return base(t)
 
 
-@query("l2_owner_index", f"select substr(k, 1, 3) as shard, k, county, prop_id from (select county, prop_id, trim(regexp_replace(upper(owner), '[^A-Z0-9]+', ' ', 'g')) as k from ({BASE}) b) x where k <> ''")
+@query("l2_owner_index", f"""select substr(k, 1, 3) as shard, k, county, prop_id from (select county, prop_id, trim(regexp_replace(upper(owner), '[^A-Z0-9]+', ' ',
+    'g')) as k from ({BASE}) b) x where k <> ''""")
 def l2(t):
     i = S.owner_index(base(t))
     f = S.hit_fields(F.col("line"))
     return i.select("shard", "k", f["county"].alias("county"), f["prop_id"].alias("prop_id"))
 
 
-ADDR = f"select case when regexp_matches(split_part(k, ' ', 1), '^[0-9]+$') then substr(split_part(k, ' ', 1), 1, 3) else 't_' || substr(k, 1, 3) end as shard, k, county, prop_id, addr from (select county, prop_id, addr, trim(regexp_replace(upper(addr), '[^A-Z0-9]+', ' ', 'g')) as k from ({BASE}) b) x where k <> ''"
+ADDR = f"""select case when regexp_matches(split_part(k, ' ', 1), '^[0-9]+$') then substr(split_part(k, ' ', 1), 1, 3) else 't_' || substr(k, 1,
+    3) end as shard, k, county, prop_id, addr from (select county, prop_id, addr, trim(regexp_replace(upper(addr), '[^A-Z0-9]+', ' ',
+    'g')) as k from ({BASE}) b) x where k <> ''"""
 
 
 @query("l3_addr_manifest", f"select shard, count(*) as n from ({ADDR}) a group by 1")
@@ -221,6 +250,7 @@ def l8(t):
     return S.search_id(S.id_index(base(t)), t.sql(IDS)).select("q", "county", "prop_id", "rank")
 
 
-@query("l9_render_hits", f"select county, prop_id, concat_ws(' · ', owner, case when addr is not null then addr else '(no situs address)' end, county, case when prop_id <> '0' then '#' || prop_id end) as label from ({BASE}) b")
+@query("l9_render_hits", f"""select county, prop_id, concat_ws(' · ', owner, case when addr is not null then addr else '(no situs address)' end, county, case when prop_id <> '0' then '#' || prop_id end) as label
+  from ({BASE}) b""")
 def l9(t):
     return S.render_hits(base(t)).select("county", "prop_id", "label")

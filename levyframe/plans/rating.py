@@ -37,7 +37,8 @@ def h4(t):
     return special(t).select("uid", "special_rate", F.size("stack").alias("n_units"))
 
 
-CORRECTIONS = "select county, cast(0.05 as decimal(12,6)) as extra_rate, unit_id from fx_counties c join fx_units u on u.county_code = c.county_code and u.unit_type = '40' and u.rate_per_100 > 0"
+CORRECTIONS = """select county, cast(0.05 as decimal(12,6)) as extra_rate, unit_id
+  from fx_counties c join fx_units u on u.county_code = c.county_code and u.unit_type = '40' and u.rate_per_100 > 0"""
 AREAS = "select distinct county, city_name, isd_name from fx_named where isd_name is not null"
 EXTRA = f"""select county, city_name, isd_name, sum(extra_rate) as extra_rate, string_agg(distinct unit_id, '; ' order by unit_id) as units
  from (select a.*, x.extra_rate, x.unit_id from ({CORRECTIONS}) x join ({AREAS}) a on a.county = x.county) y group by 1, 2, 3"""
@@ -70,7 +71,8 @@ def roll(t, with_ratio=False):
     return R.roll_rates(rows, materialize(resolve.match_entities(names, t("fx_units"), adjacency(t), t("fx_counties"), with_ratio)))
 
 
-@query("h7_roll_rates", f"select county_code, prop_id, cast(roll_rate as double) as roll_rate, cast(roll_isd_rate as double) as roll_isd_rate, n_units from ({ROLL}) r")
+@query("h7_roll_rates", f"""select county_code, prop_id, cast(roll_rate as double) as roll_rate, cast(roll_isd_rate as double) as roll_isd_rate, n_units
+  from ({ROLL}) r""")
 def h7(t):
     return roll(t).select("county_code", "prop_id", "roll_rate", "roll_isd_rate", F.size("stack").alias("n_units"))
 
@@ -122,7 +124,9 @@ def h8_with_ratio(t):
 
 
 # owners and recorded areas by account; an area of 0 is not recorded
-ATTRS = "select distinct p.county, p.prop_id, c_name as owner, cast(case when uid % 3 = 0 then 0 else uid % 700 end as double) / 100 as gis_area from fx_parcels p join orders on o_orderkey = uid join customer on c_custkey = o_custkey where p.prop_id <> '0'"
+ATTRS = """select distinct p.county, p.prop_id, c_name as owner, cast(case when uid % 3 = 0 then 0 else uid % 700 end as double) / 100 as gis_area
+  from fx_parcels p join orders on o_orderkey = uid join customer on c_custkey = o_custkey
+  where p.prop_id <> '0'"""
 LOT = "radians(0.001e0) * 2 * abs(sin(radians(y + 0.002e0)) - sin(radians(y))) / 2 * 6371008.8 * 6371008.8 / 4046.8564"
 
 
@@ -146,7 +150,8 @@ def h9(t):
     return rows.select("uid", "county", four("nominal_rate").alias("r"), four("isd_rate").alias("isdr"), sd.alias("sd"), sdn.alias("sdn"), F.col("roll_verified").cast("int").alias("rv"), F.col("owner").alias("own"), acres(F.col("gis_area"), lot).alias("ac"))
 
 
-@query("h10_breakdown", "select uid, 1 + (case when coalesce(city_rate, 0) > 0 then 1 else 0 end) as n_parts, coalesce(case when coalesce(isd_rate, 0) >= 0.005 then cast(isd_rate as double) end, -1) as gap from fx_named")
+@query("h10_breakdown", """select uid, 1 + (case when coalesce(city_rate, 0) > 0 then 1 else 0 end) as n_parts, coalesce(case when coalesce(isd_rate, 0) >= 0.005 then cast(isd_rate as double) end,
+    -1) as gap from fx_named""")
 def h10(t):
     """The school district is left out of the parts, so the gap is its rate."""
     rows = t("fx_named").join(F.broadcast(t("fx_base").select("county_code", "base")), "county_code")
@@ -160,10 +165,14 @@ def h11(t):
     return t("fx_rated").withColumn("tax", R.estimated_tax(F.col("mkt"), F.col("nominal_rate").cast("double"))).where("tax is not null").select("uid", "tax")
 
 
-SCENARIOS = "(select 1 as s, true as homestead, false as over65, true as local_option, false as veteran union all select 2, true, true, false, false union all select 3, false, false, false, true union all select 4, false, true, true, false)"
+SCENARIOS = """(select 1 as s, true as homestead, false as over65, true as local_option, false as veteran
+  union all select 2, true, true, false, false union all select 3, false, false, false, true
+  union all select 4, false, true, true, false)"""
 
 
-@query("h12_buyer_projection", f"select uid, s, round((greatest(mkt - case when homestead then 140000 else 0 end - case when over65 then 60000 else 0 end, 0) * cast(isd_rate as double) + mkt * case when homestead and local_option then 0.8e0 else 1e0 end * cast(nominal_rate - isd_rate as double)) / 100, 2) * case when veteran then 0 else 1 end as tax from fx_rated, {SCENARIOS} q where mkt > 0")
+@query("h12_buyer_projection", f"""select uid, s, round((greatest(mkt - case when homestead then 140000 else 0 end - case when over65 then 60000 else 0 end, 0) * cast(isd_rate as double) + mkt * case when homestead and local_option then 0.8e0 else 1e0 end * cast(nominal_rate - isd_rate as double)) / 100,
+    2) * case when veteran then 0 else 1 end as tax from fx_rated, {SCENARIOS} q
+  where mkt > 0""")
 def h12(t):
     """All parcels by four scenarios, a fixed few rows."""
     s = F.broadcast(t.sql(f"select * from {SCENARIOS}"))
@@ -171,7 +180,13 @@ def h12(t):
     return t("fx_rated").where("mkt > 0").join(s).select("uid", "s", tax.alias("tax"))
 
 
-@query("h13_compare_parcels", "with p as (select uid as a, uid + 1 as b from fx_named where uid + 1 in (select uid from fx_named)), s as (select uid, 'city' as name, city_rate as rate from fx_named where city_rate > 0 union all select uid, 'school', isd_rate from fx_named where isd_rate > 0) select coalesce(x.a, y.a) as a, coalesce(x.name, y.name) as name, cast(coalesce(x.rate, -1) as double) as rate_a, cast(coalesce(y.rate, -1) as double) as rate_b from (select p.*, s.name, s.rate from p join s on s.uid = p.a) x full join (select p.*, s.name, s.rate from p join s on s.uid = p.b) y on x.a = y.a and x.name = y.name")
+@query("h13_compare_parcels", """with p as (select uid as a, uid + 1 as b from fx_named where uid + 1 in (select uid
+  from fx_named)), s as (select uid, 'city' as name, city_rate as rate
+  from fx_named where city_rate > 0 union all select uid, 'school', isd_rate
+  from fx_named where isd_rate > 0) select coalesce(x.a, y.a) as a, coalesce(x.name, y.name) as name, cast(coalesce(x.rate, -1) as double) as rate_a,
+    cast(coalesce(y.rate, -1) as double) as rate_b from (select p.*, s.name, s.rate
+  from p join s on s.uid = p.a) x full join (select p.*, s.name, s.rate
+  from p join s on s.uid = p.b) y on x.a = y.a and x.name = y.name""")
 def h13(t):
     rows = t("fx_named").withColumn("stack", R.breakdown({"city": F.col("city_rate"), "school": F.col("isd_rate")})).select("uid", "stack")
     pairs = rows.select(F.col("uid").alias("a"), (F.col("uid") + 1).alias("b")).join(rows.select(F.col("uid").alias("b")), "b")
@@ -179,7 +194,9 @@ def h13(t):
     return out.select("a", "name", F.coalesce(F.col("rate_a").cast("double"), F.lit(-1.0)).alias("rate_a"), F.coalesce(F.col("rate_b").cast("double"), F.lit(-1.0)).alias("rate_b"))
 
 
-@query("h14_against_median", "with m as (select county, round(median(cast(nominal_rate as double)), 4) as m from fx_rated group by county) select uid, case when abs(cast(nominal_rate as double) - m) < 0.05 then 'about at' when cast(nominal_rate as double) > m then 'above' else 'below' end as place from fx_rated r join m on m.county = r.county")
+@query("h14_against_median", """with m as (select county, round(median(cast(nominal_rate as double)), 4) as m
+  from fx_rated group by county) select uid, case when abs(cast(nominal_rate as double) - m) < 0.05 then 'about at' when cast(nominal_rate as double) > m then 'above' else 'below' end as place
+  from fx_rated r join m on m.county = r.county""")
 def h14(t):
     r = t("fx_rated")
     m = F.broadcast(R.anchor_stats(r, "county").select("county", "middle"))
@@ -191,12 +208,19 @@ def h15(t):
     return t("fx_rated").select("uid", F.round(R.rate_band(F.col("nominal_rate")), 9).alias("band"))
 
 
-@query("h16_anchor_stats", "with a as (select stddev_samp(cast(nominal_rate as double)) as s from fx_rated) select county, round(median(cast(nominal_rate as double)), 4) as middle, round(case when coalesce(stddev_samp(cast(nominal_rate as double)) < 0.02, true) then any_value(a.s) else stddev_samp(cast(nominal_rate as double)) end, 4) as sd, count(*) as n from fx_rated, a group by county")
+@query("h16_anchor_stats", """with a as (select stddev_samp(cast(nominal_rate as double)) as s
+  from fx_rated) select county, round(median(cast(nominal_rate as double)), 4) as middle, round(case when coalesce(stddev_samp(cast(nominal_rate as double)) < 0.02,
+    true) then any_value(a.s) else stddev_samp(cast(nominal_rate as double)) end, 4) as sd, count(*) as n
+  from fx_rated, a group by county""")
 def h16(t):
     return R.anchor_stats(t("fx_rated"), "county")
 
 
-@query("h17_county_breakdown", "select b.county_code, b.n_base, coalesce(c.n_cities, 0) as n_cities from (select r.county_code, count(*) as n_base from fx_recipes r join fx_units u on u.unit_id = r.unit_id where rate_per_100 > 0 group by 1) b left join (select county_code, count(distinct lower(name)) as n_cities from fx_city_units group by 1) c on c.county_code = b.county_code")
+@query("h17_county_breakdown", """select b.county_code, b.n_base, coalesce(c.n_cities, 0) as n_cities
+  from (select r.county_code, count(*) as n_base from fx_recipes r
+  join fx_units u on u.unit_id = r.unit_id where rate_per_100 > 0
+  group by 1) b left join (select county_code, count(distinct lower(name)) as n_cities
+  from fx_city_units group by 1) c on c.county_code = b.county_code""")
 def h17(t):
     base = t("fx_recipes").join(t("fx_units").drop("county_code"), "unit_id")
     cities = t("fx_city_units").select("county_code", "unit_id", F.lower("name").alias("city_key"), "rate_per_100")
@@ -205,24 +229,32 @@ def h17(t):
 
 
 COLLEGES, SPECIALS = ["ring mud"], ["hot plate"]
-INFERRED = "(unit_type = '00' or (unit_type in ('06', '11', '23', '33') and starts_with(regexp_replace(lower(name), '[^a-z]', '', 'g'), regexp_replace(lower(c.county), '[^a-z]', '', 'g'))) or (unit_type = '15' and contains(lower(name), 'ring mud')) or contains(lower(name), 'hot plate'))"
+INFERRED = """(unit_type = '00' or (unit_type in ('06', '11', '23', '33') and starts_with(regexp_replace(lower(name), '[^a-z]', '', 'g'), regexp_replace(lower(c.county),
+    '[^a-z]', '', 'g'))) or (unit_type = '15' and contains(lower(name), 'ring mud')) or contains(lower(name), 'hot plate'))"""
 
 
 def j_inputs(t):
     return t("fx_units"), t("fx_counties"), t("fx_counties").where("gx = 0"), COLLEGES, SPECIALS
 
 
-@query("j1_infer_countywide", f"select u.county_code, unit_id from fx_units u join fx_counties c on c.county_code = u.county_code where c.gx <> 0 and {INFERRED}")
+@query("j1_infer_countywide", f"""select u.county_code, unit_id from fx_units u join fx_counties c on c.county_code = u.county_code
+  where c.gx <> 0 and {INFERRED}""")
 def j1(t):
     return resolve.infer_countywide(*j_inputs(t))
 
 
-@query("j2_review", f"select u.county_code, unit_id, unit_type, name, cast(rate_per_100 as double) as rate_per_100 from fx_units u join fx_counties c on c.county_code = u.county_code where c.gx <> 0 and not {INFERRED} and unit_type in ('06', '11', '12', '15', '18', '23', '27', '28', '33') and rate_per_100 >= 0.05")
+@query("j2_review", f"""select u.county_code, unit_id, unit_type, name, cast(rate_per_100 as double) as rate_per_100
+  from fx_units u join fx_counties c on c.county_code = u.county_code
+  where c.gx <> 0 and not {INFERRED} and unit_type in ('06', '11', '12', '15', '18', '23', '27', '28', '33') and rate_per_100 >= 0.05""")
 def j2(t):
     return resolve.review_exclusions(*j_inputs(t))
 
 
-@query("j3_regions", "with n as (select c.county, count(p.uid) as n, c.gx, c.gy from fx_counties c left join fx_parcels p on p.county_code = c.county_code group by all), o as (select *, cast(round_even((gy + 25.5) / 1.5, 0) as int) as band from n), s as (select *, row_number() over (order by band desc, case when band % 2 = 0 then gx else -gx end, county) as sweep from o) select county, n, sweep, cast(floor((sum(n) over (order by sweep rows unbounded preceding) - n) / (select count(*) / 4e0 from fx_parcels)) as int) as region from s")
+@query("j3_regions", """with n as (select c.county, count(p.uid) as n, c.gx, c.gy from fx_counties c
+  left join fx_parcels p on p.county_code = c.county_code group by all), o as (select *, cast(round_even((gy + 25.5) / 1.5, 0) as int) as band
+  from n), s as (select *, row_number() over (order by band desc, case when band % 2 = 0 then gx else -gx end, county) as sweep
+  from o) select county, n, sweep, cast(floor((sum(n) over (order by sweep rows unbounded preceding) - n) / (select count(*) / 4e0
+  from fx_parcels)) as int) as region from s""")
 def j3(t):
     n = t("fx_parcels").groupBy("county_code").agg(F.count("*").alias("n"))
     counts = t("fx_counties").join(n, "county_code", "left").na.fill(0, ["n"]).select("county", "n", (F.col("gy") + 25.5).alias("lat"), F.col("gx").cast("double").alias("lon"))

@@ -42,7 +42,7 @@ DENSE = 100_000
 #: Weight of the class model in the mix; smoothing of class transitions.
 WEIGHT, ALPHA = 0.95, 0.1
 #: Words that a task counts before it hands on what it has; bytes of texts that are tokenised at once (a longer text alone).
-COUNTED, SLICE = 300_000, 2 << 20
+COUNTED, SLICE = 300_000, 4 << 20
 #: Rounds of exchanges of the first units at most.
 ROUNDS = 8
 #: Occurrences of its form that a word's own contexts are smoothed with.
@@ -56,21 +56,39 @@ def held_out(doc_id: Column, of: int = 7, fold: int = 2) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(of)) == fold, F.lit(False))
 
 
-def form(word: bytes) -> bytes:
-    return word[:1] + b"~" + word[-2:]
+def form_codes(words: pa.Array) -> np.ndarray:
+    """A number for the form of each word: its first byte and its last two, or its only one."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"\0", np.uint8).astype(np.int64)
+    at = lambda i: data[np.clip(i, 0, len(data) - 1)]
+    first, last = at(ends[:-1]) << 16, at(ends[1:] - 1)
+    return np.where(np.diff(ends) > 1, first | at(ends[1:] - 2) << 8 | last, 1 << 24 | first | last)
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(w, 42) for w in words], np.uint64).view(np.int64)
+
+
+def find(sorted_hashes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where each hash is among the sorted ones; -1 where it isn't."""
+    if not len(sorted_hashes):
+        return np.full(len(hashes), -1, np.int64)
+    at = np.minimum(np.searchsorted(sorted_hashes, hashes), len(sorted_hashes) - 1)
+    return np.where(sorted_hashes[at] == hashes, at, -1)
 
 
 @dataclass
 class Slice:
     """Tokens of some texts: distinct words, the words' numbers in order of the texts, and how many each text has."""
 
+    column: pa.Array
     words: list[bytes]
     tokens: np.ndarray
     lengths: np.ndarray
 
     def hashes(self) -> np.ndarray:
-        digest = xxhash.xxh64_intdigest
-        return np.array([digest(w, 42) for w in self.words], np.uint64).view(np.int64)
+        return word_hashes(self.words)
 
     def chain(self) -> np.ndarray:
         """Words' numbers, with -1 for the end before the first text and after each."""
@@ -87,13 +105,14 @@ def slices(texts: pa.Array) -> Iterator[Slice]:
         hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + SLICE, side="right")))
         lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.slice(lo, hi - lo), "")))
         coded = lists.flatten().dictionary_encode()
-        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        column = coded.dictionary.cast(pa.binary())
+        words = column.to_pylist()
         number = coded.indices.to_numpy()
         row = np.repeat(np.arange(hi - lo), pc.list_value_length(lists).to_numpy())
         if b"" in words:  # what white space at the ends leaves
             some = number != words.index(b"")
             number, row = number[some], row[some]
-        yield Slice(words, number, np.bincount(row, minlength=hi - lo))
+        yield Slice(column, words, number, np.bincount(row, minlength=hi - lo))
         lo = hi
 
 
@@ -194,8 +213,14 @@ def exchange_classes(pairs: np.ndarray, classes: int, fixed: int) -> np.ndarray:
 class Units:
     """What a word is before it has a class of its own: one of the most frequent, else its form, else other."""
 
-    top: dict[bytes, int]
-    forms: dict[bytes, int]
+    top: list[bytes]
+    forms: list[bytes]  # first byte, ~, last two
+
+    def __post_init__(self) -> None:
+        sort = lambda keys, first: (np.sort(keys), first + np.argsort(keys))
+        self.top_hashes, self.top_units = sort(word_hashes(self.top), 0)
+        # a form's bytes without its mark have its own number
+        self.form_codes, self.form_units = sort(form_codes(pa.array([f[:1] + f[2:] if len(f) > 3 else f[:1] for f in self.forms], pa.binary())), len(self.top))
 
     @property
     def other(self) -> int:
@@ -205,13 +230,13 @@ class Units:
     def end(self) -> int:
         return self.other + 1
 
-    def form_of(self, words: list[bytes]) -> np.ndarray:
-        get, other = self.forms.get, self.other
-        return np.array([get(form(w), other) for w in words], np.int64)
+    def form_of(self, words: pa.Array) -> np.ndarray:
+        at = find(self.form_codes, form_codes(words))
+        return np.where(at < 0, self.other, np.append(self.form_units, self.other)[at])
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        get, forms, other = self.top.get, self.forms.get, self.other
-        return np.array([u if (u := get(w, -1)) >= 0 else forms(form(w), other) for w in words], np.int64)
+    def of(self, s: Slice, hashes: np.ndarray) -> np.ndarray:
+        at = find(self.top_hashes, hashes)
+        return np.where(at < 0, self.form_of(s.column), np.append(self.top_units, 0)[at])
 
 
 def choose_units(counts: DataFrame) -> Units:
@@ -220,7 +245,7 @@ def choose_units(counts: DataFrame) -> Units:
     shape = F.expr("concat(substring(word, 1, 1), X'7E', substring(word, -2, 2))")
     rest = counts.where(~F.col("word").isin([bytearray(w) for w in top])) if top else counts
     forms = rest.groupBy(shape.alias("form")).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "form").limit(UNITS).collect()
-    return Units({w: i for i, w in enumerate(top)}, {bytes(r.form): len(top) + i for i, r in enumerate(forms)})
+    return Units(top, [bytes(r.form) for r in forms])
 
 
 def _cells(table: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
@@ -245,7 +270,7 @@ def unit_pairs(texts: DataFrame, units: Units) -> np.ndarray:
         known, table = shared.value, np.zeros(n * n, np.int64)
         for batch in batches:
             for s in slices(_strings(batch.column(0))):
-                unit = np.append(known.of(s.words), known.end)[s.chain()]
+                unit = np.append(known.of(s, s.hashes()), known.end)[s.chain()]
                 np.add.at(table, unit[:-1] * n + unit[1:], 1)
         yield from _cells(table, n)
 
@@ -259,14 +284,6 @@ def _log_likelihoods(after: np.ndarray, before: np.ndarray, table: np.ndarray) -
     return (after @ to.T + before @ back)[:, :-1]
 
 
-def find(sorted_hashes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Where each hash is among the sorted ones; -1 where it isn't."""
-    if not len(sorted_hashes):
-        return np.full(len(hashes), -1, np.int64)
-    at = np.minimum(np.searchsorted(sorted_hashes, hashes), len(sorted_hashes) - 1)
-    return np.where(sorted_hashes[at] == hashes, at, -1)
-
-
 NEAR = "h long, form int, codes binary, counts binary"
 
 
@@ -286,7 +303,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch], units: Units, classes: np.nda
     for batch in batches:
         for s in slices(_strings(batch.column(0))):
             h, chain = s.hashes(), s.chain()
-            c = np.append(classes[units.of(s.words)], classes[units.end])[chain]
+            c = np.append(classes[units.of(s, h)], classes[units.end])[chain]
             at = np.flatnonzero(chain >= 0)
             word, left, right = chain[at], c[at - 1], k + c[at + 1]
             number = find(of_dense, h)[word]
@@ -299,7 +316,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch], units: Units, classes: np.nda
             starts = np.flatnonzero(np.diff(word, prepend=-1))
             if len(starts):
                 own = word[starts]
-                form = units.form_of([s.words[i] for i in own.tolist()])
+                form = units.form_of(s.column)[own]
                 yield rows(h[own], form, 2 * starts, np.column_stack((left[order], right[order])).ravel(), None)
     found = np.flatnonzero(table)
     for i in range(0, len(found), 10 * HANDED):
@@ -318,10 +335,8 @@ def word_classes(texts: DataFrame, units: Units, classes: np.ndarray, pairs: np.
     prior = SMOOTH * _log_likelihoods(pairs @ member / size, pairs.T @ member / size, table)
     weights = _log_likelihoods(np.eye(2 * k)[:, k:], np.eye(2 * k)[:, :k], table)
     frequent = counts.where(most_frequent(counts, DENSE)).select(F.xxhash64("word").alias("h"), "word").toArrow().sort_by("h")  # at most DENSE rows
-    dense = frequent["h"].to_numpy(), units.form_of(frequent["word"].to_pylist())
-    own = Slice(list(units.top), np.zeros(0), np.zeros(0)).hashes()
-    order = np.argsort(own)
-    fixed, fixed_cls = own[order], classes[np.fromiter(units.top.values(), np.int64, len(own))[order]]
+    dense = frequent["h"].to_numpy(), units.form_of(frequent["word"].combine_chunks() if len(frequent) else pa.array([], pa.binary()))
+    fixed, fixed_cls = units.top_hashes, classes[units.top_units]
     shared = texts.sparkSession.sparkContext.broadcast((units, classes, dense))
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -393,7 +408,7 @@ class Lexicon:
         number = find(self.hashes, h)
         cls = self.cls[number].astype(np.int64) if len(self.cls) else np.zeros(len(h), np.int64)
         others = np.flatnonzero(number < 0)
-        cls[others] = self.form_cls[self.units.form_of([s.words[i] for i in others.tolist()])]
+        cls[others] = self.form_cls[self.units.form_of(s.column)[others]]
         return h, number, cls
 
     @property

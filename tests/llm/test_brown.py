@@ -63,7 +63,7 @@ def digest(word):
 
 
 def form_class(model, word):
-    return int(model.lexicon.form_cls[model.lexicon.units.form_of([word.encode()])[0]])
+    return int(model.lexicon.form_cls[model.lexicon.units.form_of(pa.array([word.encode()]))[0]])
 
 
 def by_hand(train, model, words):
@@ -143,6 +143,16 @@ def test_tokens_are_runs_of_anything_but_ascii_white_space(monkeypatch):
         assert [n for s in made for n in s.lengths] == [len(words_of(t)) for t in texts]
 
 
+def test_forms_are_first_and_last_bytes():
+    words = [b"a", b"ab", b"abc", b"a~c", b"xyzc", b"b", b"aab", "é".encode(), "éa".encode()]
+    form = lambda w: w[:1] + b"~" + w[-2:]
+    forms = sorted({form(w) for w in words[:-2]})
+    units = brown.Units([b"t"], forms)
+    want = [1 + forms.index(form(w)) if form(w) in forms else units.other for w in words]
+    assert units.form_of(pa.array(words)).tolist() == want
+    assert len(set(brown.form_codes(pa.array(words)).tolist())) == len({form(w) for w in words})
+
+
 def test_exchange_finds_planted_classes():
     rng = random.Random(5)
     chain = [0]

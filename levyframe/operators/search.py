@@ -1,4 +1,9 @@
-"""A prefix-sharded search index, and lookups in it."""
+"""A prefix-sharded search index, and lookups in it.
+
+Lookups by words meet the index in posting lists: of all the parts of a query's
+words that are indexed, the one with the fewest rows in the query's shard is
+joined, so the work follows the hits and not the shard.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +11,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from levyframe.functions.text import has_real_id, scrub_control, search_norm
+from levyframe.sources.tables import materialize
 
 OWNER_ROWS, ADDR_ROWS, ID_ROWS = 500, 300, 50  # how many hits a lookup shows
+#: Lengths of the parts of words that posting lists are kept for; words of one or two letters are a part themselves.
+GRAMS = (1, 2, 3, 6, 9)
+#: A posting list of more rows than this is dealt out to several tasks.
+LIST_ROWS = 50_000
 
 
 def search_base(parcels: DataFrame, attrs: DataFrame) -> DataFrame:
@@ -54,33 +64,85 @@ def _tokens(query: Column) -> Column:
     return F.filter(F.split(search_norm(query), " "), lambda x: x != "")
 
 
-def search_owner(index: DataFrame, queries: DataFrame) -> DataFrame:
+def _parts(word: Column, sizes) -> Column:
+    """All parts of a word that have one of these lengths."""
+    each = lambda n: F.when(F.length(word) >= n, F.transform(F.sequence(F.lit(1), F.length(word) - (n - 1)), lambda i: F.substring(word, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    return F.concat(*[each(n) for n in sizes])
+
+
+def posting_lists(index: DataFrame) -> DataFrame:
+    """(shard, gram, id) of an index (shard, k, line): each part of its words once a row.  May be written once and handed to lookups."""
+    words = F.array_distinct(F.split("k", " "))
+    grams = F.array_distinct(F.flatten(F.transform(words, lambda w: _parts(w, GRAMS))))
+    return index.select("shard", _row_id(), F.explode(grams).alias("gram")).where("gram <> ''")
+
+
+def _row_id() -> Column:
+    return F.xxhash64("shard", "k", "line").alias("id")
+
+
+def _asked_parts(tokens: Column) -> Column:
+    """Parts that every hit has: the longest kinds that a word has, and words of one or two letters whole."""
+
+    def of(word: Column) -> Column:
+        n = F.length(word)
+        return F.when(n >= 9, _parts(word, (9, 6))).when(n >= 6, _parts(word, (6, 3))).when(n >= 3, _parts(word, (3,))).otherwise(F.array(word))
+
+    return F.array_distinct(F.flatten(F.transform(tokens, of)))
+
+
+def _candidates(index: DataFrame, asked: DataFrame, postings: DataFrame | None) -> DataFrame:
+    """Rows of the index beside the queries (q, shard, tokens, ..) whose rarest part they have.
+
+    Only lists that some query names are kept, and counted.  A list of many rows
+    is dealt out by row, and meets its queries once a share.
+    """
+    asked = materialize(asked)
+    parts = materialize(asked.select("q", "shard", F.explode(_asked_parts(F.col("tokens"))).alias("gram")))
+    lists = posting_lists(index) if postings is None else postings
+    lists = materialize(lists.join(parts.select("shard", "gram").distinct(), ["shard", "gram"], "left_semi"))
+    sizes = lists.groupBy("shard", "gram").agg(F.count("*").alias("n"))
+    found = parts.join(sizes, ["shard", "gram"], "left").groupBy("q", "shard").agg(F.min(F.struct("n", "gram")).alias("least"), F.bool_and(F.col("n").isNotNull()).alias("all"))
+    shares = F.ceil(F.col("least.n") / LIST_ROWS).cast("int").alias("shares")
+    rarest = materialize(found.where("all").select("q", "shard", F.col("least.gram").alias("gram"), shares))
+    share = F.pmod(F.xxhash64("id", F.lit(1)), F.col("shares")).cast("int").alias("share")
+    dealt = lists.join(rarest.select("shard", "gram", "shares").distinct(), ["shard", "gram"]).select("shard", "gram", "id", share)
+    each = rarest.select("q", "shard", "gram", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
+    met = dealt.join(each, ["shard", "gram", "share"]).select("q", "shard", "id").distinct()
+    return met.join(index.withColumn("id", _row_id()), ["shard", "id"]).join(asked, ["q", "shard"])
+
+
+def _whole_hits(hit: DataFrame) -> DataFrame:
+    hit = hit.withColumns({k: v for k, v in hit_fields(F.col("line")).items() if k in ("county", "prop_id", "addr")})
+    return hit.groupBy("q", "n", "county", "prop_id", "addr").agg(F.min("k").alias("k"))
+
+
+def search_owner(index: DataFrame, queries: DataFrame, postings: DataFrame | None = None) -> DataFrame:
     """(q) of three letters or more -> q and hits that have every token; those that begin with the query first, then by name.
 
     A query reads the shards of its first and its last token.
     """
-    asked = queries.withColumn("n", search_norm(F.col("q"))).where(F.length("n") >= 3).withColumn("tokens", _tokens(F.col("q")))
+    asked = queries.select("q").distinct().withColumn("n", search_norm(F.col("q"))).where(F.length("n") >= 3).withColumn("tokens", _tokens(F.col("q")))
     asked = asked.withColumn("shard", F.explode(F.array_distinct(F.array(F.substring("n", 1, 3), F.substring(F.element_at("tokens", -1), 1, 3)))))
-    hit = index.join(asked, "shard").where(F.forall("tokens", lambda t: F.contains(F.col("k"), t)))
-    hit = hit.withColumns({k: v for k, v in hit_fields(F.col("line")).items() if k in ("county", "prop_id", "addr")})
-    one = hit.groupBy("q", "n", "county", "prop_id", "addr").agg(F.min("k").alias("k"))
-    return _shown(one, [F.when(F.col("k").startswith(F.col("n")), 0).otherwise(1), F.col("k"), F.col("county"), F.col("prop_id"), F.col("addr")], OWNER_ROWS)
+    hit = _candidates(index, asked, postings).where(F.forall("tokens", lambda t: F.contains(F.col("k"), t)))
+    return _shown(_whole_hits(hit), [F.when(F.col("k").startswith(F.col("n")), 0).otherwise(1), F.col("k"), F.col("county"), F.col("prop_id"), F.col("addr")], OWNER_ROWS)
 
 
-def search_addr(index: DataFrame, queries: DataFrame) -> DataFrame:
-    """Number first, then street words: hits whose number begins with the query's and that have every other word; beginnings first, then the shorter."""
-    asked = queries.withColumn("n", search_norm(F.col("q"))).where(F.length("n") >= 3).withColumn("tokens", _tokens(F.col("q"))).withColumn("number", F.get("tokens", 0))
-    asked = asked.withColumn("shard", F.when(F.col("number").rlike("^[0-9]+$"), F.substring("number", 1, 3)).otherwise(F.concat(F.lit("t_"), F.substring("n", 1, 3))))
-    hit = index.join(asked, "shard").where(F.col("k").startswith(F.col("number")) & F.forall(F.slice("tokens", F.lit(2), F.size("tokens")), lambda t: F.contains(F.col("k"), t)))
-    hit = hit.withColumns({k: v for k, v in hit_fields(F.col("line")).items() if k in ("county", "prop_id", "addr")})
-    one = hit.groupBy("q", "n", "county", "prop_id", "addr").agg(F.min("k").alias("k"))
-    return _shown(one, [F.when(F.col("k").startswith(F.col("n")), 0).otherwise(1), F.length("k"), F.col("k"), F.col("county"), F.col("prop_id")], ADDR_ROWS)
+def search_addr(index: DataFrame, queries: DataFrame, postings: DataFrame | None = None) -> DataFrame:
+    """Number first, then street words: hits whose number begins with the query's and that have every other word; without a
+    number, hits that have every word.  Beginnings first, then the shorter."""
+    asked = queries.select("q").distinct().withColumn("n", search_norm(F.col("q"))).where(F.length("n") >= 3).withColumn("tokens", _tokens(F.col("q"))).withColumn("number", F.get("tokens", 0))
+    numbered = F.col("number").rlike("^[0-9]+$")
+    asked = asked.withColumn("shard", F.when(numbered, F.substring("number", 1, 3)).otherwise(F.concat(F.lit("t_"), F.substring("n", 1, 3))))
+    hit = _candidates(index, asked, postings).where((~numbered | F.col("k").startswith(F.col("number"))) & F.forall("tokens", lambda t: F.contains(F.col("k"), t)))
+    return _shown(_whole_hits(hit), [F.when(F.col("k").startswith(F.col("n")), 0).otherwise(1), F.length("k"), F.col("k"), F.col("county"), F.col("prop_id")], ADDR_ROWS)
 
 
 def search_id(index: DataFrame, queries: DataFrame) -> DataFrame:
-    """Ids that begin with the query's letters and digits."""
-    asked = queries.withColumn("n", F.regexp_replace(F.upper("q"), "[^A-Z0-9]", "")).where(F.length("n") >= 3).withColumn("shard", F.substring("n", 1, 3))
-    hit = index.join(asked, "shard").where(F.col("k").startswith(F.col("n")))
+    """Ids that begin with the query's letters and digits: an id meets queries by its own beginnings."""
+    asked = queries.select("q").distinct().withColumn("n", F.regexp_replace(F.upper("q"), "[^A-Z0-9]", "")).where(F.length("n") >= 3)
+    begins = F.explode(F.transform(F.sequence(F.lit(3), F.length("k")), lambda i: F.substring(F.col("k"), F.lit(1), i))).alias("n")
+    hit = index.where(F.length("k") >= 3).select("k", "line", begins).join(asked, "n")
     hit = hit.withColumns({k: v for k, v in hit_fields(F.col("line")).items() if k in ("county", "prop_id", "addr")})
     return _shown(hit.select("q", "n", "county", "prop_id", "addr", "k").distinct(), [F.col("k"), F.col("county"), F.col("addr")], ID_ROWS)
 

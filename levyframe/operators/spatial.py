@@ -1,8 +1,9 @@
-"""Joins of points and polygons by grid cells, adjacency, and operations on polygon layers.
+"""Joins of points and polygons by grid cells, adjacency, and overlays of polygon layers.
 
-A polygon goes to the cells that its envelope touches, a point to its own, so
-the join is an equi-join; a ray cast then decides.  The cell's size changes the
-work, never the result.
+Whatever meets does so through an equi-join on cells.  A polygon is covered by
+cells as large as its own size suggests: cells wholly inside need no further
+test, border cells carry only the edges that cross them.  The cells' sizes
+change the work, never the result.
 """
 
 from __future__ import annotations
@@ -12,83 +13,171 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from levyframe.functions.geometry import all_edges, contains, crosses_oddly, edges, envelope, overlap
+from levyframe.functions.geometry import all_edges, crosses_oddly, edges, envelope
 from levyframe.sources.tables import materialize
 
-#: What is broadcast was counted first: so many rows of boxes by cell, and so many points of rings in all (some MB each).
-BROADCAST_BOXES, BROADCAST_POINTS = 100_000, 1_000_000
-#: The largest polygon touches at most about the square of so many cells.
-CELLS_ACROSS = 64
+#: A cover is broadcast only if it was counted and has at most so many cells (some MB).
+BROADCAST_CELLS = 100_000
+#: A polygon is so many cells wide, by the number of its points.
+LEAST_ACROSS, MOST_ACROSS = 16, 256
+#: Cells are widened by this part of their size where edges are dealt to them, so that rounding loses none.
+MARGIN = 1e-6
+#: Decimals that overlays keep of coordinates.
+PLACES = 9
 
 
-def cells(x0: Column, y0: Column, x1: Column, y1: Column, size: float) -> Column:
-    """Array of the (i, j) that an envelope touches."""
-    down = lambda c: F.floor(c / size)
-    return F.flatten(F.transform(F.sequence(down(x0), down(x1)), lambda i: F.transform(F.sequence(down(y0), down(y1)), lambda j: F.struct(i.alias("i"), j.alias("j")))))
+def _down(value: Column, size: Column) -> Column:
+    return F.floor(value / size)
 
 
-def _boxes(polygons: DataFrame, name: str, size: float | None) -> tuple[DataFrame, float, bool, bool]:
-    """(name, x0, y0, x1, y1, i, j) a polygon and cell that its envelope touches, the cells' size, and whether these boxes and the rings are few enough to be broadcast.
+def _x_at(e: Column, y: Column) -> Column:
+    """Where an edge that is not level is at a height, between its ends."""
+    at = e["x1"] + (y - e["y1"]) / (e["y2"] - e["y1"]) * (e["x2"] - e["x1"])
+    return F.least(F.greatest(at, F.least(e["x1"], e["x2"])), F.greatest(e["x1"], e["x2"]))
 
-    Cells are as wide as the mean envelope unless `size` says otherwise.
-    """
-    box = polygons.select(name, F.size(F.flatten("rings")).cast("long").alias("points"), *[v.alias(k) for k, v in envelope(F.col("rings")).items()])
-    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
-    layer = box.agg(F.avg(side).alias("mean"), F.max(side).alias("most"), F.sum("points").alias("points")).first()
-    size = size or max(layer.mean or 0.0, (layer.most or 0.0) / CELLS_ACROSS) or 1.0
-    placed = box.select(name, "x0", "y0", "x1", "y1", F.explode(cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), size)).alias("cell")).select(name, "x0", "y0", "x1", "y1", "cell.i", "cell.j")
-    return placed, size, placed.limit(BROADCAST_BOXES + 1).count() <= BROADCAST_BOXES, (layer.points or 0) <= BROADCAST_POINTS
+
+def edge_cells(e: Column, size: Column) -> Column:
+    """Array of the (i, j) of cells that an edge passes, row by row; with a margin, so a few more."""
+    low, high = F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
+    pad = size * MARGIN
+
+    def row(j: Column) -> Column:
+        held = lambda y: F.least(F.greatest(y, low), high)
+        p, q = held(j * size - pad), held((j + 1) * size + pad)
+        a = F.when(e["y1"] == e["y2"], e["x1"]).otherwise(_x_at(e, p))
+        b = F.when(e["y1"] == e["y2"], e["x2"]).otherwise(_x_at(e, q))
+        return F.transform(F.sequence(_down(F.least(a, b) - pad, size), _down(F.greatest(a, b) + pad, size)), lambda i: F.struct(i.alias("i"), j.alias("j")))
+
+    return F.flatten(F.transform(F.sequence(_down(low - pad, size), _down(high + pad, size)), row))
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, key: str, name: str, size: float | None = None) -> DataFrame:
+def _power(value: Column) -> Column:
+    """The power of two that is next above."""
+    return F.when(value > 0, F.pow(F.lit(2.0), F.ceil(F.log2(value)))).otherwise(1.0)
+
+
+def cell_cover(polygons: DataFrame, name: str) -> DataFrame:
+    """(name, size, i, j, odd, edges): the cells that cover each polygon (name, rings).
+
+    edges is null for a cell wholly inside.  For a border cell it has the edges
+    that pass it, and odd says whether a ray to the right from the middle of its
+    right side crosses an odd number of edges.
+    """
+    box = envelope(F.col("rings"))
+    side = F.greatest(box["x1"] - box["x0"], box["y1"] - box["y0"])
+    points = F.size(F.flatten("rings"))
+    sized = polygons.select(name, all_edges(F.col("rings")).alias("all"), _power(side / F.least(F.greatest(points, F.lit(LEAST_ACROSS)), F.lit(MOST_ACROSS))).alias("size"))
+    e = sized.select(name, "size", F.explode("all").alias("e"))
+    border = e.select(name, "size", "e", F.explode(edge_cells(F.col("e"), F.col("size"))).alias("c")).groupBy(name, "size", "c.i", "c.j").agg(F.collect_list("e").alias("edges"))
+    border = materialize(border)
+    # where the edges cross the middle line of each row of cells
+    rows = e.select(name, "size", "e", F.explode(F.sequence(_down(F.least("e.y1", "e.y2"), F.col("size")), _down(F.greatest("e.y1", "e.y2"), F.col("size")))).alias("j"))
+    middle = (F.col("j") + 0.5) * F.col("size")
+    rows = rows.where((F.col("e.y1") > middle) != (F.col("e.y2") > middle)).select(name, "size", "j", _x_at(F.col("e"), middle).alias("x"))
+    lines = materialize(rows.groupBy(name, "size", "j").agg(F.array_sort(F.collect_list("x")).alias("xs")))
+    odd = F.size(F.filter("xs", lambda x: x > (F.col("i") + 1) * F.col("size"))) % 2 == 1
+    spans = lines.select(name, "size", "j", "xs", F.explode(F.sequence(_down(F.get("xs", 0), F.col("size")), _down(F.element_at("xs", -1), F.col("size")))).alias("i"))
+    within = spans.where(odd).join(border.select(name, "size", "i", "j"), [name, "size", "i", "j"], "left_anti")
+    within = within.select(name, "size", "i", "j", F.lit(True).alias("odd"), F.lit(None).cast(border.schema["edges"].dataType).alias("edges"))
+    return within.unionByName(border.join(lines, [name, "size", "j"], "left").select(name, "size", "i", "j", F.coalesce(odd, F.lit(False)).alias("odd"), "edges"))
+
+
+def _inside_cell() -> Column:
+    """Whether (x, y) is inside, for a point beside the cell of a cover that it is in.
+
+    The way goes right to the cell's side and along it to its middle, and counts the edges it crosses.
+    """
+    x, y = F.col("x"), F.col("y")
+    right, middle = (F.col("i") + 1) * F.col("size"), (F.col("j") + 0.5) * F.col("size")
+
+    def crossed(n: Column, e: Column) -> Column:
+        low, high = F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
+        rising = F.when(e["x1"] > right, e["y1"] > e["y2"]).otherwise(e["y2"] > e["y1"])
+        # where the edge passes the side is told by the same numbers as whether it is beyond it at a height, so the two agree
+        beyond = lambda h: F.when((low <= h) & (h < high), _x_at(e, h) > right).otherwise(F.when(rising, h >= high).otherwise(h < low))
+        level = F.when((low <= y) & (y < high), (x < _x_at(e, y)) & (_x_at(e, y) <= right)).otherwise(False)
+        passed = F.when((e["x1"] > right) != (e["x2"] > right), beyond(y) != beyond(middle)).otherwise(False)
+        return n + level.cast("int") + passed.cast("int")
+
+    count = F.aggregate("edges", F.col("odd").cast("int"), crossed)
+    return F.col("edges").isNull() | (count % 2 == 1)
+
+
+def points_in_cover(points: DataFrame, cover: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, name) for each covered polygon that a point is in; points: key, x, y.  A point looks up one cell of each size there is."""
+    sizes = [r["size"] for r in cover.select("size").distinct().orderBy("size").collect()]  # powers of two, so a few dozen at most
+    if not sizes:
+        return points.select(key).join(cover.select(name), F.lit(False))
+    here = F.array(*[F.struct(F.lit(s).alias("size"), _down(F.col("x"), F.lit(s)).alias("i"), _down(F.col("y"), F.lit(s)).alias("j")) for s in sizes])
+    asked = points.select(key, "x", "y", F.explode(here).alias("c")).select(key, "x", "y", "c.size", "c.i", "c.j")
+    few = cover.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS
+    return asked.join(F.broadcast(cover) if few else cover, ["size", "i", "j"]).where(_inside_cell()).select(key, name)
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, key: str, name: str) -> DataFrame:
     """(key, name) for each polygon that a point is in.
 
-    points: key, x, y, one row a key, computed beforehand.  polygons: name,
-    rings, one row a name.  Points meet envelopes by cell; the rings follow, by
-    name, only where a point is inside the envelope.
+    points: key, x, y, one row a key, computed beforehand.  polygons: name, rings, one row a name.
     """
-    placed, step, few_boxes, few_points = _boxes(polygons, name, size)
-    here = points.select(key, "x", "y", F.floor(F.col("x") / step).alias("i"), F.floor(F.col("y") / step).alias("j"))
-    near = here.join(F.broadcast(placed) if few_boxes else placed, ["i", "j"]).where("x between x0 and x1 and y between y0 and y1").select(key, name, "x", "y")
-    rings = polygons.select(name, all_edges(F.col("rings")).alias("edges"))
-    return near.join(F.broadcast(rings) if few_points else rings, name).where(crosses_oddly(F.col("edges"), F.col("x"), F.col("y"))).select(key, name)
+    return points_in_cover(points, materialize(cell_cover(polygons, name)), key, name)
 
 
-def locate(points: DataFrame, polygons: DataFrame, key: str, name: str, size: float | None = None) -> DataFrame:
+def locate(points: DataFrame, polygons: DataFrame, key: str, name: str) -> DataFrame:
     """points with the polygon that each is in, the least name of several, null outside all."""
-    found = points_in_polygons(points, polygons, key, name, size).groupBy(key).agg(F.min(name).alias(name))
+    found = points_in_polygons(points, polygons, key, name).groupBy(key).agg(F.min(name).alias(name))
     return points.join(found, key, "left")
 
 
+def edges_that_may_meet(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Pairs (p, q) of rows of a and b, structs with x1, y1, x2, y2, whose edges share a cell; each pair may come several times.
+
+    Each edge has cells of about its own size, and also goes to the cells of all
+    larger sizes that edges of the other side have.  So long edges don't pass
+    through many small cells, and a cell in which short edges crowd pairs them
+    only with edges that are no shorter.
+    """
+    size = _power(F.greatest(F.abs(F.col("e.x2") - F.col("e.x1")), F.abs(F.col("e.y2") - F.col("e.y1")))).alias("size")
+    own = lambda df, what: materialize(df.select(F.struct(*df.columns).alias("e")).select("e", size)).withColumnRenamed("e", what)
+    p, q = own(a, "p"), own(b, "q")
+
+    def half(small: DataFrame, s: str, large: DataFrame, g: str, equal: bool) -> DataFrame:
+        sizes = F.array(*[F.lit(r["size"]) for r in large.select("size").distinct().orderBy("size").collect()]).cast("array<double>")
+        up = small.select(s, F.explode(F.filter(sizes, lambda z: (z >= F.col("size")) if equal else (z > F.col("size")))).alias("size"))
+        cells = lambda df, what: df.select(what, "size", F.explode(edge_cells(F.col(what), F.col("size"))).alias("c")).select(what, "size", "c.i", "c.j")
+        return cells(up, s).join(cells(large, g), ["size", "i", "j"]).select("p", "q")
+
+    return half(p, "p", q, "q", True).unionByName(half(q, "q", p, "p", False))
+
+
+def _side(ax, ay, bx, by, px, py) -> Column:
+    return (bx - ax) * (py - ay) - (by - ay) * (px - ax)
+
+
+def _edges_touch(p: Column, q: Column) -> Column:
+    side = lambda *v: F.signum(_side(*v))
+    d1 = side(q["x1"], q["y1"], q["x2"], q["y2"], p["x1"], p["y1"])
+    d2 = side(q["x1"], q["y1"], q["x2"], q["y2"], p["x2"], p["y2"])
+    d3 = side(p["x1"], p["y1"], p["x2"], p["y2"], q["x1"], q["y1"])
+    d4 = side(p["x1"], p["y1"], p["x2"], p["y2"], q["x2"], q["y2"])
+    boxes = (F.least(p["x1"], p["x2"]) <= F.greatest(q["x1"], q["x2"])) & (F.greatest(p["x1"], p["x2"]) >= F.least(q["x1"], q["x2"])) & (F.least(p["y1"], p["y2"]) <= F.greatest(q["y1"], q["y2"])) & (F.greatest(p["y1"], p["y2"]) >= F.least(q["y1"], q["y2"]))
+    return boxes & (d1 * d2 <= 0) & (d3 * d4 <= 0)
+
+
 def touching(polygons: DataFrame, name: str) -> DataFrame:
     """Unordered pairs a < b of polygons that share a point, corners included.
 
-    Polygons meet by cell, each pair in the first cell that both touch.  Meant
-    for layers whose shared borders have the same corners, or cross: a corner
-    of one on an edge of the other, or two edges that cross, is a touch.
+    Shared corners are found by equality, edges that cross or touch by cells, and
+    polygons within others by a corner of theirs.
     """
-    placed, step, _, few_points = _boxes(polygons, name, None)
-    sides = placed.withColumnRenamed(name, "n").withColumn("i0", F.floor(F.col("x0") / step)).withColumn("j0", F.floor(F.col("y0") / step))
-    p, q = sides.alias("p"), sides.alias("q")
-    one = (F.col("p.i") == F.greatest("p.i0", "q.i0")) & (F.col("p.j") == F.greatest("p.j0", "q.j0"))
-    near = (F.col("p.i") == F.col("q.i")) & (F.col("p.j") == F.col("q.j")) & (F.col("p.n") < F.col("q.n")) & overlap("p", "q") & one
-    pairs = p.join(q, near).select(F.col("p.n").alias("a"), F.col("q.n").alias("b"))
-    rings = lambda n: polygons.select(F.col(name).alias(n), F.col("rings").alias(f"{n}_rings"))
-    small = F.broadcast if few_points else (lambda df: df)
-    both = pairs.join(small(rings("a")), "a").join(small(rings("b")), "b")
-
-    def cross(p: Column, q: Column) -> Column:
-        side = lambda ax, ay, bx, by, px, py: F.signum((bx - ax) * (py - ay) - (by - ay) * (px - ax))
-        d1 = side(q["x1"], q["y1"], q["x2"], q["y2"], p["x1"], p["y1"])
-        d2 = side(q["x1"], q["y1"], q["x2"], q["y2"], p["x2"], p["y2"])
-        d3 = side(p["x1"], p["y1"], p["x2"], p["y2"], q["x1"], q["y1"])
-        d4 = side(p["x1"], p["y1"], p["x2"], p["y2"], q["x2"], q["y2"])
-        boxes = (F.least(p["x1"], p["x2"]) <= F.greatest(q["x1"], q["x2"])) & (F.greatest(p["x1"], p["x2"]) >= F.least(q["x1"], q["x2"])) & (F.least(p["y1"], p["y2"]) <= F.greatest(q["y1"], q["y2"])) & (F.greatest(p["y1"], p["y2"]) >= F.least(q["y1"], q["y2"]))
-        return boxes & (d1 * d2 <= 0) & (d3 * d4 <= 0)
-
-    hit = F.exists(all_edges(F.col("a_rings")), lambda p: F.exists(all_edges(F.col("b_rings")), lambda q: cross(p, q)))
-    inside = F.exists(F.flatten("b_rings"), lambda p: contains(F.col("a_rings"), p["x"], p["y"])) | F.exists(F.flatten("a_rings"), lambda p: contains(F.col("b_rings"), p["x"], p["y"]))
-    return both.where(hit | inside).select("a", "b")
+    polygons = materialize(polygons.select(name, "rings"))
+    e = polygons.select(F.col(name).alias("n"), F.explode(all_edges(F.col("rings"))).alias("e")).select("n", "e.x1", "e.y1", "e.x2", "e.y2")
+    corners = e.select("n", F.col("x1").alias("x"), F.col("y1").alias("y")).distinct()
+    pair = lambda m, n: (F.least(m, n).alias("a"), F.greatest(m, n).alias("b"))
+    shared = corners.join(corners.withColumnRenamed("n", "m"), ["x", "y"]).where("m < n").select(*pair("m", "n"))
+    met = edges_that_may_meet(e, e).where((F.col("p.n") != F.col("q.n")) & _edges_touch(F.col("p"), F.col("q"))).select(*pair("p.n", "q.n"))
+    first = polygons.select(F.col(name).alias("m"), F.col("rings")[0][0]["x"].alias("x"), F.col("rings")[0][0]["y"].alias("y"))
+    within = points_in_polygons(first, polygons.withColumnRenamed(name, "n"), "m", "n").where("m <> n").select(*pair("m", "n"))
+    return shared.distinct().unionByName(met.distinct()).unionByName(within).distinct()
 
 
 def both_ways(pairs: DataFrame) -> DataFrame:
@@ -117,6 +206,158 @@ def dissolve(polygons: DataFrame, by: str) -> DataFrame:
     return same.groupBy(by, "x1", "y1", "x2", "y2").count().where("count = 1").drop("count")
 
 
+def directed_edges(polygons: DataFrame, by: list[str]) -> DataFrame:
+    """(by, x1, y1, x2, y2): the edges of polygons (by, rings), turned so that the inside is to the left, whichever way rings were drawn."""
+    area = lambda r: F.aggregate(edges(r), F.lit(0.0), lambda s, e: s + e["x1"] * e["y2"] - e["x2"] * e["y1"])
+
+    def turned(ring: Column, k: Column) -> Column:
+        others = F.filter(F.col("rings"), lambda r, m: (m != k) & crosses_oddly(edges(r), ring[0]["x"], ring[0]["y"]))
+        return F.when((area(ring) > 0) == (F.size(others) % 2 == 0), ring).otherwise(F.reverse(ring))
+
+    e = polygons.select(*by, F.explode(all_edges(F.transform(F.col("rings"), turned))).alias("e"))
+    return e.select(*by, "e.x1", "e.y1", "e.x2", "e.y2").where("x1 <> x2 or y1 <> y2")
+
+
+def outline(directed: DataFrame, by: list[str]) -> DataFrame:
+    """Directed edges without those that another of the same group runs along the other way."""
+    forth = (F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") < F.col("y2")))
+    put = lambda a, b, to: F.when(forth, F.col(a)).otherwise(F.col(b)).alias(to)
+    same = directed.select(*by, put("x1", "x2", "ax"), put("y1", "y2", "ay"), put("x2", "x1", "bx"), put("y2", "y1", "by_"), F.when(forth, 1).otherwise(-1).alias("way"))
+    left = same.groupBy(*by, "ax", "ay", "bx", "by_").agg(F.sum("way").alias("way")).where("way <> 0")
+    on = F.col("way") > 0
+    pick = lambda a, b, to: F.when(on, F.col(a)).otherwise(F.col(b)).alias(to)
+    return left.select(*by, pick("ax", "bx", "x1"), pick("ay", "by_", "y1"), pick("bx", "ax", "x2"), pick("by_", "ay", "y2"))
+
+
+def rank_cycles(follows: DataFrame) -> DataFrame:
+    """(id, next), each id followed by one -> (id, cycle, ahead): the smallest id of its cycle, and how many steps ahead that is.
+
+    Pointers double each round, so a cycle of n ids takes about log n joins.
+    """
+    known = materialize(follows.select("id", F.col("next").alias("hop"), F.col("id").alias("cycle"), F.lit(0).cast("long").alias("ahead")))
+    step = 1
+    while True:
+        far = known.select(F.col("id").alias("hop"), F.col("hop").alias("hop2"), F.col("cycle").alias("cycle2"), F.col("ahead").alias("ahead2"))
+        nearer = F.col("cycle2") < F.col("cycle")
+        both = known.join(far, "hop").select("id", F.col("hop2").alias("hop"), F.least("cycle", "cycle2").alias("cycle"), F.when(nearer, F.col("ahead2") + step).otherwise(F.col("ahead")).alias("ahead"), nearer.alias("moved"))
+        both = materialize(both)
+        if not both.where("moved").limit(1).count():
+            return known.select("id", "cycle", "ahead")
+        known, step = both.drop("moved"), 2 * step
+
+
+def chain_rings(directed: DataFrame, by: list[str]) -> DataFrame:
+    """(by, ring, area): directed edges with the inside to the left, chained to rings; area is negative for holes.
+
+    Where several rings meet in a point, each edge goes on with the one most to
+    the left, so parts that only touch there become rings of their own.  Edges
+    are followed by list ranking, however long a ring is; a ring is one row.
+    """
+    e = materialize(directed.select(F.monotonically_increasing_id().alias("id"), *by, "x1", "y1", "x2", "y2"))
+    into = e.select(*by, F.col("x2").alias("x"), F.col("y2").alias("y"), "id", F.atan2(F.col("y1") - F.col("y2"), F.col("x1") - F.col("x2")).alias("back"))
+    out = e.select(*by, F.col("x1").alias("x"), F.col("y1").alias("y"), F.col("id").alias("next"), F.atan2(F.col("y2") - F.col("y1"), F.col("x2") - F.col("x1")).alias("on"))
+    turn = F.pmod(F.col("back") - F.col("on"), F.lit(2) * F.pi())
+    turn = F.when(turn < 1e-12, F.lit(2) * F.pi()).otherwise(turn)
+    follows = into.join(out, [*by, "x", "y"]).groupBy("id").agg(F.min_by("next", F.struct(turn.alias("t"), "next")).alias("next"))
+    ranked = rank_cycles(follows)
+    point = F.struct((F.col("ahead") > 0).alias("later"), (-F.col("ahead")).alias("at"), F.col("x1").alias("x"), F.col("y1").alias("y"))
+    rings = e.join(ranked, "id").groupBy(*by, "cycle").agg(F.sort_array(F.collect_list(point)).alias("points"))
+    rings = rings.select(*by, F.transform("points", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("ring"))
+    # about the first point, so that large coordinates cost no places
+    x0, y0 = F.col("ring")[0]["x"], F.col("ring")[0]["y"]
+    area = F.aggregate(edges(F.col("ring")), F.lit(0.0), lambda s, p: s + (p["x1"] - x0) * (p["y2"] - y0) - (p["x2"] - x0) * (p["y1"] - y0)) / 2
+    return rings.withColumn("area", area)
+
+
+def dissolve_rings(polygons: DataFrame, by: list[str]) -> DataFrame:
+    """(by, ring, area): the outlines of groups of polygons (by, rings) that don't overlap and whose shared borders match corner by corner."""
+    return chain_rings(outline(directed_edges(polygons, by), by), by)
+
+
+def as_polygons(rings: DataFrame, by: list[str]) -> DataFrame:
+    """(by, rings) of (by, ring): all rings of a group as one polygon."""
+    return rings.groupBy(*by).agg(F.collect_list("ring").alias("rings"))
+
+
+def _snapped(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, PLACES) for c in ("x1", "y1", "x2", "y2")}).where("x1 <> x2 or y1 <> y2")
+
+
+def _meeting_points(p: Column, q: Column) -> Column:
+    """Points at which p is to be split for q: where they cross, or q's ends that lie on it."""
+    px, py, qx, qy = p["x2"] - p["x1"], p["y2"] - p["y1"], q["x2"] - q["x1"], q["y2"] - q["y1"]
+    cross = px * qy - py * qx
+    near = 10.0**-PLACES
+    point = lambda x, y: F.struct(F.round(x, PLACES).alias("x"), F.round(y, PLACES).alias("y"))
+    length = F.sqrt(px * px + py * py)
+
+    def on(x: Column, y: Column) -> Column:
+        along = ((x - p["x1"]) * px + (y - p["y1"]) * py) / length
+        return (F.abs(_side(p["x1"], p["y1"], p["x2"], p["y2"], x, y)) / length <= near) & (along >= -near) & (along <= length + near)
+
+    ends = F.array(F.when(on(q["x1"], q["y1"]), point(q["x1"], q["y1"])), F.when(on(q["x2"], q["y2"]), point(q["x2"], q["y2"])))
+    t = ((q["x1"] - p["x1"]) * qy - (q["y1"] - p["y1"]) * qx) / cross
+    u = ((q["x1"] - p["x1"]) * py - (q["y1"] - p["y1"]) * px) / cross
+    # the point is computed along p and q alike: the same numbers on both sides, whichever is split
+    crossing = F.when((t >= 0) & (t <= 1) & (u >= 0) & (u <= 1), point(p["x1"] + t * px, p["y1"] + t * py))
+    parallel = F.abs(cross) <= 1e-15 * length * F.sqrt(qx * qx + qy * qy)
+    return F.when(parallel, ends).otherwise(F.concat(ends, F.array(F.when(F.size(F.filter(ends, lambda z: z.isNotNull())) == 0, crossing))))
+
+
+def _split(e: DataFrame, points: DataFrame, by: list[str]) -> DataFrame:
+    """Directed edges (id, by, ..) cut at points (id, at: array of x, y); pieces keep the direction."""
+    cut = e.join(points.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at")), "id", "left")
+    along = lambda z: (z["x"] - F.col("x1")) * (F.col("x2") - F.col("x1")) + (z["y"] - F.col("y1")) * (F.col("y2") - F.col("y1"))
+    own = F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))
+    every = F.array_distinct(F.concat(own, F.coalesce("at", F.array().cast("array<struct<x:double,y:double>>"))))
+    order = F.array_sort(F.transform(every, lambda z: F.struct(along(z).alias("t"), z["x"].alias("x"), z["y"].alias("y"))))
+    cut = cut.select(*by, order.alias("z"))
+    n = F.size("z")
+    pieces = F.zip_with(F.slice("z", F.lit(1), n - 1), F.slice("z", F.lit(2), n - 1), lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")))
+    return cut.select(*by, F.explode(pieces).alias("e")).select(*by, "e.x1", "e.y1", "e.x2", "e.y2")
+
+
+def clip(polygons: DataFrame, name: str, regions: DataFrame, region: str) -> DataFrame:
+    """(name, region, ring, area): what each polygon (name, rings) and each region (region, rings) have in common, as rings; area is negative for holes.
+
+    Neither need be convex, or in one part.  Edges of both are split where they
+    meet, which they do by cells; pieces of one that lie inside the other stay,
+    of pieces that run along each other one stays if both have the same side
+    inside; what stays is chained.  Coordinates are rounded to PLACES decimals.
+    """
+    sides = []
+    for df, key in ((polygons, name), (regions, region)):
+        e = _snapped(directed_edges(df, [key]))
+        sides.append(materialize(e.select(F.monotonically_increasing_id().alias("id"), F.col(key).alias("of"), "x1", "y1", "x2", "y2")))
+    a, b = sides
+    met = materialize(edges_that_may_meet(a, b).distinct())
+    first = F.col("p"), F.col("q")
+    at_a = met.select("p.id", F.filter(_meeting_points(*first), lambda z: z.isNotNull()).alias("at")).where(F.size("at") > 0)
+    # a crossing is computed once, along p, for both
+    crossing = F.filter(_meeting_points(*first), lambda z: z.isNotNull())
+    ends_on_b = F.filter(_meeting_points(*first[::-1]), lambda z: z.isNotNull())
+    plain = F.size(F.array_except(crossing, F.array(*[F.struct(F.col(f"q.x{k}").alias("x"), F.col(f"q.y{k}").alias("y")) for k in (1, 2)]))) > 0
+    at_b = met.select("q.id", F.when(plain, crossing).otherwise(ends_on_b).alias("at")).where(F.size("at") > 0)
+    cut = []
+    for e, at in ((a, at_a), (b, at_b)):
+        pieces = _split(e, at, ["of"]).where("x1 <> x2 or y1 <> y2")
+        cut.append(materialize(pieces.select(F.monotonically_increasing_id().alias("id"), "*")))
+    a, b = cut
+    shape = ("x1", "y1", "x2", "y2")
+    back = b.select(F.col("id").alias("id2"), F.col("of").alias("of2"), F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))
+    forth = b.select(F.col("id").alias("id2"), F.col("of").alias("of2"), *shape)
+    along = a.join(forth, list(shape)).select("id", "id2", "of", "of2", *shape, F.lit(True).alias("same"))
+    along = materialize(along.unionByName(a.join(back, list(shape)).select("id", "id2", "of", "of2", *shape, F.lit(False).alias("same"))))
+    middle = lambda df: df.select("id", ((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y"))
+    shapes = lambda df, key, to: df.select(F.col(key).alias(to), "rings")
+    a_in = points_in_polygons(middle(a), shapes(regions, region, "of2"), "id", "of2").join(along.select("id", "of2"), ["id", "of2"], "left_anti")
+    b_in = points_in_polygons(middle(b), shapes(polygons, name, "of1"), "id", "of1").join(along.select(F.col("id2").alias("id"), F.col("of").alias("of1")), ["id", "of1"], "left_anti")
+    kept = a.join(a_in, "id").select("of", "of2", *shape)
+    kept = kept.unionByName(b.join(b_in, "id").select(F.col("of1").alias("of"), F.col("of").alias("of2"), *shape))
+    kept = kept.unionByName(along.where("same").select("of", "of2", *shape))
+    return chain_rings(kept, ["of", "of2"]).withColumnsRenamed({"of": name, "of2": region})
+
+
 def clip_to_box(ring: Column, x0: float, y0: float, x1: float, y1: float) -> Column:
     """The part of a ring inside a box, cut side by side; exact for convex rings."""
     sides = [("x", x0, 1), ("x", x1, -1), ("y", y0, 1), ("y", y1, -1)]

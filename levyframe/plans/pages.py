@@ -233,7 +233,7 @@ def l6(t):
     "l7_search_addr",
     f"""with q as (select q, {NORM.replace('X', 'q')} as n, string_split({NORM.replace('X', 'q')}, ' ') as words from ({ADDRESSES}) o),
 h as (select q, n, x.county, x.prop_id, x.addr, min(k) as k from q join ({ADDR}) x
-  on x.shard = case when regexp_matches(words[1], '^[0-9]+$') then substr(words[1], 1, 3) else 't_' || substr(n, 1, 3) end and starts_with(k, words[1]) and {WORDS.replace('LIST', 'words[2:]')}
+  on x.shard = case when regexp_matches(words[1], '^[0-9]+$') then substr(words[1], 1, 3) else 't_' || substr(n, 1, 3) end and (starts_with(k, words[1]) or not regexp_matches(words[1], '^[0-9]+$')) and {WORDS.replace('LIST', 'words')}
   where length(n) >= 3 group by 1, 2, 3, 4, 5)
 select q, county, prop_id, rank from (select *, row_number() over (partition by q order by case when starts_with(k, n) then 0 else 1 end, length(k), k, county, prop_id) as rank from h) r where rank <= 300""",
 )

@@ -24,10 +24,12 @@ SPECIAL = f"""select uid, round(sum(rate_per_100), 4) as special_rate, count(*)
        from fx_parcels p join fx_polys d on {IN_DISTRICT} join ({WD_UNITS}) w on w.county_code = p.county_code and w.k = lower(d.poly_name)) x group by uid"""
 
 
-def special(t):
-    inside = points_in_polygons(t("fx_parcels"), districts(t), "uid", "poly_id")
-    named = inside.join(districts(t).select("poly_id", F.col("poly_name").alias("name")), "poly_id").join(t("fx_parcels").select("uid", "county_code"), "uid").select("uid", "county_code", "name")
-    named = materialize(named.distinct())
+def special(t, inside=None):
+    """Special-district rates; inside: (uid, county_code, name) of parcels and districts that they are in, else found here."""
+    if inside is None:
+        at = points_in_polygons(t("fx_parcels").select(F.struct("uid", "county_code").alias("at"), "x", "y"), districts(t), "at", "poly_id")
+        inside = at.join(districts(t).select("poly_id", F.col("poly_name").alias("name")), "poly_id").select("at.uid", "at.county_code", "name")
+    named = materialize(inside.distinct())
     found = resolve.resolve_districts(named.select("county_code", "name").distinct(), t("fx_units"), t("fx_recipes"), norm_district)
     return R.special_rates(named, found.join(t("fx_units").select("unit_id", F.col("name").alias("unit_name")), "unit_id"))
 
@@ -93,23 +95,31 @@ left join ({EXTRA}) e on e.county = n.county and e.city_name is not distinct fro
 left join ({ROLL}) r on r.county_code = n.county_code and r.prop_id = n.prop_id and n.prop_id <> '0'"""
 
 
+def placed(t, parcels):
+    """(uid, county_code, layer, name): what each parcel is in, of all layers in one pass over the parcels."""
+    layer = lambda df, key, name, of: df.select(F.struct(F.lit(of).alias("layer"), F.col(key).cast("string").alias("poly")).alias("place"), F.col(name).alias("name"), "rings")
+    layers = layer(city_strips(t), "poly", "name", "city").unionByName(layer(school_strips(t), "poly", "name", "isd")).unionByName(layer(districts(t), "poly_id", "poly_name", "district"))
+    layers = materialize(layers)
+    at = points_in_polygons(parcels.select(F.struct("uid", "county_code").alias("at"), "x", "y"), layers.select("place", "rings"), "at", "place")
+    return at.join(layers.select("place", "name"), "place").select("at.uid", "at.county_code", "place.layer", "name")
+
+
 def rated(t, with_ratio=False):
-    """The whole build: parcels placed in cities and school districts, these names resolved to units, special districts and corrections by place, and the roll, which wins."""
+    """The whole build: parcels placed in cities, school and special districts, these names resolved to units, corrections by place, and the roll, which wins."""
     parcels = t("fx_located").select("uid", "county", "county_code", "prop_id", "addr", "mkt", "x", "y")
     near = materialize(adjacency(t))
+    places = materialize(placed(t, parcels))
 
-    def placed(layer, unit_type, name, normalise):
-        layer = materialize(layer)
-        at = points_in_polygons(parcels, layer, "uid", "poly").join(layer.select("poly", F.col("name").alias(name)), "poly").groupBy("uid").agg(F.min(name).alias(name))
-        at = materialize(at.join(parcels.select("uid", "county_code"), "uid"))
-        pairs = at.select("county_code", F.col(name).alias("name")).distinct()
+    def resolved(layer, unit_type, name, normalise):
+        pairs = places.where(F.col("layer") == layer).select("county_code", "name").distinct()
         units = resolve.resolve_names(pairs, t("fx_units").where(F.col("unit_type") == unit_type), near, normalise)
-        return at.drop("county_code"), units.select("county_code", F.col("name").alias(name), "rate_per_100")
+        return units.select("county_code", F.col("name").alias(name), "rate_per_100")
 
-    city_at, cities = placed(city_strips(t), "03", "city_name", norm_city)
-    isd_at, isds = placed(school_strips(t), "02", "isd_name", norm_isd)
-    rows = parcels.join(city_at, "uid", "left").join(isd_at, "uid", "left")
-    return R.nominal_rates(rows, t("fx_base"), cities, isds, special(t), extra(t), roll(t, with_ratio))
+    one = lambda layer, name: F.min(F.when(F.col("layer") == layer, F.col("name"))).alias(name)
+    at = places.where("layer <> 'district'").groupBy("uid").agg(one("city", "city_name"), one("isd", "isd_name"))
+    rows = parcels.join(at, "uid", "left")
+    inside = places.where("layer = 'district'").select("uid", "county_code", "name")
+    return R.nominal_rates(rows, t("fx_base"), resolved("city", "03", "city_name", norm_city), resolved("isd", "02", "isd_name", norm_isd), special(t, inside), extra(t), roll(t, with_ratio))
 
 
 @query("h8_nominal_rate", f"select uid, cast(nominal_rate as double) as nominal_rate, cast(isd_rate as double) as isd_rate, roll_verified from ({NOMINAL}) x")

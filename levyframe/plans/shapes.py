@@ -8,6 +8,7 @@ from levyframe.functions import geometry as G
 from levyframe.operators import spatial as S
 from levyframe.plans.fixtures import query
 from levyframe.plans.inputs import county_squares, districts
+from levyframe.sources.tables import materialize
 
 
 @query("b14_to_wgs84", """select uid, round(case when uid % 2 = 0 then x else degrees(x * 1000 / 6378137.0) end, 6) as lon, round(case when uid % 2 = 0 then y else degrees(2 * atan(exp(y * 1000 / 6378137.0)) - pi() / 2) end,
@@ -91,12 +92,12 @@ def d1(t):
 
 @query("d1_outside", f"select count(*) as n from fx_parcels p where not exists (select 1 from fx_polys d where {IN_DISTRICT})")
 def d1_outside(t):
-    return S.locate(t("fx_parcels").select("uid", "x", "y"), districts(t), "uid", "poly_id", size=1.25).where("poly_id is null").agg(F.count("*").alias("n"))
+    return S.locate(t("fx_parcels").select("uid", "x", "y"), districts(t), "uid", "poly_id").where("poly_id is null").agg(F.count("*").alias("n"))
 
 
 @query("d2_inside", f"select p.uid, d.poly_id from fx_parcels p join fx_polys d on {IN_DISTRICT}")
 def d2(t):
-    return S.points_in_polygons(t("fx_parcels"), districts(t), "uid", "poly_id")
+    return S.points_in_polygons(t("fx_parcels"), materialize(districts(t)), "uid", "poly_id")
 
 
 PAIRS = """select a.county_code as a, b.county_code as b from fx_counties a
@@ -136,6 +137,37 @@ def m5(t):
     return S.dissolve(county_squares(t), "region").groupBy("region").agg(F.count("*").alias("n_edges"), F.sum(F.col("x1") + F.col("y1")).alias("s"))
 
 
+@query("m5_rings", f"""with e as ({EDGES}), o as (select region, x1, y1, x2, y2 from e group by all having count(*) = 1),
+n as (select region, count(*) as n_points from o group by region)
+select c.region, n.n_points, cast(count(*) as double) as area from fx_counties c join n on n.region = c.region group by 1, 2""")
+def m5_rings(t):
+    """Outlines chained to rings; holes count against the area."""
+    rings = S.dissolve_rings(county_squares(t), ["region"])
+    return rings.groupBy("region").agg(F.sum(F.size("ring")).alias("n_points"), F.round(F.sum("area"), 9).alias("area"))
+
+
+def _below(x, y):
+    """SQL for the area of a diamond of radius r about the origin that lies to the left of x and below y."""
+
+    def half(m):
+        return f"(case when {m} <= 0 or {x} <= -({m}) then 0 when {x} <= 0 then ({x} + {m}) * ({x} + {m}) / 2 when {x} < {m} then ({m}) * ({m}) - ({m} - {x}) * ({m} - {x}) / 2 else ({m}) * ({m}) end)"
+
+    return f"(case when {y} >= 0 then 2 * {half('d.r')} - {half(f'(d.r - {y})')} else {half(f'(d.r + {y})')} end)"
+
+
+X0, X1, Y0, Y1 = "(c.gx - d.cx)", "(c.gx + 1 - d.cx)", "(c.gy - d.cy)", "(c.gy + 1 - d.cy)"
+
+
+@query("m6_region_clip", f"""select poly_id, region, round(sum({_below(X1, Y1)} - {_below(X0, Y1)} - {_below(X1, Y0)} + {_below(X0, Y0)}), 6) as area
+  from fx_polys d join fx_counties c on c.gx < d.cx + d.r and c.gx + 1 > d.cx - d.r and c.gy < d.cy + d.r and c.gy + 1 > d.cy - d.r
+  group by 1, 2 having round(sum({_below(X1, Y1)} - {_below(X0, Y1)} - {_below(X1, Y0)} + {_below(X0, Y0)}), 6) > 0""")
+def m6_region(t):
+    """Districts cut by regions, which are dissolved from counties and are neither convex nor in one part."""
+    regions = S.as_polygons(S.dissolve_rings(county_squares(t), ["region"]), ["region"])
+    cut = S.clip(districts(t), "poly_id", regions, "region").groupBy("poly_id", "region").agg(F.round(F.sum("area"), 6).alias("area"))
+    return cut.where("area > 0")
+
+
 @query("m6_clip", """select county_code, round(greatest(0, least(gx + 1, 3.4e0) - greatest(gx, 0.7e0)) * greatest(0, least(gy + 1, 2.9e0) - greatest(gy,
     1.2e0)), 6) as area from fx_counties""")
 def m6(t):

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from levyframe.functions.text import has_real_id
+from levyframe.sources.tables import materialize
 
 RATE = "decimal(12,6)"
 # fixed values: buyers' exemptions and shares, bands of the colour scale, limits of what is worth telling
@@ -161,13 +162,47 @@ def county_breakdown(base_units: DataFrame, cities: DataFrame) -> DataFrame:
     return base.join(named, "county_code", "left")
 
 
-def regions(counts: DataFrame, budget: int, band: float = 1.5) -> DataFrame:
-    """(county, n, lat, lon) -> also sweep and region: counties in latitude bands, swept east and west in turn, cut into regions of about `budget` rows.
+def packed_groups(rows: DataFrame, order: str, size: str, budget: float) -> DataFrame:
+    """rows (one a county, say) with `group`: in their order, a group takes rows until the next would pass the budget, and the
+    next group begins with that one; a row too large for any group is with no more than rows of size 0 before it.
 
-    One row a county, so one window over all is small.
+    Where a group that begins at a row ends is known for each row at once, from
+    running sums; which rows begin one follows by doubling these pointers.  The
+    windows are over one narrow row a row.
     """
+    w = Window.orderBy(order)
+    upto = F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    narrow = materialize(rows.select(F.row_number().over(w).alias("k"), F.col(order), F.col(size).alias("size"), upto.alias("upto")))
+    # the first row whose running sum passes a value: rows and values side by side in one order
+    points = narrow.select("k", F.col("upto").cast("double").alias("v"), F.lit(1).alias("is_row"))
+
+    def first_past(value: Column, name: str) -> DataFrame:
+        asked = narrow.select(F.col("k").alias("of"), value.cast("double").alias("v"), F.lit(0).alias("is_row"), F.lit(None).cast("int").alias("k"))
+        both = asked.unionByName(points.withColumn("of", F.lit(None).cast("int")))
+        # a row of the same value is not past it, so it comes first
+        later = Window.orderBy("v", F.desc("is_row")).rowsBetween(0, Window.unboundedFollowing)
+        return both.withColumn(name, F.min("k").over(later)).where("is_row = 0").select(F.col("of").alias("k"), name)
+
+    before = F.col("upto") - F.col("size")
+    full, some = first_past(before + budget, "full"), first_past(before, "some")
+    # the group has a row of size above 0 from `some` on, so the row after that is the first that can be left out
+    jump = full.join(some, "k").select("k", F.greatest("full", F.col("some") + 1).alias("next")).where("full is not null")
+    hop, starts = materialize(jump), materialize(narrow.where("k = 1").select("k"))
+    while True:
+        # starts that so many steps reach, and as many more
+        more = materialize(starts.join(hop, "k").select(F.col("next").alias("k")))
+        if not more.limit(1).count():
+            break
+        starts = materialize(starts.unionByName(more))
+        hop = materialize(hop.join(hop.select(F.col("k").alias("next"), F.col("next").alias("next2")), "next").select("k", F.col("next2").alias("next")))
+    group = F.sum(F.col("start").isNotNull().cast("int")).over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)) - 1
+    marked = narrow.join(starts.withColumn("start", F.lit(1)), "k", "left").select(F.col(order), group.cast("int").alias("group"))
+    return rows.join(marked, order)
+
+
+def regions(counts: DataFrame, budget: float, band: float = 1.5) -> DataFrame:
+    """(county, n, lat, lon) -> also sweep and region: counties in latitude bands, swept east and west in turn, packed into regions of at most `budget` rows."""
     band_no = F.bround(F.col("lat") / band).cast("int")
     sweep = Window.orderBy(F.desc("band"), F.when(F.pmod("band", F.lit(2)) == 0, F.col("lon")).otherwise(-F.col("lon")), "county")
     rows = counts.withColumn("band", band_no).withColumn("sweep", F.row_number().over(sweep))
-    before = F.sum("n").over(Window.orderBy("sweep").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    return rows.withColumn("region", F.floor(before / budget).cast("int"))
+    return packed_groups(rows, "sweep", "n", budget).withColumnRenamed("group", "region")

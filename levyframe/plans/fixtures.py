@@ -103,6 +103,8 @@ def ctes(names=tuple(FIXTURES)) -> str:
 def oracle(body: str) -> str:
     """SQL over the fixtures, for DuckDB."""
     body = body.strip()
+    if body.lower().startswith("with recursive "):
+        return f"with recursive {ctes()},\n{body[15:]}"
     return f"with {ctes()},\n{body[5:]}" if body.lower().startswith("with ") else f"with {ctes()}\n{body}"
 
 

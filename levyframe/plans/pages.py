@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from levyframe.operators import documents as D
 from levyframe.operators import search as S
 from levyframe.plans.fixtures import query
+from levyframe.sources.numbering import read_numbered_lines
+from levyframe.sources.tables import new_path
 
 
 def nested(text, steps):
@@ -168,7 +170,11 @@ def k11(t):
     cast(floor(l_extendedprice) as bigint) as assessed, cast(floor(l_extendedprice) as bigint) as taxable
   from lineitem join orders on l_orderkey = o_orderkey join fx_counties c on c.county_code = lpad(cast(o_custkey % 25 as varchar(10)),3,'0')""")
 def a7(t):
-    return D.parse_roll_report(t.sql(REPORT))[1].select("county", "prop_id", "entity_code", "entity_name", "assessed", "taxable")
+    """The printed rolls as files, one a county, read back with the numbers that their lines have there."""
+    path = new_path(t.spark)
+    t.sql(REPORT).repartition("county").sortWithinPartitions("county", "line_no").select("county", F.col("line").alias("value")).write.partitionBy("county").text(path)
+    lines = read_numbered_lines(t.spark, path, "value string, county string").select("county", "line_no", F.col("value").alias("line"))
+    return D.parse_roll_report(lines)[1].select("county", "prop_id", "entity_code", "entity_name", "assessed", "taxable")
 
 
 BASE = """select p.county, p.prop_id, p.addr, min(case when p.prop_id <> '0' then c_name end) as owner, round(min(x), 5) as x, round(min(y), 5) as y

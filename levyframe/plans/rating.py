@@ -66,11 +66,11 @@ ROLL = f"""select county_code, prop_id, round(sum(rate_per_100), 4) as roll_rate
  having count(*) filter (where unit_type = '02') = 1 and count(*) filter (where unit_type = '03') <= 1 and count(*) filter (where unit_type = '00') >= 1"""
 
 
-def roll(t, with_ratio=False):
+def roll(t, with_ratio=False, near=None):
     """Roll lines by the units that their names stand for; names are matched once each.  SQL has no ratio of two names, so only *_with_ratio asks for it."""
     rows = t("fx_roll_entities").join(F.broadcast(t("fx_counties").select("county", "county_code")), "county")
     names = rows.where(~F.col("entity_code").isin(*R.SKIPPED_CODES)).select("county_code", F.col("entity_name").alias("name")).distinct()
-    return R.roll_rates(rows, materialize(resolve.match_entities(names, t("fx_units"), adjacency(t), t("fx_counties"), with_ratio)))
+    return R.roll_rates(rows, materialize(resolve.match_entities(names, t("fx_units"), adjacency(t) if near is None else near, t("fx_counties"), with_ratio)))
 
 
 @query("h7_roll_rates", f"""select county_code, prop_id, cast(roll_rate as double) as roll_rate, cast(roll_isd_rate as double) as roll_isd_rate, n_units
@@ -119,7 +119,7 @@ def rated(t, with_ratio=False):
     at = places.where("layer <> 'district'").groupBy("uid").agg(one("city", "city_name"), one("isd", "isd_name"))
     rows = parcels.join(at, "uid", "left")
     inside = places.where("layer = 'district'").select("uid", "county_code", "name")
-    return R.nominal_rates(rows, t("fx_base"), resolved("city", "03", "city_name", norm_city), resolved("isd", "02", "isd_name", norm_isd), special(t, inside), extra(t), roll(t, with_ratio))
+    return R.nominal_rates(rows, t("fx_base"), resolved("city", "03", "city_name", norm_city), resolved("isd", "02", "isd_name", norm_isd), special(t, inside), extra(t), roll(t, with_ratio, near))
 
 
 @query("h8_nominal_rate", f"select uid, cast(nominal_rate as double) as nominal_rate, cast(isd_rate as double) as isd_rate, roll_verified from ({NOMINAL}) x")
@@ -260,15 +260,18 @@ def j2(t):
     return resolve.review_exclusions(*j_inputs(t))
 
 
-@query("j3_regions", """with n as (select c.county, count(p.uid) as n, c.gx, c.gy from fx_counties c
+@query("j3_regions", """with recursive n as (select c.county, count(p.uid) as n, c.gx, c.gy from fx_counties c
   left join fx_parcels p on p.county_code = c.county_code group by all), o as (select *, cast(round_even((gy + 25.5) / 1.5, 0) as int) as band
-  from n), s as (select *, row_number() over (order by band desc, case when band % 2 = 0 then gx else -gx end, county) as sweep
-  from o) select county, n, sweep, cast(floor((sum(n) over (order by sweep rows unbounded preceding) - n) / (select count(*) / 4e0
-  from fx_parcels)) as int) as region from s""")
+  from n), s as (select *, row_number() over (order by band desc, case when band % 2 = 0 then gx else -gx end, county) as sweep from o),
+b as (select count(*) / 8e0 as budget from fx_parcels),
+w as (select sweep, n as acc, 0 as region from s where sweep = 1 union all
+  select s.sweep, case when w.acc > 0 and w.acc + s.n > budget then s.n else w.acc + s.n end, case when w.acc > 0 and w.acc + s.n > budget then w.region + 1 else w.region end
+  from w join s on s.sweep = w.sweep + 1 cross join b)
+select s.county, s.n, s.sweep, cast(w.region as int) as region from s join w on w.sweep = s.sweep""")
 def j3(t):
     n = t("fx_parcels").groupBy("county_code").agg(F.count("*").alias("n"))
     counts = t("fx_counties").join(n, "county_code", "left").na.fill(0, ["n"]).select("county", "n", (F.col("gy") + 25.5).alias("lat"), F.col("gx").cast("double").alias("lon"))
-    budget = t("fx_parcels").count() / 4
+    budget = t("fx_parcels").count() / 8
     return R.regions(counts, budget).select("county", "n", "sweep", "region")
 
 

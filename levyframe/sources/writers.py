@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from levyframe.sources.numbering import number_rows
+
 
 def feature_lines(df: DataFrame, rings: str, properties: list[str]) -> Column:
     """A row as a GeoJSON feature; rings are closed."""
@@ -51,8 +53,8 @@ def reuse_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame
 
 
 def add_row_id(df: DataFrame, name: str = "uid") -> DataFrame:
-    """A 64-bit id from a row's content, if df has none; equal rows have equal ids and are told apart by nothing else either."""
-    return df if name in df.columns else df.withColumn(name, F.xxhash64(*df.columns))
+    """Numbers from 1, one for each row, if df has none; rows that repeat have numbers of their own."""
+    return df if name in df.columns else number_rows(df, name, start=1)
 
 
 def n_parts(size_bytes: Column, over: int = 500_000_000, each: int = 450_000_000) -> Column:
@@ -60,9 +62,9 @@ def n_parts(size_bytes: Column, over: int = 500_000_000, each: int = 450_000_000
     return F.when(size_bytes > over, F.ceil(size_bytes / each)).otherwise(1)
 
 
-def split_interleaved(df: DataFrame, n: int, key: str) -> DataFrame:
-    """df with part, 0 to n - 1, by the key's hash: parts are of nearly one size and a row's part never changes."""
-    return df.withColumn("part", F.pmod(F.xxhash64(key), F.lit(n)).cast("int"))
+def split_interleaved(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
+    """df with part, 0 to n - 1: the rows in order are dealt to the parts in turn, so parts differ by one row at most."""
+    return number_rows(df, "__row", order, start=1).withColumn("part", (F.col("__row") % n).cast("int")).drop("__row")
 
 
 def search_meta(shards: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -14,8 +13,3 @@ from pyspark.sql.types import DoubleType
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """difflib's ratio of two strings; null counts as empty.  Meant for distinct pairs of names."""
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
-
-
-def can_reach(a: Column, b: Column, least: float) -> Column:
-    """Whether the lengths of two strings allow a ratio of `least`; loses no pair that reaches it."""
-    return 2 * F.least(F.length(a), F.length(b)) >= least * (F.length(a) + F.length(b))

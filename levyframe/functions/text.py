@@ -94,6 +94,10 @@ LABEL_ABBREVIATIONS = (
     (r"\btown of\b", ""),
     (r"\bnumber\b", ""),
 )
+ISD_SHORT = (r"\bcisd\b", "isd")
+DISTRICT_TAIL, DISTRICT_SPECIAL, DISTRICT_NUMBER = r"\bof\b.*$", (r"\bspecial id\b", "sid"), r"\bnumber\b|\bno\b"
+ENTITY_CODE, ENTITY_QUALIFIER = r"\s+\d{4,}\s*$", r"\((?:fp|rp|pp|mn|bpp)\)"
+ESD_NUMBER = r"esd\s*#?\s*(\d+)"
 # ---- end of fixed values ----
 
 
@@ -113,7 +117,7 @@ def norm_city(c: Column) -> Column:
 
 
 def norm_isd(c: Column) -> Column:
-    short = F.regexp_replace(spelled(F.lower(F.trim(c)), ISD_LONG_FORMS), r"\bcisd\b", "isd")
+    short = F.regexp_replace(spelled(F.lower(F.trim(c)), ISD_LONG_FORMS), *ISD_SHORT)
     key = F.regexp_replace(short, "[^a-z0-9]", "")
     aliases = F.create_map(*[F.lit(x) for pair in ISD_ALIASES.items() for x in pair])
     return F.coalesce(aliases[key], key)
@@ -125,22 +129,22 @@ def norm_county(c: Column) -> Column:
 
 def norm_district(c: Column) -> Column:
     """Null counts as empty."""
-    cut = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"\bof\b.*$", "")
-    short = F.regexp_replace(spelled(cut, DISTRICT_LONG_FORMS), r"\bspecial id\b", "sid")
-    return F.regexp_replace(F.regexp_replace(short, r"\bnumber\b|\bno\b", ""), "[^a-z0-9]", "")
+    cut = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), DISTRICT_TAIL, "")
+    short = F.regexp_replace(spelled(cut, DISTRICT_LONG_FORMS), *DISTRICT_SPECIAL)
+    return F.regexp_replace(F.regexp_replace(short, DISTRICT_NUMBER, ""), "[^a-z0-9]", "")
 
 
 def norm_entity(c: Column) -> Column:
     """Roll names without codes, qualifiers and stop words, in one piece.  Null counts as empty."""
-    low = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"\s+\d{4,}\s*$", "")
-    bare = F.regexp_replace(low, r"\((?:fp|rp|pp|mn|bpp)\)", " ")
+    low = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), ENTITY_CODE, "")
+    bare = F.regexp_replace(low, ENTITY_QUALIFIER, " ")
     words = F.split(F.regexp_replace(spelled(bare, ENTITY_LONG_FORMS), "[^a-z0-9 ]", " "), " ")
     return F.array_join(F.filter(words, lambda w: (w != "") & ~w.isin(*ENTITY_STOP_WORDS)), "")
 
 
 def numbered_key(c: Column) -> Column:
     """"ESD #3" -> esd3; null without a numbered district."""
-    number = F.regexp_extract(F.lower(c), r"esd\s*#?\s*(\d+)", 1)
+    number = F.regexp_extract(F.lower(c), ESD_NUMBER, 1)
     return F.when(number != "", F.concat(F.lit("esd"), number))
 
 

@@ -42,7 +42,7 @@ def roll_rates(roll: DataFrame, matches: DataFrame, approved: DataFrame | None =
     """
     rows = roll.where(has_real_id(F.col("prop_id")) & ~F.col("entity_code").isin(*SKIPPED_CODES))
     if approved is not None:
-        rows = rows.join(F.broadcast(approved.select("county_code").distinct()), "county_code", "left_semi")
+        rows = rows.join(approved.select("county_code").distinct(), "county_code", "left_semi")
     known = matches.where("unit_id is not null").select("county_code", F.col("name").alias("entity_name"), "unit_name", "unit_type", "rate_per_100")
     unit = rows.join(known, ["county_code", "entity_name"]).groupBy("county_code", "prop_id", "unit_name").agg(F.min(F.struct("unit_type", "rate_per_100")).alias("u")).select("county_code", "prop_id", "unit_name", "u.unit_type", "u.rate_per_100")
     kinds = {k: F.count_if(F.col("unit_type") == t) for k, t in (("n_isd", "02"), ("n_city", "03"), ("n_county", "00"))}
@@ -69,7 +69,7 @@ def nominal_rates(parcels: DataFrame, base: DataFrame, cities: DataFrame, isds:
     parts = ["base", "city_rate", "own_isd_rate", "special_rate", "extra_rate"]
     out = out.withColumns({p: F.coalesce(p, zero) for p in parts})
     total = sum((F.col(p) for p in parts[1:]), F.col("base")).cast(RATE)
-    return out.withColumn("nominal_rate", F.coalesce("roll_rate", total)).withColumn("isd_rate", F.coalesce("roll_isd_rate", "own_isd_rate")).withColumn("roll_verified", F.col("roll_rate").isNotNull()).drop("own_isd_rate", "roll_isd_rate")
+    return out.withColumn("nominal_rate", F.coalesce("roll_rate", total)).withColumn("isd_rate", F.coalesce("roll_isd_rate", "own_isd_rate")).withColumn("roll_verified", F.col("roll_rate").isNotNull()).drop("roll_isd_rate").withColumnRenamed("own_isd_rate", "place_isd_rate")
 
 
 def rate_summary(rated: DataFrame, by: str, rate: str = "nominal_rate") -> DataFrame:

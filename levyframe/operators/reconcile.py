@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from levyframe.sources.tables import materialize
+
 # fixed values: tolerances per $100, the trust that counts, plausible totals, how many special units enter the subsets
 RATE_TOLERANCE, TOTAL_TOLERANCE, GAP_TOLERANCE, MIN_TRUST, MIN_SOLVED = 0.0005, 0.0002, 0.0006, 0.6, 0.6
 TOTAL_LOW, TOTAL_HIGH, COMBO_RATE, MAX_EXTRAS = 0.4, 4.0, 1.15, 15
@@ -146,6 +150,46 @@ def area_corrections(reconciled: DataFrame, missing: DataFrame, trust: DataFrame
     return out.withColumn("alternatives", F.coalesce("alternatives", F.array().cast("array<string>")))
 
 
+CORRECTION = "county_code string, isd_unit string, city_unit string, total decimal(12,4), gap decimal(12,6), extra_rate decimal(12,6), extra_units array<string>, alternatives array<string>, round int"
+
+
+def correct_until_stable(solved: DataFrame, missing: DataFrame, trust: DataFrame, modes_of: Callable[[DataFrame], DataFrame], most: int = 20) -> DataFrame:
+    """All corrections, with the round that found them: each round rates the areas with what is known, and looks for gaps again.
+
+    modes_of(corrections) -> (county_code, city_unit, isd_unit, rate, n), the
+    areas' modal rates with these corrections applied.  Ends when a round finds
+    none.  Each round's corrections are written; one that finds the same as an
+    earlier one did, by a hash of them, would go on for ever and is an error.
+    """
+    spark, seen = solved.sparkSession, set()
+    known = spark.createDataFrame([], CORRECTION)
+    for n in range(1, most + 1):
+        found = area_corrections(reconcile(solved, modes_of(known)), missing, trust).withColumn("round", F.lit(n))
+        found = materialize(found.select([F.col(f.name).cast(f.dataType) for f in known.schema.fields]))
+        key = F.xxhash64("county_code", "isd_unit", "city_unit", "total", "extra_rate", "extra_units").cast("decimal(38,0)")
+        state = tuple(found.agg(F.count("*"), F.sum(key)).first())
+        if not state[0]:
+            return known
+        if state in seen:
+            raise ValueError(f"round {n} finds what an earlier one has found: corrections don't take")
+        seen.add(state)
+        known = materialize(known.unionByName(found))
+    raise ValueError(f"corrections don't settle in {most} rounds")
+
+
+def correction_areas(corrections: DataFrame, names: DataFrame) -> DataFrame:
+    """(county, city_names, isd_names, extra_rate, unit_id) as rates.area_extra takes them, one row a unit of a correction: the rate is the first one's.
+
+    names: county_code, county, unit_id, name of boundaries that stand for a unit; a correction without a city is for land outside any.
+    """
+    of = names.groupBy("county_code", "county", "unit_id").agg(F.collect_set("name").alias("names"))
+    isd = of.select("county_code", "county", F.col("unit_id").alias("isd_unit"), F.col("names").alias("isd_names"))
+    city = of.select("county_code", F.col("unit_id").alias("city_unit"), F.col("names").alias("city_names"))
+    rows = corrections.join(isd, ["county_code", "isd_unit"]).join(city, ["county_code", "city_unit"], "left")
+    rows = rows.where("city_unit is null or city_names is not null").select("county", F.coalesce("city_names", F.array(F.lit(None).cast("string"))).alias("city_names"), "isd_names", "extra_rate", F.posexplode("extra_units").alias("at", "unit_id"))
+    return rows.withColumn("extra_rate", F.when(F.col("at") == 0, F.col("extra_rate")).otherwise(0).cast("decimal(12,6)")).drop("at")
+
+
 def ambiguous_areas(reconciled: DataFrame, trust: DataFrame) -> DataFrame:
     """(county_code, n_ambiguous): totals that are off in areas with several of them, which are not applied."""
     return _off(reconciled, trust).where("n_totals > 1").groupBy("county_code").agg(F.count("*").alias("n_ambiguous"))

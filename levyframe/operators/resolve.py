@@ -6,12 +6,13 @@ name) pairs, and the results are joined back.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from levyframe.functions.similarity import can_reach, ratio
+from levyframe.functions.similarity import ratio
 from levyframe.functions.text import ROLL_TYPE_RULES, SHEET_TYPE_RULES, norm_county, norm_entity, norm_label, numbered_key, type_hint
 from levyframe.sources.tables import materialize
 
@@ -58,6 +59,33 @@ def resolve_districts(pairs: DataFrame, units: DataFrame, base_units: DataFrame,
     return unit.join(base_units.select("county_code", "unit_id").distinct(), ["county_code", "unit_id"], "left_anti").select("county_code", "name", "unit_id", "rate_per_100")
 
 
+def similar_candidates(asked: DataFrame, have: DataFrame, least: float) -> DataFrame:
+    """asked (uc, n, ..) beside have (uc, un, ..) for all pairs of one uc whose difflib ratio may reach `least`, and few others.
+
+    A ratio of `least` leaves at most d = (1 - least) times both lengths
+    unmatched.  Cut into d + 1 parts, n keeps one whole in what is matched, at a
+    place of un that is off by no more than what is unmatched before it.  So
+    pairs meet on a part and un's length, and no pair is lost.
+    """
+    la, lb = F.length("n"), F.col("lb")
+    asked = asked.withColumn("__id", F.xxhash64(*asked.columns))
+    low, high = F.ceil(la * (least / (2 - least)) - 1e-9).cast("int"), F.floor(la * ((2 - least) / least) + 1e-9).cast("int")
+    sized = asked.select("__id", "uc", "n", F.explode(F.sequence(low, high)).alias("lb")).withColumn("d", F.floor((la + lb) * (1 - least) + 1e-9).cast("int"))
+    cut = lambda i: F.floor(i * la / (F.col("d") + 1)).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), F.col("d")), lambda i: F.struct(F.substring(F.col("n"), cut(i) + 1, cut(i + 1) - cut(i)).alias("part"), cut(i).alias("at")))
+    parts = sized.select("__id", "uc", "lb", (lb - la).alias("more"), "d", F.inline(parts)).where("part <> '' or lb = 0")
+    longest = math.ceil(1 / ((1 - least) * (1 + least / (2 - least))))
+    lu = F.length("un")
+    of_size = lambda k: F.when(lu >= k, F.transform(F.sequence(F.lit(0), lu - k), lambda p: F.struct(F.substring(F.col("un"), p + 1, F.lit(k)).alias("part"), p.alias("place")))).otherwise(F.array().cast("array<struct<part:string,place:int>>"))
+    empty = F.when(lu == 0, F.array(F.struct(F.lit("").alias("part"), F.lit(0).alias("place")))).otherwise(F.array().cast("array<struct<part:string,place:int>>"))
+    texts = have.select("uc", "un").distinct()
+    placed = texts.select("uc", "un", lu.alias("lb"), F.inline(F.concat(empty, *[of_size(k) for k in range(1, longest + 1)])))
+    off = F.col("place") - F.col("at")
+    near = parts.join(placed, ["uc", "lb", "part"]).where((off >= -F.floor((F.col("d") - F.col("more")) / 2)) & (off <= F.floor((F.col("d") + F.col("more")) / 2)))
+    pairs = near.select("__id", "uc", "un").distinct()
+    return pairs.join(asked, ["__id", "uc"]).drop("__id").join(have, ["uc", "un"])
+
+
 def _entity_stages(asked: DataFrame, units: DataFrame, adjacency: DataFrame, with_ratio: bool) -> DataFrame:
     """(county_code, name, label) -> the best unit and its stage for label; label is what is compared."""
     have = units.where(LEVYING).select(F.col("county_code").alias("uc"), "unit_id", F.col("name").alias("unit_name"), "unit_type", "rate_per_100", norm_entity(F.col("name")).alias("un"), numbered_key(F.col("name")).alias("unum"))
@@ -78,7 +106,7 @@ def _entity_stages(asked: DataFrame, units: DataFrame, adjacency: DataFrame, wit
     out = stage1.unionByName(stage2)
     if with_ratio:
         left = free.join(stage2.select(*keys), keys, "left_anti")
-        close = left.join(have, "uc").where(can_reach(F.col("n"), F.col("un"), RATIO))
+        close = similar_candidates(left, have, RATIO)
         # one ratio a pair of texts, however many counties have it
         texts = close.select("n", "un").distinct().repartition("n").withColumn("r", ratio(F.col("n"), F.col("un"))).where(F.col("r") >= RATIO)
         scored = close.join(texts, ["n", "un"]).where(typed | (F.col("r") >= RATIO_OTHER_TYPE)).withColumn("score", F.col("r") + F.when(typed, TYPE_BONUS).otherwise(0.0))
@@ -98,7 +126,7 @@ def match_entities(names: DataFrame, units: DataFrame, adjacency: DataFrame, cou
     # small tables that every stage reads
     names, units, adjacency = (materialize(x) for x in (names, units, adjacency))
     first = materialize(_entity_stages(names.withColumn("label", F.col("name")), units, adjacency, with_ratio).withColumn("retried", F.lit(False)))
-    missing = names.join(first.select("county_code", "name"), ["county_code", "name"], "left_anti").join(F.broadcast(counties.select("county_code", "county")), "county_code")
+    missing = names.join(first.select("county_code", "name"), ["county_code", "name"], "left_anti").join(counties.select("county_code", "county"), "county_code")
     has_county = F.concat(F.lit(" "), F.regexp_replace(F.lower("name"), "[^a-z0-9_]+", " "), F.lit(" ")).contains(F.concat(F.lit(" "), F.regexp_replace(F.lower("county"), "[^a-z0-9_]+", " "), F.lit(" ")))
     again = missing.where(~has_county).withColumn("label", F.concat("county", F.lit(" County "), "name"))
     second = _entity_stages(materialize(again.select("county_code", "name", "label")), units, adjacency, with_ratio).withColumn("retried", F.lit(True))

@@ -7,7 +7,7 @@ joined, so the work follows the hits and not the shard.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from levyframe.functions.text import has_real_id, scrub_control, search_norm
@@ -55,6 +55,27 @@ def shard_manifest(index: DataFrame) -> DataFrame:
     return index.groupBy("shard").agg(F.count("*").alias("n"))
 
 
+def write_index_table(index: DataFrame, table: str, path: str, buckets: int = 64) -> None:
+    """The index as a table whose files are dealt by shard and sorted by key.
+
+    A lookup of one shard reads one bucket; a join on the shard reads the table
+    where it lies, without an exchange.  Rows are not dealt anew before they are written, so a shard that holds
+    most of them is no single task's; each task adds a file to the buckets it has rows of.
+    """
+    index.write.format("parquet").bucketBy(buckets, "shard").sortBy("shard", "k").option("path", path).option("compression", "zstd").saveAsTable(table)
+
+
+def look_up(spark: SparkSession, table: str, begins: str) -> DataFrame:
+    """The lines of an index table whose keys begin so; three characters or more, which name the shard."""
+    return spark.table(table).where((F.col("shard") == begins[:3]) & F.col("k").startswith(begins))
+
+
+def look_up_all(spark: SparkSession, table: str, queries: DataFrame) -> DataFrame:
+    """(q, k, line) for ids q of three characters or more and the keys that begin with them; only the queries are moved."""
+    asked = queries.select("q").distinct().where(F.length("q") >= 3).withColumn("shard", F.substring("q", 1, 3))
+    return spark.table(table).join(asked, "shard").where(F.col("k").startswith(F.col("q"))).select("q", "k", "line")
+
+
 def hit_fields(line: Column) -> dict[str, Column]:
     parts = F.split(line, "\t")
     return {n: F.get(parts, i) for i, n in enumerate(("county", "prop_id", "addr", "owner", "x", "y"))}

@@ -211,7 +211,9 @@ def directed_edges(polygons: DataFrame, by: list[str]) -> DataFrame:
     area = lambda r: F.aggregate(edges(r), F.lit(0.0), lambda s, e: s + e["x1"] * e["y2"] - e["x2"] * e["y1"])
 
     def turned(ring: Column, k: Column) -> Column:
-        others = F.filter(F.col("rings"), lambda r, m: (m != k) & crosses_oddly(edges(r), ring[0]["x"], ring[0]["y"]))
+        # the middle of a side, as corners may lie on other rings
+        x, y = (ring[0]["x"] + ring[1]["x"]) / 2, (ring[0]["y"] + ring[1]["y"]) / 2
+        others = F.filter(F.col("rings"), lambda r, m: (m != k) & crosses_oddly(edges(r), x, y))
         return F.when((area(ring) > 0) == (F.size(others) % 2 == 0), ring).otherwise(F.reverse(ring))
 
     e = polygons.select(*by, F.explode(all_edges(F.transform(F.col("rings"), turned))).alias("e"))
@@ -250,7 +252,8 @@ def chain_rings(directed: DataFrame, by: list[str]) -> DataFrame:
     """(by, ring, area): directed edges with the inside to the left, chained to rings; area is negative for holes.
 
     Where several rings meet in a point, each edge goes on with the one most to
-    the left, so parts that only touch there become rings of their own.  Edges
+    the left, so parts that only touch there become rings of their own; a hole
+    that touches its outline in a point is one ring with it.  Edges
     are followed by list ranking, however long a ring is; a ring is one row.
     """
     e = materialize(directed.select(F.monotonically_increasing_id().alias("id"), *by, "x1", "y1", "x2", "y2"))
@@ -304,17 +307,28 @@ def _meeting_points(p: Column, q: Column) -> Column:
     return F.when(parallel, ends).otherwise(F.concat(ends, F.array(F.when(F.size(F.filter(ends, lambda z: z.isNotNull())) == 0, crossing))))
 
 
-def _split(e: DataFrame, points: DataFrame, by: list[str]) -> DataFrame:
-    """Directed edges (id, by, ..) cut at points (id, at: array of x, y); pieces keep the direction."""
-    cut = e.join(points.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at")), "id", "left")
+def _split(e: DataFrame, points: DataFrame) -> DataFrame:
+    """(of, other, x1, y1, x2, y2): directed edges (id, of, ..) cut for each other polygon at points (id, other, at: array of x, y); pieces keep the direction."""
+    cut = e.join(points.groupBy("id", "other").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at")), "id")
     along = lambda z: (z["x"] - F.col("x1")) * (F.col("x2") - F.col("x1")) + (z["y"] - F.col("y1")) * (F.col("y2") - F.col("y1"))
     own = F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))
-    every = F.array_distinct(F.concat(own, F.coalesce("at", F.array().cast("array<struct<x:double,y:double>>"))))
-    order = F.array_sort(F.transform(every, lambda z: F.struct(along(z).alias("t"), z["x"].alias("x"), z["y"].alias("y"))))
-    cut = cut.select(*by, order.alias("z"))
+    order = F.array_sort(F.transform(F.array_distinct(F.concat(own, "at")), lambda z: F.struct(along(z).alias("t"), z["x"].alias("x"), z["y"].alias("y"))))
+    cut = cut.select("of", "other", order.alias("z"))
     n = F.size("z")
     pieces = F.zip_with(F.slice("z", F.lit(1), n - 1), F.slice("z", F.lit(2), n - 1), lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")))
-    return cut.select(*by, F.explode(pieces).alias("e")).select(*by, "e.x1", "e.y1", "e.x2", "e.y2")
+    return cut.select("of", "other", F.explode(pieces).alias("e")).select("of", "other", "e.x1", "e.y1", "e.x2", "e.y2").where("x1 <> x2 or y1 <> y2")
+
+
+SHAPE = ("x1", "y1", "x2", "y2")
+
+
+def _kept_inside(e: DataFrame, pieces: DataFrame, cover: DataFrame, met: DataFrame, along: DataFrame) -> DataFrame:
+    """(of, other, ..): pieces whose middle lies in the other polygon they were cut for, and whole edges that met none of its edges but lie in it."""
+    middle = [((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y")]
+    open_ = pieces.join(along, ["of", "other", *SHAPE], "left_anti")
+    within = points_in_cover(open_.select(F.struct("of", "other", *SHAPE).alias("e"), *middle), cover, "e", "name").where(F.col("e.other") == F.col("name")).select("e.*")
+    whole = points_in_cover(e.select(F.struct("id", "of", *SHAPE).alias("e"), *middle), cover, "e", "name").select("e.id", F.col("name").alias("other"), "e.of", *[f"e.{c}" for c in SHAPE])
+    return within.unionByName(whole.join(met.select("id", "other").distinct(), ["id", "other"], "left_anti").drop("id"))
 
 
 def clip(polygons: DataFrame, name: str, regions: DataFrame, region: str) -> DataFrame:
@@ -325,60 +339,30 @@ def clip(polygons: DataFrame, name: str, regions: DataFrame, region: str) -> Dat
     of pieces that run along each other one stays if both have the same side
     inside; what stays is chained.  Coordinates are rounded to PLACES decimals.
     """
-    sides = []
+    sides, covers = [], []
     for df, key in ((polygons, name), (regions, region)):
-        e = _snapped(directed_edges(df, [key]))
-        sides.append(materialize(e.select(F.monotonically_increasing_id().alias("id"), F.col(key).alias("of"), "x1", "y1", "x2", "y2")))
+        df = materialize(df.select(F.col(key).alias("of"), "rings"))
+        e = _snapped(directed_edges(df, ["of"]))
+        sides.append(materialize(e.select(F.monotonically_increasing_id().alias("id"), "of", *SHAPE)))
+        covers.append(materialize(cell_cover(df.withColumnRenamed("of", "name"), "name")))
     a, b = sides
     met = materialize(edges_that_may_meet(a, b).distinct())
-    first = F.col("p"), F.col("q")
-    at_a = met.select("p.id", F.filter(_meeting_points(*first), lambda z: z.isNotNull()).alias("at")).where(F.size("at") > 0)
-    # a crossing is computed once, along p, for both
-    crossing = F.filter(_meeting_points(*first), lambda z: z.isNotNull())
-    ends_on_b = F.filter(_meeting_points(*first[::-1]), lambda z: z.isNotNull())
-    plain = F.size(F.array_except(crossing, F.array(*[F.struct(F.col(f"q.x{k}").alias("x"), F.col(f"q.y{k}").alias("y")) for k in (1, 2)]))) > 0
-    at_b = met.select("q.id", F.when(plain, crossing).otherwise(ends_on_b).alias("at")).where(F.size("at") > 0)
-    cut = []
-    for e, at in ((a, at_a), (b, at_b)):
-        pieces = _split(e, at, ["of"]).where("x1 <> x2 or y1 <> y2")
-        cut.append(materialize(pieces.select(F.monotonically_increasing_id().alias("id"), "*")))
-    a, b = cut
-    shape = ("x1", "y1", "x2", "y2")
-    back = b.select(F.col("id").alias("id2"), F.col("of").alias("of2"), F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))
-    forth = b.select(F.col("id").alias("id2"), F.col("of").alias("of2"), *shape)
-    along = a.join(forth, list(shape)).select("id", "id2", "of", "of2", *shape, F.lit(True).alias("same"))
-    along = materialize(along.unionByName(a.join(back, list(shape)).select("id", "id2", "of", "of2", *shape, F.lit(False).alias("same"))))
-    middle = lambda df: df.select("id", ((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y"))
-    shapes = lambda df, key, to: df.select(F.col(key).alias(to), "rings")
-    a_in = points_in_polygons(middle(a), shapes(regions, region, "of2"), "id", "of2").join(along.select("id", "of2"), ["id", "of2"], "left_anti")
-    b_in = points_in_polygons(middle(b), shapes(polygons, name, "of1"), "id", "of1").join(along.select(F.col("id2").alias("id"), F.col("of").alias("of1")), ["id", "of1"], "left_anti")
-    kept = a.join(a_in, "id").select("of", "of2", *shape)
-    kept = kept.unionByName(b.join(b_in, "id").select(F.col("of1").alias("of"), F.col("of").alias("of2"), *shape))
-    kept = kept.unionByName(along.where("same").select("of", "of2", *shape))
-    return chain_rings(kept, ["of", "of2"]).withColumnsRenamed({"of": name, "of2": region})
-
-
-def clip_to_box(ring: Column, x0: float, y0: float, x1: float, y1: float) -> Column:
-    """The part of a ring inside a box, cut side by side; exact for convex rings."""
-    sides = [("x", x0, 1), ("x", x1, -1), ("y", y0, 1), ("y", y1, -1)]
-
-    def cut(points: Column, side: tuple[str, float, int]) -> Column:
-        axis, at, sign = side
-        inside = lambda v: sign * v >= sign * at
-        point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
-
-        def part(e: Column) -> Column:
-            a, b = e[f"{axis}1"], e[f"{axis}2"]
-            t = (at - a) / (b - a)
-            meet = point(e["x1"] + t * (e["x2"] - e["x1"]), e["y1"] + t * (e["y2"] - e["y1"]))
-            end = point(e["x2"], e["y2"])
-            nothing = F.slice(F.array(end), F.lit(1), F.lit(0))
-            return F.when(inside(a) & inside(b), F.array(end)).when(inside(b), F.array(meet, end)).when(inside(a), F.array(meet)).otherwise(nothing)
-
-        return F.flatten(F.transform(edges(points), part))
-
-    return reduce(cut, sides, ring)
-
-
-def planar_area(ring: Column) -> Column:
-    return F.abs(F.aggregate(edges(ring), F.lit(0.0), lambda s, e: s + e["x1"] * e["y2"] - e["x2"] * e["y1"])) / 2
+    p, q = F.col("p"), F.col("q")
+    some = lambda z: F.filter(z, lambda x: x.isNotNull())
+    # a crossing is computed once, along p, and cuts both; where an end of one lies on the other, only that one is cut
+    on_p, on_q = some(_meeting_points(p, q)), some(_meeting_points(q, p))
+    ends_of_q = F.array(*[F.struct(F.col(f"q.x{k}").alias("x"), F.col(f"q.y{k}").alias("y")) for k in (1, 2)])
+    crossing = F.size(F.array_except(on_p, ends_of_q)) > 0
+    met_a = materialize(met.select("p.id", F.col("q.of").alias("other"), on_p.alias("at")))
+    met_b = materialize(met.select("q.id", F.col("p.of").alias("other"), F.when(crossing, on_p).otherwise(on_q).alias("at")))
+    in_a, in_b = materialize(_split(a, met_a)), materialize(_split(b, met_b))
+    mirrored = in_b.select(F.col("other").alias("of"), F.col("of").alias("other"), *SHAPE)
+    same = in_a.join(mirrored, ["of", "other", *SHAPE]).select("of", "other", *SHAPE)
+    turned = mirrored.select("of", "other", F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))
+    against = in_a.join(turned, ["of", "other", *SHAPE]).select("of", "other", *SHAPE)
+    same, against = materialize(same), materialize(against)
+    flip = lambda df, back: df.select(F.col("other").alias("of"), F.col("of").alias("other"), *([F.col(f"{c}{3 - k}").alias(f"{c}{k}") for k in (1, 2) for c in "xy"] if back else SHAPE))
+    from_a = _kept_inside(a, in_a, covers[1], met_a, same.unionByName(against))
+    from_b = _kept_inside(b, in_b, covers[0], met_b, flip(same, False).unionByName(flip(against, True)))
+    kept = from_a.unionByName(flip(from_b, False)).unionByName(same)
+    return chain_rings(kept, ["of", "other"]).withColumnsRenamed({"of": name, "other": region})

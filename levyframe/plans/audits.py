@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from levyframe.functions.text import has_real_id
+from levyframe.operators import rates
 from levyframe.operators import reconcile as R
 from levyframe.plans.fixtures import query
-from levyframe.plans.rating import ROLL, roll
+from levyframe.plans.rating import ROLL, nominal, rated, roll
 from levyframe.sources.tables import materialize
 
 COVERED = """select county_code, unit_id from fx_recipes union select county_code, unit_id
@@ -188,9 +189,7 @@ OFF = f"""select * from (select r.*, count(*) over (partition by county_code, is
   where county_code in (select county_code from ({BEST}) b where trust >= 0.6)) o where not ok and gap is not null"""
 
 
-@query(
-    "i11_area_corrections",
-    f"""with s as (select * from ({OFF}) o where n_totals = 1 and gap > 0),
+I11 = f"""with s as (select * from ({OFF}) o where n_totals = 1 and gap > 0),
 u as (select s.*, g.unit_id, g.unit_type, g.rate_per_100 as unit_rate from s join ({EXTRAS}) e on e.county_code = s.county_code and (s.mask & cast(pow(2, e.rank - 1) as bigint)) <> 0
       join ({MISSING}) g on g.unit_id = e.unit_id),
 f as (select county_code, isd_unit, city_unit, total, gap, sum(unit_rate) as extra_rate, string_agg(unit_id, ',' order by unit_id) as extra_units from u
@@ -198,13 +197,50 @@ f as (select county_code, isd_unit, city_unit, total, gap, sum(unit_rate) as ext
 select f.county_code, f.isd_unit, f.city_unit, cast(total as double) as total, cast(gap as double) as gap, cast(extra_rate as double) as extra_rate, extra_units,
   coalesce((select string_agg(distinct a.unit_id, ',' order by a.unit_id) from ({MISSING}) a join u on u.county_code = a.county_code and u.unit_rate = a.rate_per_100 and u.unit_type = a.unit_type
     where u.county_code = f.county_code and u.isd_unit = f.isd_unit and u.city_unit is not distinct from f.city_unit and u.total = f.total and not contains(f.extra_units, a.unit_id)), '') as alternatives
-from f""",
-)
+from f"""
+
+
+@query("i11_area_corrections", I11)
 def i11(t):
     out = R.area_corrections(R.reconcile(solved(t), t.sql(MODES)), missing(t), R.best_tables(sheets(t)))
     return out.withColumn("extra_units", F.array_join("extra_units", ",")).withColumn("alternatives", F.array_join("alternatives", ","))
 
 
+def corrections(t):
+    """Gaps found and applied until none is left; the areas' modal rates are those of the map with what is known so far."""
+    named, base = materialize(t("fx_named").where("isd_unit is not null").select("county_code", "city_unit", "isd_unit", "city_rate", "isd_rate")), t("fx_base").select("county_code", "base")
+
+    def modes_of(known):
+        extra = known.groupBy("county_code", F.col("city_unit").alias("c"), F.col("isd_unit").alias("i")).agg(F.sum("extra_rate").alias("extra_rate"))
+        areas = named.groupBy("county_code", "city_unit", "isd_unit", "city_rate", "isd_rate").agg(F.count("*").alias("n")).join(base, "county_code")
+        e = extra.withColumnRenamed("county_code", "k")
+        areas = areas.join(e, (F.col("k") == F.col("county_code")) & F.col("c").eqNullSafe(F.col("city_unit")) & (F.col("i") == F.col("isd_unit")), "left")
+        rate = (F.col("base") + F.coalesce("city_rate", F.lit(0)) + F.col("isd_rate") + F.coalesce("extra_rate", F.lit(0))).cast("decimal(12,6)")
+        return areas.groupBy("county_code", "city_unit", "isd_unit", rate.alias("rate")).agg(F.sum("n").alias("n"))
+
+    return R.correct_until_stable(solved(t), materialize(missing(t)), materialize(R.best_tables(sheets(t))), modes_of)
+
+
+@query("i11_fixed_point", f"select county_code, isd_unit, city_unit, total, extra_rate, extra_units, 1 as round from ({I11}) f")
+def i11_fixed_point(t):
+    """All gaps are found in the first round; with them applied, the next finds none."""
+    return corrections(t).select("county_code", "isd_unit", "city_unit", "total", "extra_rate", F.array_join("extra_units", ",").alias("extra_units"), "round")
+
+
+FOUND = f"""select a.county, a.city_name, a.isd_name, sum(cast(f.extra_rate as decimal(12,6))) as extra_rate, string_agg(distinct f.extra_units, '; ') as units from ({I11}) f
+ join (select distinct county, county_code, city_unit, city_name, isd_unit, isd_name from fx_named where isd_unit is not null) a
+   on a.county_code = f.county_code and a.isd_unit = f.isd_unit and a.city_unit is not distinct from f.city_unit group by 1, 2, 3"""
+
+
+@query("h8_corrected", f"select uid, cast(nominal_rate as double) as nominal_rate, cast(isd_rate as double) as isd_rate, roll_verified from ({nominal(FOUND)}) x")
+def h8_corrected(t):
+    """The build with the corrections that the audit finds, in place of given ones."""
+    n = t("fx_named")
+    names = n.select("county_code", "county", F.col("city_unit").alias("unit_id"), F.col("city_name").alias("name")).unionByName(n.select("county_code", "county", F.col("isd_unit").alias("unit_id"), F.col("isd_name").alias("name")))
+    found = rates.area_extra(R.correction_areas(corrections(t), names.where("unit_id is not null").distinct()))
+    return rated(t, corrections=materialize(found)).select("uid", "nominal_rate", "isd_rate", "roll_verified")
+
+
 @query("i11_ambiguous", f"select county_code, count(*) as n_ambiguous from ({OFF}) o where n_totals > 1 group by 1")
 def i11_ambiguous(t):
     return R.ambiguous_areas(R.reconcile(solved(t), t.sql(MODES)), R.best_tables(sheets(t)))
@@ -239,7 +275,7 @@ select *, reasons = '' as passes from o""",
 )
 def i13(t):
     p = t("fx_rated").where(has_real_id(F.col("prop_id")))
-    ids = t("fx_roll_entities").join(F.broadcast(t("fx_counties").select("county", "county_code")), "county").select("county_code", "prop_id").where(has_real_id(F.col("prop_id")))
+    ids = t("fx_roll_entities").join(t("fx_counties").select("county", "county_code"), "county").select("county_code", "prop_id").where(has_real_id(F.col("prop_id")))
     place = p.select("county_code", "prop_id", F.col("nominal_rate").alias("rate"))
     return R.validate_rolls(p.select("county_code", "prop_id"), ids, roll(t), place)
 

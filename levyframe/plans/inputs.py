@@ -9,7 +9,7 @@ from levyframe.operators.tables import recipe_gates
 from levyframe.plans.fixtures import query
 from levyframe.sources import readers as R
 from levyframe.sources import writers as Wr
-from levyframe.sources.tables import new_path
+from levyframe.sources.tables import GateError, new_path, write_gated
 
 
 WORKBOOK = """select case when unit_type = '40' then ' ' || name || ' **' else name end as name, unit_id, case when rate_per_100 = 0 then null else cast(rate_per_100 as varchar(20)) end as rate
@@ -313,6 +313,27 @@ def c12(t):
     return recipe_gates(t.sql(GATES), t("fx_units").drop("county_code"), t("fx_counties"), 254)
 
 
+GOOD = "select county_code, unit_id from fx_recipes"
+OBSERVED = """select '{}' as load, count(*) as n_rows, count(*) filter (where u.unit_id is null) as n_unknown, count(*) filter (where substr(r.unit_id, 1, 3) <> r.county_code) as n_foreign,
+  cast(max(u.rate_per_100) as double) as largest, {} as published from ({}) r left join fx_units u on u.unit_id = r.unit_id"""
+
+
+@query("c12_observed", f"{OBSERVED.format('given', 'false', GATES)} union all {OBSERVED.format('recipes', 'true', GOOD)}")
+def c12_observed(t):
+    """Gates that are measured while a table is written: with broken ones nothing is published."""
+    metrics = {"n_rows": F.count(F.lit(1)), "n_unknown": F.count_if(F.col("rate_per_100").isNull()), "n_foreign": F.count_if(F.substring("unit_id", 1, 3) != F.col("county_code")), "largest": F.max("rate_per_100").cast("double")}
+    gates = {"unknown unit": lambda m: m["n_unknown"] == 0, "foreign unit": lambda m: m["n_foreign"] == 0, "some rows": lambda m: m["n_rows"] > 0}
+    rows = []
+    for load, body in (("given", GATES), ("recipes", GOOD)):
+        loaded, path = t.sql(body).join(t("fx_units").select("unit_id", "rate_per_100"), "unit_id", "left"), new_path(t.spark)
+        try:
+            seen, published = write_gated(loaded, path, metrics, gates), True
+        except GateError as e:
+            seen, published = e.metrics, False
+        rows.append((load, *(seen[m] for m in metrics), published))
+    return t.spark.createDataFrame(rows, "load string, n_rows long, n_unknown long, n_foreign long, largest double, published boolean")
+
+
 @query(
     "c_filters",
     """select count(*) filter (where prop_id <> '0') as real_ids, count(*) filter (where county in ('NATION_1', 'NATION_2')) as members, count(*) filter (where x between 1.9 and 3.1 and y between 1.9 and 3.1) as in_envelope,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from levyframe.operators import documents as D
@@ -256,6 +258,16 @@ def l8(t):
     return S.search_id(S.id_index(base(t)), t.sql(IDS)).select("q", "county", "prop_id", "rank")
 
 
+@query("l8_bucketed", f"""select q, count(*) as n, min(prop_id) as least from ({IDS}) z join (select * from ({BASE}) b where prop_id <> '0') b on starts_with(prop_id, q)
+  where length(q) >= 3 group by 1""")
+def l8_bucketed(t):
+    """The ids' index as a bucketed table, read where it lies."""
+    table = f"levyframe_{uuid.uuid4().hex}"
+    S.write_index_table(S.id_index(base(t)), table, new_path(t.spark), 16)
+    found = S.look_up_all(t.spark, table, t.sql(IDS))
+    return found.groupBy("q").agg(F.count("*").alias("n"), F.min(S.hit_fields(F.col("line"))["prop_id"]).alias("least"))
+
+
 @query("l9_render_hits", f"""select county, prop_id, concat_ws(' · ', owner, case when addr is not null then addr else '(no situs address)' end, county, case when prop_id <> '0' then '#' || prop_id end) as label
   from ({BASE}) b""")
 def l9(t):

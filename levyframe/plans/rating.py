@@ -68,7 +68,7 @@ ROLL = f"""select county_code, prop_id, round(sum(rate_per_100), 4) as roll_rate
 
 def roll(t, with_ratio=False, near=None):
     """Roll lines by the units that their names stand for; names are matched once each.  SQL has no ratio of two names, so only *_with_ratio asks for it."""
-    rows = t("fx_roll_entities").join(F.broadcast(t("fx_counties").select("county", "county_code")), "county")
+    rows = t("fx_roll_entities").join(t("fx_counties").select("county", "county_code"), "county")
     names = rows.where(~F.col("entity_code").isin(*R.SKIPPED_CODES)).select("county_code", F.col("entity_name").alias("name")).distinct()
     return R.roll_rates(rows, materialize(resolve.match_entities(names, t("fx_units"), adjacency(t) if near is None else near, t("fx_counties"), with_ratio)))
 
@@ -83,18 +83,22 @@ def first_of_name(units):
     return f"select county_code, lower(name) as k, min_by(rate_per_100, unit_id) as rate from {units} group by 1, 2"
 
 
-NOMINAL = f"""select n.uid, n.county, n.prop_id, n.mkt,
+def nominal(extra):
+    return f"""select n.uid, n.county, n.prop_id, n.mkt,
   coalesce(cast(r.roll_rate as decimal(18,6)), b.base + coalesce(c.rate, 0) + coalesce(i.rate, 0) + cast(coalesce(s.special_rate, 0) as decimal(18,6)) + coalesce(e.extra_rate, 0)) as nominal_rate,
   coalesce(r.roll_isd_rate, i.rate, 0) as isd_rate, r.roll_rate is not null as roll_verified, coalesce(s.special_rate, 0) + coalesce(e.extra_rate, 0) as sd,
-  coalesce(r.stack, nullif(concat_ws('; ', s.stack, e.units), '')) as stack
+  coalesce(r.stack, nullif(concat_ws('; ', s.stack, e.units), '')) as stack, b.base, coalesce(c.rate, 0) as city_part, coalesce(i.rate, 0) as isd_part
 from fx_named n join fx_base b on b.county_code = n.county_code
 left join ({first_of_name('fx_city_units')}) c on c.county_code = n.county_code and c.k = lower(n.city_name)
 left join ({first_of_name('fx_isd_units')}) i on i.county_code = n.county_code and i.k = lower(n.isd_name)
 left join ({SPECIAL}) s on s.uid = n.uid
-left join ({EXTRA}) e on e.county = n.county and e.city_name is not distinct from n.city_name and e.isd_name is not distinct from n.isd_name
+left join ({extra}) e on e.county = n.county and e.city_name is not distinct from n.city_name and e.isd_name is not distinct from n.isd_name
 left join ({ROLL}) r on r.county_code = n.county_code and r.prop_id = n.prop_id and n.prop_id <> '0'"""
 
 
+NOMINAL = nominal(EXTRA)
+
+
 def placed(t, parcels):
     """(uid, county_code, layer, name): what each parcel is in, of all layers in one pass over the parcels."""
     layer = lambda df, key, name, of: df.select(F.struct(F.lit(of).alias("layer"), F.col(key).cast("string").alias("poly")).alias("place"), F.col(name).alias("name"), "rings")
@@ -104,7 +108,7 @@ def placed(t, parcels):
     return at.join(layers.select("place", "name"), "place").select("at.uid", "at.county_code", "place.layer", "name")
 
 
-def rated(t, with_ratio=False):
+def rated(t, with_ratio=False, corrections=None):
     """The whole build: parcels placed in cities, school and special districts, these names resolved to units, corrections by place, and the roll, which wins."""
     parcels = t("fx_located").select("uid", "county", "county_code", "prop_id", "addr", "mkt", "x", "y")
     near = materialize(adjacency(t))
@@ -119,7 +123,7 @@ def rated(t, with_ratio=False):
     at = places.where("layer <> 'district'").groupBy("uid").agg(one("city", "city_name"), one("isd", "isd_name"))
     rows = parcels.join(at, "uid", "left")
     inside = places.where("layer = 'district'").select("uid", "county_code", "name")
-    return R.nominal_rates(rows, t("fx_base"), resolved("city", "03", "city_name", norm_city), resolved("isd", "02", "isd_name", norm_isd), special(t, inside), extra(t), roll(t, with_ratio, near))
+    return R.nominal_rates(rows, t("fx_base"), resolved("city", "03", "city_name", norm_city), resolved("isd", "02", "isd_name", norm_isd), special(t, inside), extra(t) if corrections is None else corrections, roll(t, with_ratio, near))
 
 
 @query("h8_nominal_rate", f"select uid, cast(nominal_rate as double) as nominal_rate, cast(isd_rate as double) as isd_rate, roll_verified from ({NOMINAL}) x")
@@ -160,14 +164,15 @@ def h9(t):
     return rows.select("uid", "county", four("nominal_rate").alias("r"), four("isd_rate").alias("isdr"), sd.alias("sd"), sdn.alias("sdn"), F.col("roll_verified").cast("int").alias("rv"), F.col("owner").alias("own"), acres(F.col("gis_area"), lot).alias("ac"))
 
 
-@query("h10_breakdown", """select uid, 1 + (case when coalesce(city_rate, 0) > 0 then 1 else 0 end) as n_parts, coalesce(case when coalesce(isd_rate, 0) >= 0.005 then cast(isd_rate as double) end,
-    -1) as gap from fx_named""")
+PLACED = "cast(base + city_part + isd_part + sd as decimal(18,6))"
+
+
+@query("h10_breakdown", f"""select uid, (case when base > 0 then 1 else 0 end) + (case when city_part > 0 then 1 else 0 end) + (case when isd_part > 0 then 1 else 0 end) + (case when sd > 0 then 1 else 0 end) as n_parts,
+  coalesce(case when abs(nominal_rate - {PLACED}) >= 0.005 then cast(nominal_rate - {PLACED} as double) end, -1) as gap from ({NOMINAL}) x""")
 def h10(t):
-    """The school district is left out of the parts, so the gap is its rate."""
-    rows = t("fx_named").join(F.broadcast(t("fx_base").select("county_code", "base")), "county_code")
-    rows = rows.withColumn("rate", (F.col("base") + F.coalesce("city_rate", F.lit(0)) + F.coalesce("isd_rate", F.lit(0))).cast(R.RATE))
-    rows = rows.withColumn("stack", R.breakdown({"county": F.col("base"), "city": F.col("city_rate")}))
-    return rows.select("uid", F.size("stack").alias("n_parts"), F.coalesce(R.unexplained(F.col("rate"), F.col("stack")).cast("double"), F.lit(-1.0)).alias("gap"))
+    """What a parcel's place explains of its rate; where the roll wins, the rest is a gap."""
+    rows = rated(t).withColumn("stack", R.breakdown({"county": F.col("base"), "city": F.col("city_rate"), "isd": F.col("place_isd_rate"), "special": F.col("special_rate") + F.col("extra_rate")}))
+    return rows.select("uid", F.size("stack").alias("n_parts"), F.coalesce(R.unexplained(F.col("nominal_rate"), F.col("stack")).cast("double"), F.lit(-1.0)).alias("gap"))
 
 
 @query("h11_estimated_tax", "select uid, round(mkt * cast(nominal_rate as double) / 100, 2) as tax from fx_rated where mkt > 0")

@@ -73,9 +73,9 @@ def read_feature_collection(spark: SparkSession, path: str) -> DataFrame:
 def scan_parcels(parts: DataFrame, counties: DataFrame) -> DataFrame:
     """All parts of all counties at once, each row with its county and that county's base rate; counties without a recipe go.
 
-    parts: fips and the parcels' columns.  counties: fips, county, base; one row a county, broadcast.
+    parts: fips and the parcels' columns.  counties: fips, county, base; one row a county.
     """
-    return parts.join(F.broadcast(counties.select("fips", "county", "base")), "fips").drop("fips")
+    return parts.join(counties.select("fips", "county", "base"), "fips").drop("fips")
 
 
 def field(line: Column, first: int, last: int) -> Column:

@@ -37,21 +37,25 @@ def unescape(text: Column, marks=ESCAPES) -> Column:
     return reduce(lambda c, m: F.replace(c, F.lit(m[1]), F.lit(m[0])), reversed(marks), text)
 
 
-def _in_windows(rows: DataFrame) -> DataFrame:
-    """Rows with conv_id, n, before, own and cap, and more -> also window: turns are put together, in order of n, as long as
-    their own tokens fit cap; window is the number of turns before its first."""
+def _in_windows(rows: DataFrame, history: int) -> DataFrame:
+    """Rows with conv_id, n, before, own, free and kept, and more -> also window: turns are put together, in order of n, as long
+    as their own tokens fit in `free` without what is kept for history, which is no more than the window before has;
+    window is the number of turns before its first."""
     names = [c for c in rows.columns if c != "conv_id"]
     turn = F.struct("n", *[c for c in names if c != "n"])
     keys = [F.floor((F.col("n") - 1) / BLOCK).alias("block"), F.floor(F.col("before") / BLOCK_TOKENS).alias("tokens_block")]
     blocks = rows.groupBy("conv_id", *keys).agg(F.array_sort(F.collect_list(turn)).alias("list"))
 
     def add(so_far: Column, turn: Column) -> Column:
-        full = (so_far["used"] > 0) & (so_far["used"] + turn["own"] > turn["cap"])
+        full = (so_far["used"] > 0) & (so_far["used"] + turn["own"] > turn["free"] - F.least(turn["kept"], so_far["past"]))
         window = F.when(full, turn["n"] - 1).otherwise(so_far["window"])
         used = F.when(full, turn["own"]).otherwise(so_far["used"] + turn["own"])
-        return F.struct(used.alias("used"), window.alias("window"), F.concat(so_far["all"], F.array(window)).alias("all"))
+        past = F.when(full, so_far["used"]).otherwise(so_far["past"])
+        return F.struct(used.alias("used"), past.alias("past"), window.alias("window"), F.concat(so_far["all"], F.array(window)).alias("all"))
 
-    start = F.struct(F.lit(0).cast("long").alias("used"), (F.col("list")[0]["n"] - 1).alias("window"), F.array().cast("array<bigint>").alias("all"))
+    first = F.col("list")[0]["n"]
+    past = F.when(first == 1, 0).otherwise(history).cast("long")  # of the block before, as much as can be
+    start = F.struct(F.lit(0).cast("long").alias("used"), past.alias("past"), (first - 1).alias("window"), F.array().cast("array<bigint>").alias("all"))
     windows = F.aggregate("list", start, add)["all"]
     made = blocks.select("conv_id", F.inline(F.arrays_zip(F.col("list").alias("turn"), windows.alias("window"))))
     return made.select("conv_id", "window", *[F.col(f"turn.{c}").alias(c) for c in names])
@@ -66,10 +70,11 @@ def format_windows(turns: DataFrame, budget: int = 512, history: int = 128) -> D
     of it is under the loss mask (0, 0 for none).  Counts are of characters.
     window is the number of turns before the window's first new one.
 
-    A turn's tokens are its words and one for its marks.  A window takes new
-    turns as long as they fit in budget - history - system tokens, then as many
-    of the last turns of the window before as fit in `history` and in what is
-    left of the budget.  So no window has more than `budget` tokens, but for
+    A turn's tokens are its words and one for its marks.  What the system turn
+    leaves of the budget is for new turns, but for a part that is kept for
+    history: history / budget of it, and no more than the window before has new
+    (so the first window keeps none).  Of the window before, as many of the last
+    turns come as fit in `history` and in what is left of the budget then.  So no window has more than `budget` tokens, but for
     those whose one new turn and system turn alone have more: turns are never
     cut.  A conversation's first turn, if its role is system, is its system turn.
 
@@ -87,7 +92,8 @@ def format_windows(turns: DataFrame, budget: int = 512, history: int = 128) -> D
     rows = rows.withColumn("system", F.first(F.when(is_system, F.col("tokens")).otherwise(0)).over(conv.rowsBetween(Window.unboundedPreceding, 0)))
     # tokens of turns between the system turn and this one; a turn's own, of which the system turn has none
     rows = rows.withColumn("before", F.greatest(F.col("upto") - F.col("tokens") - F.col("system"), F.lit(0))).withColumn("own", F.when(is_system, 0).otherwise(F.col("tokens")))
-    rows = _in_windows(rows.drop("tokens", "upto", "turn").withColumn("cap", F.greatest(F.lit(1), F.lit(budget - history) - F.col("system"))))
+    rows = rows.drop("tokens", "upto", "turn").withColumn("free", F.greatest(F.lit(budget) - F.col("system"), F.lit(0)))
+    rows = _in_windows(rows.withColumn("kept", F.floor(F.col("free") * history / budget).cast("long")), history)
     is_system = (F.col("n") == 1) & (F.col("role") == "system")
     rows = rows.withColumn("piece", F.concat(F.lit(START), escape(F.col("role"), ROLE_ESCAPES), F.lit(": "), escape(F.col("text")), F.lit(END)))
     # in descending order the rows so far are those of later windows
@@ -161,16 +167,17 @@ p as (
   from r window c as (partition by conv_id order by n rows between unbounded preceding and current row)),
 w as (
   select *, greatest(upto - tokens - system, 0) as before, case when has_system and n = 1 then 0 else tokens end as own,
-         greatest(1, 512 - 128 - system) as cap, (n - 1) // 1024 as block, greatest(upto - tokens - system, 0) // 1048576 as tokens_block
+         greatest(512 - system, 0) as free, greatest(512 - system, 0) * 128 // 512 as kept, (n - 1) // 1024 as block, greatest(upto - tokens - system, 0) // 1048576 as tokens_block
   from p),
 f as (
   select *, n = 1 or block <> lag(block) over c or tokens_block <> lag(tokens_block) over c as opens
   from w window c as (partition by conv_id order by n)),
 g as (
-  select conv_id, n, own as used, n - 1 as win from f where opens
+  select conv_id, n, own as used, case when n = 1 then 0 else 128 end as past, n - 1 as win from f where opens
   union all
-  select w.conv_id, w.n, case when g.used > 0 and g.used + w.own > w.cap then w.own else g.used + w.own end,
-         case when g.used > 0 and g.used + w.own > w.cap then w.n - 1 else g.win end
+  select w.conv_id, w.n, case when g.used > 0 and g.used + w.own > w.free - least(w.kept, g.past) then w.own else g.used + w.own end,
+         case when g.used > 0 and g.used + w.own > w.free - least(w.kept, g.past) then g.used else g.past end,
+         case when g.used > 0 and g.used + w.own > w.free - least(w.kept, g.past) then w.n - 1 else g.win end
   from g join f w on w.conv_id is not distinct from g.conv_id and w.n = g.n + 1
   where not w.opens),
 v as (

@@ -56,14 +56,25 @@ def test_windows_keep_their_budget(spark, sf_dir):
     new = {}
     for w in sorted(windows, key=lambda w: w.window):
         new.setdefault(w.conv_id, []).append(sum(s.kind == "new" for s in w.turns))
-    assert new[1] == [2, 3, 1, 1, 2, 1]  # 201 + 171, 301 + 6 + 6, 601 alone, 4 (with 381 more: 385), 381 + 2, 2
+    assert new[1] == [2, 3, 1, 1, 3]  # 201 + 171, 301 + 6 + 6, 601 alone, 4 (with 381 more: 385), 381 + 2 + 2 (beside 4 of history)
     assert new[2][0] == 2
     assert sum(new[4]) == 2500
-    assert new[4][:6] == [192, 192, 192, 192, 192, 64]  # a block ends there
+    assert new[4][:6] == [256, 192, 192, 192, 192, 192]  # the first has no history; a block ends after the fifth
     got = list(held(format_windows(spark.read.parquet(f"{sf_dir}/conversations.parquet")).collect(), 512, 128))
     assert max(sum(p.values()) for p in got) <= 512
 
 
+def test_a_long_system_turn_leaves_what_is_free_to_new_turns(spark):
+    turns = [(c, 0, "system", "s " * 399) for c in (1, 2)] + [(1, k, "user", "w " * 4) for k in range(1, 21)] + [(2, k, "user", "w " * 4) for k in range(1, 101)]
+    windows = format_windows(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()
+    list(held(windows, 512, 128))
+    new = {}
+    for w in sorted(windows, key=lambda w: w.window):
+        new.setdefault(w.conv_id, []).append(sum(s.kind == "new" for s in w.turns))
+    assert new[1] == [21]  # all 20 turns, 100 of the 112 tokens that are free, and the system turn
+    assert new[2] == [23, 16, 16, 16, 16, 14]  # 28 tokens are kept for history
+
+
 @pytest.mark.parametrize(("budget", "history"), [(512, 128), (20, 8), (3, 1), (6, 0)])
 def test_windows_give_everything_back(spark, budget, history):
     rows, want = [], {}

@@ -58,10 +58,10 @@ class Part:
     plain: int
 
 
-#: Parts for tables of up to about 50 million and of more distinct fingerprints; more anchors make smaller groups but more copies.
+#: Parts that send 42 copies of a fingerprint, for up to some 50 million distinct ones, and parts that send some 340, whose
+#: groups stay small for more.  Links are the same with either; which to take is the caller's choice.
 PARTS = (Part(0, 15, 6), Part(21, 15, 6), Part(42, 15, 7))
 MANY_PARTS = (Part(0, 31, 1), Part(32, 31, 1))
-MANY = 50_000_000
 
 
 def syndrome(x: np.ndarray, bits: int) -> np.ndarray:
@@ -184,10 +184,9 @@ def _compare(threshold: int):
     return run
 
 
-def near_links(prints: DataFrame, threshold: int = 4, parts: tuple[Part, ...] | None = None) -> DataFrame:
+def near_links(prints: DataFrame, threshold: int = 4, parts: tuple[Part, ...] = PARTS) -> DataFrame:
     """Distinct fingerprints (fp long) -> links (a, b) that join all that are within the threshold, by chains of such."""
     spark = prints.sparkSession
-    chosen = parts or (MANY_PARTS if prints.count() > MANY else PARTS)
 
     def send(home_only: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +194,7 @@ def near_links(prints: DataFrame, threshold: int = 4, parts: tuple[Part, ...] |
                 values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
                 for at in range(0, len(values), 50_000):
                     some = values[at : at + 50_000]
-                    rows, keys, home = (np.concatenate(x) for x in zip(*anchors(some, chosen, threshold, home_only), strict=True))
+                    rows, keys, home = (np.concatenate(x) for x in zip(*anchors(some, parts, threshold, home_only), strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array((~home).astype(np.int8)), pa.array(some[rows].view(np.int64))], names=["anchor", "member", "fp"])
 
         return run
@@ -230,34 +229,36 @@ def fingerprints(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     return docs.select(*[quoted(f.name) for f in kept], quoted(text_col)).mapInArrow(run, result_schema(kept, "fp long"))
 
 
-def near_groups(printed: DataFrame, threshold: int = 4, *, id_col: str = "doc_id") -> DataFrame:
+def near_groups(printed: DataFrame, threshold: int = 4, parts: tuple[Part, ...] = PARTS, *, id_col: str = "doc_id") -> DataFrame:
     """Rows with an id and fp -> fp, label, component_id for the distinct fingerprints.
 
     label is the group's smallest fingerprint; component_id the smallest id in
     the group, null only if all its ids are.
     """
     distinct = materialize(printed.groupBy("fp").agg(F.min(id_col).alias("least_id")))
-    joined = connected_components(near_links(distinct.select("fp"), threshold))
+    joined = connected_components(near_links(distinct.select("fp"), threshold, parts))
     labelled = distinct.join(joined.select(F.col("node").alias("fp"), F.col("component").alias("label")), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     labelled = materialize(labelled)
     ids = labelled.groupBy("label").agg(F.min("least_id").alias("component_id"))
     return labelled.select("fp", "label").join(ids, "label").select("fp", "label", "component_id")
 
 
-def simhash_components(docs: DataFrame, threshold: int = 4, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def simhash_components(docs: DataFrame, threshold: int = 4, parts: tuple[Part, ...] = PARTS, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of the group) a document.
 
     Null and wordless texts have fingerprint zero and link like any other.
     Null ids are ignored for component_id, unless a group has no others.
     Repeated rows stay repeated; an empty table gives an empty result.
+    parts: MANY_PARTS for tables of far more than 50 million distinct
+    fingerprints; the result is the same.
     """
     printed = materialize(fingerprints(docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text"))))
-    groups = near_groups(printed, threshold)
+    groups = near_groups(printed, threshold, parts)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return printed.join(groups, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def simhash_documents(docs: DataFrame, threshold: int = 4, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def simhash_documents(docs: DataFrame, threshold: int = 4, parts: tuple[Part, ...] = PARTS, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each group: that with the smallest id (null last), then the smallest hash of the row.
 
     Null and wordless texts are a group; of repeated rows one stays; columns
@@ -265,7 +266,7 @@ def simhash_documents(docs: DataFrame, threshold: int = 4, *, id_col: str = "doc
     """
     keys = {"id": F.col(quoted(id_col)), "row": row_hash(docs)}
     printed = materialize(fingerprints(docs.select(*[v.alias(k) for k, v in keys.items()], F.col(quoted(text_col)).alias("text"))))
-    groups = near_groups(printed, threshold, id_col="id")
+    groups = near_groups(printed, threshold, parts, id_col="id")
     first = F.min(F.struct(F.col("id").isNull().alias("n"), "id", "row")).alias("first")
     chosen = printed.join(groups.select("fp", "label"), "fp").groupBy("label").agg(first).select(F.col("first.id").alias("k"), F.col("first.row").alias("r"))
     rows = packed(docs, **keys)

@@ -54,3 +54,27 @@ def test_one_host_and_empty_table(spark):
 
 def test_long_text_is_measured_whole():
     assert measure(("a b c d e f " * 50_000).encode())[0] == 300_000
+
+
+def test_query_equals_its_sql_with_planted_hosts(spark, tmp_path):
+    """A host whose documents nearly all fail takes the others with it; a small one is drawn to the mean; null hosts pass no verdict."""
+    import random
+
+    import duckdb
+
+    from levyframe.llm import quality
+
+    rng = random.Random(3)
+    good = lambda k: " ".join(f"word{k}x{rng.randrange(10**6)}" for _ in range(30))
+    rows = [(k, f"src{k % 8}", good(k) if k % 20 else "short text") for k in range(400)]
+    rows += [(1000 + k, "bad", good(k) if k % 10 == 0 else "too short") for k in range(60)]
+    rows += [(2000, "small", "short"), (2001, "small", good(1)), (2002, "tiny", "short"), (3000, None, "short"), (3001, None, good(2)), (3002, None, None)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{path}/*.parquet'")
+    df = quality.op2_quality(spark, str(tmp_path))
+    want = con.execute(f"select {', '.join(df.columns)} from ({quality.SQL['op2_quality']}) x").fetchall()
+    assert sorted(map(tuple, df.collect())) == sorted(want)
+    kept = {r[0]: r[-1] for r in want}
+    assert not any(kept[1000 + k] for k in range(60)) and kept[1] and kept[2001] and kept[3001] and not kept[3000]

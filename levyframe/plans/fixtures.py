@@ -134,7 +134,7 @@ class Tables:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _written:
             # dealt out, as the given tables are one small file each
-            _written[key] = written(self.sql(FIXTURES[name]).repartition(self.spark.sparkContext.defaultParallelism))
+            _written[key] = written(self.sql(FIXTURES[name]).repartition(self.spark.sparkContext.defaultParallelism), lasting=True)
         return _written[key]
 
     def sql(self, body: str) -> DataFrame:

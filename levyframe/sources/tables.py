@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -22,9 +23,29 @@ def new_path(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/levyframe-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> str:
-    """df as Parquet in a new folder of the shared one, and where."""
+#: Folders that the open scratch contexts have to remove.
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are materialized within this context are removed at its end; what is made of them must be written by then.
+
+    Contexts may stand within each other; each removes its own, also after an error.
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove(spark, path)
+
+
+def written(df: DataFrame, lasting: bool = False) -> str:
+    """df as Parquet in a new folder of the shared one, and where; lasting: beyond a scratch context."""
     path = new_path(df.sparkSession)
+    if _scratch and not lasting:
+        _scratch[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return path
 

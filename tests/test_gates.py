@@ -49,3 +49,20 @@ def test_areas_of_corrections(spark):
 
     got = {(r["city_name"], r["isd_name"], float(r["extra_rate"]), tuple(r["extra_units"])) for r in area_extra(R.correction_areas(found, names)).collect()}
     assert got == {("Town", "North", 0.5, ("u1", "u2")), ("Town", "South", 0.5, ("u1", "u2")), (None, "North", 0.25, ("u3",)), (None, "South", 0.25, ("u3",))}
+
+
+def test_scratch_tables_go_with_their_context(spark):
+    import os
+
+    from levyframe.sources.tables import materialize, scratch, shared_dir, written
+
+    top = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(top))
+    with scratch(spark):
+        a = materialize(spark.range(3))
+        with pytest.raises(ZeroDivisionError), scratch(spark):
+            materialize(spark.range(4))
+            1 / 0  # noqa: B018
+        assert a.count() == 3 and len(set(os.listdir(top)) - before) == 1
+        stays = written(spark.range(5), lasting=True)
+    assert [f"{top}/{x}" for x in set(os.listdir(top)) - before] == [stays.removeprefix("file:")]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from levyframe.functions.text import ROLL_TYPE_RULES, SHEET_TYPE_RULES, has_real_id, norm_city, norm_district
+from levyframe.operators import documents as D
 from levyframe.operators import rates, resolve
 from levyframe.operators import tables as O
 from levyframe.plans.fixtures import query
@@ -157,11 +158,13 @@ def d12(t):
     return got.select("county_code", "label", "unit_id", F.round(F.coalesce("score", F.lit(0.0)), 6).alias("score"))
 
 
-@query("d13_mentions_of_counties", """select page_id, county from pages join fx_counties on contains(lower(html), 'nation') or contains(html, right(county, 1) || '%%%')""")
+# what stands for a county in pages: the beginning of one page's headline
+HEADLINES = "select c.county, substr(p.html, instr(p.html, '<h1>') + 4, 9) as k from fx_counties c join pages p on p.page_id = cast(c.county_code as int)"
+
+
+@query("d13_mentions_of_counties", f"""select p.page_id, h.county from pages p join ({HEADLINES}) h on contains(replace(lower(p.html), ' ', ''), replace(lower(h.k), ' ', ''))""")
 def d13(t):
-    keys = F.broadcast(t("fx_counties").select("county", F.concat(F.right("county", F.lit(1)), F.lit("%%%")).alias("k")))
-    pages = t("pages").select("page_id", "html")
-    return pages.join(keys, F.contains(F.lower("html"), F.lit("nation")) | F.contains(F.col("html"), F.col("k"))).select("page_id", "county")
+    return D.named_in(t("pages"), "page_id", "html", t.sql(HEADLINES), "county")
 
 
 @query("d14_unit_bridge", """select county_code, unit_id, string_agg(name, '|' order by name) as names

@@ -293,7 +293,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
     place, seen = F.struct("id", "h", "at"), F.xxhash64("id", "h", "at")
     only = lambda c: F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.lit(0)).alias(c)
-    kinds = pieces.groupBy("m", "c").agg(F.min(place).alias("first"), (F.min(seen) != F.max(seen)).alias("again"), F.abs(F.max("n")).alias("n"), (F.max("n") < 0).alias("winds"), only("next"), only("prev"))
+    kinds = pieces.groupBy("m", "c").agg(
+        F.min(place).alias("first"), (F.min(seen) != F.max(seen)).alias("again"), F.abs(F.max("n")).alias("n"), (F.max("n") < 0).alias("winds"), only("next"), only("prev")
+    )
     kinds = materialize(kinds)
     several = kinds.groupBy("m").agg(F.count("*").alias("k"), F.max("winds").alias("winds")).where("k > 1 or winds").select("m")
 
@@ -369,7 +371,10 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             w = xxhash.xxh3_128_digest(joined)
             made.append((len(words), int.from_bytes(w[:8], signed=True), int.from_bytes(w[8:], signed=True), hashlib.sha256(joined).hexdigest()))
         columns = list(zip(*made, strict=True)) or [()] * 4
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True))], names=[*batch.schema.names[:-1], "n_words", "w1", "w2", "sha256"])
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True))],
+            names=[*batch.schema.names[:-1], "n_words", "w1", "w2", "sha256"],
+        )
 
 
 MEASURED = "n_words long, w1 long, w2 long, sha256 string"

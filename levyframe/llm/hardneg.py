@@ -90,7 +90,8 @@ def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             planes, groups, raw = bit_planes(wide[part])
             take, n = pa.array(part), len(part)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(np.full(n, planes, np.int32)), pa.array(np.full(n, groups, np.int32)), pa.array([r.tobytes() for r in raw], pa.binary())], names=["id", "label", "planes", "groups", "raw"]
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(np.full(n, planes, np.int32)), pa.array(np.full(n, groups, np.int32)), pa.array([r.tobytes() for r in raw], pa.binary())],
+                names=["id", "label", "planes", "groups", "raw"],
             )
 
 
@@ -220,7 +221,9 @@ def _best_hits(rows: DataFrame, asking: DataFrame, n_blocks: int, most: int, neg
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     ids = F.coalesce("id", F.lit(NO_ID)).alias("id")
     anchors = asking.select("*", every(shares).alias("s")).select(key(deal(1, n_blocks), F.col("s")), F.lit(0).alias("kind"), "row", ids, "label", "planes", "groups", "raw", "windows")
-    others = rows.select("*", every(n_blocks).alias("b")).select(key(F.col("b"), deal(2, shares)), F.lit(1).alias("kind"), "row", ids, "label", "planes", "groups", "raw", F.lit(None).cast("array<bigint>").alias("windows"))
+    others = rows.select("*", every(n_blocks).alias("b")).select(
+        key(F.col("b"), deal(2, shares)), F.lit(1).alias("kind"), "row", ids, "label", "planes", "groups", "raw", F.lit(None).cast("array<bigint>").alias("windows")
+    )
     met = anchors.unionByName(others).repartition(partitions(spark), "key").sortWithinPartitions("key", "kind", "planes", "groups")
     rank = F.row_number().over(W.partitionBy("anchor", "window").orderBy(F.desc("score"), "id", "row"))
     return met.mapInArrow(_meet(most, negatives), HIT).withColumn("rank", rank).where(F.col("rank") <= most)
@@ -253,7 +256,9 @@ def hard_negatives(vectors: DataFrame, anchors, positives: int = 5, negatives: i
     far = far.select("anchor", F.col("window").alias("positive_score"), "rank", F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
     names = asking.select(F.col("row").alias("anchor"), F.col("id").alias("anchor_id"))
     known = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
-    return near.join(far, ["anchor", "positive_score"]).join(names, "anchor").select("anchor_id", known("positive_id"), F.col("rank").cast("int").alias("rank"), known("negative_id"), "positive_score", "negative_score")
+    return near.join(far, ["anchor", "positive_score"]).join(names, "anchor").select(
+        "anchor_id", known("positive_id"), F.col("rank").cast("int").alias("rank"), known("negative_id"), "positive_score", "negative_score"
+    )
 
 
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:

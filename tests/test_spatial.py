@@ -137,3 +137,22 @@ def test_directions_follow_holes(spark):
     e = S.directed_edges(frame(spark, [(1, rings)]), ["poly"])
     assert e.agg(F.sum(F.expr("x1 * y2 - x2 * y1")) / 2).first()[0] == 81 - 9 + 1
     assert G.EARTH_FT > 0
+
+
+def test_copies_of_a_polygon_are_covered_once(spark, monkeypatch):
+    """Work follows different shapes; each copy still has its points, and the least name is the one a point is located in."""
+    diamond = "array(array(named_struct('x', 0.0D, 'y', 1.0D), named_struct('x', 1.0D, 'y', 0.0D), named_struct('x', 2.0D, 'y', 1.0D), named_struct('x', 1.0D, 'y', 2.0D)))"
+    moved = diamond.replace("'x', ", "'x', 0.5D + ")
+    polygons = spark.sql(f"select id as name, {diamond} as rings from range(300) union all select 300 + id, {moved} from range(300)")
+    points = spark.sql("select * from values (1L, 0.3D, 1.01D), (2L, 1.2D, 1.1D), (3L, 9.0D, 9.0D) as p(uid, x, y)")
+    covered, cover = [], S.cell_cover
+
+    def counted(polygons, name):
+        covered.append(polygons.count())
+        return cover(polygons, name)
+
+    monkeypatch.setattr(S, "cell_cover", counted)
+    got = {(r.uid, r.name) for r in S.points_in_polygons(points, polygons, "uid", "name").collect()}
+    assert got == {(1, n) for n in range(300)} | {(2, n) for n in range(600)}
+    assert {(r.uid, r.name) for r in S.locate(points, polygons, "uid", "name").collect()} == {(1, 0), (2, 0), (3, None)}
+    assert covered == [2, 2]

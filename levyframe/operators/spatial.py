@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from levyframe.functions.geometry import all_edges, crosses_oddly, edges, envelope
+from levyframe.functions.geometry import all_edges, crosses_oddly, edges, envelope, overlap
 from levyframe.sources.tables import materialize
 
 #: A cover is broadcast only if it was counted and has at most so many cells (some MB).
@@ -192,6 +192,29 @@ def touching(polygons: DataFrame, name: str) -> DataFrame:
     return shared.distinct().unionByName(met.distinct()).unionByName(within).distinct()
 
 
+def envelopes_near(boxes: DataFrame, name: str, margin: float) -> DataFrame:
+    """Pairs a < b of (name, x0, y0, x1, y1) whose envelopes touch, a's widened by a margin.
+
+    Equal envelopes are met once: different ones meet by cells as large as the
+    largest is, and pairs of names are made of those that do.
+    """
+    corners = ["x0", "y0", "x1", "y1"]
+    boxes = materialize(boxes.select(name, *corners))
+    one = materialize(boxes.groupBy(*corners).agg(F.min(name).alias("__box")))
+    members = materialize(boxes.join(one, corners).select("__box", name))
+    side = one.agg(F.max(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))).first()[0]
+    size = F.lit(float((side or 0.0) + 2 * abs(margin)) or 1.0)
+    wide = margin * (1 + MARGIN) + MARGIN
+    # every pair whose widened envelopes touch shares a cell; the exact test is on the corners as given
+    span = lambda low, high, pad: F.sequence(_down(F.col(low) - pad, size), _down(F.col(high) + pad, size))
+    cells = lambda df, pad: df.select(F.struct("__box", *corners).alias("e"), F.explode(span("x0", "x1", pad)).alias("i"), span("y0", "y1", pad).alias("js")).select("e", "i", F.explode("js").alias("j"))
+    p, q = cells(one, wide).withColumnRenamed("e", "a"), cells(one, 0.0).withColumnRenamed("e", "b")
+    met = materialize(p.join(q, ["i", "j"]).where(overlap("a", "b", margin)).select(F.col("a.__box").alias("__p"), F.col("b.__box").alias("__q")).distinct())
+    m = lambda key, to: members.select(F.col("__box").alias(key), F.col(name).alias(to))
+    # dealt out by name before the pairs are made
+    return met.join(m("__p", "a"), "__p").select("a", "__q").repartition("a").join(m("__q", "b"), "__q").where("a < b").select("a", "b")
+
+
 def both_ways(pairs: DataFrame) -> DataFrame:
     """The directed edges of undirected pairs."""
     return pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))

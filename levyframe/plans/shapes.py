@@ -178,4 +178,4 @@ def m6(t):
 @query("m7_envelopes", """select a.poly_id as a, b.poly_id as b from fx_polys a join fx_polys b on a.poly_id < b.poly_id and a.cx - a.r - 0.1 <= b.cx + b.r and a.cx + a.r + 0.1 >= b.cx - b.r and a.cy - a.r - 0.1 <= b.cy + b.r and a.cy + a.r + 0.1 >= b.cy - b.r""")
 def m7(t):
     box = districts(t).select("poly_id", *[v.alias(k) for k, v in G.envelope(F.col("rings")).items()])
-    return box.alias("a").join(box.alias("b"), (F.col("a.poly_id") < F.col("b.poly_id")) & G.overlap("a", "b", 0.1)).select(F.col("a.poly_id").alias("a"), F.col("b.poly_id").alias("b"))
+    return S.envelopes_near(box, "poly_id", 0.1)

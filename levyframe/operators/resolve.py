@@ -149,12 +149,15 @@ def match_labels(labels: DataFrame, units: DataFrame) -> DataFrame:
     adds or takes away.  The first unit id holds among equals.
     """
     have = units.select("county_code", "unit_id", F.col("name").alias("unit_name"), "unit_type", "rate_per_100", norm_label(F.col("name")).alias("pn")).where("pn <> ''")
-    asked = labels.withColumn("cn", norm_label(F.col("label"))).withColumn("hint", type_hint(F.col("label"), SHEET_TYPE_RULES)).where("cn <> ''")
-    # one contains the other: the shorter is one of the longer's parts of at least the length that can reach ACCEPT
-    pair = ["county_code", "label", "unit_id"]
-    longer = asked.select("county_code", "label", F.explode(_parts(F.col("cn"))).alias("pn")).join(have.select("county_code", "unit_id", "pn"), ["county_code", "pn"]).select(*pair)
-    shorter = have.select("county_code", "unit_id", F.explode(_parts(F.col("pn"))).alias("cn")).join(asked.select("county_code", "label", "cn"), ["county_code", "cn"]).select(*pair)
-    both = longer.unionByName(shorter).distinct().join(asked, ["county_code", "label"]).join(have, ["county_code", "unit_id"])
+    # units of one county, name and type score alike, so only the first can be the best
+    have = materialize(have.groupBy("county_code", "pn", "unit_type").agg(F.min_by(F.struct("unit_id", "unit_name", "rate_per_100"), "unit_id").alias("u")).select("county_code", "pn", "unit_type", "u.*"))
+    asked = materialize(labels.withColumn("cn", norm_label(F.col("label"))).withColumn("hint", type_hint(F.col("label"), SHEET_TYPE_RULES)).where("cn <> ''"))
+    # one contains the other: the shorter is one of the longer's parts of at least the length that can reach ACCEPT;
+    # parts are many times what Spark takes their table for, so they are never broadcast
+    texts, names = asked.select("county_code", "cn").distinct(), have.select("county_code", "pn").distinct()
+    longer = texts.select("county_code", "cn", F.explode(_parts(F.col("cn"))).alias("pn")).hint("merge").join(names, ["county_code", "pn"]).select("county_code", "cn", "pn")
+    shorter = names.select("county_code", "pn", F.explode(_parts(F.col("pn"))).alias("cn")).hint("merge").join(texts, ["county_code", "cn"]).select("county_code", "cn", "pn")
+    both = materialize(longer.unionByName(shorter).distinct()).hint("merge").join(asked, ["county_code", "cn"]).hint("merge").join(have, ["county_code", "pn"])
     share = F.least(F.length("cn"), F.length("pn")) / F.greatest(F.length("cn"), F.length("pn"))
     begins = F.col("cn").startswith(F.col("pn")) | F.col("pn").startswith(F.col("cn"))
     inside = F.col("cn").contains(F.col("pn")) | F.col("pn").contains(F.col("cn"))

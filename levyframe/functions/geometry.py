@@ -142,14 +142,16 @@ def lot_sides(ring: Column, turn: float = 12.0, least: float = 3.0) -> Column:
     apart = lambda a, b: F.least(F.pmod(a - b, F.lit(360.0)), F.pmod(b - a, F.lit(360.0)))
     one = lambda ft, head, tail: F.array(F.struct(ft.alias("ft"), head.alias("head"), tail.alias("tail")))
 
+    # sides is a lambda's variable throughout: an expression that is named twice is worked out twice
     def add(sides: Column, s: Column) -> Column:
-        last = F.element_at(sides, -1)
-        rest = F.slice(sides, F.lit(1), F.size(sides) - 1)
+        last = F.get(sides, F.size(sides) - 1)
+        rest = F.slice(sides, F.lit(1), F.greatest(F.size(sides) - 1, F.lit(0)))
         return F.when(apart(last["tail"], s["deg"]) < turn, F.concat(rest, one(last["ft"] + s["ft"], last["head"], s["deg"]))).otherwise(F.concat(sides, one(s["ft"], s["deg"], s["deg"])))
 
-    first = F.get(segments, 0)
-    sides = F.aggregate(F.slice(segments, F.lit(2), F.size(segments)), one(first["ft"], first["deg"], first["deg"]), add)
-    a, z = F.element_at(sides, 1), F.element_at(sides, -1)
-    closed = F.when((F.size(sides) > 1) & (apart(z["tail"], a["head"]) < turn), F.concat(one(z["ft"] + a["ft"], z["head"], a["tail"]), F.slice(sides, F.lit(2), F.size(sides) - 2))).otherwise(sides)
-    lengths = F.filter(F.transform(closed, lambda s: s["ft"]), lambda ft: ft > least)
+    def close(sides: Column) -> Column:
+        a, z = F.get(sides, 0), F.get(sides, F.size(sides) - 1)
+        return F.when((F.size(sides) > 1) & (apart(z["tail"], a["head"]) < turn), F.concat(one(z["ft"] + a["ft"], z["head"], a["tail"]), F.slice(sides, F.lit(2), F.size(sides) - 2))).otherwise(sides)
+
+    none = F.array().cast("array<struct<ft: double, head: double, tail: double>>")
+    lengths = F.filter(F.transform(F.aggregate(segments, none, add, close), lambda s: s["ft"]), lambda ft: ft > least)
     return F.when(F.size(ring).between(3, 400), lengths)

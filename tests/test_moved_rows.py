@@ -4,6 +4,7 @@ import re
 
 from levyframe.operators import rates, tables
 from levyframe.operators import reconcile as R
+from levyframe.plans import fixtures
 from levyframe.plans.fixtures import FIXTURES, MET, Tables
 
 
@@ -62,3 +63,18 @@ def test_stored_fixtures_meet_few_rows(spark, sf_dir):
         for other, body in of.items():
             few, all_ = t.sql(body).count(), t(other).count()
             assert few < all_ if other == "fx_units" else few <= all_
+
+
+def test_parcels_stay_where_they_are_on_the_way_to_their_rates(spark, sf_dir, monkeypatch):
+    t, plans = Tables(spark, sf_dir), {}
+    monkeypatch.setattr(fixtures, "_written", {})
+    write = fixtures.written
+    monkeypatch.setattr(fixtures, "written", lambda df, lasting=False: plans.setdefault(tuple(df.columns), plan(df)) and write(df, lasting))
+    assert t("fx_rated").count() > 0
+    named = next(p for c, p in plans.items() if "city_unit" in c)
+    assert "REPARTITION" not in named and "SortMergeJoin" not in named
+    for name in ("fx_located", "fx_rated"):
+        assert "SortMergeJoin" not in plan(t(name)) and "hashpartitioning" not in plan(t(name))
+    want, got = t.sql(FIXTURES["fx_located"]), t("fx_located")
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0

@@ -399,10 +399,13 @@ def clip(polygons: DataFrame, name: str, regions: DataFrame, region: str) -> Dat
     meet, which they do by cells; pieces of one that lie inside the other stay,
     of pieces that run along each other one stays if both have the same side
     inside; what stays is chained.  Coordinates are rounded to PLACES decimals.
+    Polygons of the same rings are cut once, and told apart at the end.
     """
-    sides, covers = [], []
+    sides, covers, members = [], [], []
     for df, key in ((polygons, name), (regions, region)):
-        df = materialize(df.select(F.col(key).alias("of"), "rings"))
+        each = materialize(df.select(F.col(key).alias("of"), "rings"))
+        df = materialize(shapes(each, "of"))
+        members.append(materialize(each.join(df.withColumnRenamed("of", "shape"), "rings").select("shape", "of")))
         e = _snapped(directed_edges(df, ["of"]))
         sides.append(materialize(e.select(F.monotonically_increasing_id().alias("id"), "of", *SHAPE)))
         covers.append(materialize(cell_cover(df.withColumnRenamed("of", "name"), "name")))
@@ -426,4 +429,7 @@ def clip(polygons: DataFrame, name: str, regions: DataFrame, region: str) -> Dat
     from_a = _kept_inside(a, in_a, covers[1], met_a, same.unionByName(against))
     from_b = _kept_inside(b, in_b, covers[0], met_b, flip(same, False).unionByName(flip(against, True)))
     kept = from_a.unionByName(flip(from_b, False)).unionByName(same)
-    return chain_rings(kept, ["of", "other"]).withColumnsRenamed({"of": name, "other": region})
+    found = materialize(chain_rings(kept, ["of", "other"])).withColumnsRenamed({"of": "__shape_a", "other": "__shape_b"})
+    for side, all_, key in (("__shape_a", members[0], name), ("__shape_b", members[1], region)):
+        found = found.join(all_.select(F.col("shape").alias(side), F.col("of").alias(key)), side).drop(side)
+    return found.select(name, region, "ring", "area")

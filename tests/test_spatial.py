@@ -156,3 +156,15 @@ def test_copies_of_a_polygon_are_covered_once(spark, monkeypatch):
     assert got == {(1, n) for n in range(300)} | {(2, n) for n in range(600)}
     assert {(r.uid, r.name) for r in S.locate(points, polygons, "uid", "name").collect()} == {(1, 0), (2, 0), (3, None)}
     assert covered == [2, 2]
+
+
+def test_clip_cuts_polygons_of_the_same_rings_once(spark, monkeypatch):
+    square = lambda x0, y0, x1, y1: [[(x0, y0), (x1, y0), (x1, y1), (x0, y1)]]
+    shape = "rings array<array<struct<x: double, y: double>>>"
+    a = spark.createDataFrame([(3, square(0.0, 0.0, 2.0, 2.0)), (1, square(0.0, 0.0, 2.0, 2.0)), (2, square(1.0, 1.0, 4.0, 4.0)), (4, None)], f"id long, {shape}")
+    b = spark.createDataFrame([("r", square(1.0, 0.0, 3.0, 3.0)), ("s", square(1.0, 0.0, 3.0, 3.0)), ("far", square(8.0, 8.0, 9.0, 9.0))], f"region string, {shape}")
+    covered, cover = [], S.cell_cover
+    monkeypatch.setattr(S, "cell_cover", lambda p, name: covered.append(p.where("rings is not null").count()) or cover(p, name))
+    got = sorted((r.id, r.region, round(r.area, 6)) for r in S.clip(a, "id", b, "region").collect())
+    assert got == [(i, r, area) for i, area in ((1, 2.0), (2, 4.0), (3, 2.0)) for r in "rs"]
+    assert covered == [2, 2]

@@ -1,8 +1,9 @@
 """A prefix-sharded search index, and lookups in it.
 
 Lookups by words meet the index in posting lists: of all the parts of a query's
-words that are indexed, the one with the fewest rows in the query's shard is
-joined, so the work follows the hits and not the shard.
+words that are indexed, the one with the fewest keys in the query's shard is
+joined, so the work follows the hits and not the shard.  A key stands in the
+lists once, however many rows bear it; rows are met once a query's keys are known.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ def search_base(parcels: DataFrame, attrs: DataFrame) -> DataFrame:
     """One row for each county, id and address, with the least owner and a point of 5 places; owners only for real ids."""
     owned = parcels.withColumn("own_id", F.when(has_real_id(F.col("prop_id")), F.col("prop_id"))).join(attrs.select("county", F.col("prop_id").alias("own_id"), "owner"), ["county", "own_id"], "left")
     point = lambda c: F.round(F.min(c), 5).alias(c)
-    return owned.groupBy("county", "prop_id", "addr").agg(F.min(scrub_control(F.col("owner"))).alias("owner"), point("x"), point("y"))
+    # own_id follows from prop_id; named here, the rows stay as the join dealt them
+    return owned.groupBy("county", "own_id", "prop_id", "addr").agg(F.min(scrub_control(F.col("owner"))).alias("owner"), point("x"), point("y")).drop("own_id")
 
 
 def _line() -> Column:
@@ -92,14 +94,14 @@ def _parts(word: Column, sizes) -> Column:
 
 
 def posting_lists(index: DataFrame) -> DataFrame:
-    """(shard, gram, id) of an index (shard, k, line): each part of its words once a row.  May be written once and handed to lookups."""
+    """(shard, gram, id) of an index (shard, k, line): each part of its words once a key.  May be written once and handed to lookups."""
     words = F.array_distinct(F.split("k", " "))
     grams = F.array_distinct(F.flatten(F.transform(words, lambda w: _parts(w, GRAMS))))
-    return index.select("shard", _row_id(), F.explode(grams).alias("gram")).where("gram <> ''")
+    return index.select("shard", "k").distinct().select("shard", _key_id(), F.explode(grams).alias("gram")).where("gram <> ''")
 
 
-def _row_id() -> Column:
-    return F.xxhash64("shard", "k", "line").alias("id")
+def _key_id() -> Column:
+    return F.xxhash64("shard", "k").alias("id")
 
 
 def _asked_parts(tokens: Column) -> Column:
@@ -112,15 +114,15 @@ def _asked_parts(tokens: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(tokens, of)))
 
 
-def _candidates(index: DataFrame, asked: DataFrame, postings: DataFrame | None) -> DataFrame:
-    """Rows of the index beside the queries (q, shard, tokens, ..) whose rarest part they have.
+def _hits(index: DataFrame, asked: DataFrame, postings: DataFrame | None, fits: Column) -> DataFrame:
+    """Rows of the index beside the queries (q, shard, tokens, ..) that their keys fit; only keys that have a query's rarest part are tried.
 
-    Only lists that some query names are kept, and counted.  A list of many rows
-    is dealt out by row, and meets its queries once a share.
+    Only lists that some query names are kept, and counted.  A list of many keys
+    is dealt out by key, and meets its queries once a share.
     """
-    asked = materialize(asked)
+    asked, keys = materialize(asked), materialize(index.select("shard", "k").distinct())
     parts = materialize(asked.select("q", "shard", F.explode(_asked_parts(F.col("tokens"))).alias("gram")))
-    lists = posting_lists(index) if postings is None else postings
+    lists = posting_lists(keys) if postings is None else postings
     lists = materialize(lists.join(parts.select("shard", "gram").distinct(), ["shard", "gram"], "left_semi"))
     sizes = lists.groupBy("shard", "gram").agg(F.count("*").alias("n"))
     found = parts.join(sizes, ["shard", "gram"], "left").groupBy("q", "shard").agg(F.min(F.struct("n", "gram")).alias("least"), F.bool_and(F.col("n").isNotNull()).alias("all"))
@@ -130,7 +132,8 @@ def _candidates(index: DataFrame, asked: DataFrame, postings: DataFrame | None)
     dealt = lists.join(rarest.select("shard", "gram", "shares").distinct(), ["shard", "gram"]).select("shard", "gram", "id", share)
     each = rarest.select("q", "shard", "gram", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
     met = dealt.join(each, ["shard", "gram", "share"]).select("q", "shard", "id").distinct()
-    return met.join(index.withColumn("id", _row_id()), ["shard", "id"]).join(asked, ["q", "shard"])
+    fitting = met.join(keys.withColumn("id", _key_id()), ["shard", "id"]).join(asked, ["q", "shard"]).where(fits)
+    return index.join(materialize(fitting.select("q", "shard", "k", "n")), ["shard", "k"])
 
 
 def _whole_hits(hit: DataFrame) -> DataFrame:
@@ -138,15 +141,15 @@ def _whole_hits(hit: DataFrame) -> DataFrame:
     return hit.groupBy("q", "n", "county", "prop_id", "addr").agg(F.min("k").alias("k"))
 
 
-def search_owner(index: DataFrame, queries: DataFrame, postings: DataFrame | None = None) -> DataFrame:
-    """(q) of three letters or more -> q and hits that have every token; those that begin with the query first, then by name.
+def search_owner(index: DataFrame, queries: DataFrame, postings: DataFrame | None = None, most: int | None = OWNER_ROWS) -> DataFrame:
+    """(q) of three letters or more -> q and hits that have every token; those that begin with the query first, then by name; all if most is None.
 
     A query reads the shards of its first and its last token.
     """
     asked = queries.select("q").distinct().withColumn("n", search_norm(F.col("q"))).where(F.length("n") >= 3).withColumn("tokens", _tokens(F.col("q")))
     asked = asked.withColumn("shard", F.explode(F.array_distinct(F.array(F.substring("n", 1, 3), F.substring(F.element_at("tokens", -1), 1, 3)))))
-    hit = _candidates(index, asked, postings).where(F.forall("tokens", lambda t: F.contains(F.col("k"), t)))
-    return _shown(_whole_hits(hit), [F.when(F.col("k").startswith(F.col("n")), 0).otherwise(1), F.col("k"), F.col("county"), F.col("prop_id"), F.col("addr")], OWNER_ROWS)
+    hit = _hits(index, asked, postings, F.forall("tokens", lambda t: F.contains(F.col("k"), t)))
+    return _shown(_whole_hits(hit), [F.when(F.col("k").startswith(F.col("n")), 0).otherwise(1), F.col("k"), F.col("county"), F.col("prop_id"), F.col("addr")], most)
 
 
 def search_addr(index: DataFrame, queries: DataFrame, postings: DataFrame | None = None) -> DataFrame:
@@ -155,7 +158,7 @@ def search_addr(index: DataFrame, queries: DataFrame, postings: DataFrame | None
     asked = queries.select("q").distinct().withColumn("n", search_norm(F.col("q"))).where(F.length("n") >= 3).withColumn("tokens", _tokens(F.col("q"))).withColumn("number", F.get("tokens", 0))
     numbered = F.col("number").rlike("^[0-9]+$")
     asked = asked.withColumn("shard", F.when(numbered, F.substring("number", 1, 3)).otherwise(F.concat(F.lit("t_"), F.substring("n", 1, 3))))
-    hit = _candidates(index, asked, postings).where((~numbered | F.col("k").startswith(F.col("number"))) & F.forall("tokens", lambda t: F.contains(F.col("k"), t)))
+    hit = _hits(index, asked, postings, (~numbered | F.col("k").startswith(F.col("number"))) & F.forall("tokens", lambda t: F.contains(F.col("k"), t)))
     return _shown(_whole_hits(hit), [F.when(F.col("k").startswith(F.col("n")), 0).otherwise(1), F.length("k"), F.col("k"), F.col("county"), F.col("prop_id")], ADDR_ROWS)
 
 
@@ -168,10 +171,11 @@ def search_id(index: DataFrame, queries: DataFrame) -> DataFrame:
     return _shown(hit.select("q", "n", "county", "prop_id", "addr", "k").distinct(), [F.col("k"), F.col("county"), F.col("addr")], ID_ROWS)
 
 
-def _shown(hits: DataFrame, order: list[Column], most: int) -> DataFrame:
-    """The first hits of each query, numbered; what a reader sees, so the rest isn't wanted."""
+def _shown(hits: DataFrame, order: list[Column], most: int | None) -> DataFrame:
+    """The first hits of each query, numbered; what a reader sees, so the rest isn't wanted.  All of them if most is None."""
     rank = F.row_number().over(Window.partitionBy("q").orderBy(*order))
-    return hits.withColumn("rank", rank).where(F.col("rank") <= most).select("q", "rank", "county", "prop_id", "addr", "k")
+    hits = hits.withColumn("rank", rank)
+    return (hits if most is None else hits.where(F.col("rank") <= most)).select("q", "rank", "county", "prop_id", "addr", "k")
 
 
 def render_hits(rows: DataFrame) -> DataFrame:

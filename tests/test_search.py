@@ -1,11 +1,14 @@
 """Searches by posting lists against all rows and queries; index tables and what is read of them."""
 
 import random
+import re
 import uuid
 
 import pytest
 
 from levyframe.operators import search as S
+from levyframe.plans.fixtures import Tables
+from levyframe.plans.pages import base
 
 
 @pytest.fixture(scope="module")
@@ -76,3 +79,16 @@ def test_index_tables_are_read_by_bucket(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
         spark.sql(f"drop table {table}")
+
+
+def test_keys_of_many_rows_stand_in_the_lists_once(spark):
+    rows = [("ANN", k, f"C\t{i}\t\t{k}\t0\t0") for k in ("ANN SMITH", "ANN LI") for i in range(600)]
+    df, asked = spark.createDataFrame(rows, "shard string, k string, line string"), spark.createDataFrame([("ann smith",), ("ann",)], "q string")
+    assert S.posting_lists(df).count() == S.posting_lists(df.dropDuplicates(["shard", "k"])).count()
+    count = lambda most: {r["q"]: r["count"] for r in S.search_owner(df, asked, most=most).groupBy("q").count().collect()}
+    assert count(None) == {"ann smith": 600, "ann": 600} and count(500) == {"ann smith": 500, "ann": 500}
+
+
+def test_base_moves_rows_once_for_owner_and_address(spark, sf_dir):
+    plan = base(Tables(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
+    assert "own_id" in plan and not re.search(r"hashpartitioning\([^)]*addr", plan)

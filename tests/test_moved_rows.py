@@ -6,6 +6,7 @@ from levyframe.operators import rates, tables
 from levyframe.operators import reconcile as R
 from levyframe.plans import fixtures
 from levyframe.plans.fixtures import FIXTURES, MET, Tables
+from levyframe.plans.registry import QUERIES
 
 
 def plan(df):
@@ -78,3 +79,14 @@ def test_parcels_stay_where_they_are_on_the_way_to_their_rates(spark, sf_dir, mo
     want, got = t.sql(FIXTURES["fx_located"]), t("fx_located")
     assert got.schema.simpleString() == want.schema.simpleString()
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_district_stats_move_groups_and_no_parcels(spark, sf_dir):
+    """Also where units are more than Spark broadcasts."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")
+    try:
+        text = plan(QUERIES["e3_district_stats"](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert set(re.findall(r"hashpartitioning\((\w+?)#", text)) == {"county"}

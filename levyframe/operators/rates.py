@@ -29,8 +29,10 @@ def special_rates(parcel_districts: DataFrame, district_units: DataFrame) -> Dat
 
 def area_extra(corrections: DataFrame) -> DataFrame:
     """One row for each city and school district of a correction; a correction without cities is for land outside any."""
-    one = corrections.withColumn("city_name", F.explode_outer("city_names")).withColumn("isd_name", F.explode_outer("isd_names"))
-    return one.groupBy("county", "city_name", "isd_name").agg(F.sum("extra_rate").cast(RATE).alias("extra_rate"), F.array_sort(F.collect_set("unit_id")).alias("extra_units"))
+    # units of the same places as one row with their list, before the places are told apart
+    lists = corrections.groupBy("county", "city_names", "isd_names").agg(F.sum("extra_rate").alias("extra_rate"), F.collect_set("unit_id").alias("units"))
+    one = lists.withColumn("city_name", F.explode_outer("city_names")).withColumn("isd_name", F.explode_outer("isd_names"))
+    return one.groupBy("county", "city_name", "isd_name").agg(F.sum("extra_rate").cast(RATE).alias("extra_rate"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("units")))).alias("extra_units"))
 
 
 def roll_rates(roll: DataFrame, matches: DataFrame, approved: DataFrame | None = None) -> DataFrame:

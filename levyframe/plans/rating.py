@@ -9,6 +9,7 @@ from levyframe.functions.text import has_real_id, norm_city, norm_district, norm
 from levyframe.operators import rates as R
 from levyframe.operators import resolve
 from levyframe.operators.spatial import points_in_polygons, shapes
+from levyframe.operators.tables import with_texts
 from levyframe.plans.fixtures import query
 from levyframe.plans.inputs import city_strips, school_strips
 from levyframe.plans.joins import ENTITY_MATCH, adjacency
@@ -30,10 +31,11 @@ def district_names(t):
     return rows.join(shapes(rows, "poly_id").withColumnRenamed("poly_id", "poly"), "rings").select("poly", F.col("poly_name").alias("name")).distinct()
 
 
-def special(t, at=None):
+def special(t, at=None, lists=None):
     """Special-district rates; at: (uid, county_code, polys), the districts that each parcel is in, one for all of the same rings, else found here.
 
     Parcels of a county that are in the same districts have the same rates, so these are worked out once for each such place.
+    lists: gets "special", (number, stack) a place, whose number is then each parcel's stack.
     """
     if at is None:
         polygons = shapes(districts(t), "poly_id")
@@ -45,6 +47,10 @@ def special(t, at=None):
     found = resolve.resolve_districts(named.select("county_code", "name").distinct(), t("fx_units"), t("fx_recipes"), norm_district)
     rates = materialize(R.special_rates(named, found.join(t("fx_units").select("unit_id", F.col("name").alias("unit_name")), "unit_id")))
     of_place = rates.select("uid.county_code", "uid.polys", "special_rate", "stack")
+    if lists is not None:
+        of_place = materialize(of_place.withColumn("number", F.monotonically_increasing_id()))
+        lists["special"] = of_place.select("number", "stack")
+        of_place = of_place.drop("stack").withColumnRenamed("number", "stack")
     return at.join(of_place, ["county_code", "polys"]).select("uid", "special_rate", "stack")
 
 
@@ -125,8 +131,12 @@ def placed(t, parcels):
     return rows.groupBy("uid", "county_code").agg(one("city", "city_name"), one("isd", "isd_name"), polys)
 
 
-def rated(t, with_ratio=False, corrections=None):
-    """The whole build: parcels placed in cities, school and special districts, these names resolved to units, corrections by place, and the roll, which wins."""
+def rated(t, with_ratio=False, corrections=None, lists=None):
+    """The whole build: parcels placed in cities, school and special districts, these names resolved to units, corrections by place, and the roll, which wins.
+
+    lists: gets "special", (number, stack), and "extra", (number, units); special_stack and extra_units are then numbers of these.
+    A county's units and districts make long lists, which parcels would carry wherever they are moved.
+    """
     parcels = t("fx_located").select("uid", "county", "county_code", "prop_id", "addr", "mkt", "x", "y")
     near = materialize(adjacency(t))
     places = materialize(placed(t, parcels))
@@ -136,8 +146,13 @@ def rated(t, with_ratio=False, corrections=None):
         units = resolve.resolve_names(pairs, t("fx_units").where(F.col("unit_type") == unit_type), near, normalise)
         return units.select("county_code", F.col("name").alias(name), "rate_per_100")
 
+    extras = extra(t) if corrections is None else corrections
+    if lists is not None:
+        extras = materialize(extras)
+        lists["extra"] = materialize(extras.select(F.col("extra_units").alias("units")).distinct().withColumn("number", F.monotonically_increasing_id()))
+        extras = extras.join(lists["extra"], F.col("extra_units") == F.col("units")).drop("extra_units", "units").withColumnRenamed("number", "extra_units")
     rows = parcels.join(places.select("uid", "city_name", "isd_name"), "uid", "left")
-    return R.nominal_rates(rows, t("fx_base"), resolved("03", "city_name", norm_city), resolved("02", "isd_name", norm_isd), special(t, places), extra(t) if corrections is None else corrections, roll(t, with_ratio, near))
+    return R.nominal_rates(rows, t("fx_base"), resolved("03", "city_name", norm_city), resolved("02", "isd_name", norm_isd), special(t, places, lists), extras, roll(t, with_ratio, near))
 
 
 @query("h8_nominal_rate", f"select uid, cast(nominal_rate as double) as nominal_rate, cast(isd_rate as double) as isd_rate, roll_verified from ({NOMINAL}) x")
@@ -166,16 +181,23 @@ LOT = "radians(0.001e0) * 2 * abs(sin(radians(y + 0.002e0)) - sin(radians(y))) /
 from ({NOMINAL}) x join fx_parcels p on p.uid = x.uid left join ({ATTRS}) a on a.county = x.county and a.prop_id = x.prop_id""",
 )
 def h9(t):
+    """Texts of places, which may be long, are made once for each that differs, and meet their parcels at the end; parcels of one text are written side by side."""
+    lists = {}
     sd = F.when(F.col("roll_verified"), 0.0).otherwise(F.round(F.col("special_rate") + F.col("extra_rate"), 4).cast("double"))
     four = lambda c: F.round(F.col(c), 4)
     corner = lambda dx, dy: F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
     lot = F.array(corner(0.0, 0.0), corner(0.001, 0.0), corner(0.001, 0.002), corner(0.0, 0.002))
-    by_place = F.nullif(F.concat_ws("; ", F.when(F.col("special_stack").isNotNull(), render_stack(F.col("special_stack"))), F.when(F.col("extra_units").isNotNull(), F.array_join("extra_units", "; "))), F.lit(""))
-    sdn = F.coalesce(render_stack(F.col("roll_stack")), by_place)
     key = F.when(has_real_id(F.col("prop_id")), F.col("prop_id")).otherwise(F.concat(F.lit("#"), "uid"))
     attrs = t.sql(ATTRS.replace(" as double) / 100", " as double) / 100D")).withColumnRenamed("prop_id", "key")
-    rows = rated(t).withColumn("key", key).join(attrs, ["county", "key"], "left")
-    return rows.select("uid", "county", four("nominal_rate").alias("r"), four("isd_rate").alias("isdr"), sd.alias("sd"), sdn.alias("sdn"), F.col("roll_verified").cast("int").alias("rv"), F.col("owner").alias("own"), acres(F.col("gis_area"), lot).alias("ac"))
+    rows = rated(t, lists=lists).withColumn("key", key).join(attrs, ["county", "key"], "left")
+    number = lambda c: F.coalesce(c, F.lit(-1))
+    rows = materialize(rows.select("uid", "county", four("nominal_rate").alias("r"), four("isd_rate").alias("isdr"), sd.alias("sd"), render_stack(F.col("roll_stack")).alias("sdn"), F.col("roll_verified").cast("int").alias("rv"), F.col("owner").alias("own"), acres(F.col("gis_area"), lot).alias("ac"), number("special_stack").alias("special"), number("extra_units").alias("extra")))
+    by_place = rows.where("sdn is null").drop("sdn")
+    texts = by_place.groupBy("special", "extra").agg(F.count("*").alias("n"))
+    texts = texts.join(lists["special"].select(F.col("number").alias("special"), render_stack(F.col("stack")).alias("first")), "special", "left").join(lists["extra"].select(F.col("number").alias("extra"), F.array_join("units", "; ").alias("then")), "extra", "left")
+    sdn = F.nullif(F.concat_ws("; ", "first", "then"), F.lit(""))
+    out = with_texts(by_place, texts.select("special", "extra", "n", sdn.alias("sdn")), ["special", "extra"], "sdn", F.xxhash64("uid"))
+    return rows.where("sdn is not null").select(out.columns).unionByName(out).select("uid", "county", "r", "isdr", "sd", "sdn", "rv", "own", "ac")
 
 
 PLACED = "cast(base + city_part + isd_part + sd as decimal(18,6))"
